@@ -113,31 +113,44 @@ def special_closures(spark: SparkSession) -> DataFrame:
         .select(F.col("holiday_date").cast("date").alias("holiday_date"), "name")
 
 
-def holidays(spark: SparkSession, start: str, end: str, closures: DataFrame | None = None) -> DataFrame:
-    """Weekday holidays in [start, end]: rule-based ones plus one-off closures."""
-    days = day_range(spark, start, end)
+def days_spanning(df: DataFrame, col: str, pad_before: int = 0) -> DataFrame:
+    """All days from the first to the last date of ``col`` in ``df``.
+
+    One aggregate row is expanded with ``sequence``: the result holds the date
+    span only (checked against MAX_CALENDAR_DAYS), however large ``df`` is."""
+    bounds = df.agg(F.date_sub(F.min(F.to_date(col)), pad_before).alias("_s"),
+                    F.max(F.to_date(col)).alias("_e"))
+    span = F.datediff("_e", "_s") + 1
+    checked = bounds.select(
+        "_s", "_e",
+        F.when(span > MAX_CALENDAR_DAYS,
+               F.raise_error(F.lit(f"calendar span exceeds {MAX_CALENDAR_DAYS} days"))).alias("_chk"))
+    return checked.where(F.col("_s").isNotNull()).select(
+        F.explode(F.sequence("_s", "_e")).alias("day"))
+
+
+def holidays(days: DataFrame, closures: DataFrame | None = None) -> DataFrame:
+    """Weekday holidays among ``days``: rule-based ones plus one-off closures."""
     ruled = days.select(F.col("day").alias("holiday_date"), holiday_name(F.col("day")).alias("name")) \
         .where(F.col("name").isNotNull())
-    extra = (closures if closures is not None else special_closures(spark)) \
-        .where(F.col("holiday_date").between(_d(start), _d(end)))
+    extra = closures if closures is not None else special_closures(days.sparkSession)
+    extra = extra.join(F.broadcast(days.select(F.col("day").alias("holiday_date"))), "holiday_date", "left_semi")
     return ruled.unionByName(extra.join(ruled.select("holiday_date"), "holiday_date", "left_anti")
                              .select("holiday_date", "name"))
 
 
-def sessions(spark: SparkSession, start: str, end: str, *, calendar: str = NYSE,
-             holiday_table: DataFrame | None = None) -> DataFrame:
-    """Session days in [start, end] with ordinal and neighbouring sessions.
+def sessions(days: DataFrame, *, calendar: str = NYSE, holiday_table: DataFrame | None = None) -> DataFrame:
+    """Session days among ``days`` with ordinal and neighbouring sessions.
 
     ``calendar``: NYSE (weekdays minus exchange holidays), WEEKDAYS (weekdays
     only) or 24x7 (every day)."""
-    days = day_range(spark, start, end)
     if calendar == CONTINUOUS:
         sess = days
     else:
         dow = F.dayofweek("day")
         sess = days.where((dow >= 2) & (dow <= 6))
         if calendar == NYSE:
-            hol = holiday_table if holiday_table is not None else holidays(spark, start, end)
+            hol = holiday_table if holiday_table is not None else holidays(days)
             sess = sess.join(F.broadcast(hol.select(F.col("holiday_date").alias("day"))), "day", "left_anti")
         elif calendar != WEEKDAYS:
             raise ValueError(f"unknown calendar {calendar!r}")
@@ -150,20 +163,20 @@ def sessions(spark: SparkSession, start: str, end: str, *, calendar: str = NYSE,
     )
 
 
-def dense_calendar(spark: SparkSession, start: str, end: str, session_table: DataFrame) -> DataFrame:
-    """Every day in [start, end] with the last session on or before it and the
-    first session on or after it (an as-of lookup without a range join)."""
-    days = day_range(spark, start, end)
+def dense_calendar(days: DataFrame, session_table: DataFrame) -> DataFrame:
+    """Every day with the last session on or before it and the first session on
+    or after it (an as-of lookup without a range join)."""
     s = session_table.select(F.col("session_date").alias("day"), F.lit(True).alias("is_session"))
     j = days.join(F.broadcast(s), "day", "left")
     sess = F.when(F.col("is_session"), F.col("day"))
     back = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     fwd = Window.orderBy("day").rowsBetween(0, Window.unboundedFollowing)
+    # Sessions increase with the day, so the last one so far is a running max.
     return j.select(
         "day",
         F.coalesce(F.col("is_session"), F.lit(False)).alias("is_session"),
-        F.last(sess, ignorenulls=True).over(back).alias("session_on_or_before"),
-        F.first(sess, ignorenulls=True).over(fwd).alias("session_on_or_after"),
+        F.max(sess).over(back).alias("session_on_or_before"),
+        F.min(sess).over(fwd).alias("session_on_or_after"),
     )
 
 

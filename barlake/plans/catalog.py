@@ -127,3 +127,100 @@ def lake_bars(spark, d):
 @query
 def series_state(spark, d):
     return S.series_state(lake_bars(spark, d))
+
+
+# -------------------------------------------------------- calendar (CAL) --
+
+from barlake.operators import calendar as C  # noqa: E402
+
+BAR_COUNT_TOLERANCE = 10
+
+
+def stock_days(spark, d):
+    return C.days_spanning(T.read(spark, d, "lineitem"), "l_shipdate")
+
+
+def stock_sessions(spark, d):
+    return C.sessions(stock_days(spark, d))
+
+
+@query
+def holiday_calendar(spark, d):
+    """CAL-1: exchange holidays over the span of the stock bars."""
+    return C.holidays(stock_days(spark, d))
+
+
+@query
+def session_calendar(spark, d):
+    """CAL-1: sessions with ordinal, previous and next session."""
+    return stock_sessions(spark, d)
+
+
+@query
+def session_snap(spark, d):
+    """JN-6/JN-7: each stock bar's day snapped to the sessions around it."""
+    days = stock_days(spark, d)
+    dense = C.dense_calendar(days, C.sessions(days))
+    bars = stock_daily(spark, d).select("symbol", F.to_date("timestamp").alias("day"))
+    return bars.join(F.broadcast(dense), "day", "left")
+
+
+@query
+def target_end(spark, d):
+    """JN-8: for every order date taken as 'today', the last complete session."""
+    orders = T.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("today")).distinct()
+    days = C.days_spanning(orders, "today", pad_before=10)
+    dense = C.dense_calendar(days, C.sessions(days))
+    return C.target_end(orders, "today", dense)
+
+
+def stock_state(spark, d):
+    return S.series_state(stock_daily(spark, d), asset_class="stocks", timeframe="daily")
+
+
+@query
+def session_count(spark, d):
+    """AG-7: sessions between each stock series' first and last bar."""
+    days = stock_days(spark, d)
+    sess = C.sessions(days)
+    dense = C.dense_calendar(days, sess)
+    ranges = stock_state(spark, d).select("symbol", "earliest_date", "last_complete_date")
+    return C.session_count(ranges, dense, sess, "earliest_date", "last_complete_date")
+
+
+@query
+def bar_count_check(spark, d):
+    """AG-12: bar count vs expected sessions (within a tolerance); the first
+    bar must fall on a session."""
+    days = stock_days(spark, d)
+    sess = C.sessions(days)
+    dense = C.dense_calendar(days, sess)
+    state = stock_state(spark, d).select("symbol", "earliest_date", "last_complete_date", "bar_count")
+    counted = C.session_count(state, dense, sess, "earliest_date", "last_complete_date")
+    first = dense.select(F.col("day").alias("earliest_date"), "session_on_or_after")
+    out = counted.join(F.broadcast(first), "earliest_date", "left")
+    diff = F.col("bar_count") - F.col("sessions")
+    return out.select(
+        "symbol", "bar_count", "sessions", diff.alias("diff"),
+        (F.abs(diff) <= BAR_COUNT_TOLERANCE).alias("within_tolerance"),
+        (F.col("earliest_date") == F.col("session_on_or_after")).alias("starts_on_session"))
+
+
+@query
+def session_filter(spark, d):
+    """PRJ-14: minute bars classified by New York session; closed hours dropped."""
+    bars = C.classify_sessions(crypto_minute(spark, d))
+    return bars.where(F.col("session") != "closed")
+
+
+SESSION_CLASSES = ["pre", "regular", "after", "closed"]
+
+
+@query
+def session_counts(spark, d):
+    """AG-13: bars per symbol and New York date by session class."""
+    bars = C.classify_sessions(crypto_minute(spark, d))
+    piv = bars.groupBy("symbol", "session_date").pivot("session", SESSION_CLASSES).count()
+    cols = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in SESSION_CLASSES]
+    total = sum((F.coalesce(F.col(c), F.lit(0)) for c in SESSION_CLASSES), F.lit(0))
+    return piv.select("symbol", "session_date", *cols, total.cast("bigint").alias("total"))

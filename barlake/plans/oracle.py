@@ -126,3 +126,152 @@ ORACLE["series_state"] = with_("lake_bars") + """
 SELECT asset_class, symbol, timeframe, min(CAST(timestamp AS DATE)) AS earliest_date,
        max(CAST(timestamp AS DATE)) AS last_complete_date, count(*) AS bar_count
 FROM lake_bars GROUP BY 1, 2, 3"""
+
+
+# ------------------------------------------------------------- calendar --
+
+CLOSURES_SQL = """VALUES
+    (DATE '1994-04-27', 'National Day of Mourning'), (DATE '2001-09-11', 'September 11'),
+    (DATE '2001-09-12', 'September 11'), (DATE '2001-09-13', 'September 11'),
+    (DATE '2001-09-14', 'September 11'), (DATE '2004-06-11', 'National Day of Mourning'),
+    (DATE '2007-01-02', 'National Day of Mourning'), (DATE '2012-10-29', 'Hurricane Sandy'),
+    (DATE '2012-10-30', 'Hurricane Sandy'), (DATE '2018-12-05', 'National Day of Mourning'),
+    (DATE '2025-01-09', 'National Day of Mourning')"""
+
+
+def _fixed(mm: int, dd: int, sat_to_fri: bool = True) -> str:
+    cond = (f"(m = {mm} AND dom = {dd} AND dw <= 5) OR (m = {mm} AND dom = {dd + 1} AND dw = 1)")
+    if sat_to_fri:
+        cond += f" OR (m = {mm} AND dom = {dd - 1} AND dw = 5)"
+    return f"({cond})"
+
+
+def _nth(mm: int, dw: int, n: int) -> str:
+    return f"(m = {mm} AND dw = {dw} AND dom BETWEEN {7 * (n - 1) + 1} AND {7 * n})"
+
+
+HOLIDAY_CASE = f"""CASE
+    WHEN {_fixed(1, 1, False)} THEN 'New Year''s Day'
+    WHEN y >= 1998 AND {_nth(1, 1, 3)} THEN 'Martin Luther King Jr. Day'
+    WHEN {_nth(2, 1, 3)} THEN 'Washington''s Birthday'
+    WHEN day = good_friday THEN 'Good Friday'
+    WHEN m = 5 AND dw = 1 AND dom >= 25 THEN 'Memorial Day'
+    WHEN y >= 2022 AND {_fixed(6, 19)} THEN 'Juneteenth'
+    WHEN {_fixed(7, 4)} THEN 'Independence Day'
+    WHEN {_nth(9, 1, 1)} THEN 'Labor Day'
+    WHEN {_nth(11, 4, 4)} THEN 'Thanksgiving Day'
+    WHEN {_fixed(12, 25)} THEN 'Christmas Day' END"""
+
+
+def register_calendar(prefix: str, bounds_sql: str, bounds_deps: list[str] | None = None) -> None:
+    """CTEs {prefix}_days, _holidays, _sessions, _dense over the span of ``bounds_sql``
+    (a SELECT returning one row with DATE columns s, e)."""
+    CTE[f"{prefix}_bounds"] = bounds_sql
+    DEPS[f"{prefix}_bounds"] = bounds_deps or []
+    CTE[f"{prefix}_days"] = f"""
+  SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS day
+  FROM {prefix}_bounds WHERE s IS NOT NULL"""
+    DEPS[f"{prefix}_days"] = [f"{prefix}_bounds"]
+    CTE[f"{prefix}_easter"] = f"""
+  SELECT y, make_date(y, CAST((h + l - 7 * mm + 114) // 31 AS INTEGER),
+                      CAST((h + l - 7 * mm + 114) % 31 + 1 AS INTEGER)) - INTERVAL 2 DAY AS good_friday
+  FROM (SELECT *, (a + 11 * h + 22 * l) // 451 AS mm
+        FROM (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l
+              FROM (SELECT *, (19 * a + b - d - g + 15) % 30 AS h, c // 4 AS i, c % 4 AS k
+                    FROM (SELECT *, (b - f + 1) // 3 AS g
+                          FROM (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c, (y // 100) // 4 AS d,
+                                       (y // 100) % 4 AS e, ((y // 100) + 8) // 25 AS f
+                                FROM (SELECT DISTINCT CAST(year(day) AS BIGINT) AS y FROM {prefix}_days))))))"""
+    DEPS[f"{prefix}_easter"] = [f"{prefix}_days"]
+    CTE[f"{prefix}_holidays"] = f"""
+  SELECT holiday_date, name FROM (
+    SELECT day AS holiday_date, {HOLIDAY_CASE} AS name
+    FROM (SELECT day, year(day) AS y, month(day) AS m, day(day) AS dom, isodow(day) AS dw,
+                 CAST(good_friday AS DATE) AS good_friday
+          FROM {prefix}_days JOIN {prefix}_easter ON year(day) = y))
+  WHERE name IS NOT NULL
+  UNION ALL
+  SELECT holiday_date, name FROM ({CLOSURES_SQL}) c(holiday_date, name)
+  WHERE holiday_date IN (SELECT day FROM {prefix}_days)
+    AND holiday_date NOT IN (SELECT day FROM (
+      SELECT day, {HOLIDAY_CASE} AS name
+      FROM (SELECT day, year(day) AS y, month(day) AS m, day(day) AS dom, isodow(day) AS dw,
+                   CAST(good_friday AS DATE) AS good_friday
+            FROM {prefix}_days JOIN {prefix}_easter ON year(day) = y)) WHERE name IS NOT NULL)"""
+    DEPS[f"{prefix}_holidays"] = [f"{prefix}_days", f"{prefix}_easter"]
+    CTE[f"{prefix}_sessions"] = f"""
+  SELECT day AS session_date, CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS ordinal,
+         lag(day) OVER (ORDER BY day) AS prev_session, lead(day) OVER (ORDER BY day) AS next_session
+  FROM {prefix}_days
+  WHERE isodow(day) <= 5 AND day NOT IN (SELECT holiday_date FROM {prefix}_holidays)"""
+    DEPS[f"{prefix}_sessions"] = [f"{prefix}_days", f"{prefix}_holidays"]
+    CTE[f"{prefix}_dense"] = f"""
+  SELECT day, session_date IS NOT NULL AS is_session,
+         max(session_date) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+           AS session_on_or_before,
+         min(session_date) OVER (ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+           AS session_on_or_after
+  FROM {prefix}_days LEFT JOIN {prefix}_sessions ON day = session_date"""
+    DEPS[f"{prefix}_dense"] = [f"{prefix}_days", f"{prefix}_sessions"]
+
+
+register_calendar("scal", "SELECT CAST(min(l_shipdate) AS DATE) AS s, CAST(max(l_shipdate) AS DATE) AS e FROM lineitem")
+register_calendar("ocal", "SELECT CAST(min(o_orderdate) AS DATE) - INTERVAL 10 DAY AS s, "
+                          "CAST(max(o_orderdate) AS DATE) AS e FROM orders")
+CTE["ocal_bounds"] = ("SELECT CAST(CAST(min(o_orderdate) AS DATE) - INTERVAL 10 DAY AS DATE) AS s, "
+                      "CAST(max(o_orderdate) AS DATE) AS e FROM orders")
+
+CTE["stock_state"] = """
+  SELECT 'stocks' AS asset_class, symbol, 'daily' AS timeframe,
+         min(CAST(timestamp AS DATE)) AS earliest_date, max(CAST(timestamp AS DATE)) AS last_complete_date,
+         count(*) AS bar_count
+  FROM stock_daily GROUP BY symbol"""
+DEPS["stock_state"] = ["stock_daily"]
+CTE["stock_session_count"] = """
+  SELECT st.*, CAST(greatest(coalesce(hi.ord, 0) - (coalesce(lo.ord, 0) - CAST(lo.is_session AS INTEGER)), 0)
+                    AS BIGINT) AS sessions
+  FROM stock_state st
+  LEFT JOIN (SELECT d.day, d.is_session, s.ordinal AS ord FROM scal_dense d
+             LEFT JOIN scal_sessions s ON d.session_on_or_before = s.session_date) lo ON st.earliest_date = lo.day
+  LEFT JOIN (SELECT d.day, s.ordinal AS ord FROM scal_dense d
+             LEFT JOIN scal_sessions s ON d.session_on_or_before = s.session_date) hi
+         ON st.last_complete_date = hi.day"""
+DEPS["stock_session_count"] = ["stock_state", "scal_dense", "scal_sessions"]
+
+ET = "timezone('America/New_York', timestamp AT TIME ZONE 'UTC')"
+SESSION_CASE = f"""CASE
+    WHEN hour({ET}) * 60 + minute({ET}) >= 240 AND hour({ET}) * 60 + minute({ET}) < 570 THEN 'pre'
+    WHEN hour({ET}) * 60 + minute({ET}) >= 570 AND hour({ET}) * 60 + minute({ET}) < 960 THEN 'regular'
+    WHEN hour({ET}) * 60 + minute({ET}) >= 960 AND hour({ET}) * 60 + minute({ET}) < 1200 THEN 'after'
+    ELSE 'closed' END"""
+CTE["crypto_minute_sessions"] = f"""
+  SELECT *, {SESSION_CASE} AS session, CAST({ET} AS DATE) AS session_date FROM crypto_minute"""
+DEPS["crypto_minute_sessions"] = ["crypto_minute"]
+
+ORACLE["holiday_calendar"] = with_("scal_holidays") + "SELECT * FROM scal_holidays"
+ORACLE["session_calendar"] = with_("scal_sessions") + "SELECT * FROM scal_sessions"
+ORACLE["session_snap"] = with_("stock_daily", "scal_dense") + """
+SELECT b.day, b.symbol, d.is_session, d.session_on_or_before, d.session_on_or_after
+FROM (SELECT symbol, CAST(timestamp AS DATE) AS day FROM stock_daily) b
+LEFT JOIN scal_dense d ON b.day = d.day"""
+ORACLE["target_end"] = with_("ocal_dense") + """
+SELECT t.today, d.session_on_or_before AS target_end
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS today FROM orders) t
+LEFT JOIN ocal_dense d ON CAST(t.today - INTERVAL 1 DAY AS DATE) = d.day"""
+ORACLE["session_count"] = with_("stock_session_count") + """
+SELECT symbol, earliest_date, last_complete_date, sessions FROM stock_session_count"""
+ORACLE["bar_count_check"] = with_("stock_session_count") + f"""
+SELECT c.symbol, c.bar_count, c.sessions, c.bar_count - c.sessions AS diff,
+       abs(c.bar_count - c.sessions) <= 10 AS within_tolerance,
+       c.earliest_date = d.session_on_or_after AS starts_on_session
+FROM stock_session_count c LEFT JOIN scal_dense d ON c.earliest_date = d.day"""
+ORACLE["session_filter"] = with_("crypto_minute_sessions") + """
+SELECT * FROM crypto_minute_sessions WHERE session <> 'closed'"""
+ORACLE["session_counts"] = with_("crypto_minute_sessions") + """
+SELECT symbol, session_date,
+       count(*) FILTER (WHERE session = 'pre') AS pre,
+       count(*) FILTER (WHERE session = 'regular') AS regular,
+       count(*) FILTER (WHERE session = 'after') AS after,
+       count(*) FILTER (WHERE session = 'closed') AS closed,
+       count(*) AS total
+FROM crypto_minute_sessions GROUP BY 1, 2"""
