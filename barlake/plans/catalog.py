@@ -224,3 +224,190 @@ def session_counts(spark, d):
     cols = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in SESSION_CLASSES]
     total = sum((F.coalesce(F.col(c), F.lit(0)) for c in SESSION_CLASSES), F.lit(0))
     return piv.select("symbol", "session_date", *cols, total.cast("bigint").alias("total"))
+
+
+# ------------------------------------------- manifest, plan, outcome (JN/AG) --
+
+from barlake.operators import planning as P  # noqa: E402
+
+# Fixed parameters of the planning scenario.
+MANIFEST_CUT_BASE = "1999-07-01"    # a supplier's state reaches up to this date ...
+MANIFEST_CUT_STEP_DAYS = 15         # ... plus this many days per nation key
+MANIFEST_MAX_NATION = 22            # suppliers of nations from here on were never fetched
+STOCKS_DEFAULT_START = "1995-01-01"
+STOCKS_TARGET_END = "2000-01-31"
+MANIFEST_STAMP = "1999-12-31 23:00:00"
+UPSERT_STAMP = "2000-02-01 06:00:00"
+
+
+def stock_universe(spark, d):
+    return T.stock_symbols(spark, d).select(F.lit("stocks").alias("asset_class"), "symbol")
+
+
+def manifest(spark, d):
+    """State recorded by earlier runs: each supplier's bars up to a nation-dependent cut."""
+    sup = T.stock_symbols(spark, d).where(F.col("s_nationkey") < MANIFEST_MAX_NATION).select(
+        "symbol", F.date_add(F.lit(MANIFEST_CUT_BASE).cast("date"),
+                             F.col("s_nationkey") * MANIFEST_CUT_STEP_DAYS).alias("_cut"))
+    bars = stock_daily(spark, d).join(F.broadcast(sup), "symbol") \
+        .where(F.to_date("timestamp") < F.col("_cut")).drop("_cut")
+    st = S.series_state(bars, asset_class="stocks", timeframe="daily")
+    return st.select("asset_class", "symbol", "timeframe", "earliest_date", "last_complete_date",
+                     F.lit(MANIFEST_STAMP).cast("timestamp").alias("last_updated_at"), "bar_count")
+
+
+def stock_plan(spark, d):
+    return P.fetch_plan(stock_universe(spark, d), manifest(spark, d), timeframe="daily",
+                        default_start=STOCKS_DEFAULT_START, target_end=STOCKS_TARGET_END)
+
+
+def landed(spark, d, plan=None):
+    """What the fetch returned: ticks inside each planned window; suppliers with a
+    negative balance answer with an error instead."""
+    plan = plan if plan is not None else stock_plan(spark, d)
+    win = plan.where(F.col("action") == P.FETCH).select("symbol", "from_date", "to_date")
+    ticks = T.stock_ticks(spark, d)
+    got = ticks.join(win, "symbol").where(F.to_date("ts").between(F.col("from_date"), F.col("to_date")))
+    bad = T.stock_symbols(spark, d).select("symbol", (F.col("s_acctbal") < 0).alias("_bad"))
+    return got.join(bad, "symbol", "left").withColumn(
+        "_error", F.when(F.col("_bad"), F.lit("bad request"))).drop("_bad")
+
+
+@query
+def fetch_plan(spark, d):
+    """JN-1: universe x manifest -> per-symbol window or up to date."""
+    return stock_plan(spark, d)
+
+
+@query
+def source_dispositions(spark, d):
+    """SRC-2/JN-2: per planned symbol succeeded / error / zero_bar."""
+    plan = stock_plan(spark, d)
+    return P.dispositions(plan, landed(spark, d, plan), error_col="_error")
+
+
+@query
+def zero_bar_symbols(spark, d):
+    """JN-2: planned symbols that returned no bars."""
+    plan = stock_plan(spark, d)
+    return P.zero_bar_symbols(plan, landed(spark, d, plan))
+
+
+@query
+def run_outcome(spark, d):
+    """AG-3: counts by disposition and the exit code."""
+    plan = stock_plan(spark, d)
+    disp = P.dispositions(plan, landed(spark, d, plan), error_col="_error")
+    return P.run_outcome(disp, plan.where(F.col("action") == P.UP_TO_DATE))
+
+
+def upserted_manifest(spark, d):
+    plan = stock_plan(spark, d)
+    disp = P.dispositions(plan, landed(spark, d, plan), error_col="_error")
+    ok = disp.where(F.col("disposition") == P.SUCCEEDED).select("symbol")
+    bars = stock_daily(spark, d).where(F.to_date("timestamp") <= F.lit(STOCKS_TARGET_END).cast("date"))
+    new_state = S.series_state(bars.join(ok, "symbol", "left_semi"), asset_class="stocks", timeframe="daily")
+    return S.manifest_upsert(manifest(spark, d), new_state, UPSERT_STAMP)
+
+
+@query
+def manifest_upsert(spark, d):
+    """AG-2: state of the succeeded symbols replaces their rows; others stay."""
+    return upserted_manifest(spark, d)
+
+
+@query
+def tracked_series(spark, d):
+    """AG-4: number of tracked series and emptiness."""
+    return S.tracked_series(upserted_manifest(spark, d))
+
+
+# --------------------------------------------------- merge and layout (SRC) --
+
+MERGE_STORED_BEFORE = "2000-01-01"
+MERGE_NEW_FROM = "1999-10-01"
+
+
+def refetched_stock_daily(spark, d):
+    """A later fetch of the same series: prices net of discount, so re-sent bars
+    differ from the stored ones."""
+    li = T.read(spark, d, "lineitem")
+    ticks = li.select(
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"),
+        F.col("l_shipdate").cast("timestamp").alias("ts"),
+        "l_orderkey", "l_linenumber", "l_partkey",
+        (F.col("l_extendedprice").cast(T.PRICE_DECIMAL) * (1 - F.col("l_discount").cast(T.PRICE_DECIMAL)))
+        .alias("price"),
+        F.col("l_quantity").cast("bigint").alias("size"))
+    return B.ticks_to_bars(ticks, 1, "day", order_cols=T.STOCK_ORDER)
+
+
+def merged_bars(spark, d):
+    stored = stock_daily(spark, d).where(F.col("timestamp") < F.lit(MERGE_STORED_BEFORE).cast("timestamp"))
+    new = refetched_stock_daily(spark, d).where(F.col("timestamp") >= F.lit(MERGE_NEW_FROM).cast("timestamp"))
+    return S.merge_append(stored, new)
+
+
+@query
+def merge_append_bars(spark, d):
+    """SRC-6: stored bars plus a re-fetch that overlaps them; stored rows win."""
+    return merged_bars(spark, d)
+
+
+@query
+def year_partition_counts(spark, d):
+    """SRC-7/AG-14: rows, symbols and time range per year partition of the merge."""
+    m = merged_bars(spark, d).withColumn("year", F.year("timestamp"))
+    return m.groupBy("year").agg(F.count(F.lit(1)).alias("bars"),
+                                 F.countDistinct("symbol").alias("symbols"),
+                                 F.min("timestamp").alias("first_ts"),
+                                 F.max("timestamp").alias("last_ts"))
+
+
+WINDOW_FROM, WINDOW_TO = "1997-03-01", "1997-05-31"
+
+
+@query
+def bars_date_window(spark, d):
+    """PRJ-12/SO-2: bars with date in [from, to] (inclusive), newest first."""
+    b = stock_daily(spark, d)
+    day = F.to_date("timestamp")
+    return b.where(day.between(F.lit(WINDOW_FROM).cast("date"), F.lit(WINDOW_TO).cast("date"))) \
+        .orderBy(F.col("timestamp").desc(), "symbol")
+
+
+RAW_FROM, RAW_TO = "2024-01-05", "2024-01-20"
+
+
+@query
+def raw_bar_scan(spark, d):
+    """SRC-1: wire records of all symbols whose bar date is in [from, to]."""
+    raw = N.to_raw(crypto_daily(spark, d))
+    lo = F.unix_millis(F.lit(RAW_FROM).cast("timestamp"))
+    hi = F.unix_millis(F.date_add(F.lit(RAW_TO).cast("date"), 1).cast("timestamp"))
+    return raw.where((F.col("t") >= lo) & (F.col("t") < hi))
+
+
+HYBRID_FLAT_BEFORE = "2000-01-01"
+HYBRID_REST_FROM = "1999-07-01"
+
+
+@query
+def hybrid_source_merge(spark, d):
+    """SRC-14: flat-file history and REST increments in one canonical table;
+    where both have a bar the flat file (rank 0) wins."""
+    flat = N.normalize_flat_file(N.to_flat_file(
+        stock_daily(spark, d).where(F.col("timestamp") < F.lit(HYBRID_FLAT_BEFORE).cast("timestamp"))))
+    rest = N.normalize_raw(N.to_raw(
+        refetched_stock_daily(spark, d).where(F.col("timestamp") >= F.lit(HYBRID_REST_FROM).cast("timestamp"))))
+    both = flat.withColumn("source", F.lit("flat")).withColumn("_rank", F.lit(0)) \
+        .unionByName(rest.withColumn("source", F.lit("rest")).withColumn("_rank", F.lit(1)))
+    return D.keep_one(both, ["symbol", "timestamp"], ["_rank"]).drop("_rank")
+
+
+@query
+def symbol_recluster(spark, d):
+    """SRC-13: date-clustered rows re-laid out by (symbol, timestamp) ranges."""
+    b = stock_daily(spark, d)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return b.repartitionByRange(n, "symbol", "timestamp").sortWithinPartitions("symbol", "timestamp")

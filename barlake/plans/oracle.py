@@ -275,3 +275,119 @@ SELECT symbol, session_date,
        count(*) FILTER (WHERE session = 'closed') AS closed,
        count(*) AS total
 FROM crypto_minute_sessions GROUP BY 1, 2"""
+
+
+# --------------------------------------------- manifest, plan and outcome --
+
+CTE["manifest"] = """
+  SELECT 'stocks' AS asset_class, b.symbol, 'daily' AS timeframe,
+         min(CAST(b.timestamp AS DATE)) AS earliest_date, max(CAST(b.timestamp AS DATE)) AS last_complete_date,
+         TIMESTAMP '1999-12-31 23:00:00' AS last_updated_at, count(*) AS bar_count
+  FROM stock_daily b
+  JOIN (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol,
+               CAST(DATE '1999-07-01' + CAST(s_nationkey * 15 AS INTEGER) AS DATE) AS cut
+        FROM supplier WHERE s_nationkey < 22) s ON b.symbol = s.symbol
+  WHERE CAST(b.timestamp AS DATE) < s.cut
+  GROUP BY b.symbol"""
+DEPS["manifest"] = ["stock_daily"]
+CTE["plan"] = """
+  SELECT * FROM (
+    SELECT 'stocks' AS asset_class, u.symbol, 'daily' AS timeframe,
+           CASE WHEN m.last_complete_date IS NULL THEN DATE '1995-01-01'
+                ELSE CAST(m.last_complete_date + INTERVAL 1 DAY AS DATE) END AS from_date,
+           DATE '2000-01-31' AS to_date,
+           CASE WHEN m.last_complete_date >= DATE '2000-01-31' THEN 'up_to_date' ELSE 'fetch' END AS action
+    FROM (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol FROM supplier) u
+    LEFT JOIN manifest m ON u.symbol = m.symbol)
+  WHERE action = 'up_to_date' OR from_date <= to_date"""
+DEPS["plan"] = ["manifest"]
+CTE["landed"] = """
+  SELECT t.*, p.from_date, p.to_date, CASE WHEN s.s_acctbal < 0 THEN 'bad request' END AS _error
+  FROM stock_ticks t
+  JOIN plan p ON t.symbol = p.symbol AND p.action = 'fetch'
+  LEFT JOIN supplier s ON t.symbol = 'S' || CAST(s.s_suppkey AS VARCHAR)
+  WHERE CAST(t.ts AS DATE) BETWEEN p.from_date AND p.to_date"""
+DEPS["landed"] = ["stock_ticks", "plan"]
+CTE["dispositions"] = """
+  SELECT f.symbol,
+         CASE WHEN coalesce(l.has_error, false) THEN 'error'
+              WHEN coalesce(l.n, 0) = 0 THEN 'zero_bar' ELSE 'succeeded' END AS disposition,
+         CAST(coalesce(l.n, 0) AS BIGINT) AS rows
+  FROM (SELECT DISTINCT symbol FROM plan WHERE action = 'fetch') f
+  LEFT JOIN (SELECT symbol, count(*) AS n, bool_or(_error IS NOT NULL) AS has_error
+             FROM landed GROUP BY symbol) l ON f.symbol = l.symbol"""
+DEPS["dispositions"] = ["plan", "landed"]
+CTE["upserted_manifest"] = """
+  SELECT * FROM manifest WHERE symbol NOT IN (
+      SELECT symbol FROM dispositions WHERE disposition = 'succeeded')
+  UNION ALL
+  SELECT 'stocks' AS asset_class, symbol, 'daily' AS timeframe,
+         min(CAST(timestamp AS DATE)) AS earliest_date, max(CAST(timestamp AS DATE)) AS last_complete_date,
+         TIMESTAMP '2000-02-01 06:00:00' AS last_updated_at, count(*) AS bar_count
+  FROM stock_daily
+  WHERE CAST(timestamp AS DATE) <= DATE '2000-01-31'
+    AND symbol IN (SELECT symbol FROM dispositions WHERE disposition = 'succeeded')
+  GROUP BY symbol"""
+DEPS["upserted_manifest"] = ["manifest", "dispositions", "stock_daily"]
+
+ORACLE["fetch_plan"] = with_("plan") + "SELECT * FROM plan"
+ORACLE["source_dispositions"] = with_("dispositions") + "SELECT * FROM dispositions"
+ORACLE["zero_bar_symbols"] = with_("plan", "landed") + """
+SELECT symbol, from_date, to_date FROM plan
+WHERE action = 'fetch' AND symbol NOT IN (SELECT symbol FROM landed)"""
+ORACLE["run_outcome"] = with_("dispositions", "plan") + """
+SELECT CAST(s + e + z AS BIGINT) AS attempted, s AS succeeded, e AS errors, z AS zero_bar, u AS up_to_date,
+       CASE WHEN e = 0 THEN 0 WHEN e = s + e + z THEN 2 ELSE 1 END AS exit_code
+FROM (SELECT count(*) FILTER (WHERE disposition = 'succeeded') AS s,
+             count(*) FILTER (WHERE disposition = 'error') AS e,
+             count(*) FILTER (WHERE disposition = 'zero_bar') AS z,
+             (SELECT count(*) FROM plan WHERE action = 'up_to_date') AS u
+      FROM dispositions)"""
+ORACLE["manifest_upsert"] = with_("upserted_manifest") + "SELECT * FROM upserted_manifest"
+ORACLE["tracked_series"] = with_("upserted_manifest") + """
+SELECT count(*) AS tracked_series, count(*) = 0 AS is_empty FROM upserted_manifest"""
+
+# ------------------------------------------------------- merge and layout --
+
+CTE["refetched_ticks"] = """
+  SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS symbol, l_shipdate AS ts, l_orderkey, l_linenumber, l_partkey,
+         CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))) AS price,
+         CAST(l_quantity AS BIGINT) AS size
+  FROM lineitem"""
+CTE["refetched_daily"] = bars_cte("refetched_ticks", "date_trunc('day', ts)",
+                                  "ts, l_orderkey, l_linenumber, l_partkey")
+DEPS["refetched_daily"] = ["refetched_ticks"]
+CTE["merged"] = """
+  SELECT * EXCLUDE (gen, rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY symbol, timestamp ORDER BY gen) AS rn FROM (
+      SELECT *, 0 AS gen FROM stock_daily WHERE timestamp < TIMESTAMP '2000-01-01'
+      UNION ALL
+      SELECT *, 1 AS gen FROM refetched_daily WHERE timestamp >= TIMESTAMP '1999-10-01'))
+  WHERE rn = 1"""
+DEPS["merged"] = ["stock_daily", "refetched_daily"]
+
+ORACLE["merge_append_bars"] = with_("merged") + "SELECT * FROM merged"
+ORACLE["year_partition_counts"] = with_("merged") + """
+SELECT year(timestamp) AS year, count(*) AS bars, count(DISTINCT symbol) AS symbols,
+       min(timestamp) AS first_ts, max(timestamp) AS last_ts
+FROM merged GROUP BY 1"""
+ORACLE["bars_date_window"] = with_("stock_daily") + """
+SELECT * FROM stock_daily
+WHERE CAST(timestamp AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1997-05-31'
+ORDER BY timestamp DESC, symbol"""
+ORACLE["raw_bar_scan"] = with_("crypto_daily") + """
+SELECT symbol, open AS o, high AS h, low AS l, close AS c, volume AS v, vwap AS vw,
+       epoch_ms(timestamp) AS t, transactions AS n, otc
+FROM crypto_daily
+WHERE epoch_ms(timestamp) >= epoch_ms(TIMESTAMP '2024-01-05')
+  AND epoch_ms(timestamp) < epoch_ms(TIMESTAMP '2024-01-21')"""
+ORACLE["hybrid_source_merge"] = with_("stock_daily", "refetched_daily") + """
+SELECT * EXCLUDE (rk, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, timestamp ORDER BY rk) AS rn FROM (
+    SELECT timestamp, symbol, open, high, low, close, volume, CAST(NULL AS DOUBLE) AS vwap, transactions,
+           CAST(NULL AS BOOLEAN) AS otc, 'flat' AS source, 0 AS rk
+    FROM stock_daily WHERE timestamp < TIMESTAMP '2000-01-01'
+    UNION ALL
+    SELECT *, 'rest' AS source, 1 AS rk FROM refetched_daily WHERE timestamp >= TIMESTAMP '1999-07-01'))
+WHERE rn = 1"""
+ORACLE["symbol_recluster"] = with_("stock_daily") + "SELECT * FROM stock_daily"
