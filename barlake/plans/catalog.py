@@ -411,3 +411,136 @@ def symbol_recluster(spark, d):
     b = stock_daily(spark, d)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return b.repartitionByRange(n, "symbol", "timestamp").sortWithinPartitions("symbol", "timestamp")
+
+
+# ------------------------------------------------------------ validation --
+
+from barlake.operators import validation as V  # noqa: E402
+
+COVERAGE_MAX_SESSIONS = 1   # V-5: last_complete_date at most this many sessions behind
+
+
+@query
+def bar_steps(spark, d):
+    """WN-3: seconds since the previous minute bar of the same symbol."""
+    return V.bar_steps(crypto_minute(spark, d), bucket="day")
+
+
+@query
+def monotonic_check(spark, d):
+    """WN-6: stock trades per symbol whose time does not strictly increase."""
+    return V.monotonic_check(T.stock_ticks(spark, d), ts="ts", bucket="year")
+
+
+def user_bar_days(spark, d):
+    return user_daily(spark, d).select("symbol", F.to_date("timestamp").alias("day"))
+
+
+def user_calendar(spark, d):
+    days = C.days_spanning(T.read(spark, d, "events"), "ts")
+    sess = C.sessions(days, calendar=C.CONTINUOUS)
+    return sess, C.dense_calendar(days, sess)
+
+
+@query
+def daily_gaps_24x7(spark, d):
+    """JN-5: days without a bar inside each 24x7 series (per-user series)."""
+    sess, dense = user_calendar(spark, d)
+    return V.missing_sessions(user_bar_days(spark, d), sess, dense)
+
+
+def stock_missing(spark, d):
+    days = stock_days(spark, d)
+    sess = C.sessions(days)
+    dense = C.dense_calendar(days, sess)
+    bar_days = stock_daily(spark, d).select("symbol", F.to_date("timestamp").alias("day"))
+    return V.missing_sessions(bar_days, sess, dense), sess
+
+
+@query
+def daily_gaps_sessions(spark, d):
+    """JN-5: exchange sessions without a bar inside each stock series."""
+    return stock_missing(spark, d)[0]
+
+
+@query
+def gap_ranges(spark, d):
+    """WN-4: missing sessions of each stock series as contiguous ranges."""
+    missing, sess = stock_missing(spark, d)
+    return V.gap_ranges(missing, sess)
+
+
+def misread_flat_file(spark, d):
+    """Flat-file rows read by position (O,H,L,C) instead of by name (O,C,H,L)."""
+    flat = N.to_flat_file(stock_daily(spark, d))
+    return flat.select(
+        F.col("window_start"), F.col("ticker").alias("symbol"), F.col("open"),
+        F.col("close").alias("high"), F.col("high").alias("low"), F.col("low").alias("close"),
+        "volume", "transactions")
+
+
+@query
+def ohlc_violations(spark, d):
+    """V-2: bars of a positional flat-file read that break OHLC sanity."""
+    return V.ohlc_violations(misread_flat_file(spark, d))
+
+
+@query
+def ohlc_dropped(spark, d):
+    """V-2 drop policy: the bars of that read that pass."""
+    return V.apply_ohlc_policy(misread_flat_file(spark, d), "drop")
+
+
+@query
+def null_report(spark, d):
+    """V-7: nulls per canonical column by source of the hybrid table."""
+    return V.null_report(QUERIES["hybrid_source_merge"](spark, d), ["source"])
+
+
+def raw_landing_text(spark, d):
+    """Landed records as text; error events land with a non-numeric price."""
+    ev = T.read(spark, d, "events")
+    return ev.select(
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
+        F.col("ts").cast("string").alias("ts"),
+        F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("price"),
+        F.get_json_object("props", "$.k").alias("size"))
+
+
+@query
+def type_violations(spark, d):
+    """V-1: per column, raw values that do not parse as the expected type."""
+    return V.type_audit(raw_landing_text(spark, d),
+                        {"ts": "timestamp", "price": "decimal(18,2)", "size": "bigint"})
+
+
+@query
+def coverage_check(spark, d):
+    """V-5: series whose last complete date is more than N sessions behind."""
+    m = upserted_manifest(spark, d)
+    days = stock_days(spark, d)
+    sess = C.sessions(days)
+    dense = C.dense_calendar(days, sess)
+    ords = sess.select(F.col("session_date").alias("_sd"), "ordinal")
+    le = dense.join(F.broadcast(ords), dense["session_on_or_before"] == F.col("_sd"), "left") \
+        .select(F.col("day").alias("_day"), F.coalesce("ordinal", F.lit(0)).alias("_le"))
+    now = le.select(F.col("_day").alias("_asof"), F.col("_le").alias("_now"))
+    j = m.withColumn("_asof", F.lit(STOCKS_TARGET_END).cast("date")) \
+        .join(F.broadcast(le), F.col("last_complete_date") == F.col("_day"), "left") \
+        .join(F.broadcast(now), "_asof", "left")
+    behind = (F.col("_now") - F.col("_le")).cast("bigint")
+    return j.select("asset_class", "symbol", "timeframe", "last_complete_date",
+                    behind.alias("sessions_behind"),
+                    (behind <= COVERAGE_MAX_SESSIONS).alias("covered"))
+
+
+@query
+def zero_bar_open_market(spark, d):
+    """V-6: zero-bar symbols whose window held at least one open session."""
+    plan = stock_plan(spark, d)
+    zero = P.zero_bar_symbols(plan, landed(spark, d, plan))
+    days = stock_days(spark, d)
+    sess = C.sessions(days)
+    dense = C.dense_calendar(days, sess)
+    counted = C.session_count(zero, dense, sess, "from_date", "to_date")
+    return counted.where(F.col("sessions") > 0).withColumn("severity", F.lit("warn"))

@@ -391,3 +391,92 @@ SELECT * EXCLUDE (rk, rn) FROM (
     SELECT *, 'rest' AS source, 1 AS rk FROM refetched_daily WHERE timestamp >= TIMESTAMP '1999-07-01'))
 WHERE rn = 1"""
 ORACLE["symbol_recluster"] = with_("stock_daily") + "SELECT * FROM stock_daily"
+
+
+# ----------------------------------------------------------- validation --
+
+CTE["ucal_bounds"] = "SELECT CAST(min(ts) AS DATE) AS s, CAST(max(ts) AS DATE) AS e FROM events"
+CTE["scal_le"] = """
+  SELECT d.day, coalesce(s.ordinal, 0) AS le FROM scal_dense d
+  LEFT JOIN scal_sessions s ON d.session_on_or_before = s.session_date"""
+DEPS["scal_le"] = ["scal_dense", "scal_sessions"]
+CTE["stock_missing"] = """
+  SELECT r.symbol, s.session_date AS missing_date
+  FROM (SELECT symbol, min(CAST(timestamp AS DATE)) AS lo, max(CAST(timestamp AS DATE)) AS hi
+        FROM stock_daily GROUP BY symbol) r
+  JOIN scal_sessions s ON s.session_date BETWEEN r.lo AND r.hi
+  WHERE NOT EXISTS (SELECT 1 FROM stock_daily b
+                    WHERE b.symbol = r.symbol AND CAST(b.timestamp AS DATE) = s.session_date)"""
+DEPS["stock_missing"] = ["stock_daily", "scal_sessions"]
+CTE["misread"] = """
+  SELECT epoch_us(timestamp) * 1000 AS window_start, symbol, open, close AS high, high AS low,
+         low AS close, volume, transactions
+  FROM stock_daily"""
+DEPS["misread"] = ["stock_daily"]
+
+ORACLE["bar_steps"] = with_("crypto_minute") + """
+SELECT symbol, timestamp, prev_ts, CAST(epoch(timestamp) - epoch(prev_ts) AS BIGINT) AS step_seconds
+FROM (SELECT symbol, timestamp, lag(timestamp) OVER (PARTITION BY symbol ORDER BY timestamp) AS prev_ts
+      FROM crypto_minute)"""
+ORACLE["monotonic_check"] = with_("stock_ticks") + """
+SELECT symbol, count(*) AS rows, count(*) - count(DISTINCT ts) AS violations,
+       count(*) = count(DISTINCT ts) AS strictly_increasing
+FROM stock_ticks GROUP BY symbol"""
+ORACLE["daily_gaps_24x7"] = with_("user_daily") + """
+SELECT symbol, missing_date FROM (
+  SELECT symbol, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS missing_date
+  FROM (SELECT symbol, min(CAST(timestamp AS DATE)) AS lo, max(CAST(timestamp AS DATE)) AS hi
+        FROM user_daily GROUP BY symbol))
+EXCEPT ALL
+SELECT symbol, CAST(timestamp AS DATE) FROM user_daily"""
+ORACLE["daily_gaps_sessions"] = with_("stock_missing") + "SELECT * FROM stock_missing"
+ORACLE["gap_ranges"] = with_("stock_missing", "scal_sessions") + """
+SELECT symbol, min(missing_date) AS first_missing, max(missing_date) AS last_missing,
+       CAST(count(*) AS BIGINT) AS sessions
+FROM (SELECT m.symbol, m.missing_date,
+             s.ordinal - row_number() OVER (PARTITION BY m.symbol ORDER BY s.ordinal) AS grp
+      FROM stock_missing m JOIN scal_sessions s ON m.missing_date = s.session_date)
+GROUP BY symbol, grp"""
+ORACLE["ohlc_violations"] = with_("misread") + """
+SELECT *, CASE WHEN low > high THEN 'low>high' WHEN open > high THEN 'open>high'
+               WHEN open < low THEN 'open<low' WHEN close > high THEN 'close>high'
+               WHEN close < low THEN 'close<low' END AS rule
+FROM misread
+WHERE NOT (low <= open AND open <= high AND low <= close AND close <= high AND low <= high)"""
+ORACLE["ohlc_dropped"] = with_("misread") + """
+SELECT * FROM misread
+WHERE low <= open AND open <= high AND low <= close AND close <= high AND low <= high"""
+_NULLS = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in
+                   ["timestamp", "symbol", "open", "high", "low", "close", "volume", "vwap",
+                    "transactions", "otc"])
+ORACLE["null_report"] = ORACLE["hybrid_source_merge"].replace(
+    "SELECT * EXCLUDE (rk, rn) FROM (", f"SELECT source, count(*) AS rows, {_NULLS} FROM (SELECT * EXCLUDE (rk, rn) FROM (", 1
+) + ") GROUP BY source"
+ORACLE["type_violations"] = """
+WITH raw AS (
+  SELECT CAST(ts AS VARCHAR) AS ts,
+         CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS price,
+         json_extract_string(props, '$.k') AS size
+  FROM events)
+SELECT 'ts' AS "column", 'timestamp' AS expected_type, count(*) AS rows,
+       count(*) FILTER (WHERE ts IS NOT NULL AND TRY_CAST(ts AS TIMESTAMP) IS NULL) AS violations,
+       count(*) FILTER (WHERE ts IS NULL) AS nulls FROM raw
+UNION ALL
+SELECT 'price', 'decimal(18,2)', count(*),
+       count(*) FILTER (WHERE price IS NOT NULL AND TRY_CAST(price AS DECIMAL(18,2)) IS NULL),
+       count(*) FILTER (WHERE price IS NULL) FROM raw
+UNION ALL
+SELECT 'size', 'bigint', count(*),
+       count(*) FILTER (WHERE size IS NOT NULL AND TRY_CAST(size AS BIGINT) IS NULL),
+       count(*) FILTER (WHERE size IS NULL) FROM raw"""
+ORACLE["coverage_check"] = with_("upserted_manifest", "scal_le") + """
+SELECT m.asset_class, m.symbol, m.timeframe, m.last_complete_date,
+       CAST(n.le - l.le AS BIGINT) AS sessions_behind, n.le - l.le <= 1 AS covered
+FROM upserted_manifest m
+LEFT JOIN scal_le l ON m.last_complete_date = l.day
+LEFT JOIN scal_le n ON n.day = DATE '2000-01-31'"""
+ORACLE["zero_bar_open_market"] = with_("plan", "landed", "scal_sessions") + """
+SELECT p.symbol, p.from_date, p.to_date, count(*) AS sessions, 'warn' AS severity
+FROM plan p JOIN scal_sessions s ON s.session_date BETWEEN p.from_date AND p.to_date
+WHERE p.action = 'fetch' AND p.symbol NOT IN (SELECT symbol FROM landed)
+GROUP BY p.symbol, p.from_date, p.to_date"""
