@@ -544,3 +544,42 @@ def zero_bar_open_market(spark, d):
     dense = C.dense_calendar(days, sess)
     counted = C.session_count(zero, dense, sess, "from_date", "to_date")
     return counted.where(F.col("sessions") > 0).withColumn("severity", F.lit("warn"))
+
+
+# ---------------------------------------------------- corporate actions --
+
+from barlake.operators import adjust as A  # noqa: E402
+
+SPLITS_STORED_BEFORE = "1997-01-01"
+DIVIDENDS_STORED_DATE = "1997-03-14"
+
+
+@query
+def split_adjusted_bars(spark, d):
+    """JN-9/WN-5/CA-3: stock bars adjusted for all later splits."""
+    return A.split_adjust(stock_daily(spark, d), T.splits(spark, d))
+
+
+@query
+def dividend_adjusted_bars(spark, d):
+    """JN-10: split- and dividend-adjusted bars (prices rounded to 6 dp)."""
+    out = A.dividend_adjust(stock_daily(spark, d), T.dividends(spark, d), T.splits(spark, d))
+    return out.withColumns({c: F.round(c, 6) for c in A.PRICE_COLUMNS + ["dividend_factor"]})
+
+
+@query
+def splits_merge(spark, d):
+    """CA-1: stored splits plus a re-fetch that omits the ratio; stored rows win."""
+    sp = T.splits(spark, d)
+    stored = sp.where(F.col("execution_date") < F.lit(SPLITS_STORED_BEFORE).cast("date"))
+    new = sp.withColumn("ratio", F.lit(None).cast("double"))
+    return A.merge_splits(stored, new)
+
+
+@query
+def dividends_merge(spark, d):
+    """CA-2: stored dividends plus a re-fetch with later pay dates; stored rows win."""
+    dv = T.dividends(spark, d)
+    stored = dv.where(F.col("ex_dividend_date") == F.lit(DIVIDENDS_STORED_DATE).cast("date"))
+    new = dv.withColumn("pay_date", F.date_add("pay_date", 1))
+    return A.merge_dividends(stored, new)

@@ -480,3 +480,59 @@ SELECT p.symbol, p.from_date, p.to_date, count(*) AS sessions, 'warn' AS severit
 FROM plan p JOIN scal_sessions s ON s.session_date BETWEEN p.from_date AND p.to_date
 WHERE p.action = 'fetch' AND p.symbol NOT IN (SELECT symbol FROM landed)
 GROUP BY p.symbol, p.from_date, p.to_date"""
+
+
+# ----------------------------------------------------- corporate actions --
+
+CTE["splits"] = """
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol,
+         CAST(DATE '1995-06-01' + CAST(s_nationkey * 60 AS INTEGER) AS DATE) AS execution_date,
+         1.0 AS split_from, 2.0 AS split_to, 2.0 AS ratio
+  FROM supplier
+  UNION ALL
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR),
+         CAST(DATE '1995-06-01' + CAST(s_nationkey * 60 + 700 AS INTEGER) AS DATE), 1.0, 2.0, 2.0
+  FROM supplier WHERE s_nationkey >= 20"""
+CTE["dividends"] = """
+  SELECT symbol, ex_dividend_date, cash_amount, 'USD' AS currency, 'CD' AS dividend_type, 4 AS frequency,
+         CAST(ex_dividend_date + INTERVAL 14 DAY AS DATE) AS pay_date,
+         CAST(ex_dividend_date + INTERVAL 1 DAY AS DATE) AS record_date,
+         CAST(ex_dividend_date - INTERVAL 30 DAY AS DATE) AS declaration_date
+  FROM (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol, round(s_acctbal / 10000, 2) AS cash_amount
+        FROM supplier WHERE s_acctbal > 0) s,
+       (VALUES (DATE '1997-03-14'), (DATE '1999-09-15')) d(ex_dividend_date)"""
+# Split factor of a bar: product of split_from / split_to of all later splits.
+CTE["split_adjusted"] = """
+  SELECT b.timestamp, b.symbol, b.open * f AS open, b.high * f AS high, b.low * f AS low,
+         b.close * f AS close, b.volume / f AS volume, b.vwap * f AS vwap, b.transactions, b.otc,
+         f AS split_factor
+  FROM (SELECT b.*, coalesce((SELECT product(s.split_from / s.split_to) FROM splits s
+                              WHERE s.symbol = b.symbol AND s.execution_date > CAST(b.timestamp AS DATE)), 1.0) AS f
+        FROM stock_daily b) b"""
+DEPS["split_adjusted"] = ["stock_daily", "splits"]
+CTE["div_factors"] = """
+  SELECT d.symbol, d.ex_dividend_date,
+         1 - d.cash_amount / (SELECT arg_max(b.close, b.timestamp) FROM stock_daily b
+                              WHERE b.symbol = d.symbol AND b.timestamp < CAST(d.ex_dividend_date AS TIMESTAMP)) AS f
+  FROM dividends d"""
+DEPS["div_factors"] = ["dividends", "stock_daily"]
+
+ORACLE["split_adjusted_bars"] = with_("split_adjusted") + "SELECT * FROM split_adjusted"
+ORACLE["dividend_adjusted_bars"] = with_("split_adjusted", "div_factors") + """
+SELECT timestamp, symbol, round(open * g, 6) AS open, round(high * g, 6) AS high, round(low * g, 6) AS low,
+       round(close * g, 6) AS close, volume, round(vwap * g, 6) AS vwap, transactions, otc, split_factor,
+       round(g, 6) AS dividend_factor
+FROM (SELECT a.*, coalesce((SELECT product(f) FROM div_factors x
+                            WHERE x.symbol = a.symbol AND x.f IS NOT NULL AND x.f > -1e300
+                              AND x.ex_dividend_date > CAST(a.timestamp AS DATE)), 1.0) AS g
+      FROM split_adjusted a)"""
+ORACLE["splits_merge"] = with_("splits") + """
+SELECT symbol, execution_date, split_from, split_to,
+       CASE WHEN execution_date < DATE '1997-01-01' THEN ratio END AS ratio
+FROM splits"""
+ORACLE["dividends_merge"] = with_("dividends") + """
+SELECT symbol, ex_dividend_date, cash_amount, currency, dividend_type, frequency,
+       CASE WHEN ex_dividend_date = DATE '1997-03-14' THEN pay_date
+            ELSE CAST(pay_date + INTERVAL 1 DAY AS DATE) END AS pay_date,
+       record_date, declaration_date
+FROM dividends"""
