@@ -583,3 +583,196 @@ def dividends_merge(spark, d):
     stored = dv.where(F.col("ex_dividend_date") == F.lit(DIVIDENDS_STORED_DATE).cast("date"))
     new = dv.withColumn("pay_date", F.date_add("pay_date", 1))
     return A.merge_dividends(stored, new)
+
+
+# ------------------------------------------------------------- universe --
+
+from barlake.functions.tickers import crypto_ticker as _crypto_ticker  # noqa: E402
+from barlake.operators import universe as U  # noqa: E402
+
+TICKER_COL = "Symbol"
+PRIMARY_STAMP = "2024-02-01 00:00:00"
+VINTAGE_1 = "2024-01-01 00:00:00"
+VINTAGE_2 = "2024-01-08 12:00:00"
+FRESHNESS_AS_OF = "2024-02-01 00:00:00"
+MEMBERSHIP_AS_OF = "1997-06-30"
+FREEZE_CHUNKS = 4
+
+
+@query
+def crypto_tickers(spark, d):
+    """PRJ-7: X:{BASE}{QUOTE} for every traded base."""
+    ev = T.read(spark, d, "events").select(F.upper("event_type").alias("base")).distinct()
+    return ev.select("base", _crypto_ticker(F.col("base")).alias("ticker"))
+
+
+@query
+def normalize_tickers(spark, d):
+    """PRJ-8: raw constituent cells -> canonical ticker (strip, upper, dash to dot)."""
+    cells = T.constituent_cells(spark, d).where((F.col("table_no") == 2) & (F.col("col_name") == TICKER_COL))
+    return cells.select("page", "row_no", F.col("value").alias("raw"),
+                        U.normalize_ticker(F.col("value")).alias("ticker"),
+                        (~U.is_blank_ticker(F.col("value"))).alias("is_ticker"))
+
+
+@query
+def select_constituents(spark, d):
+    """PRJ-10: constituents table per page by column signature."""
+    return U.select_constituents(T.constituent_cells(spark, d), TICKER_COL)
+
+
+def _scraped(spark, d, ticker_col):
+    cells = T.constituent_cells(spark, d)
+    sel = U.select_constituents(cells, ticker_col)
+    return U.extract_tickers(cells, sel, ticker_col), U.scrape_outcome(cells, sel)
+
+
+@query
+def extract_tickers(spark, d):
+    """PRJ-9: tickers of the selected tables (blank/nan dropped, duplicates kept)."""
+    return _scraped(spark, d, TICKER_COL)[0]
+
+
+def index_a(spark, d):
+    return T.index_lists(spark, d).where(F.col("index") == "IDXA").select("ticker")
+
+
+def index_b(spark, d):
+    return T.index_lists(spark, d).where(F.col("index") == "IDXB").select("ticker")
+
+
+@query
+def universe_union(spark, d):
+    """SE-2/SO-3: distinct union of the index lists, sorted."""
+    return index_a(spark, d).union(index_b(spark, d)).distinct().orderBy("ticker")
+
+
+@query
+def universe_overlap(spark, d):
+    """SE-3: tickers in both lists."""
+    return index_a(spark, d).intersect(index_b(spark, d))
+
+
+@query
+def universe_adds(spark, d):
+    """SE-3: tickers the second list adds to the first."""
+    return index_b(spark, d).subtract(index_a(spark, d))
+
+
+@query
+def universe_diff(spark, d):
+    """SE-4: change log between two snapshots (first list -> second list)."""
+    return U.universe_diff(index_a(spark, d), index_b(spark, d))
+
+
+def snapshots(spark, d):
+    v1 = U.build_snapshot(index_a(spark, d), "scrape", VINTAGE_1)
+    v2 = U.build_snapshot(index_a(spark, d).union(index_b(spark, d)), "scrape", VINTAGE_2)
+    return v1.unionByName(v2)
+
+
+@query
+def universe_snapshot(spark, d):
+    """RF-1/SRC-5/WN-8: the newest of the stored snapshot vintages."""
+    return U.latest_snapshot(snapshots(spark, d))
+
+
+def frozen(spark, d):
+    return U.build_snapshot(index_a(spark, d).union(index_b(spark, d)), "frozen", VINTAGE_2)
+
+
+def fallback(spark, d, ticker_col):
+    tickers, failures = _scraped(spark, d, ticker_col)
+    primary = U.build_snapshot(tickers, "scrape", PRIMARY_STAMP)
+    return U.with_fallback(primary, failures, frozen(spark, d))
+
+
+@query
+def universe_with_fallback(spark, d):
+    """RF-2: the scrape succeeds on every page, so its snapshot is used."""
+    return fallback(spark, d, TICKER_COL)
+
+
+@query
+def universe_fallback_vintage(spark, d):
+    """RF-2: pages restructured (no 'Ticker' column anywhere) -> frozen list, old stamp kept."""
+    return fallback(spark, d, "Ticker")
+
+
+@query
+def universe_freshness(spark, d):
+    """AG-5: age and flag of the scraped and the frozen snapshot."""
+    both = fallback(spark, d, TICKER_COL).unionByName(fallback(spark, d, "Ticker"))
+    return U.universe_freshness(both, FRESHNESS_AS_OF, 7, ["source"])
+
+
+# Freshness thresholds per reference dataset (OK up to, WARN up to).
+FRESHNESS_THRESHOLDS = [
+    ("stocks_universe", 7, 14),
+    ("futures_contracts", 14, 30),
+    ("market_calendar", 30, 90),
+    ("splits", 2, 7),
+    ("dividends", 2, 7),
+]
+REPORT_AS_OF = "2001-12-01 00:00:00"
+
+
+@query
+def freshness_report(spark, d):
+    """AG-6/RF-4: one row per reference dataset with its own thresholds."""
+    uni = fallback(spark, d, TICKER_COL).agg(F.lit("stocks_universe").alias("dataset"),
+                                             F.count(F.lit(1)).alias("rows"),
+                                             F.max("generated_at").alias("last_refreshed"))
+    fut = T.futures_contracts(spark, d).agg(F.lit("futures_contracts").alias("dataset"),
+                                            F.count(F.lit(1)).alias("rows"),
+                                            F.max("discovered_at").alias("last_refreshed"))
+    cal = stock_sessions(spark, d).agg(F.lit("market_calendar").alias("dataset"),
+                                       F.count(F.lit(1)).alias("rows"),
+                                       F.max("session_date").cast("timestamp").alias("last_refreshed"))
+    spl = T.splits(spark, d).agg(F.lit("splits").alias("dataset"), F.count(F.lit(1)).alias("rows"),
+                                 F.max("execution_date").cast("timestamp").alias("last_refreshed"))
+    div = T.dividends(spark, d).agg(F.lit("dividends").alias("dataset"), F.count(F.lit(1)).alias("rows"),
+                                    F.max("declaration_date").cast("timestamp").alias("last_refreshed"))
+    datasets = uni.unionByName(fut).unionByName(cal).unionByName(spl).unionByName(div)
+    thresholds = spark.createDataFrame(FRESHNESS_THRESHOLDS, "dataset string, ok_days int, stale_days int")
+    return U.freshness_report(datasets, thresholds, REPORT_AS_OF)
+
+
+@query
+def universe_at(spark, d):
+    """JN-11: point-in-time members of the index on a date."""
+    return U.universe_at(T.membership(spark, d), MEMBERSHIP_AS_OF)
+
+
+@query
+def bars_in_membership(spark, d):
+    """JN-11: stock bars restricted to the dates their symbol was a member."""
+    return U.bars_in_membership(stock_daily(spark, d), T.membership(spark, d))
+
+
+@query
+def universe_coverage(spark, d):
+    """JN-12: members without bars and bar symbols outside the universe."""
+    uni = index_a(spark, d).union(index_b(spark, d))
+    return U.universe_coverage(uni, stock_daily(spark, d))
+
+
+@query
+def universe_freeze_roundtrip(spark, d):
+    """SRC-11: snapshot -> frozen documents (hash-chunked arrays) -> rows."""
+    doc = U.freeze(frozen(spark, d), ["IDXA", "IDXB"], FREEZE_CHUNKS)
+    return U.thaw(doc)
+
+
+@query
+def parse_symbol_list(spark, d):
+    """PRJ-11: per order, a watch list string of its suppliers (messy forms,
+    empties, repeats) parsed back to ordered unique symbols."""
+    li = T.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    sym = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
+    item = F.when(F.col("l_linenumber") % 2 == 1, F.concat(F.lit(" "), sym, F.lit(" "))) \
+        .otherwise(F.concat(F.upper(sym), F.lit(",")))
+    lists = li.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", item.alias("item")))).alias("_items"))
+    lists = lists.select("l_orderkey", F.concat_ws(",", F.transform("_items", lambda x: x["item"])).alias("list"))
+    return U.parse_lists(lists, ["l_orderkey"])

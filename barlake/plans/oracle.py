@@ -536,3 +536,156 @@ SELECT symbol, ex_dividend_date, cash_amount, currency, dividend_type, frequency
             ELSE CAST(pay_date + INTERVAL 1 DAY AS DATE) END AS pay_date,
        record_date, declaration_date
 FROM dividends"""
+
+
+# -------------------------------------------------------------- universe --
+
+_BASE = "('C' || CAST(c_nationkey AS VARCHAR) || '-' || CAST(c_custkey AS VARCHAR))"
+CTE["cells"] = f"""
+  WITH nat AS (SELECT r_name AS page, n_nationkey, n_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+  oc AS (SELECT nat.page, o_orderkey, c_custkey,
+                CASE o_orderpriority WHEN '1-URGENT' THEN '  ' || lower({_BASE}) || ' '
+                                     WHEN '2-HIGH' THEN replace({_BASE}, '-', '.')
+                                     WHEN '3-MEDIUM' THEN lower({_BASE}) || chr(9)
+                                     WHEN '4-NOT SPECIFIED' THEN 'nan' ELSE '' END AS sym
+         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nat ON c_nationkey = n_nationkey)
+  SELECT page, 0 AS table_no, CAST(n_nationkey AS INTEGER) AS row_no, '0' AS col_name, false AS is_flat,
+         n_name AS value FROM nat
+  UNION ALL SELECT page, 1, CAST(n_nationkey AS INTEGER), 'Symbol', true, 'N' || CAST(n_nationkey AS VARCHAR) FROM nat
+  UNION ALL SELECT page, 2, CAST(o_orderkey AS INTEGER), 'Symbol', true, sym FROM oc
+  UNION ALL SELECT page, 2, CAST(o_orderkey AS INTEGER), 'Security', true, 'Customer ' || CAST(c_custkey AS VARCHAR) FROM oc
+  UNION ALL SELECT page, 3, CAST(o_orderkey AS INTEGER), 'Symbol', false, 'X' || CAST(o_orderkey AS VARCHAR) FROM oc"""
+_STRIP = "regexp_replace(value, '^\\s+|\\s+$', '', 'g')"
+_NORM = f"replace(upper({_STRIP}), '-', '.')"
+_BLANK = f"(value IS NULL OR {_STRIP} = '' OR lower({_STRIP}) = 'nan')"
+
+
+def _selected(ticker_col: str) -> str:
+    return f"""
+  SELECT page, min(table_no) AS table_no FROM (
+    SELECT page, table_no FROM cells GROUP BY page, table_no
+    HAVING bool_or(col_name = '{ticker_col}') AND bool_and(is_flat) AND count(DISTINCT row_no) >= 50)
+  GROUP BY page"""
+
+
+for _col, _name in (("Symbol", "sym"), ("Ticker", "tick")):
+    CTE[f"selected_{_name}"] = _selected(_col)
+    DEPS[f"selected_{_name}"] = ["cells"]
+    CTE[f"extracted_{_name}"] = f"""
+  SELECT c.page, c.row_no, {_NORM} AS ticker FROM cells c
+  JOIN selected_{_name} s ON c.page = s.page AND c.table_no = s.table_no
+  WHERE c.col_name = '{_col}' AND NOT {_BLANK}"""
+    DEPS[f"extracted_{_name}"] = ["cells", f"selected_{_name}"]
+    CTE[f"fallback_{_name}"] = f"""
+  SELECT * FROM (SELECT DISTINCT ticker, 'scrape' AS source, TIMESTAMP '2024-02-01 00:00:00' AS generated_at
+                 FROM extracted_{_name})
+  WHERE (SELECT count(DISTINCT page) FROM cells) = (SELECT count(*) FROM selected_{_name})
+    AND (SELECT count(*) FROM extracted_{_name}) > 0
+  UNION ALL
+  SELECT * FROM frozen
+  WHERE NOT ((SELECT count(DISTINCT page) FROM cells) = (SELECT count(*) FROM selected_{_name})
+             AND (SELECT count(*) FROM extracted_{_name}) > 0)"""
+    DEPS[f"fallback_{_name}"] = [f"extracted_{_name}", "frozen"]
+
+CTE["idx_a"] = "SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS ticker FROM supplier WHERE s_acctbal >= 0"
+CTE["idx_b"] = "SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS ticker FROM supplier WHERE s_nationkey < 13"
+CTE["frozen"] = """
+  SELECT DISTINCT ticker, 'frozen' AS source, TIMESTAMP '2024-01-08 12:00:00' AS generated_at
+  FROM (SELECT ticker FROM idx_a UNION ALL SELECT ticker FROM idx_b)"""
+DEPS["frozen"] = ["idx_a", "idx_b"]
+CTE["membership"] = """
+  SELECT 'IDXM' AS "index", 'S' || CAST(s_suppkey AS VARCHAR) AS ticker,
+         CAST(DATE '1995-01-01' + CAST(s_nationkey * 40 AS INTEGER) AS DATE) AS added_date,
+         CASE WHEN s_acctbal < 0 THEN DATE '1999-01-01' END AS removed_date
+  FROM supplier"""
+
+ORACLE["crypto_tickers"] = """
+SELECT DISTINCT upper(event_type) AS base, 'X:' || upper(event_type) || 'USD' AS ticker FROM events"""
+ORACLE["normalize_tickers"] = with_("cells") + f"""
+SELECT page, row_no, value AS raw, {_NORM} AS ticker, NOT {_BLANK} AS is_ticker
+FROM cells WHERE table_no = 2 AND col_name = 'Symbol'"""
+ORACLE["select_constituents"] = with_("cells") + """
+SELECT page, table_no, n_rows FROM (
+  SELECT page, table_no, count(DISTINCT row_no) AS n_rows,
+         row_number() OVER (PARTITION BY page ORDER BY table_no) AS rn
+  FROM cells GROUP BY page, table_no
+  HAVING bool_or(col_name = 'Symbol') AND bool_and(is_flat) AND count(DISTINCT row_no) >= 50)
+WHERE rn = 1"""
+ORACLE["extract_tickers"] = with_("extracted_sym") + "SELECT * FROM extracted_sym"
+ORACLE["universe_union"] = with_("idx_a", "idx_b") + """
+SELECT DISTINCT ticker FROM (SELECT ticker FROM idx_a UNION ALL SELECT ticker FROM idx_b) ORDER BY ticker"""
+ORACLE["universe_overlap"] = with_("idx_a", "idx_b") + "SELECT ticker FROM idx_a INTERSECT SELECT ticker FROM idx_b"
+ORACLE["universe_adds"] = with_("idx_a", "idx_b") + "SELECT ticker FROM idx_b EXCEPT SELECT ticker FROM idx_a"
+ORACLE["universe_diff"] = with_("idx_a", "idx_b") + """
+SELECT ticker, 'added' AS change FROM (SELECT ticker FROM idx_b EXCEPT SELECT ticker FROM idx_a)
+UNION ALL
+SELECT ticker, 'removed' FROM (SELECT ticker FROM idx_a EXCEPT SELECT ticker FROM idx_b)"""
+ORACLE["universe_snapshot"] = with_("idx_a", "idx_b") + """
+SELECT DISTINCT ticker, 'scrape' AS source, TIMESTAMP '2024-01-08 12:00:00' AS generated_at
+FROM (SELECT ticker FROM idx_a UNION ALL SELECT ticker FROM idx_b)"""
+ORACLE["universe_with_fallback"] = with_("fallback_sym") + "SELECT * FROM fallback_sym"
+ORACLE["universe_fallback_vintage"] = with_("fallback_tick") + "SELECT * FROM fallback_tick"
+ORACLE["universe_freshness"] = with_("fallback_sym", "fallback_tick") + """
+SELECT source, max(generated_at) AS generated_at, count(*) AS tickers,
+       CAST(floor((epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(max(generated_at))) / 86400) AS BIGINT) AS age_days,
+       CASE WHEN count(*) = 0 THEN 'MISSING'
+            WHEN max(generated_at) IS NULL THEN 'STALE'
+            WHEN epoch(TIMESTAMP '2024-02-01 00:00:00') < epoch(max(generated_at)) THEN 'WARN'
+            WHEN floor((epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(max(generated_at))) / 86400) <= 7 THEN 'OK'
+            WHEN floor((epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(max(generated_at))) / 86400) <= 14 THEN 'WARN'
+            ELSE 'STALE' END AS flag
+FROM (SELECT * FROM fallback_sym UNION ALL SELECT * FROM fallback_tick) GROUP BY source"""
+ORACLE["freshness_report"] = with_("fallback_sym", "scal_sessions", "splits", "dividends") + """
+, datasets AS (
+  SELECT 'stocks_universe' AS dataset, count(*) AS rows, max(generated_at) AS last_refreshed FROM fallback_sym
+  UNION ALL
+  SELECT 'futures_contracts', count(*), CAST(max(last) + INTERVAL 1 DAY AS TIMESTAMP) FROM (
+    SELECT max(CAST(l_shipdate AS DATE)) AS last FROM lineitem
+    GROUP BY l_returnflag || CAST(year(CAST(l_shipdate AS DATE) + CAST(l_linenumber * 30 AS INTEGER)) AS VARCHAR)
+             || 'Q' || CAST(quarter(CAST(l_shipdate AS DATE) + CAST(l_linenumber * 30 AS INTEGER)) AS VARCHAR))
+  UNION ALL
+  SELECT 'market_calendar', count(*), CAST(max(session_date) AS TIMESTAMP) FROM scal_sessions
+  UNION ALL
+  SELECT 'splits', count(*), CAST(max(execution_date) AS TIMESTAMP) FROM splits
+  UNION ALL
+  SELECT 'dividends', count(*), CAST(max(declaration_date) AS TIMESTAMP) FROM dividends),
+thresholds AS (SELECT * FROM (VALUES ('stocks_universe', 7, 14), ('futures_contracts', 14, 30),
+                                     ('market_calendar', 30, 90), ('splits', 2, 7), ('dividends', 2, 7))
+               t(dataset, ok_days, stale_days)),
+aged AS (
+  SELECT d.*, CAST(floor((epoch(TIMESTAMP '2001-12-01 00:00:00') - epoch(last_refreshed)) / 86400) AS BIGINT) AS age_days,
+         t.ok_days, t.stale_days
+  FROM datasets d LEFT JOIN thresholds t ON d.dataset = t.dataset)
+SELECT dataset, rows, last_refreshed, age_days, ok_days, stale_days, flag, flag <> 'OK' AS refresh
+FROM (SELECT *, CASE WHEN coalesce(rows, 0) = 0 THEN 'MISSING' WHEN age_days IS NULL THEN 'STALE'
+                     WHEN age_days < 0 THEN 'WARN' WHEN age_days <= ok_days THEN 'OK'
+                     WHEN age_days <= stale_days THEN 'WARN' ELSE 'STALE' END AS flag FROM aged)"""
+ORACLE["universe_at"] = with_("membership") + """
+SELECT "index", ticker FROM membership
+WHERE added_date <= DATE '1997-06-30' AND (removed_date IS NULL OR DATE '1997-06-30' < removed_date)"""
+ORACLE["bars_in_membership"] = with_("stock_daily", "membership") + """
+SELECT b.*, m."index" FROM stock_daily b JOIN membership m
+  ON b.symbol = m.ticker AND CAST(b.timestamp AS DATE) >= m.added_date
+ AND (m.removed_date IS NULL OR CAST(b.timestamp AS DATE) < m.removed_date)"""
+ORACLE["universe_coverage"] = with_("idx_a", "idx_b", "stock_daily") + """
+SELECT ticker, 'no_bars' AS issue FROM (
+  SELECT ticker FROM idx_a UNION SELECT ticker FROM idx_b EXCEPT SELECT symbol FROM stock_daily)
+UNION ALL
+SELECT ticker, 'not_in_universe' FROM (
+  SELECT symbol AS ticker FROM stock_daily EXCEPT (SELECT ticker FROM idx_a UNION SELECT ticker FROM idx_b))"""
+ORACLE["universe_freeze_roundtrip"] = with_("frozen") + "SELECT * FROM frozen"
+ORACLE["parse_symbol_list"] = """
+WITH items AS (
+  SELECT l_orderkey, l_linenumber, l_partkey,
+         CASE WHEN l_linenumber % 2 = 1 THEN ' s' || CAST(l_suppkey AS VARCHAR) || ' '
+              ELSE upper('s' || CAST(l_suppkey AS VARCHAR)) || ',' END AS item
+  FROM lineitem),
+lists AS (SELECT l_orderkey, string_agg(item, ',' ORDER BY l_linenumber, l_partkey, item) AS list
+          FROM items GROUP BY l_orderkey),
+parts AS (SELECT l_orderkey, unnest(string_split(list, ',')) AS p,
+                 unnest(range(1, len(string_split(list, ',')) + 1)) AS i FROM lists),
+firsts AS (SELECT l_orderkey, upper(regexp_replace(p, '^\\s+|\\s+$', '', 'g')) AS symbol, min(i) AS i
+           FROM parts WHERE upper(regexp_replace(p, '^\\s+|\\s+$', '', 'g')) <> ''
+           GROUP BY 1, 2)
+SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY i) - 1 AS INTEGER) AS pos, symbol
+FROM firsts"""

@@ -122,3 +122,98 @@ def index_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = s.where(F.col("s_nationkey") < INDEX_B_MAX_NATION).select(F.lit("IDXB").alias("index"),
                                                                   F.col("symbol").alias("ticker"))
     return a.unionByName(b)
+
+
+# How a constituents cell renders a customer ticker, by order priority.
+TICKER_FORMS = {
+    "1-URGENT": "padded lower case",
+    "2-HIGH": "dot form",
+    "3-MEDIUM": "dash form with a trailing tab",
+    "4-NOT SPECIFIED": "the text nan",
+    "5-LOW": "blank",
+}
+
+
+def constituent_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scraped index pages as a long cell table, one page per region.
+
+    table 0: nation names under a numeric header (not flat);
+    table 1: a small flat table with a Symbol column (nation codes);
+    table 2: the constituents: one row per order of the region's customers,
+             Symbol = customer ticker C{nation}-{custkey} in messy forms,
+             plus a Security column;
+    table 3: a change log with two-level headers (not flat) and a Symbol column.
+    """
+    region = read(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("page"))
+    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    nat = nation.join(region, nation.n_regionkey == region.r_regionkey).select("page", "n_nationkey", "n_name")
+    t0 = nat.select("page", F.lit(0).alias("table_no"), F.col("n_nationkey").cast("int").alias("row_no"),
+                    F.lit("0").alias("col_name"), F.lit(False).alias("is_flat"), F.col("n_name").alias("value"))
+    t1 = nat.select("page", F.lit(1).alias("table_no"), F.col("n_nationkey").cast("int").alias("row_no"),
+                    F.lit("Symbol").alias("col_name"), F.lit(True).alias("is_flat"),
+                    F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("value"))
+    cust = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    oc = orders.join(cust, orders.o_custkey == cust.c_custkey) \
+        .join(nat, cust.c_nationkey == nat.n_nationkey)
+    base = F.concat(F.lit("C"), F.col("c_nationkey").cast("string"), F.lit("-"), F.col("c_custkey").cast("string"))
+    pr = F.col("o_orderpriority")
+    raw = (F.when(pr == "1-URGENT", F.concat(F.lit("  "), F.lower(base), F.lit(" ")))
+           .when(pr == "2-HIGH", F.replace(base, F.lit("-"), F.lit(".")))
+           .when(pr == "3-MEDIUM", F.concat(F.lower(base), F.lit("\t")))
+           .when(pr == "4-NOT SPECIFIED", F.lit("nan"))
+           .otherwise(F.lit("")))
+    rows = oc.select("page", F.lit(2).alias("table_no"), F.col("o_orderkey").cast("int").alias("row_no"),
+                     raw.alias("_sym"), F.col("c_custkey"), F.col("o_orderkey"))
+    t2 = rows.select("page", "table_no", "row_no", F.lit("Symbol").alias("col_name"),
+                     F.lit(True).alias("is_flat"), F.col("_sym").alias("value")) \
+        .unionByName(rows.select("page", "table_no", "row_no", F.lit("Security").alias("col_name"),
+                                 F.lit(True).alias("is_flat"),
+                                 F.concat(F.lit("Customer "), F.col("c_custkey").cast("string")).alias("value")))
+    t3 = rows.select("page", F.lit(3).alias("table_no"), "row_no", F.lit("Symbol").alias("col_name"),
+                     F.lit(False).alias("is_flat"),
+                     F.concat(F.lit("X"), F.col("o_orderkey").cast("string")).alias("value"))
+    return t0.unionByName(t1).unionByName(t2).unionByName(t3)
+
+
+MEMBERSHIP_BASE = "1995-01-01"
+MEMBERSHIP_STEP_DAYS = 40
+MEMBERSHIP_REMOVED = "1999-01-01"
+
+
+def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index membership intervals: joined by nation, negative-balance suppliers left."""
+    s = stock_symbols(spark, sf_dir)
+    return s.select(
+        F.lit("IDXM").alias("index"), F.col("symbol").alias("ticker"),
+        F.date_add(F.lit(MEMBERSHIP_BASE).cast("date"), F.col("s_nationkey") * MEMBERSHIP_STEP_DAYS)
+        .alias("added_date"),
+        F.when(F.col("s_acctbal") < 0, F.lit(MEMBERSHIP_REMOVED).cast("date")).alias("removed_date"))
+
+
+def futures_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Futures trades: root = returnflag, contract = delivery quarter of
+    shipdate + 30 * linenumber days, traded on the ship date."""
+    li = read(spark, sf_dir, "lineitem")
+    deliv = F.date_add(F.to_date("l_shipdate"), F.col("l_linenumber") * 30)
+    return li.select(
+        F.col("l_returnflag").alias("root"),
+        F.concat(F.col("l_returnflag"), F.year(deliv).cast("string"), F.lit("Q"),
+                 F.quarter(deliv).cast("string")).alias("symbol"),
+        to_utc_instant(F.col("l_shipdate")).alias("ts"),
+        F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"),
+        F.col("l_extendedprice").cast(PRICE_DECIMAL).alias("price"),
+        F.col("l_quantity").cast("bigint").alias("size"))
+
+
+def futures_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract table: first/last trade dates from the contract's trades."""
+    t = futures_ticks(spark, sf_dir)
+    g = t.groupBy("symbol", "root").agg(F.min(F.to_date("ts")).alias("first_trade_date"),
+                                        F.max(F.to_date("ts")).alias("last_trade_date"))
+    return g.select(
+        F.col("symbol").alias("ticker"), F.col("root").alias("product_code"),
+        F.concat(F.lit("Root "), F.col("root"), F.lit(" "), F.substring("symbol", 2, 6)).alias("name"),
+        F.substring("symbol", 2, 6).alias("month"), "first_trade_date", "last_trade_date",
+        F.lit("XTST").alias("exchange_mic"), F.lit(0.25).alias("tick_size"),
+        F.date_add("last_trade_date", 1).cast("timestamp").alias("discovered_at"))
