@@ -74,5 +74,5 @@ def session_class(ts) -> Column:
 
 def whole_days_between(earlier, later) -> Column:
     """Elapsed whole days (floor of seconds / 86400), not calendar-day difference."""
-    secs = F.unix_seconds(_col(later)) - F.unix_seconds(_col(earlier))
-    return F.floor(secs / F.lit(86400)).cast("bigint")
+    micros = F.unix_micros(_col(later)) - F.unix_micros(_col(earlier))
+    return F.floor(micros / F.lit(86_400_000_000)).cast("bigint")

@@ -776,3 +776,143 @@ def parse_symbol_list(spark, d):
         F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", item.alias("item")))).alias("_items"))
     lists = lists.select("l_orderkey", F.concat_ws(",", F.transform("_items", lambda x: x["item"])).alias("list"))
     return U.parse_lists(lists, ["l_orderkey"])
+
+
+# -------------------------------------------------------------- futures --
+
+from barlake.operators import futures as FU  # noqa: E402
+
+FUTURES_START = "1996-01-01"
+FUTURES_TODAY = "2001-07-01"
+FUTURES_STATE_BEFORE = "1999-01-01"
+
+
+def futures_daily(spark, d):
+    return B.ticks_to_bars(T.futures_ticks(spark, d), 1, "day", order_cols=T.STOCK_ORDER)
+
+
+@query
+def futures_contracts(spark, d):
+    """FU-1: the contract table derived from the contracts' trades."""
+    return T.futures_contracts(spark, d)
+
+
+@query
+def futures_fetch_plan(spark, d):
+    """PRJ-16/17/FU-2: eligible contracts, clipped windows, resumed from state."""
+    state = S.series_state(
+        futures_daily(spark, d).where(F.col("timestamp") < F.lit(FUTURES_STATE_BEFORE).cast("timestamp")),
+        asset_class="futures", timeframe="daily")
+    return FU.contract_plan(T.futures_contracts(spark, d), state, start=FUTURES_START, today=FUTURES_TODAY)
+
+
+@query
+def continuous_calendar(spark, d):
+    """WN-7: continuous series rolled on expiry (nearest traded contract)."""
+    return FU.continuous(futures_daily(spark, d), T.futures_contracts(spark, d), FU.CALENDAR)
+
+
+@query
+def continuous_volume(spark, d):
+    """WN-7: continuous series rolled on volume leadership, forward only."""
+    return FU.continuous(futures_daily(spark, d), T.futures_contracts(spark, d), FU.VOLUME)
+
+
+# ------------------------------------------------------ status and runs --
+
+STATUS_STAMPS = {"crypto": "2024-01-31 01:00:00", "stocks": "2001-11-05 01:00:00"}
+RECENT_RUNS = 5
+
+
+def lake_manifest(spark, d):
+    st = S.series_state(lake_bars(spark, d))
+    stamp = F.when(F.col("asset_class") == "crypto", F.lit(STATUS_STAMPS["crypto"])) \
+        .otherwise(F.lit(STATUS_STAMPS["stocks"])).cast("timestamp")
+    return st.withColumn("last_updated_at", stamp)
+
+
+@query
+def status_summary(spark, d):
+    """AG-10: per asset class and timeframe, with rollup totals."""
+    return S.status_summary(lake_manifest(spark, d)).drop("disk_bytes")
+
+
+def run_log(spark, d):
+    """Run log: one update run per event day; users with an error event failed."""
+    ev = T.read(spark, d, "events").select(F.to_date("ts").alias("day"), F.col("ts").cast("timestamp").alias("ts"),
+                                           "user_id", "event_type")
+    err = F.col("event_type") == "error"
+    g = ev.groupBy("day").agg(
+        F.min("ts").alias("started_at"), F.max("ts").alias("finished_at"),
+        F.countDistinct("user_id").alias("_att"),
+        F.countDistinct(F.when(err, F.col("user_id"))).alias("_bad"),
+        F.count_if(~err).alias("_bars"))
+    ok = F.col("_att") - F.col("_bad")
+    status = F.when(ok == F.col("_att"), F.lit("success")).when(ok == 0, F.lit("failed")) \
+        .otherwise(F.lit("partial"))
+    return g.select(
+        F.concat(F.lit("run-"), F.date_format("day", "yyyyMMdd")).alias("run_id"),
+        "started_at", "finished_at", F.lit("update").alias("command"), status.alias("status"),
+        F.when(F.col("_bad") > 0, F.concat(F.col("_bad").cast("string"), F.lit(" symbols failed")))
+        .alias("error_message"),
+        F.col("_att").cast("int").alias("symbols_attempted"), ok.cast("int").alias("symbols_succeeded"),
+        F.col("_bars").cast("bigint").alias("bars_written"))
+
+
+@query
+def run_log_summary(spark, d):
+    """AG-11: per run attempted, succeeded, bars written and duration."""
+    r = run_log(spark, d)
+    return r.select("run_id", "status", "symbols_attempted", "symbols_succeeded", "bars_written",
+                    F.floor((F.unix_micros("finished_at") - F.unix_micros("started_at")) / 1_000_000)
+                    .cast("bigint").alias("duration_seconds"))
+
+
+@query
+def recent_runs(spark, d):
+    """SO-4: the newest runs first (top-k by start time)."""
+    return run_log(spark, d).orderBy(F.col("started_at").desc(), F.col("run_id").desc()).limit(RECENT_RUNS)
+
+
+# ----------------------------------------------------- validation report --
+
+def findings(spark, d):
+    """Missing sessions of stock series and missing days of crypto daily series."""
+    stock_missing_days = stock_missing(spark, d)[0].select(
+        F.lit("stocks").alias("asset_class"), F.lit("daily").alias("timeframe"), "symbol", "missing_date")
+    days = C.days_spanning(T.read(spark, d, "events"), "ts")
+    sess = C.sessions(days, calendar=C.CONTINUOUS)
+    dense = C.dense_calendar(days, sess)
+    cd = crypto_daily(spark, d).select("symbol", F.to_date("timestamp").alias("day"))
+    crypto_missing = V.missing_sessions(cd, sess, dense).select(
+        F.lit("crypto").alias("asset_class"), F.lit("daily").alias("timeframe"), "symbol", "missing_date")
+    return stock_missing_days.unionByName(crypto_missing)
+
+
+def checked_series(spark, d):
+    s = S.series_state(stock_daily(spark, d), asset_class="stocks", timeframe="daily")
+    c = S.series_state(crypto_daily(spark, d), asset_class="crypto", timeframe="daily")
+    return s.unionByName(c).select("asset_class", "timeframe", "symbol")
+
+
+@query
+def validation_report(spark, d):
+    """V-8: per asset class and timeframe: symbols, healthy, warnings, missing sessions."""
+    f = findings(spark, d).groupBy("asset_class", "timeframe", "symbol").agg(
+        F.count(F.lit(1)).alias("missing"))
+    j = checked_series(spark, d).join(f, ["asset_class", "timeframe", "symbol"], "left")
+    return j.groupBy("asset_class", "timeframe").agg(
+        F.count(F.lit(1)).alias("symbols"),
+        F.count_if(F.col("missing").isNull()).alias("healthy"),
+        F.count_if(F.col("missing").isNotNull()).alias("warnings"),
+        F.coalesce(F.sum("missing"), F.lit(0)).cast("bigint").alias("missing_sessions"))
+
+
+@query
+def validation_findings(spark, d):
+    """V-8 detail: per series and year, the missing dates (a bounded list)."""
+    f = findings(spark, d)
+    return f.groupBy("asset_class", "timeframe", "symbol", F.year("missing_date").alias("year")).agg(
+        F.count(F.lit(1)).alias("missing"),
+        F.concat_ws(",", F.array_sort(F.collect_list(F.date_format("missing_date", "yyyy-MM-dd"))))
+        .alias("missing_dates"))

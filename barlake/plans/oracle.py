@@ -689,3 +689,110 @@ firsts AS (SELECT l_orderkey, upper(regexp_replace(p, '^\\s+|\\s+$', '', 'g')) A
            GROUP BY 1, 2)
 SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY i) - 1 AS INTEGER) AS pos, symbol
 FROM firsts"""
+
+
+# --------------------------------------------------------------- futures --
+
+_DELIV = "(CAST(l_shipdate AS DATE) + CAST(l_linenumber * 30 AS INTEGER))"
+CTE["futures_ticks"] = f"""
+  SELECT l_returnflag AS root,
+         l_returnflag || CAST(year({_DELIV}) AS VARCHAR) || 'Q' || CAST(quarter({_DELIV}) AS VARCHAR) AS symbol,
+         l_shipdate AS ts, l_orderkey, l_linenumber, l_partkey,
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS price, CAST(l_quantity AS BIGINT) AS size
+  FROM lineitem"""
+CTE["futures_daily"] = bars_cte("futures_ticks", "date_trunc('day', ts)", "ts, l_orderkey, l_linenumber, l_partkey")
+DEPS["futures_daily"] = ["futures_ticks"]
+CTE["contracts"] = """
+  SELECT symbol AS ticker, root AS product_code, 'Root ' || root || ' ' || substring(symbol, 2, 6) AS name,
+         substring(symbol, 2, 6) AS month, min(CAST(ts AS DATE)) AS first_trade_date,
+         max(CAST(ts AS DATE)) AS last_trade_date, 'XTST' AS exchange_mic, 0.25 AS tick_size,
+         CAST(max(CAST(ts AS DATE)) + INTERVAL 1 DAY AS TIMESTAMP) AS discovered_at
+  FROM futures_ticks GROUP BY symbol, root"""
+DEPS["contracts"] = ["futures_ticks"]
+CTE["fut_bars"] = """
+  SELECT b.*, CAST(b.timestamp AS DATE) AS day, c.product_code AS root, c.last_trade_date,
+         strftime(c.last_trade_date, '%Y-%m-%d') || '|' || b.symbol AS ident
+  FROM futures_daily b JOIN contracts c ON b.symbol = c.ticker"""
+DEPS["fut_bars"] = ["futures_daily", "contracts"]
+
+
+def _continuous(pick: str) -> str:
+    return f"""
+SELECT a.root, a.day, b.symbol AS contract, b.open, b.high, b.low, b.close, b.volume
+FROM (SELECT root, day, split_part(max(p) OVER (PARTITION BY root ORDER BY day
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '|', 2) AS symbol
+      FROM (SELECT root, day, {pick} AS p FROM fut_bars GROUP BY root, day)) a
+JOIN fut_bars b ON a.symbol = b.symbol AND a.day = b.day"""
+
+
+ORACLE["futures_contracts"] = with_("contracts") + "SELECT * FROM contracts"
+ORACLE["futures_fetch_plan"] = with_("contracts", "futures_daily") + """
+SELECT * FROM (
+  SELECT c.ticker, c.product_code,
+         greatest(greatest(c.first_trade_date, DATE '1996-01-01'),
+                  coalesce(CAST(s.lcd + INTERVAL 1 DAY AS DATE), greatest(c.first_trade_date, DATE '1996-01-01')))
+           AS from_date,
+         least(c.last_trade_date, DATE '2001-06-30') AS to_date,
+         CASE WHEN s.lcd >= least(c.last_trade_date, DATE '2001-06-30') THEN 'up_to_date' ELSE 'fetch' END AS action
+  FROM contracts c
+  LEFT JOIN (SELECT symbol, max(CAST(timestamp AS DATE)) AS lcd FROM futures_daily
+             WHERE timestamp < TIMESTAMP '1999-01-01' GROUP BY symbol) s ON c.ticker = s.symbol
+  WHERE c.last_trade_date >= DATE '1996-01-01')
+WHERE action = 'up_to_date' OR from_date <= to_date"""
+ORACLE["continuous_calendar"] = with_("fut_bars") + _continuous("min(ident)")
+ORACLE["continuous_volume"] = with_("fut_bars") + _continuous("arg_min(ident, (-volume, last_trade_date, symbol))")
+
+# ------------------------------------------------------- status and runs --
+
+ORACLE["status_summary"] = with_("lake_bars") + """
+SELECT asset_class, timeframe, count(*) AS symbols, min(earliest_date) AS oldest_date,
+       max(last_complete_date) AS newest_date, sum(bar_count) AS bars, max(last_updated_at) AS last_updated_at
+FROM (SELECT asset_class, symbol, timeframe, min(CAST(timestamp AS DATE)) AS earliest_date,
+             max(CAST(timestamp AS DATE)) AS last_complete_date, count(*) AS bar_count,
+             CASE WHEN asset_class = 'crypto' THEN TIMESTAMP '2024-01-31 01:00:00'
+                  ELSE TIMESTAMP '2001-11-05 01:00:00' END AS last_updated_at
+      FROM lake_bars GROUP BY 1, 2, 3)
+GROUP BY ROLLUP (asset_class, timeframe)"""
+ORACLE["status_summary"] = ORACLE["status_summary"].replace(
+    "sum(bar_count) AS bars", "CAST(sum(bar_count) AS BIGINT) AS bars")
+CTE["run_log"] = """
+  SELECT 'run-' || strftime(day, '%Y%m%d') AS run_id, started_at, finished_at, 'update' AS command,
+         CASE WHEN att - bad = att THEN 'success' WHEN att - bad = 0 THEN 'failed' ELSE 'partial' END AS status,
+         CASE WHEN bad > 0 THEN CAST(bad AS VARCHAR) || ' symbols failed' END AS error_message,
+         CAST(att AS INTEGER) AS symbols_attempted, CAST(att - bad AS INTEGER) AS symbols_succeeded,
+         CAST(bars AS BIGINT) AS bars_written
+  FROM (SELECT CAST(ts AS DATE) AS day, min(ts) AS started_at, max(ts) AS finished_at,
+               count(DISTINCT user_id) AS att,
+               count(DISTINCT CASE WHEN event_type = 'error' THEN user_id END) AS bad,
+               count(*) FILTER (WHERE event_type <> 'error') AS bars
+        FROM events GROUP BY 1)"""
+ORACLE["run_log_summary"] = with_("run_log") + """
+SELECT run_id, status, symbols_attempted, symbols_succeeded, bars_written,
+       CAST(floor((epoch_us(finished_at) - epoch_us(started_at)) / 1000000) AS BIGINT) AS duration_seconds
+FROM run_log"""
+ORACLE["recent_runs"] = with_("run_log") + "SELECT * FROM run_log ORDER BY started_at DESC, run_id DESC LIMIT 5"
+
+# ------------------------------------------------------ validation report --
+
+CTE["findings"] = """
+  SELECT 'stocks' AS asset_class, 'daily' AS timeframe, symbol, missing_date FROM stock_missing
+  UNION ALL
+  SELECT 'crypto', 'daily', symbol, missing_date FROM (
+    SELECT symbol, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS missing_date
+    FROM (SELECT symbol, min(CAST(timestamp AS DATE)) AS lo, max(CAST(timestamp AS DATE)) AS hi
+          FROM crypto_daily GROUP BY symbol)
+    EXCEPT ALL SELECT symbol, CAST(timestamp AS DATE) FROM crypto_daily)"""
+DEPS["findings"] = ["stock_missing", "crypto_daily"]
+ORACLE["validation_report"] = with_("findings", "stock_daily", "crypto_daily") + """
+SELECT s.asset_class, s.timeframe, count(*) AS symbols, count(*) FILTER (WHERE f.missing IS NULL) AS healthy,
+       count(*) FILTER (WHERE f.missing IS NOT NULL) AS warnings,
+       CAST(coalesce(sum(f.missing), 0) AS BIGINT) AS missing_sessions
+FROM (SELECT DISTINCT 'stocks' AS asset_class, 'daily' AS timeframe, symbol FROM stock_daily
+      UNION ALL SELECT DISTINCT 'crypto', 'daily', symbol FROM crypto_daily) s
+LEFT JOIN (SELECT asset_class, timeframe, symbol, count(*) AS missing FROM findings GROUP BY 1, 2, 3) f
+  ON s.asset_class = f.asset_class AND s.timeframe = f.timeframe AND s.symbol = f.symbol
+GROUP BY 1, 2"""
+ORACLE["validation_findings"] = with_("findings") + """
+SELECT asset_class, timeframe, symbol, year(missing_date) AS year, count(*) AS missing,
+       string_agg(strftime(missing_date, '%Y-%m-%d'), ',' ORDER BY missing_date) AS missing_dates
+FROM findings GROUP BY 1, 2, 3, 4"""
