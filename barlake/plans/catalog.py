@@ -916,3 +916,35 @@ def validation_findings(spark, d):
         F.count(F.lit(1)).alias("missing"),
         F.concat_ws(",", F.array_sort(F.collect_list(F.date_format("missing_date", "yyyy-MM-dd"))))
         .alias("missing_dates"))
+
+
+# ------------------------------------------------ lake on disk (SRC-3/4/9) --
+
+from barlake.plans import store as ST  # noqa: E402
+from barlake.session import scratch_path  # noqa: E402
+
+SCAN_YEAR = 1998
+
+
+def written_lake(spark, d):
+    """Write the stock daily bars and the crypto minute bars as a lake in the
+    shared folder (a new folder per call) and return its root."""
+    root = scratch_path(spark, "lake")
+    ST.write_bars(ST.with_layout(stock_daily(spark, d), "stocks", "daily"), root)
+    ST.merge_into_lake(ST.with_layout(crypto_minute(spark, d), "crypto", "minute"), root)
+    return root
+
+
+@query
+def bars_scan(spark, d):
+    """SRC-3/SRC-4: read back one year of stock bars from the written lake
+    (partition pruning on asset_class/timeframe/year)."""
+    root = written_lake(spark, d)
+    return ST.read_bars(spark, root, asset_class="stocks", timeframe="daily", years=[SCAN_YEAR])
+
+
+@query
+def storage_usage(spark, d):
+    """SRC-9: files and bytes per lake partition (no SQL oracle: sizes are the
+    writer's)."""
+    return ST.storage_usage(spark, written_lake(spark, d))

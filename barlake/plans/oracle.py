@@ -796,3 +796,5 @@ ORACLE["validation_findings"] = with_("findings") + """
 SELECT asset_class, timeframe, symbol, year(missing_date) AS year, count(*) AS missing,
        string_agg(strftime(missing_date, '%Y-%m-%d'), ',' ORDER BY missing_date) AS missing_dates
 FROM findings GROUP BY 1, 2, 3, 4"""
+
+ORACLE["bars_scan"] = with_("stock_daily") + "SELECT * FROM stock_daily WHERE year(timestamp) = 1998"

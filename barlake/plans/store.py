@@ -57,19 +57,32 @@ def with_layout(bars: DataFrame, asset_class: str | None = None, timeframe: str
     return df.withColumn("year", F.year("timestamp")).select(*BAR_COLUMNS, *LAKE_PARTITIONS)
 
 
-def write_bars(bars: DataFrame, root: str, *, num_files: int | None = None) -> None:
-    """Write lake rows (canonical + partition columns); only the partitions
-    present in ``bars`` are replaced (dynamic partition overwrite)."""
+def write_bars(bars: DataFrame, root: str, *, num_files: int | None = None,
+               tables: Sequence[tuple[str, str]] | None = None) -> None:
+    """Write lake rows (canonical + partition columns); only the year
+    partitions present in ``bars`` are replaced (dynamic partition overwrite).
+
+    Each (asset_class, timeframe) table is written to its own folder with
+    ``year`` as the only partition column. Rows are range-partitioned and
+    sorted by (year, symbol, timestamp), which is also the ordering the file
+    writer requires, so the sort survives into the files (a literal partition
+    column would be folded out of the sort and the writer would re-sort)."""
     spark = bars.sparkSession
     n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["asset_class", "timeframe", "year", "symbol", "timestamp"]
-    out = bars.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    (out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
-        .partitionBy(*LAKE_PARTITIONS)
-        .parquet(bars_path(root)))
+    if tables is None:
+        tables = [(r["asset_class"], r["timeframe"])
+                  for r in bars.select("asset_class", "timeframe").distinct().collect()]
+    order = ["year", "symbol", "timestamp"]
+    for asset_class, timeframe in tables:
+        part = bars.where((F.col("asset_class") == asset_class) & (F.col("timeframe") == timeframe)) \
+            .drop("asset_class", "timeframe")
+        out = part.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        (out.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .option("maxRecordsPerFile", ROWS_PER_FILE)
+            .partitionBy("year")
+            .parquet(f"{bars_path(root)}/asset_class={asset_class}/timeframe={timeframe}"))
 
 
 def read_bars(spark: SparkSession, root: str, *, asset_class: str | None = None,
@@ -112,7 +125,7 @@ def merge_into_lake(new: DataFrame, root: str, *, new_order: Sequence[str] = ())
     stored = stored.where(cond)
     cols = [*BAR_COLUMNS, *LAKE_PARTITIONS]
     merged = S.merge_append(stored.select(*cols), new.select(*cols), LAKE_KEY, new_order)
-    write_bars(merged, root)
+    write_bars(merged, root, tables=sorted({(a, t) for a, t, _ in parts}))
     return len(parts)
 
 

@@ -124,3 +124,33 @@ def test_storage_usage(spark, scratch):
     assert len(u) == 2 and all(r["files"] >= 1 and r["bytes"] > 0 for r in u)
 
 
+
+
+def test_landing_json_array_fixture(spark, scratch):
+    """Five one-minute bars as one JSON array (multiLine), mixed int/float numbers,
+    `otc` omitted; read via the landing source and normalised."""
+    from barlake.operators import normalize as N
+    from barlake.sources.landing import landed_bars, read_landing
+    d = f"{scratch}/landing/symbol=AAPL"
+    os.makedirs(d)
+    t0 = 1779436800000
+    recs = [{"o": 305.61 + i, "h": 306.2 + i, "l": 305 + i, "c": 305.69 + i, "v": 25370.68 if i else 25370,
+             "vw": 305.79, "t": t0 + 60000 * i, "n": 2649} for i in range(5)]
+    with open(f"{d}/bars.json", "w") as f:
+        json.dump(recs, f)
+    raw = read_landing(spark, f"{scratch}/landing", multi_line=True)
+    bars = N.normalize_raw(landed_bars(raw)).orderBy("timestamp").collect()
+    assert len(bars) == 5 and bars[0]["symbol"] == "AAPL" and bars[0]["volume"] == 25370.0
+    assert bars[0]["otc"] is None and bars[1]["low"] == 306.0
+
+
+def test_write_is_zstd_and_sorted(spark, scratch):
+    from barlake.schemas import BARS
+    rows = [(datetime(2024, 1, 1) + timedelta(minutes=m), s, 1.0, 2.0, 0.5, 1.5, 1.0, 1.2, 5, None)
+            for m in range(30) for s in ("B", "A")]
+    df = store.with_layout(spark.createDataFrame(rows[::-1], BARS), "crypto", "minute")
+    store.write_bars(df, f"{scratch}/lake", num_files=1)
+    files = [os.path.join(dp, f) for dp, _, fs in os.walk(f"{scratch}/lake") for f in fs if f.endswith(".parquet")]
+    assert files and all(".zstd." in f for f in files)
+    back = spark.read.parquet(files[0]).select("symbol", "timestamp").collect()
+    assert back == sorted(back)
