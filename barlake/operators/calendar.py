@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.time import exchange_date, session_class
+from barlake.session import shared_dir
 
 # One-off full-day closures of the New York Stock Exchange
 # (public record), which no rule derives.
@@ -177,9 +178,26 @@ def dense_calendar(days: DataFrame, session_table: DataFrame) -> DataFrame:
         F.coalesce(F.col("is_session"), F.lit(False)).alias("is_session"),
         F.max(sess).over(back).alias("session_on_or_before"),
         F.min(sess).over(fwd).alias("session_on_or_after"),
+        F.count(sess).over(back).alias("sessions_le"),
     )
 
 
+def build_calendar(days: DataFrame, calendar: str = NYSE, pin: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(sessions, dense) for ``days``, each computed once.
+
+    With ``pin`` both small tables are written to the shared checkpoint folder,
+    so the many joins that use them neither rebuild the calendar nor re-scan
+    the table the day span came from."""
+    sess = sessions(days, calendar=calendar)
+    if pin:
+        shared_dir(days.sparkSession)
+        sess = sess.checkpoint(eager=True)
+    dense = dense_calendar(days, sess)
+    if pin:
+        dense = dense.checkpoint(eager=True)
+    return sess, dense
+
+
 def target_end(days: DataFrame, day_col: str, dense: DataFrame) -> DataFrame:
     """Last complete session for each ``today``: last session on or before the
     day before; never today itself. Equi-join on the dense calendar."""
@@ -187,16 +205,14 @@ def target_end(days: DataFrame, day_col: str, dense: DataFrame) -> DataFrame:
     return days.join(F.broadcast(look), F.date_sub(F.col(day_col), 1) == F.col("_d"), "left").drop("_d")
 
 
-def session_count(ranges: DataFrame, dense: DataFrame, session_table: DataFrame,
-                        start_col: str = "start_date", end_col: str = "end_date") -> DataFrame:
-    """Number of sessions in [start, end] for each row of ``ranges``."""
-    ords = session_table.select(F.col("session_date").alias("_sd"), "ordinal")
-    d = dense.join(F.broadcast(ords), dense["session_on_or_before"] == F.col("_sd"), "left") \
-        .select(F.col("day").alias("_day"), F.coalesce(F.col("ordinal"), F.lit(0)).alias("_ord"),
-                "is_session")
-    lo = d.select(F.col("_day").alias("_lo_day"),
-                  (F.col("_ord") - F.col("is_session").cast("int")).alias("_lo"))
-    hi = d.select(F.col("_day").alias("_hi_day"), F.col("_ord").alias("_hi"))
+def session_count(ranges: DataFrame, dense: DataFrame, session_table: DataFrame | None = None,
+                  start_col: str = "start_date", end_col: str = "end_date") -> DataFrame:
+    """Number of sessions in [start, end] for each row of ``ranges``: the
+    running session count at the end minus the one before the start (two
+    equi-joins on the broadcast calendar, no range join)."""
+    lo = dense.select(F.col("day").alias("_lo_day"),
+                      (F.col("sessions_le") - F.col("is_session").cast("long")).alias("_lo"))
+    hi = dense.select(F.col("day").alias("_hi_day"), F.col("sessions_le").alias("_hi"))
     out = (ranges.join(F.broadcast(lo), F.col(start_col) == F.col("_lo_day"), "left")
            .join(F.broadcast(hi), F.col(end_col) == F.col("_hi_day"), "left"))
     return out.withColumn("sessions", F.greatest(F.col("_hi") - F.col("_lo"), F.lit(0)).cast("bigint")) \

@@ -63,11 +63,6 @@ def monotonic_check(df: DataFrame, ts: str = "ts", bucket: str = "year") -> Data
         .withColumn("strictly_increasing", F.col("violations") == 0)
 
 
-def slot_ordinals(days: DataFrame, dense: DataFrame) -> DataFrame:
-    """Per calendar day: count of sessions up to and including it (broadcast side)."""
-    return dense.select(F.col("day").alias("_day"), "is_session", "session_on_or_before")
-
-
 def missing_sessions(bar_days: DataFrame, sessions: DataFrame, dense: DataFrame,
                      key: str = "symbol") -> DataFrame:
     """JN-5: sessions strictly between consecutive bar days of a series.
@@ -76,8 +71,7 @@ def missing_sessions(bar_days: DataFrame, sessions: DataFrame, dense: DataFrame,
     Each (day, next_day) pair expands to the session ordinals between them
     (ordinal arithmetic on the broadcast calendar), then back to dates."""
     ords = sessions.select(F.col("session_date").alias("_sd"), F.col("ordinal").alias("_ord"))
-    le = dense.join(F.broadcast(ords), dense["session_on_or_before"] == F.col("_sd"), "left") \
-        .select(F.col("day").alias("_day"), F.coalesce("_ord", F.lit(0)).alias("_le"))
+    le = dense.select(F.col("day").alias("_day"), F.col("sessions_le").cast("int").alias("_le"))
     w = Window.partitionBy(key, F.year("day")).orderBy("day")
     nxt = bar_days.withColumn("next_day", F.lead("day").over(w))
     # Pairs that cross a year boundary: next day is the first day of the following years.

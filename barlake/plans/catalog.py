@@ -140,8 +140,13 @@ def stock_days(spark, d):
     return C.days_spanning(T.read(spark, d, "lineitem"), "l_shipdate")
 
 
+def stock_calendar(spark, d):
+    """(sessions, dense calendar) over the stock bars' span, built once."""
+    return C.build_calendar(stock_days(spark, d))
+
+
 def stock_sessions(spark, d):
-    return C.sessions(stock_days(spark, d))
+    return stock_calendar(spark, d)[0]
 
 
 @query
@@ -159,8 +164,8 @@ def session_calendar(spark, d):
 @query
 def session_snap(spark, d):
     """JN-6/JN-7: each stock bar's day snapped to the sessions around it."""
-    days = stock_days(spark, d)
-    dense = C.dense_calendar(days, C.sessions(days))
+    dense = stock_calendar(spark, d)[1].select("day", "is_session", "session_on_or_before",
+                                               "session_on_or_after")
     bars = stock_daily(spark, d).select("symbol", F.to_date("timestamp").alias("day"))
     return bars.join(F.broadcast(dense), "day", "left")
 
@@ -170,7 +175,7 @@ def target_end(spark, d):
     """JN-8: for every order date taken as 'today', the last complete session."""
     orders = T.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("today")).distinct()
     days = C.days_spanning(orders, "today", pad_before=10)
-    dense = C.dense_calendar(days, C.sessions(days))
+    dense = C.build_calendar(days)[1]
     return C.target_end(orders, "today", dense)
 
 
@@ -181,9 +186,7 @@ def stock_state(spark, d):
 @query
 def session_count(spark, d):
     """AG-7: sessions between each stock series' first and last bar."""
-    days = stock_days(spark, d)
-    sess = C.sessions(days)
-    dense = C.dense_calendar(days, sess)
+    sess, dense = stock_calendar(spark, d)
     ranges = stock_state(spark, d).select("symbol", "earliest_date", "last_complete_date")
     return C.session_count(ranges, dense, sess, "earliest_date", "last_complete_date")
 
@@ -192,9 +195,7 @@ def session_count(spark, d):
 def bar_count_check(spark, d):
     """AG-12: bar count vs expected sessions (within a tolerance); the first
     bar must fall on a session."""
-    days = stock_days(spark, d)
-    sess = C.sessions(days)
-    dense = C.dense_calendar(days, sess)
+    sess, dense = stock_calendar(spark, d)
     state = stock_state(spark, d).select("symbol", "earliest_date", "last_complete_date", "bar_count")
     counted = C.session_count(state, dense, sess, "earliest_date", "last_complete_date")
     first = dense.select(F.col("day").alias("earliest_date"), "session_on_or_after")
@@ -438,8 +439,7 @@ def user_bar_days(spark, d):
 
 def user_calendar(spark, d):
     days = C.days_spanning(T.read(spark, d, "events"), "ts")
-    sess = C.sessions(days, calendar=C.CONTINUOUS)
-    return sess, C.dense_calendar(days, sess)
+    return C.build_calendar(days, C.CONTINUOUS)
 
 
 @query
@@ -450,9 +450,7 @@ def daily_gaps_24x7(spark, d):
 
 
 def stock_missing(spark, d):
-    days = stock_days(spark, d)
-    sess = C.sessions(days)
-    dense = C.dense_calendar(days, sess)
+    sess, dense = stock_calendar(spark, d)
     bar_days = stock_daily(spark, d).select("symbol", F.to_date("timestamp").alias("day"))
     return V.missing_sessions(bar_days, sess, dense), sess
 
@@ -518,12 +516,8 @@ def type_violations(spark, d):
 def coverage_check(spark, d):
     """V-5: series whose last complete date is more than N sessions behind."""
     m = upserted_manifest(spark, d)
-    days = stock_days(spark, d)
-    sess = C.sessions(days)
-    dense = C.dense_calendar(days, sess)
-    ords = sess.select(F.col("session_date").alias("_sd"), "ordinal")
-    le = dense.join(F.broadcast(ords), dense["session_on_or_before"] == F.col("_sd"), "left") \
-        .select(F.col("day").alias("_day"), F.coalesce("ordinal", F.lit(0)).alias("_le"))
+    sess, dense = stock_calendar(spark, d)
+    le = dense.select(F.col("day").alias("_day"), F.col("sessions_le").cast("int").alias("_le"))
     now = le.select(F.col("_day").alias("_asof"), F.col("_le").alias("_now"))
     j = m.withColumn("_asof", F.lit(STOCKS_TARGET_END).cast("date")) \
         .join(F.broadcast(le), F.col("last_complete_date") == F.col("_day"), "left") \
@@ -539,9 +533,7 @@ def zero_bar_open_market(spark, d):
     """V-6: zero-bar symbols whose window held at least one open session."""
     plan = stock_plan(spark, d)
     zero = P.zero_bar_symbols(plan, landed(spark, d, plan))
-    days = stock_days(spark, d)
-    sess = C.sessions(days)
-    dense = C.dense_calendar(days, sess)
+    sess, dense = stock_calendar(spark, d)
     counted = C.session_count(zero, dense, sess, "from_date", "to_date")
     return counted.where(F.col("sessions") > 0).withColumn("severity", F.lit("warn"))
 
@@ -881,8 +873,7 @@ def findings(spark, d):
     stock_missing_days = stock_missing(spark, d)[0].select(
         F.lit("stocks").alias("asset_class"), F.lit("daily").alias("timeframe"), "symbol", "missing_date")
     days = C.days_spanning(T.read(spark, d, "events"), "ts")
-    sess = C.sessions(days, calendar=C.CONTINUOUS)
-    dense = C.dense_calendar(days, sess)
+    sess, dense = C.build_calendar(days, C.CONTINUOUS)
     cd = crypto_daily(spark, d).select("symbol", F.to_date("timestamp").alias("day"))
     crypto_missing = V.missing_sessions(cd, sess, dense).select(
         F.lit("crypto").alias("asset_class"), F.lit("daily").alias("timeframe"), "symbol", "missing_date")
