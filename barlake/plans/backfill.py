@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from barlake.operators import normalize as N
 from barlake.operators import planning as P
+from barlake.operators.joins import broadcast_if_small
 from barlake.plans import store
 from barlake.schemas import RUN_LOG
 from barlake.session import shared_dir
@@ -69,7 +70,7 @@ def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str,
     fetch = the_plan.where(F.col("action") == P.FETCH).select("symbol", "from_date", "to_date")
     landing = read_landing(spark, landing_path)
     # Only what falls inside each symbol's planned window counts as fetched.
-    in_window = landing.join(fetch, "symbol").where(
+    in_window = landing.join(broadcast_if_small(fetch), "symbol").where(
         F.col("_error").isNotNull()
         | F.to_date(F.timestamp_millis("t")).between(F.col("from_date"), F.col("to_date")))
     disp = P.dispositions(the_plan, in_window, error_col="_error").checkpoint(eager=True)

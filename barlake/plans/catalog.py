@@ -230,6 +230,7 @@ def session_counts(spark, d):
 # ------------------------------------------- manifest, plan, outcome (JN/AG) --
 
 from barlake.operators import planning as P  # noqa: E402
+from barlake.operators.joins import broadcast_if_small  # noqa: E402
 
 # Fixed parameters of the planning scenario.
 MANIFEST_CUT_BASE = "1999-07-01"    # a supplier's state reaches up to this date ...
@@ -250,7 +251,7 @@ def manifest(spark, d):
     sup = T.stock_symbols(spark, d).where(F.col("s_nationkey") < MANIFEST_MAX_NATION).select(
         "symbol", F.date_add(F.lit(MANIFEST_CUT_BASE).cast("date"),
                              F.col("s_nationkey") * MANIFEST_CUT_STEP_DAYS).alias("_cut"))
-    bars = stock_daily(spark, d).join(F.broadcast(sup), "symbol") \
+    bars = stock_daily(spark, d).join(broadcast_if_small(sup), "symbol") \
         .where(F.to_date("timestamp") < F.col("_cut")).drop("_cut")
     st = S.series_state(bars, asset_class="stocks", timeframe="daily")
     return st.select("asset_class", "symbol", "timeframe", "earliest_date", "last_complete_date",
