@@ -50,18 +50,19 @@ def continuous(contract_bars: DataFrame, contracts: DataFrame, method: str = CAL
     """WN-7: one bar per (root, day) from the active contract.
 
     calendar: each day's pick is the traded contract nearest to expiry;
-    volume: the contract with the most volume that day (ties: nearer expiry,
-    then ticker). Either way the active contract never moves back."""
+    volume (or any other numeric bar column, e.g. open interest when the bars
+    carry it): the contract leading on that column that day (ties: nearer
+    expiry, then ticker). Either way the active contract never moves back."""
     c = contracts.select(F.col("ticker").alias("symbol"), F.col("product_code").alias("root"),
                          "last_trade_date")
     b = contract_bars.withColumn("day", F.to_date("timestamp")).join(broadcast_if_small(c), "symbol")
     ident = F.struct("last_trade_date", "symbol")
     if method == CALENDAR:
         pick = F.min(ident)
-    elif method == VOLUME:
-        pick = F.min_by(ident, F.struct((-F.col("volume")).alias("v"), "last_trade_date", "symbol"))
+    elif method in contract_bars.columns:
+        pick = F.min_by(ident, F.struct((-F.col(method)).alias("v"), "last_trade_date", "symbol"))
     else:
-        raise ValueError(f"unknown roll method {method!r}")
+        raise ValueError(f"unknown roll method {method!r}: neither 'calendar' nor a bar column")
     daily = b.groupBy("root", "day").agg(pick.alias("_pick"))
     run = Window.partitionBy("root").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     active = daily.select("root", "day", F.max("_pick").over(run)["symbol"].alias("symbol"))

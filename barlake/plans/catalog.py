@@ -940,3 +940,57 @@ def storage_usage(spark, d):
     """SRC-9: files and bytes per lake partition (no SQL oracle: sizes are the
     writer's)."""
     return ST.storage_usage(spark, written_lake(spark, d))
+
+
+# --------------------------------------------- profiles, coverage, stamps --
+
+from barlake.functions.profiles import PROFILES  # noqa: E402
+
+MINUTES_PER_DAY = 1440
+
+
+@query
+def profile_calendars(spark, d):
+    """CAL-2/UD-1: sessions per asset class, each by its own calendar, over
+    the span of the event stream."""
+    days = C.days_spanning(T.read(spark, d, "events"), "ts")
+    out = None
+    for name, prof in sorted(PROFILES.items()):
+        sess = C.sessions(days, calendar=prof.calendar)
+        part = sess.agg(F.lit(name).alias("asset_class"), F.lit(prof.calendar).alias("calendar"),
+                        F.count(F.lit(1)).alias("sessions"), F.min("session_date").alias("first_session"),
+                        F.max("session_date").alias("last_session"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def minute_coverage(spark, d):
+    """JN-5 at minute scale: bars per symbol and day against the 1440 minutes
+    of a 24x7 day. Counting first means no day is ever expanded to minutes."""
+    b = crypto_minute(spark, d).groupBy("symbol", F.to_date("timestamp").alias("day")) \
+        .agg(F.count(F.lit(1)).alias("bars"))
+    return b.withColumn("missing_minutes", F.lit(MINUTES_PER_DAY) - F.col("bars"))
+
+
+@query
+def futures_gaps_weekdays(spark, d):
+    """JN-5/CAL-2: weekdays without a bar inside each futures contract's life."""
+    days = C.days_spanning(T.read(spark, d, "lineitem"), "l_shipdate")
+    sess, dense = C.build_calendar(days, C.WEEKDAYS)
+    bar_days = futures_daily(spark, d).select("symbol", F.to_date("timestamp").alias("day"))
+    return V.missing_sessions(bar_days, sess, dense)
+
+
+ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+@query
+def iso_stamps(spark, d):
+    """PRJ-15: run stamps formatted as ISO-8601 UTC without sub-seconds and
+    parsed back."""
+    r = run_log(spark, d).select("run_id", "started_at")
+    iso = F.date_format("started_at", ISO_Z)
+    back = F.to_timestamp(iso, ISO_Z)
+    return r.select("run_id", iso.alias("started_iso"),
+                    (back == F.date_trunc("second", "started_at")).alias("roundtrip_ok"))

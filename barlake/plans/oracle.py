@@ -798,3 +798,30 @@ SELECT asset_class, timeframe, symbol, year(missing_date) AS year, count(*) AS m
 FROM findings GROUP BY 1, 2, 3, 4"""
 
 ORACLE["bars_scan"] = with_("stock_daily") + "SELECT * FROM stock_daily WHERE year(timestamp) = 1998"
+
+# ------------------------------------------------ profiles, coverage, stamps --
+
+register_calendar("ecal", "SELECT CAST(min(ts) AS DATE) AS s, CAST(max(ts) AS DATE) AS e FROM events")
+ORACLE["profile_calendars"] = with_("ecal_sessions", "ecal_days") + """
+SELECT 'crypto' AS asset_class, '24x7' AS calendar, count(*) AS sessions, min(day) AS first_session,
+       max(day) AS last_session FROM ecal_days
+UNION ALL
+SELECT 'futures', 'WEEKDAYS', count(*), min(day), max(day) FROM ecal_days WHERE isodow(day) <= 5
+UNION ALL
+SELECT 'stocks', 'NYSE', count(*), min(session_date), max(session_date) FROM ecal_sessions"""
+ORACLE["minute_coverage"] = with_("crypto_minute") + """
+SELECT symbol, CAST(timestamp AS DATE) AS day, count(*) AS bars, 1440 - count(*) AS missing_minutes
+FROM crypto_minute GROUP BY 1, 2"""
+ORACLE["futures_gaps_weekdays"] = with_("futures_daily") + """
+SELECT symbol, missing_date FROM (
+  SELECT symbol, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS missing_date
+  FROM (SELECT symbol, min(CAST(timestamp AS DATE)) AS lo, max(CAST(timestamp AS DATE)) AS hi
+        FROM futures_daily GROUP BY symbol))
+WHERE isodow(missing_date) <= 5
+EXCEPT ALL
+SELECT symbol, CAST(timestamp AS DATE) FROM futures_daily"""
+ORACLE["iso_stamps"] = with_("run_log") + """
+SELECT run_id, strftime(started_at, '%Y-%m-%dT%H:%M:%SZ') AS started_iso,
+       strptime(strftime(started_at, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%dT%H:%M:%SZ') = date_trunc('second', started_at)
+         AS roundtrip_ok
+FROM run_log"""
