@@ -89,3 +89,18 @@ def test_membership_half_open(spark):
                               "index string, ticker string, added_date date, removed_date date")
     assert {r["ticker"] for r in U.universe_at(m, "2020-06-01").collect()} == {"B"}
     assert {r["ticker"] for r in U.universe_at(m, "2020-05-31").collect()} == {"A", "B"}
+
+
+def test_asof_last_near_and_far(spark):
+    from barlake.operators.joins import asof_last
+    vals = spark.createDataFrame([("A", datetime(2020, 1, 1), 1.0), ("A", datetime(2020, 3, 1), 2.0),
+                                  ("A", datetime(2020, 3, 10), 3.0), ("B", datetime(2019, 6, 1), 9.0)],
+                                 "k string, t timestamp, v double")
+    marks = spark.createDataFrame([("A", datetime(2020, 3, 10)), ("A", datetime(2020, 2, 1)),
+                                   ("B", datetime(2021, 1, 1)), ("C", datetime(2020, 1, 1))],
+                                  "k string, t timestamp")
+    for lb in (None, 14):
+        got = {(r["k"], r["t"].date().isoformat()): r["prev"]
+               for r in asof_last(marks, vals, "k", "t", "v", "prev", lookback_days=lb).collect()}
+        assert got == {("A", "2020-03-10"): 2.0, ("A", "2020-02-01"): 1.0, ("B", "2021-01-01"): 9.0,
+                       ("C", "2020-01-01"): None}, lb
