@@ -219,12 +219,12 @@ SESSION_CLASSES = ["pre", "regular", "after", "closed"]
 
 @query
 def session_counts(spark, d):
-    """AG-13: bars per symbol and New York date by session class."""
+    """AG-13: bars per symbol and New York date by session class (conditional
+    counts: one partial aggregation instead of a two-stage pivot)."""
     bars = C.classify_sessions(crypto_minute(spark, d))
-    piv = bars.groupBy("symbol", "session_date").pivot("session", SESSION_CLASSES).count()
-    cols = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in SESSION_CLASSES]
-    total = sum((F.coalesce(F.col(c), F.lit(0)) for c in SESSION_CLASSES), F.lit(0))
-    return piv.select("symbol", "session_date", *cols, total.cast("bigint").alias("total"))
+    s = F.col("session")
+    counts = [F.count_if(s == c).alias(c) for c in SESSION_CLASSES]
+    return bars.groupBy("symbol", "session_date").agg(*counts, F.count(F.lit(1)).alias("total"))
 
 
 # ------------------------------------------- manifest, plan, outcome (JN/AG) --
