@@ -368,7 +368,7 @@ DEPS["merged"] = ["stock_daily", "refetched_daily"]
 
 ORACLE["merge_append_bars"] = with_("merged") + "SELECT * FROM merged"
 ORACLE["year_partition_counts"] = with_("merged") + """
-SELECT year(timestamp) AS year, count(*) AS bars, count(DISTINCT symbol) AS symbols,
+SELECT CAST(year(timestamp) AS INTEGER) AS year, count(*) AS bars, count(DISTINCT symbol) AS symbols,
        min(timestamp) AS first_ts, max(timestamp) AS last_ts
 FROM merged GROUP BY 1"""
 ORACLE["bars_date_window"] = with_("stock_daily") + """
@@ -487,7 +487,7 @@ GROUP BY p.symbol, p.from_date, p.to_date"""
 CTE["splits"] = """
   SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol,
          CAST(DATE '1995-06-01' + CAST(s_nationkey * 60 AS INTEGER) AS DATE) AS execution_date,
-         1.0 AS split_from, 2.0 AS split_to, 2.0 AS ratio
+         CAST(1.0 AS DOUBLE) AS split_from, CAST(2.0 AS DOUBLE) AS split_to, CAST(2.0 AS DOUBLE) AS ratio
   FROM supplier
   UNION ALL
   SELECT 'S' || CAST(s_suppkey AS VARCHAR),
@@ -705,7 +705,7 @@ DEPS["futures_daily"] = ["futures_ticks"]
 CTE["contracts"] = """
   SELECT symbol AS ticker, root AS product_code, 'Root ' || root || ' ' || substring(symbol, 2, 6) AS name,
          substring(symbol, 2, 6) AS month, min(CAST(ts AS DATE)) AS first_trade_date,
-         max(CAST(ts AS DATE)) AS last_trade_date, 'XTST' AS exchange_mic, 0.25 AS tick_size,
+         max(CAST(ts AS DATE)) AS last_trade_date, 'XTST' AS exchange_mic, CAST(0.25 AS DOUBLE) AS tick_size,
          CAST(max(CAST(ts AS DATE)) + INTERVAL 1 DAY AS TIMESTAMP) AS discovered_at
   FROM futures_ticks GROUP BY symbol, root"""
 DEPS["contracts"] = ["futures_ticks"]
@@ -793,7 +793,7 @@ LEFT JOIN (SELECT asset_class, timeframe, symbol, count(*) AS missing FROM findi
   ON s.asset_class = f.asset_class AND s.timeframe = f.timeframe AND s.symbol = f.symbol
 GROUP BY 1, 2"""
 ORACLE["validation_findings"] = with_("findings") + """
-SELECT asset_class, timeframe, symbol, year(missing_date) AS year, count(*) AS missing,
+SELECT asset_class, timeframe, symbol, CAST(year(missing_date) AS INTEGER) AS year, count(*) AS missing,
        string_agg(strftime(missing_date, '%Y-%m-%d'), ',' ORDER BY missing_date) AS missing_dates
 FROM findings GROUP BY 1, 2, 3, 4"""
 
