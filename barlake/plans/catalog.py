@@ -269,7 +269,8 @@ def landed(spark, d, plan=None):
     plan = plan if plan is not None else stock_plan(spark, d)
     win = plan.where(F.col("action") == P.FETCH).select("symbol", "from_date", "to_date")
     ticks = T.stock_ticks(spark, d)
-    got = ticks.join(win, "symbol").where(F.to_date("ts").between(F.col("from_date"), F.col("to_date")))
+    got = ticks.join(broadcast_if_small(win), "symbol") \
+        .where(F.to_date("ts").between(F.col("from_date"), F.col("to_date")))
     bad = T.stock_symbols(spark, d).select("symbol", (F.col("s_acctbal") < 0).alias("_bad"))
     return got.join(bad, "symbol", "left").withColumn(
         "_error", F.when(F.col("_bad"), F.lit("bad request"))).drop("_bad")

@@ -19,9 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.operators import dedupe as D
 from barlake.operators import state as S
-from barlake.schemas import BAR_COLUMNS, BARS, LAKE_PARTITIONS, MANIFEST, MANIFEST_KEY
+from barlake.schemas import BAR_COLUMNS, BARS, LAKE_PARTITIONS, MANIFEST
 
 LAKE_SCHEMA = T.StructType(BARS.fields + [
     T.StructField("asset_class", T.StringType(), True),
@@ -180,6 +179,3 @@ def record_state(spark: SparkSession, root: str, symbols: DataFrame, asset_class
     # Appending version N+1 never touches version N, which it reads.
     return write_version(new_manifest, root, "manifest")
 
-
-def dedupe_new(new: DataFrame, order: Sequence[str]) -> DataFrame:
-    return D.keep_one(new, LAKE_KEY, list(order))

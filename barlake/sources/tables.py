@@ -124,24 +124,15 @@ def index_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b)
 
 
-# How a constituents cell renders a customer ticker, by order priority.
-TICKER_FORMS = {
-    "1-URGENT": "padded lower case",
-    "2-HIGH": "dot form",
-    "3-MEDIUM": "dash form with a trailing tab",
-    "4-NOT SPECIFIED": "the text nan",
-    "5-LOW": "blank",
-}
-
-
 def constituent_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scraped index pages as a long cell table, one page per region.
 
     table 0: nation names under a numeric header (not flat);
     table 1: a small flat table with a Symbol column (nation codes);
     table 2: the constituents: one row per order of the region's customers,
-             Symbol = customer ticker C{nation}-{custkey} in messy forms,
-             plus a Security column;
+             Symbol = customer ticker C{nation}-{custkey} in a form set by the
+             order priority (padded lower case, dot form, dash form with a
+             trailing tab, the text nan, blank), plus a Security column;
     table 3: a change log with two-level headers (not flat) and a Symbol column.
     """
     region = read(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("page"))

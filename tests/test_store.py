@@ -154,3 +154,18 @@ def test_write_is_zstd_and_sorted(spark, scratch):
     assert files and all(".zstd." in f for f in files)
     back = spark.read.parquet(files[0]).select("symbol", "timestamp").collect()
     assert back == sorted(back)
+
+
+def test_flat_files_read_by_name(spark, scratch):
+    """A gzip csv whose columns are in O,C,H,L order (and one extra column) is
+    read by header name, not by position."""
+    import gzip
+    from barlake.operators import normalize as N
+    from barlake.sources.landing import read_flat_files
+    os.makedirs(f"{scratch}/flat")
+    with gzip.open(f"{scratch}/flat/2024-01-02.csv.gz", "wt") as f:
+        f.write("ticker,volume,open,close,high,low,window_start,transactions,extra\n")
+        f.write("AAPL,100.5,10.0,11.0,12.0,9.0,1704153600000000000,7,x\n")
+    bar = N.normalize_flat_file(read_flat_files(spark, f"{scratch}/flat")).first()
+    assert (bar["open"], bar["high"], bar["low"], bar["close"]) == (10.0, 12.0, 9.0, 11.0)
+    assert bar["timestamp"] == datetime(2024, 1, 2) and bar["transactions"] == 7 and bar["volume"] == 100.5
