@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlake.functions.profiles import PROFILES
 from barlake.operators import state as S
 from barlake.schemas import BAR_COLUMNS, BARS, LAKE_PARTITIONS, MANIFEST
 
@@ -101,6 +102,27 @@ def read_bars(spark: SparkSession, root: str, *, asset_class: str | None = None,
     return df if with_partitions else df.select(*BAR_COLUMNS)
 
 
+def read_window(spark: SparkSession, root: str, asset_class: str, timeframe: str, from_date: str,
+                to_date: str) -> DataFrame:
+    """PRJ-12 on the lake: bars with date in [from, to] (inclusive). The year
+    predicate prunes folders, the timestamp predicate pushes down to row groups."""
+    y0, y1 = int(from_date[:4]), int(to_date[:4])
+    df = read_bars(spark, root, asset_class=asset_class, timeframe=timeframe, years=range(y0, y1 + 1))
+    lo = F.lit(from_date).cast("timestamp")
+    hi = F.date_add(F.lit(to_date).cast("date"), 1).cast("timestamp")
+    return df.where((F.col("timestamp") >= lo) & (F.col("timestamp") < hi))
+
+
+def drop_partition(spark: SparkSession, root: str, asset_class: str, timeframe: str, year: int) -> bool:
+    """SRC-9 delete: remove one year folder of one table."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(
+        f"{bars_path(root)}/asset_class={asset_class}/timeframe={timeframe}/year={int(year)}")
+    fs = p.getFileSystem(conf)
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
 def touched_partitions(new: DataFrame) -> list[tuple[str, str, int]]:
     """Distinct (asset_class, timeframe, year) of a batch: a handful of rows."""
     rows = new.select(*LAKE_PARTITIONS).distinct().collect()
@@ -167,6 +189,13 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, root, "manifest", MANIFEST)
 
 
+def get_state(spark: SparkSession, root: str, asset_class: str, symbol: str, timeframe: str):
+    """JN-3: the manifest row of one series, or None."""
+    m = read_manifest(spark, root).where((F.col("asset_class") == asset_class) & (F.col("symbol") == symbol)
+                                         & (F.col("timeframe") == timeframe))
+    return m.first()
+
+
 def record_state(spark: SparkSession, root: str, symbols: DataFrame, asset_class: str, timeframe: str,
                  updated_at: str) -> int:
     """AG-1 + AG-2: recompute state of ``symbols`` from the stored bars (the
@@ -174,7 +203,9 @@ def record_state(spark: SparkSession, root: str, symbols: DataFrame, asset_class
     upsert it into a new manifest version. Runs after the data commit."""
     bars = read_bars(spark, root, asset_class=asset_class, timeframe=timeframe)
     bars = bars.select("symbol", "timestamp").join(symbols.select("symbol").distinct(), "symbol", "left_semi")
-    st = S.series_state(bars, asset_class=asset_class, timeframe=timeframe)
+    profile = PROFILES.get(asset_class)
+    date_expr = profile.bar_date(F.col("timestamp"), timeframe) if profile else None
+    st = S.series_state(bars, asset_class=asset_class, timeframe=timeframe, date_expr=date_expr)
     new_manifest = S.manifest_upsert(read_manifest(spark, root), st, updated_at)
     # Appending version N+1 never touches version N, which it reads.
     return write_version(new_manifest, root, "manifest")

@@ -169,3 +169,25 @@ def test_flat_files_read_by_name(spark, scratch):
     bar = N.normalize_flat_file(read_flat_files(spark, f"{scratch}/flat")).first()
     assert (bar["open"], bar["high"], bar["low"], bar["close"]) == (10.0, 12.0, 9.0, 11.0)
     assert bar["timestamp"] == datetime(2024, 1, 2) and bar["transactions"] == 7 and bar["volume"] == 100.5
+
+
+def test_window_read_point_lookup_and_drop(spark, scratch):
+    root, landing = f"{scratch}/lake", f"{scratch}/landing"
+    _land(landing, "X:BTCUSD", datetime(2024, 12, 31, 23, 55), 10, 60)
+    _run(spark, root, landing, ["X:BTCUSD"], timeframe="minute", start="2024-12-31", end="2025-01-01",
+         run_id="r1")
+    assert store.read_window(spark, root, "crypto", "minute", "2025-01-01", "2025-01-01").count() == 5
+    assert store.get_state(spark, root, "crypto", "X:BTCUSD", "minute")["bar_count"] == 10
+    assert store.get_state(spark, root, "stocks", "X:BTCUSD", "minute") is None
+    assert store.drop_partition(spark, root, "crypto", "minute", 2024)
+    assert store.read_bars(spark, root).count() == 5
+
+
+def test_stock_minute_state_uses_exchange_date(spark, scratch):
+    # 2024-01-05 20:30 New York time is 2024-01-06 01:30 UTC: it belongs to the 5th.
+    root, landing = f"{scratch}/lake", f"{scratch}/landing"
+    _land(landing, "AAPL", datetime(2024, 1, 6, 1, 30), 2, 60)
+    _run(spark, root, landing, ["AAPL"], timeframe="minute", start="2024-01-05", end="2024-01-06",
+         run_id="r1", asset="stocks")
+    m = store.get_state(spark, root, "stocks", "AAPL", "minute")
+    assert str(m["last_complete_date"]) == "2024-01-05"
