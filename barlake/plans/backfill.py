@@ -73,6 +73,9 @@ def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str,
     in_window = landing.join(broadcast_if_small(fetch), "symbol").where(
         F.col("_error").isNotNull()
         | F.to_date(F.timestamp_millis("t")).between(F.col("from_date"), F.col("to_date")))
+    # The landed batch is scanned once (many small files per symbol) and pinned:
+    # dispositions, the fatal check and the merge all read the pinned copy.
+    in_window = in_window.drop("_file").checkpoint(eager=True)
     disp = P.dispositions(the_plan, in_window, error_col="_error").checkpoint(eager=True)
     fatal = in_window.where(F.col("_error").contains(FATAL_MARK)).limit(1).collect()
     if fatal:
