@@ -995,3 +995,35 @@ def iso_stamps(spark, d):
     back = F.to_timestamp(iso, ISO_Z)
     return r.select("run_id", iso.alias("started_iso"),
                     (back == F.date_trunc("second", "started_at")).alias("roundtrip_ok"))
+
+
+# ------------------------------------------------------- streaming (ST) --
+
+from barlake.sources.landing import write_landing as _write_landing  # noqa: E402
+from barlake.streaming import update as SU  # noqa: E402
+
+STREAM_WATERMARK = "10 minutes"
+
+
+@query
+def stream_update_state(spark, d):
+    """ST-1/ST-5: crypto daily bars landed as wire records, ingested by the
+    availableNow update stream (run twice: the second run is a no-op) into a
+    new lake; the result is the recorded state."""
+    landing, root, ckpt = (scratch_path(spark, n) for n in ("landing", "lake", "stream-ckpt"))
+    _write_landing(N.to_raw(crypto_daily(spark, d)), landing)
+    for now in ("2024-02-01 00:00:00", "2024-02-01 01:00:00"):
+        SU.run_update(spark, landing, root, ckpt, asset_class="crypto", timeframe="daily", now=now)
+    return ST.read_manifest(spark, root).drop("last_updated_at")
+
+
+@query
+def stream_minute_bars(spark, d):
+    """ST-2/ST-3/ST-4: crypto trades as a file stream -> one-minute bars in
+    append mode; only windows closed by the watermark (latest trade minus
+    10 minutes) are emitted."""
+    ticks_path, out, ckpt = (scratch_path(spark, n) for n in ("ticks", "stream-bars", "stream-ckpt"))
+    ticks = T.crypto_ticks(spark, d)
+    ticks.write.parquet(ticks_path)
+    SU.run_tumbling_bars(spark, ticks_path, ticks.schema, out, ckpt, watermark=STREAM_WATERMARK)
+    return spark.read.parquet(out)

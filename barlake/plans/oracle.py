@@ -825,3 +825,13 @@ SELECT run_id, strftime(started_at, '%Y-%m-%dT%H:%M:%SZ') AS started_iso,
        strptime(strftime(started_at, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%dT%H:%M:%SZ') = date_trunc('second', started_at)
          AS roundtrip_ok
 FROM run_log"""
+
+# -------------------------------------------------------------- streaming --
+
+ORACLE["stream_update_state"] = with_("crypto_daily") + """
+SELECT 'crypto' AS asset_class, symbol, 'daily' AS timeframe, min(CAST(timestamp AS DATE)) AS earliest_date,
+       max(CAST(timestamp AS DATE)) AS last_complete_date, count(*) AS bar_count
+FROM crypto_daily GROUP BY symbol"""
+ORACLE["stream_minute_bars"] = with_("crypto_minute") + """
+SELECT * FROM crypto_minute
+WHERE timestamp + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
