@@ -94,6 +94,25 @@ def missing_sessions(bar_days: DataFrame, sessions: DataFrame, dense: DataFrame,
     return exploded.join(F.broadcast(ords), "_ord").select(key, F.col("_sd").alias("missing_date"))
 
 
+def missing_minutes(bars: DataFrame, minutes_per_day: int = 1440, first_minute: int = 0) -> DataFrame:
+    """JN-5 at minute scale: count bars per (symbol, day) first and expand only
+    the deficient days to their expected minutes, then anti-join the bars of
+    those days. A complete day is never expanded; a deficient day expands to
+    at most ``minutes_per_day`` rows. ``first_minute`` is the day's first
+    expected minute after midnight UTC (0 for 24x7)."""
+    per_day = bars.groupBy("symbol", F.to_date("timestamp").alias("day")).agg(F.count(F.lit(1)).alias("_n"))
+    short = per_day.where(F.col("_n") < minutes_per_day)
+    start = F.col("day").cast("timestamp") + F.make_dt_interval(mins=F.lit(first_minute))
+    expected = short.select(
+        "symbol", "day",
+        F.explode(F.sequence(start, start + F.make_dt_interval(mins=F.lit(minutes_per_day - 1)),
+                             F.expr("INTERVAL 1 MINUTE"))).alias("timestamp"))
+    have = bars.select("symbol", F.to_date("timestamp").alias("day"), "timestamp") \
+        .join(short.select("symbol", "day"), ["symbol", "day"], "left_semi")
+    return expected.join(have, ["symbol", "day", "timestamp"], "left_anti") \
+        .select("symbol", F.col("timestamp").alias("missing_minute"))
+
+
 def gap_ranges(missing: DataFrame, sessions: DataFrame, key: str = "symbol") -> DataFrame:
     """WN-4: consecutive missing sessions compressed into [first, last] ranges.
 

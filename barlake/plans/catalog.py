@@ -1027,3 +1027,10 @@ def stream_minute_bars(spark, d):
     ticks.write.parquet(ticks_path)
     SU.run_tumbling_bars(spark, ticks_path, ticks.schema, out, ckpt, watermark=STREAM_WATERMARK)
     return spark.read.parquet(out)
+
+
+@query
+def minute_gaps_24x7(spark, d):
+    """JN-5: missing minutes of the crypto minute series, expanding only the
+    days that have fewer than 1440 bars."""
+    return V.missing_minutes(crypto_minute(spark, d), MINUTES_PER_DAY)

@@ -835,3 +835,10 @@ FROM crypto_daily GROUP BY symbol"""
 ORACLE["stream_minute_bars"] = with_("crypto_minute") + """
 SELECT * FROM crypto_minute
 WHERE timestamp + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+ORACLE["minute_gaps_24x7"] = with_("crypto_minute") + """
+SELECT symbol, missing_minute FROM (
+  SELECT symbol, unnest(generate_series(CAST(day AS TIMESTAMP), CAST(day AS TIMESTAMP) + INTERVAL 1439 MINUTE,
+                                        INTERVAL 1 MINUTE)) AS missing_minute
+  FROM (SELECT symbol, CAST(timestamp AS DATE) AS day FROM crypto_minute GROUP BY 1, 2 HAVING count(*) < 1440))
+EXCEPT ALL
+SELECT symbol, timestamp FROM crypto_minute"""
