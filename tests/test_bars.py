@@ -57,3 +57,24 @@ def test_resample_keeps_ohlc_and_weights_vwap(spark):
     assert out["open"] == 1.0 and out["close"] == 4.5 and out["high"] == 5.0 and out["low"] == 0.5
     assert out["volume"] == 46.0 and out["transactions"] == 20
     assert abs(out["vwap"] - 1.2) < 1e-9
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_num = st.one_of(st.none(), st.integers(-10**6, 10**6), st.floats(-1e6, 1e6, allow_nan=False))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(_num, _num, _num, _num, _num, st.integers(0, 2**40)), min_size=1, max_size=8))
+def test_normalize_is_null_preserving(spark, rows):
+    """Ints and floats become the same doubles; nulls stay nulls, never zero."""
+    import json
+    recs = [json.dumps({"o": o, "h": h, "l": lo, "c": c, "v": v, "t": t}) for o, h, lo, c, v, t in rows]
+    raw = spark.read.schema("o double, h double, l double, c double, v double, t bigint") \
+        .json(spark.sparkContext.parallelize(recs))
+    out = N.normalize_raw(raw, "X").orderBy("timestamp").collect()
+    got = [(r["open"], r["high"], r["low"], r["close"], r["volume"]) for r in out]
+    want = [tuple(None if x is None else float(x) for x in r[:5]) for r in rows]
+    key = lambda t: tuple((x is None, x or 0.0) for x in t)
+    assert sorted(got, key=key) == sorted(want, key=key)
