@@ -49,6 +49,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def with_layout(bars: DataFrame, asset_class: str | None = None, timeframe: str | None = None) -> DataFrame:
+    """Canonical bars plus the lake's partition columns (asset_class and
+    timeframe from the arguments, or already on the rows)."""
     df = bars
     if asset_class is not None:
         df = df.withColumn("asset_class", F.lit(asset_class))

@@ -191,3 +191,33 @@ def test_stock_minute_state_uses_exchange_date(spark, scratch):
          run_id="r1", asset="stocks")
     m = store.get_state(spark, root, "stocks", "AAPL", "minute")
     assert str(m["last_complete_date"]) == "2024-01-05"
+
+
+def test_import_per_symbol_ns_files(spark, scratch):
+    """Per-symbol files with ns UTC timestamps and a dictionary symbol, in the
+    daily-file and minute/year layouts, are imported and merged into the lake."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from barlake.sources.landing import read_per_symbol_files
+
+    def table(sym, start, n, step_ns):
+        ts = pa.array([start + i * step_ns for i in range(n)], pa.timestamp("ns", tz="UTC"))
+        return pa.table({"timestamp": ts, "symbol": pa.array([sym] * n).dictionary_encode(),
+                         "open": [1.0] * n, "high": [2.0] * n, "low": [0.5] * n, "close": [1.5] * n,
+                         "volume": [10.0 + i for i in range(n)], "vwap": [1.2] * n,
+                         "transactions": pa.array([5] * n, pa.int32()), "otc": pa.array([None] * n, pa.bool_())})
+
+    base = f"{scratch}/ohlcv"
+    os.makedirs(f"{base}/stocks/daily")
+    os.makedirs(f"{base}/crypto/minute/BTC")
+    day0 = 1577923200 * 10**9  # 2020-01-02
+    pq.write_table(table("AAPL", day0, 3, 86400 * 10**9), f"{base}/stocks/daily/AAPL.parquet")
+    pq.write_table(table("X:BTCUSD", 1735689300 * 10**9, 4, 60 * 10**9), f"{base}/crypto/minute/BTC/2024.parquet")
+    bars = read_per_symbol_files(spark, base)
+    got = {(r["asset_class"], r["timeframe"]): r["n"] for r in
+           bars.groupBy("asset_class", "timeframe").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {("stocks", "daily"): 3, ("crypto", "minute"): 4}
+    first = bars.where(F.col("symbol") == "AAPL").orderBy("timestamp").first()
+    assert first["timestamp"] == datetime(2020, 1, 2)
+    store.merge_into_lake(store.with_layout(bars), f"{scratch}/lake")
+    assert store.read_bars(spark, f"{scratch}/lake").count() == 7
