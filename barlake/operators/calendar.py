@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.time import exchange_date, session_class
-from barlake.session import shared_dir
+from barlake.session import pin as pin_df
 
 # One-off full-day closures of the New York Stock Exchange
 # (public record), which no rule derives.
@@ -190,11 +190,10 @@ def build_calendar(days: DataFrame, calendar: str = NYSE, pin: bool = True) -> t
     the table the day span came from."""
     sess = sessions(days, calendar=calendar)
     if pin:
-        shared_dir(days.sparkSession)
-        sess = sess.checkpoint(eager=True)
+        sess = pin_df(sess)
     dense = dense_calendar(days, sess)
     if pin:
-        dense = dense.checkpoint(eager=True)
+        dense = pin_df(dense)
     return sess, dense
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.session import shared_dir
+from barlake.session import pin as pin_df
 
 # Sides at or below this many rows may be broadcast (checked by a count).
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -21,8 +21,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, pi
     the shared folder, so the count and the join read it once instead of
     computing it twice, and its lineage is cut."""
     if pin:
-        shared_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = pin_df(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -58,9 +57,7 @@ def asof_last(markers: DataFrame, values: DataFrame, key: str, time: str, value:
     their keys."""
     if lookback_days is None:
         return _asof_general(markers, values, key, time, value, out, bucket)
-    m = markers.select(F.col(key).alias("_k"), F.col(time).alias("_t")).distinct()
-    shared_dir(markers.sparkSession)
-    m = m.checkpoint(eager=True)
+    m = pin_df(markers.select(F.col(key).alias("_k"), F.col(time).alias("_t")).distinct())
     if m.count() > max_broadcast_rows:
         return _asof_general(markers, values, key, time, value, out, bucket)
     v = values.select(F.col(key).alias("_vk"), F.col(time).alias("_vt"), F.col(value).alias("_v"))

@@ -19,7 +19,7 @@ from barlake.operators import planning as P
 from barlake.operators.joins import broadcast_if_small
 from barlake.plans import store
 from barlake.schemas import RUN_LOG
-from barlake.session import shared_dir
+from barlake.session import pin
 from barlake.sources.landing import landed_bars, read_landing
 
 
@@ -65,8 +65,7 @@ def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str,
     # derived from the manifest this run rewrites, and a recomputation after
     # that (lost executor, partially materialised cache) would see the new
     # state. A reliable checkpoint in the shared folder survives both.
-    shared_dir(spark)
-    the_plan = the_plan.checkpoint(eager=True)
+    the_plan = pin(the_plan)
     fetch = the_plan.where(F.col("action") == P.FETCH).select("symbol", "from_date", "to_date")
     landing = read_landing(spark, landing_path)
     # Only what falls inside each symbol's planned window counts as fetched.
@@ -75,8 +74,8 @@ def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str,
         | F.to_date(F.timestamp_millis("t")).between(F.col("from_date"), F.col("to_date")))
     # The landed batch is scanned once (many small files per symbol) and pinned:
     # dispositions, the fatal check and the merge all read the pinned copy.
-    in_window = in_window.drop("_file").checkpoint(eager=True)
-    disp = P.dispositions(the_plan, in_window, error_col="_error").checkpoint(eager=True)
+    in_window = pin(in_window.drop("_file"))
+    disp = pin(P.dispositions(the_plan, in_window, error_col="_error"))
     fatal = in_window.where(F.col("_error").contains(FATAL_MARK)).limit(1).collect()
     if fatal:
         raise FatalFetchError(f"fatal fetch error: {fatal[0]['_error']}")

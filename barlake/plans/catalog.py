@@ -231,6 +231,7 @@ def session_counts(spark, d):
 
 from barlake.operators import planning as P  # noqa: E402
 from barlake.operators.joins import broadcast_if_small  # noqa: E402
+from barlake.session import pin  # noqa: E402
 
 # Fixed parameters of the planning scenario.
 MANIFEST_CUT_BASE = "1999-07-01"    # a supplier's state reaches up to this date ...
@@ -259,8 +260,7 @@ def manifest(spark, d):
 
 
 def stock_plan(spark, d):
-    return P.fetch_plan(stock_universe(spark, d), manifest(spark, d), timeframe="daily",
-                        default_start=STOCKS_DEFAULT_START, target_end=STOCKS_TARGET_END)
+    return scenario(spark, d)["plan"]
 
 
 def landed(spark, d, plan=None):
@@ -276,6 +276,17 @@ def landed(spark, d, plan=None):
         "_error", F.when(F.col("_bad"), F.lit("bad request"))).drop("_bad")
 
 
+def scenario(spark, d):
+    """The planning scenario, each step computed once and pinned: manifest,
+    plan, landed rows (lazy), dispositions."""
+    m = pin(manifest(spark, d))
+    plan = pin(P.fetch_plan(stock_universe(spark, d), m, timeframe="daily",
+                            default_start=STOCKS_DEFAULT_START, target_end=STOCKS_TARGET_END))
+    lnd = landed(spark, d, plan)
+    disp = pin(P.dispositions(plan, lnd, error_col="_error"))
+    return {"manifest": m, "plan": plan, "landed": lnd, "disp": disp}
+
+
 @query
 def fetch_plan(spark, d):
     """JN-1: universe x manifest -> per-symbol window or up to date."""
@@ -285,32 +296,29 @@ def fetch_plan(spark, d):
 @query
 def source_dispositions(spark, d):
     """SRC-2/JN-2: per planned symbol succeeded / error / zero_bar."""
-    plan = stock_plan(spark, d)
-    return P.dispositions(plan, landed(spark, d, plan), error_col="_error")
+    return scenario(spark, d)["disp"]
 
 
 @query
 def zero_bar_symbols(spark, d):
     """JN-2: planned symbols that returned no bars."""
-    plan = stock_plan(spark, d)
-    return P.zero_bar_symbols(plan, landed(spark, d, plan))
+    sc = scenario(spark, d)
+    return P.zero_bar_symbols(sc["plan"], sc["landed"])
 
 
 @query
 def run_outcome(spark, d):
     """AG-3: counts by disposition and the exit code."""
-    plan = stock_plan(spark, d)
-    disp = P.dispositions(plan, landed(spark, d, plan), error_col="_error")
-    return P.run_outcome(disp, plan.where(F.col("action") == P.UP_TO_DATE))
+    sc = scenario(spark, d)
+    return P.run_outcome(sc["disp"], sc["plan"].where(F.col("action") == P.UP_TO_DATE))
 
 
-def upserted_manifest(spark, d):
-    plan = stock_plan(spark, d)
-    disp = P.dispositions(plan, landed(spark, d, plan), error_col="_error")
-    ok = disp.where(F.col("disposition") == P.SUCCEEDED).select("symbol")
+def upserted_manifest(spark, d, sc=None):
+    sc = sc or scenario(spark, d)
+    ok = sc["disp"].where(F.col("disposition") == P.SUCCEEDED).select("symbol")
     bars = stock_daily(spark, d).where(F.to_date("timestamp") <= F.lit(STOCKS_TARGET_END).cast("date"))
     new_state = S.series_state(bars.join(ok, "symbol", "left_semi"), asset_class="stocks", timeframe="daily")
-    return S.manifest_upsert(manifest(spark, d), new_state, UPSERT_STAMP)
+    return S.manifest_upsert(sc["manifest"], new_state, UPSERT_STAMP)
 
 
 @query
@@ -533,8 +541,8 @@ def coverage_check(spark, d):
 @query
 def zero_bar_open_market(spark, d):
     """V-6: zero-bar symbols whose window held at least one open session."""
-    plan = stock_plan(spark, d)
-    zero = P.zero_bar_symbols(plan, landed(spark, d, plan))
+    sc = scenario(spark, d)
+    zero = P.zero_bar_symbols(sc["plan"], sc["landed"])
     sess, dense = stock_calendar(spark, d)
     counted = C.session_count(zero, dense, sess, "from_date", "to_date")
     return counted.where(F.col("sessions") > 0).withColumn("severity", F.lit("warn"))
@@ -615,8 +623,8 @@ def select_constituents(spark, d):
     return U.select_constituents(T.constituent_cells(spark, d), TICKER_COL)
 
 
-def _scraped(spark, d, ticker_col):
-    cells = T.constituent_cells(spark, d)
+def _scraped(spark, d, ticker_col, cells=None):
+    cells = cells if cells is not None else T.constituent_cells(spark, d)
     sel = U.select_constituents(cells, ticker_col)
     return U.extract_tickers(cells, sel, ticker_col), U.scrape_outcome(cells, sel)
 
@@ -675,8 +683,8 @@ def frozen(spark, d):
     return U.build_snapshot(index_a(spark, d).union(index_b(spark, d)), "frozen", VINTAGE_2)
 
 
-def fallback(spark, d, ticker_col):
-    tickers, failures = _scraped(spark, d, ticker_col)
+def fallback(spark, d, ticker_col, cells=None):
+    tickers, failures = _scraped(spark, d, ticker_col, cells)
     primary = U.build_snapshot(tickers, "scrape", PRIMARY_STAMP)
     return U.with_fallback(primary, failures, frozen(spark, d))
 
@@ -696,7 +704,8 @@ def universe_fallback_vintage(spark, d):
 @query
 def universe_freshness(spark, d):
     """AG-5: age and flag of the scraped and the frozen snapshot."""
-    both = fallback(spark, d, TICKER_COL).unionByName(fallback(spark, d, "Ticker"))
+    cells = pin(T.constituent_cells(spark, d))
+    both = fallback(spark, d, TICKER_COL, cells).unionByName(fallback(spark, d, "Ticker", cells))
     return U.universe_freshness(both, FRESHNESS_AS_OF, 7, ["source"])
 
 

@@ -86,3 +86,11 @@ def is_local_path(path: str) -> bool:
 def ensure_parent(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def pin(df):
+    """Materialise ``df`` once with a reliable checkpoint in the shared folder:
+    later uses read the written copy (no recomputation, lineage cut, and it
+    survives the loss of the executors that computed it)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
