@@ -84,15 +84,18 @@ def tracked_series(manifest: DataFrame) -> DataFrame:
 
 
 def status_summary(manifest: DataFrame, usage: DataFrame | None = None) -> DataFrame:
-    """Per asset class and timeframe, with subtotals and a grand total (rollup)."""
-    df = manifest
-    if usage is not None:
-        df = df.join(usage, ["asset_class", "timeframe"], "left")
-    else:
-        df = df.withColumn("disk_bytes", F.lit(None).cast("bigint"))
-    return (df.rollup("asset_class", "timeframe")
-            .agg(F.count(F.lit(1)).alias("symbols"),
-                 F.min("earliest_date").alias("oldest_date"),
-                 F.max("last_complete_date").alias("newest_date"),
-                 F.sum("bar_count").alias("bars"),
-                 F.max("last_updated_at").alias("last_updated_at")))
+    """Per asset class and timeframe, with subtotals and a grand total (rollup).
+    ``usage`` (asset_class, timeframe, disk_bytes) is rolled up the same way and
+    attached with a null-safe join on the rollup keys."""
+    agg = (manifest.rollup("asset_class", "timeframe")
+           .agg(F.count(F.lit(1)).alias("symbols"),
+                F.min("earliest_date").alias("oldest_date"),
+                F.max("last_complete_date").alias("newest_date"),
+                F.sum("bar_count").alias("bars"),
+                F.max("last_updated_at").alias("last_updated_at")))
+    if usage is None:
+        return agg
+    u = usage.rollup("asset_class", "timeframe").agg(F.sum("disk_bytes").alias("disk_bytes")) \
+        .select(F.col("asset_class").alias("_a"), F.col("timeframe").alias("_t"), "disk_bytes")
+    cond = F.col("asset_class").eqNullSafe(F.col("_a")) & F.col("timeframe").eqNullSafe(F.col("_t"))
+    return agg.join(u, cond, "left").drop("_a", "_t")
