@@ -32,8 +32,7 @@ def status(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _tables(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    bars = store.read_bars(spark, root, with_partitions=True)
-    return [(r["asset_class"], r["timeframe"]) for r in bars.select("asset_class", "timeframe").distinct().collect()]
+    return store.list_tables(spark, root)
 
 
 CHECKS = ["gap", "ohlc", "duplicate", "null", "coverage"]

@@ -48,6 +48,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def list_tables(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """(asset_class, timeframe) tables of the lake, from the folder names only."""
+    if not path_exists(spark, bars_path(root)):
+        return []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{bars_path(root)}/asset_class=*/timeframe=*")
+    found = pattern.getFileSystem(conf).globStatus(pattern) or []
+    out = []
+    for st in found:
+        if st.isDirectory():
+            tf = st.getPath().getName().split("=", 1)[1]
+            ac = st.getPath().getParent().getName().split("=", 1)[1]
+            out.append((ac, tf))
+    return sorted(out)
+
+
 def with_layout(bars: DataFrame, asset_class: str | None = None, timeframe: str | None = None) -> DataFrame:
     """Canonical bars plus the lake's partition columns (asset_class and
     timeframe from the arguments, or already on the rows)."""
