@@ -102,3 +102,11 @@ def run_outcome(disp: DataFrame, up_to_date: DataFrame | None = None) -> DataFra
          .when(F.col("errors") == attempted, F.lit(2))
          .otherwise(F.lit(1)).alias("exit_code"),
     )
+
+
+def gap_refetch_plan(ranges: DataFrame, *, asset_class: str, timeframe: str) -> DataFrame:
+    """Interior gaps as fetch windows (the resume plan only ever extends the
+    tail; this feeds the gap ranges of validation back into fetching)."""
+    return ranges.select(F.lit(asset_class).alias("asset_class"), "symbol", F.lit(timeframe).alias("timeframe"),
+                         F.col("first_missing").alias("from_date"), F.col("last_missing").alias("to_date"),
+                         F.lit(FETCH).alias("action"))

@@ -1043,3 +1043,10 @@ def minute_gaps_24x7(spark, d):
     """JN-5: missing minutes of the crypto minute series, expanding only the
     days that have fewer than 1440 bars."""
     return V.missing_minutes(crypto_minute(spark, d), MINUTES_PER_DAY)
+
+
+@query
+def gap_refetch_plan(spark, d):
+    """JN-1 + WN-4: interior gaps of the stock series as fetch windows."""
+    missing, sess = stock_missing(spark, d)
+    return P.gap_refetch_plan(V.gap_ranges(missing, sess), asset_class="stocks", timeframe="daily")

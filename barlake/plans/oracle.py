@@ -842,3 +842,11 @@ SELECT symbol, missing_minute FROM (
   FROM (SELECT symbol, CAST(timestamp AS DATE) AS day FROM crypto_minute GROUP BY 1, 2 HAVING count(*) < 1440))
 EXCEPT ALL
 SELECT symbol, timestamp FROM crypto_minute"""
+
+ORACLE["gap_refetch_plan"] = with_("stock_missing", "scal_sessions") + """
+SELECT 'stocks' AS asset_class, symbol, 'daily' AS timeframe, min(missing_date) AS from_date,
+       max(missing_date) AS to_date, 'fetch' AS action
+FROM (SELECT m.symbol, m.missing_date,
+             s.ordinal - row_number() OVER (PARTITION BY m.symbol ORDER BY s.ordinal) AS grp
+      FROM stock_missing m JOIN scal_sessions s ON m.missing_date = s.session_date)
+GROUP BY symbol, grp"""
