@@ -11,24 +11,20 @@ from barlake.operators.dedupe import KEEP_FIRST, keep_one
 from barlake.schemas import BAR_KEY, MANIFEST_KEY, assert_same_columns
 
 # New batches up to this many rows take the broadcast path of the merge.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
-def merge_append(stored: DataFrame, new: DataFrame, key: Sequence[str] = BAR_KEY,
-                 new_order: Sequence[str | Column] = (), *, policy: str = KEEP_FIRST,
-                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                 new_rows: int | None = None) -> DataFrame:
-    """Stored rows and new rows, one row per key; stored rows are never replaced.
-
-    ``stored`` is already unique per key (it is the output of earlier merges);
-    duplicates inside ``new`` are resolved by ``policy`` over ``new_order``.
+def fresh_rows(stored: DataFrame, new: DataFrame, key: Sequence[str] = BAR_KEY,
+               new_order: Sequence[str | Column] = (), *, policy: str = KEEP_FIRST,
+               max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+               new_rows: int | None = None) -> DataFrame:
+    """The rows of ``new`` whose key is not stored yet (de-duplicated by
+    ``policy`` over ``new_order`` first). Stored rows are never replaced.
 
     Small batch (row count checked against ``max_broadcast_rows``): the new keys
-    are broadcast against a key-only scan of ``stored`` to find collisions, so
-    the stored side is never shuffled. Large batch: both sides are unioned with
-    a generation rank and reduced by the keep-first aggregation (one shuffle on
-    the key, combined map-side).
-    """
+    are broadcast against a key-only scan of ``stored``, so the stored side is
+    never shuffled. Large batch: an anti join on the key columns only (AQE
+    splits a hot key's partition)."""
     assert_same_columns(stored, new, "stored and new rows")
     key = list(key)
     order = list(new_order) or [c for c in new.columns if c not in key]
@@ -38,12 +34,19 @@ def merge_append(stored: DataFrame, new: DataFrame, key: Sequence[str] = BAR_KEY
         if n <= max_broadcast_rows:
             new_keys = new_unique.select(*key)
             collisions = stored.select(*key).join(F.broadcast(new_keys), key, "left_semi")
-            fresh = new_unique.join(collisions, key, "left_anti")
-            return stored.unionByName(fresh)
-    ranked = (stored.withColumn("_gen", F.lit(0))
-              .unionByName(new_unique.withColumn("_gen", F.lit(1))))
-    rest = [c for c in stored.columns if c not in key]
-    return keep_one(ranked, key, ["_gen", *rest], KEEP_FIRST).drop("_gen")
+            return new_unique.join(collisions, key, "left_anti")
+    return new_unique.join(stored.select(*key), key, "left_anti")
+
+
+def merge_append(stored: DataFrame, new: DataFrame, key: Sequence[str] = BAR_KEY,
+                 new_order: Sequence[str | Column] = (), *, policy: str = KEEP_FIRST,
+                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+                 new_rows: int | None = None) -> DataFrame:
+    """Stored rows and new rows, one row per key; stored rows are never replaced
+    (``stored`` is unique per key: it is the output of earlier merges)."""
+    fresh = fresh_rows(stored, new, key, new_order, policy=policy, max_broadcast_rows=max_broadcast_rows,
+                       new_rows=new_rows)
+    return stored.unionByName(fresh)
 
 
 def series_state(bars: DataFrame, *, asset_class: str | Column | None = None,

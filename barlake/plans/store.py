@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from barlake.functions.profiles import PROFILES
 from barlake.operators import state as S
 from barlake.schemas import BAR_COLUMNS, BARS, LAKE_PARTITIONS, MANIFEST
+from barlake.session import pin
 
 LAKE_SCHEMA = T.StructType(BARS.fields + [
     T.StructField("asset_class", T.StringType(), True),
@@ -77,9 +78,10 @@ def with_layout(bars: DataFrame, asset_class: str | None = None, timeframe: str
 
 
 def write_bars(bars: DataFrame, root: str, *, num_files: int | None = None,
-               tables: Sequence[tuple[str, str]] | None = None) -> None:
-    """Write lake rows (canonical + partition columns); only the year
-    partitions present in ``bars`` are replaced (dynamic partition overwrite).
+               tables: Sequence[tuple[str, str]] | None = None, mode: str = "overwrite") -> None:
+    """Write lake rows (canonical + partition columns). ``overwrite``
+    replaces only the year partitions present in ``bars`` (dynamic partition
+    overwrite); ``append`` adds files next to the stored ones.
 
     Each (asset_class, timeframe) table is written to its own folder with
     ``year`` as the only partition column. Rows are range-partitioned and
@@ -96,7 +98,7 @@ def write_bars(bars: DataFrame, root: str, *, num_files: int | None = None,
         part = bars.where((F.col("asset_class") == asset_class) & (F.col("timeframe") == timeframe)) \
             .drop("asset_class", "timeframe")
         out = part.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        (out.write.mode("overwrite")
+        (out.write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "zstd")
             .option("maxRecordsPerFile", ROWS_PER_FILE)
@@ -151,8 +153,12 @@ def touched_partitions(new: DataFrame) -> list[tuple[str, str, int]]:
 def merge_into_lake(new: DataFrame, root: str, *, new_order: Sequence[str] = ()) -> int:
     """SRC-6: merge-append a batch of lake rows; stored rows are never replaced.
 
-    Only the touched year partitions are read and rewritten. Returns the
-    number of touched partitions (0 for an empty batch)."""
+    The new rows are de-duplicated and anti-joined against the stored keys of
+    the touched year partitions only; the fresh rows are then *appended* as new
+    files (range-partitioned and sorted by symbol and time), so an increment
+    never rewrites the years it touches. ``compact`` rewrites partitions into
+    few large sorted files when wanted. Rerunning a batch appends nothing, as
+    every key then collides. Returns the number of touched partitions."""
     spark = new.sparkSession
     parts = touched_partitions(new)
     if not parts:
@@ -162,13 +168,24 @@ def merge_into_lake(new: DataFrame, root: str, *, new_order: Sequence[str] = ())
     for a, t, y in parts:
         c = (F.col("asset_class") == a) & (F.col("timeframe") == t) & (F.col("year") == y)
         cond = c if cond is None else (cond | c)
-    stored = stored.where(cond)
     cols = [*BAR_COLUMNS, *LAKE_PARTITIONS]
-    merged = S.merge_append(stored.select(*cols), new.select(*cols), LAKE_KEY, new_order)
-    write_bars(merged, root, tables=sorted({(a, t) for a, t, _ in parts}))
+    fresh = pin(S.fresh_rows(stored.where(cond).select(*cols), new.select(*cols), LAKE_KEY, new_order))
+    n = fresh.count()
+    if n:
+        n_files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // ROWS_PER_FILE)))
+        write_bars(fresh, root, num_files=n_files, tables=sorted({(a, t) for a, t, _ in parts}), mode="append")
     return len(parts)
 
 
+def compact(spark: SparkSession, root: str, asset_class: str, timeframe: str,
+            years: Sequence[int] | None = None) -> None:
+    """SRC-13: rewrite year partitions of one table into range-partitioned,
+    sorted files (dynamic overwrite of those years only)."""
+    df = read_bars(spark, root, asset_class=asset_class, timeframe=timeframe, years=years, with_partitions=True)
+    # The rewrite reads the partitions it replaces: pin the rows first.
+    write_bars(pin(df), root, tables=[(asset_class, timeframe)])
+
+
 def storage_usage(spark: SparkSession, root: str) -> DataFrame:
     """SRC-9: files and bytes per partition, from file metadata only."""
     df = spark.read.schema(LAKE_SCHEMA).parquet(bars_path(root))

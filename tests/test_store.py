@@ -221,3 +221,18 @@ def test_import_per_symbol_ns_files(spark, scratch):
     assert first["timestamp"] == datetime(2020, 1, 2)
     store.merge_into_lake(store.with_layout(bars), f"{scratch}/lake")
     assert store.read_bars(spark, f"{scratch}/lake").count() == 7
+
+
+def test_increments_append_and_compact(spark, scratch):
+    root, landing = f"{scratch}/lake", f"{scratch}/landing"
+    _land(landing, "X:BTCUSD", datetime(2024, 3, 1), 50, 60)
+    _run(spark, root, landing, ["X:BTCUSD"], timeframe="minute", start="2024-03-01", end="2024-03-01", run_id="r1")
+    _land(landing, "X:BTCUSD", datetime(2024, 3, 2), 40, 60)           # the next day: appended files
+    _run(spark, root, landing, ["X:BTCUSD"], timeframe="minute", start="2024-03-01", end="2024-03-02", run_id="r2")
+    files = lambda: sorted(f for dp, _, fs in os.walk(f"{root}/bars") for f in fs if f.endswith(".parquet"))
+    before = store.read_bars(spark, root).collect()
+    assert len(before) == 90 and len(files()) >= 2
+    store.compact(spark, root, "crypto", "minute")
+    after = store.read_bars(spark, root).collect()
+    assert sorted(after) == sorted(before)
+    assert store.read_manifest(spark, root).first()["bar_count"] == 90
