@@ -70,11 +70,21 @@ def tumbling_bars(ticks: DataFrame, *, width: str = "1 minute", watermark: str =
         F.col("_n").cast("int").alias("transactions"), F.lit(None).cast("boolean").alias("otc"))
 
 
-def run_tumbling_bars(spark: SparkSession, ticks_path: str, schema, out_path: str, checkpoint: str,
-                      **kw) -> None:
-    """Parquet tick files -> appended closed bars (availableNow)."""
-    ticks = spark.readStream.schema(schema).parquet(ticks_path)
-    q = (tumbling_bars(ticks, **kw).writeStream.outputMode("append").format("parquet")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+def run_tumbling_bars(spark: SparkSession, ticks_path: str, schema, out_path: str, checkpoint: str, *,
+                      state_partitions: int | None = None, **kw) -> None:
+    """Parquet tick files -> appended closed bars (availableNow).
+
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    checkpoint (it cannot change afterwards); by default the session's
+    parallelism, not the batch shuffle setting."""
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        ticks = spark.readStream.schema(schema).parquet(ticks_path)
+        q = (tumbling_bars(ticks, **kw).writeStream.outputMode("append").format("parquet")
+             .option("path", out_path).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination()
