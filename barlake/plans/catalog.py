@@ -38,7 +38,8 @@ def crypto_minute(spark, d):
 
 
 def stock_daily(spark, d):
-    return B.ticks_to_bars(T.stock_ticks(spark, d), 1, "day", order_cols=T.STOCK_ORDER)
+    return B.ticks_to_bars(T.stock_ticks(spark, d), 1, "day", order_cols=T.STOCK_ORDER,
+                           order_digits=T.STOCK_ORDER_DIGITS, ts_resolution=T.STOCK_TS_RESOLUTION)
 
 
 def user_daily(spark, d):
@@ -350,7 +351,8 @@ def refetched_stock_daily(spark, d):
         (F.col("l_extendedprice").cast(T.PRICE_DECIMAL) * (1 - F.col("l_discount").cast(T.PRICE_DECIMAL)))
         .alias("price"),
         F.col("l_quantity").cast("bigint").alias("size"))
-    return B.ticks_to_bars(ticks, 1, "day", order_cols=T.STOCK_ORDER)
+    return B.ticks_to_bars(ticks, 1, "day", order_cols=T.STOCK_ORDER, order_digits=T.STOCK_ORDER_DIGITS,
+                           ts_resolution=T.STOCK_TS_RESOLUTION)
 
 
 def merged_bars(spark, d):
@@ -791,7 +793,8 @@ FUTURES_STATE_BEFORE = "1999-01-01"
 
 
 def futures_daily(spark, d):
-    return B.ticks_to_bars(T.futures_ticks(spark, d), 1, "day", order_cols=T.STOCK_ORDER)
+    return B.ticks_to_bars(T.futures_ticks(spark, d), 1, "day", order_cols=T.STOCK_ORDER,
+                           order_digits=T.STOCK_ORDER_DIGITS, ts_resolution=T.STOCK_TS_RESOLUTION)
 
 
 @query

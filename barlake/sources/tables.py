@@ -76,6 +76,11 @@ def stock_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STOCK_ORDER = ["l_orderkey", "l_linenumber", "l_partkey"]
+# Declared widths of the stock tie-breakers (enough for TPC-H keys at any scale
+# up to SF 100,000) and the day granularity of ship dates: the packed ordering
+# key then fits one decimal(38,0). A value outside its width raises an error.
+STOCK_ORDER_DIGITS = [12, 3, 11]
+STOCK_TS_RESOLUTION = "days"
 CRYPTO_ORDER = ["seq"]
 
 
