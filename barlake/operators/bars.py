@@ -62,8 +62,9 @@ def _packed_order(ts: str, order_cols: Sequence[str], digits: Sequence[int], res
     return key
 
 
-def _order_key(ts: str, order_cols: Sequence[str], digits: Sequence[int] | None = None,
-               resolution: str = "micros") -> Column:
+def order_key(ts: str, order_cols: Sequence[str], digits: Sequence[int] | None = None,
+              resolution: str = "micros") -> Column:
+    """Total order of trades: packed decimal when the widths fit, else a struct."""
     if digits is None:
         digits = [19] * len(order_cols)          # any non-negative long
     packed = _packed_order(ts, order_cols, digits, resolution) if len(digits) == len(order_cols) else None
@@ -87,7 +88,7 @@ def ticks_to_bars(ticks: DataFrame, multiplier: int = 1, timespan: str = "day",
     when they fit 38 digits the ordering is one decimal and the aggregation is
     hash-based. Integral tie-breakers default to 19 digits (any long).
     """
-    key = _order_key(ts, order_cols, order_digits, ts_resolution)
+    key = order_key(ts, order_cols, order_digits, ts_resolution)
     p = F.col(price)
     s = F.col(size)
     bars = (

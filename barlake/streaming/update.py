@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators import normalize as N
+from barlake.operators.bars import order_key
 from barlake.plans import store
 from barlake.sources.landing import LANDING, landed_bars
 
@@ -53,9 +54,9 @@ def tumbling_bars(ticks: DataFrame, *, width: str = "1 minute", watermark: str =
                   order_col: str = "seq") -> DataFrame:
     """Streaming ticks (symbol, ts, seq, price, size) -> one bar per closed window.
 
-    ``min_by``/``max_by`` on (ts, seq) give open and close; sums are exact
-    when price/size are decimals."""
-    key = F.struct("ts", order_col)
+    ``min_by``/``max_by`` on (ts, seq) give open and close (the same packed
+    ordering key as the batch bars); sums are exact when price/size are decimals."""
+    key = order_key("ts", [order_col])
     dedup = ticks.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["symbol", order_col])
     agg = dedup.groupBy(F.window("ts", width).alias("w"), "symbol").agg(
         F.min_by("price", key).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
