@@ -63,12 +63,15 @@ def asof_last(markers: DataFrame, values: DataFrame, key: str, time: str, value:
     v = values.select(F.col(key).alias("_vk"), F.col(time).alias("_vt"), F.col(value).alias("_v"))
     cand = v.join(F.broadcast(m), (F.col("_vk") == F.col("_k")) & (F.col("_vt") < F.col("_t"))
                   & (F.col("_vt") >= F.col("_t") - F.expr(f"INTERVAL {int(lookback_days)} DAYS")))
-    near = cand.groupBy("_k", "_t").agg(F.max_by("_v", "_vt").alias(out))
+    near = pin_df(cand.groupBy("_k", "_t").agg(F.max_by("_v", "_vt").alias(out)))
     far_markers = m.join(near.select("_k", "_t"), ["_k", "_t"], "left_anti")
-    far_values = values.join(F.broadcast(far_markers.select(F.col("_k").alias(key)).distinct()), key, "left_semi")
-    far = _asof_general(far_markers.select(F.col("_k").alias(key), F.col("_t").alias(time)), far_values,
-                        key, time, value, out, bucket).select(F.col(key).alias("_k"), F.col(time).alias("_t"), out)
-    res = near.unionByName(far)
+    res = near
+    if not far_markers.isEmpty():
+        far_values = values.join(F.broadcast(far_markers.select(F.col("_k").alias(key)).distinct()), key,
+                                 "left_semi")
+        far = _asof_general(far_markers.select(F.col("_k").alias(key), F.col("_t").alias(time)), far_values,
+                            key, time, value, out, bucket).select(F.col(key).alias("_k"), F.col(time).alias("_t"), out)
+        res = near.unionByName(far)
     return markers.join(res, (F.col(key) == F.col("_k")) & (F.col(time) == F.col("_t")), "left") \
         .drop("_k", "_t")
 
