@@ -49,7 +49,8 @@ def contract_plan(contracts: DataFrame, manifest: DataFrame | None, *, start: st
 def continuous(contract_bars: DataFrame, contracts: DataFrame, method: str = CALENDAR) -> DataFrame:
     """WN-7: one bar per (root, day) from the active contract.
 
-    calendar: each day's pick is the traded contract nearest to expiry;
+    calendar: each day's pick is the listed contract nearest to expiry (the
+    front month, whether it traded that day or not);
     volume (or any other numeric bar column, e.g. open interest when the bars
     carry it): the contract leading on that column that day (ties: nearer
     expiry, then ticker). Either way the active contract never moves back."""
@@ -58,12 +59,18 @@ def continuous(contract_bars: DataFrame, contracts: DataFrame, method: str = CAL
     b = contract_bars.withColumn("day", F.to_date("timestamp")).join(broadcast_if_small(c), "symbol")
     ident = F.struct("last_trade_date", "symbol")
     if method == CALENDAR:
-        pick = F.min(ident)
+        # Nearest expiry among the contracts listed that day (first trade <= day
+        # <= last trade), traded or not: each contract's own lifetime expands to
+        # its days (bounded by contracts x lifetime, no root x day product).
+        listed = contracts.select(
+            F.col("product_code").alias("root"), F.col("ticker").alias("symbol"), "last_trade_date",
+            F.explode(F.sequence("first_trade_date", "last_trade_date")).alias("day"))
+        daily = listed.groupBy("root", "day").agg(F.min(ident).alias("_pick"))
     elif method in contract_bars.columns:
         pick = F.min_by(ident, F.struct((-F.col(method)).alias("v"), "last_trade_date", "symbol"))
+        daily = b.groupBy("root", "day").agg(pick.alias("_pick"))
     else:
         raise ValueError(f"unknown roll method {method!r}: neither 'calendar' nor a bar column")
-    daily = b.groupBy("root", "day").agg(pick.alias("_pick"))
     run = Window.partitionBy("root").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     active = daily.select("root", "day", F.max("_pick").over(run)["symbol"].alias("symbol"))
     out = active.join(b.drop("root", "last_trade_date"), ["symbol", "day"])

@@ -739,7 +739,17 @@ SELECT * FROM (
              WHERE timestamp < TIMESTAMP '1999-01-01' GROUP BY symbol) s ON c.ticker = s.symbol
   WHERE c.last_trade_date >= DATE '1996-01-01')
 WHERE action = 'up_to_date' OR from_date <= to_date"""
-ORACLE["continuous_calendar"] = with_("fut_bars") + _continuous("min(ident)")
+ORACLE["continuous_calendar"] = with_("fut_bars", "contracts") + """
+SELECT a.root, a.day, b.symbol AS contract, b.open, b.high, b.low, b.close, b.volume
+FROM (SELECT root, day, split_part(max(p) OVER (PARTITION BY root ORDER BY day
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '|', 2) AS symbol
+      FROM (SELECT product_code AS root, day,
+                   min(strftime(last_trade_date, '%Y-%m-%d') || '|' || ticker) AS p
+            FROM (SELECT product_code, ticker, last_trade_date,
+                         CAST(unnest(generate_series(first_trade_date, last_trade_date, INTERVAL 1 DAY)) AS DATE) AS day
+                  FROM contracts)
+            GROUP BY 1, 2)) a
+JOIN fut_bars b ON a.symbol = b.symbol AND a.day = b.day"""
 ORACLE["continuous_volume"] = with_("fut_bars") + _continuous("arg_min(ident, (-volume, last_trade_date, symbol))")
 
 # ------------------------------------------------------- status and runs --

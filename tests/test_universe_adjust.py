@@ -104,3 +104,19 @@ def test_asof_last_near_and_far(spark):
                for r in asof_last(marks, vals, "k", "t", "v", "prev", lookback_days=lb).collect()}
         assert got == {("A", "2020-03-10"): 2.0, ("A", "2020-02-01"): 1.0, ("B", "2021-01-01"): 9.0,
                        ("C", "2020-01-01"): None}, lb
+
+
+def test_continuous_rolls_forward_only(spark):
+    from barlake.operators import futures as FU
+    contracts = spark.createDataFrame(
+        [("ESH0", "ES", date(2020, 1, 1), date(2020, 1, 10)), ("ESM0", "ES", date(2020, 1, 1), date(2020, 1, 20))],
+        "ticker string, product_code string, first_trade_date date, last_trade_date date")
+    vol = {("ESH0", 2): 10.0, ("ESM0", 2): 5.0, ("ESH0", 3): 1.0, ("ESM0", 3): 50.0, ("ESH0", 4): 99.0,
+           ("ESM0", 4): 1.0, ("ESM0", 12): 7.0}
+    bars = spark.createDataFrame([(datetime(2020, 1, d), s, 1.0, 1.0, 1.0, 1.0, v, None, 1, None)
+                                  for (s, d), v in vol.items()], BARS)
+    cal = {(r["day"].day): r["contract"] for r in FU.continuous(bars, contracts, FU.CALENDAR).collect()}
+    assert cal == {2: "ESH0", 3: "ESH0", 4: "ESH0", 12: "ESM0"}
+    by_vol = {(r["day"].day): r["contract"] for r in FU.continuous(bars, contracts, FU.VOLUME).collect()}
+    # Day 3 rolls to ESM0 on volume; day 4 stays on ESM0 although ESH0 leads again.
+    assert by_vol == {2: "ESH0", 3: "ESM0", 4: "ESM0", 12: "ESM0"}
