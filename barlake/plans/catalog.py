@@ -85,8 +85,18 @@ def normalize_bars(spark, d):
 
 @query
 def flatfile_normalize(spark, d):
-    """SRC-12/PRJ-3: flat-file rows (O,C,H,L order, ns epoch) -> canonical."""
-    return N.normalize_flat_file(N.to_flat_file(stock_daily(spark, d)))
+    """SRC-12/PRJ-3: flat files (gzip csv with a header; O,C,H,L column order,
+    ns epoch), read back by column NAME and normalised to the canonical schema.
+    The provider ships one file per day; here one file per month holds the
+    same rows, so the check does not time thousands of tiny files."""
+    from barlake.sources.landing import read_flat_files
+    path = scratch_path(spark, "flat")
+    flat = N.to_flat_file(stock_daily(spark, d)).withColumn(
+        "month", F.date_format(F.timestamp_micros(F.expr("window_start div 1000")), "yyyy-MM"))
+    # One file per month (each month written by one task).
+    flat.repartition("month").write.partitionBy("month").option("header", "true") \
+        .option("compression", "gzip").csv(path)
+    return N.normalize_flat_file(read_flat_files(spark, path))
 
 
 # ------------------------------------------------------ dedupe (WN-1/2) --
@@ -394,8 +404,13 @@ RAW_FROM, RAW_TO = "2024-01-05", "2024-01-20"
 
 @query
 def raw_bar_scan(spark, d):
-    """SRC-1: wire records of all symbols whose bar date is in [from, to]."""
-    raw = N.to_raw(crypto_daily(spark, d))
+    """SRC-1: wire records of all symbols whose bar date is in [from, to], read
+    back from landed JSON files (one folder per symbol) in one scan."""
+    from barlake.schemas import RAW_BAR
+    from barlake.sources.landing import read_landing, write_landing
+    landing = scratch_path(spark, "landing")
+    write_landing(N.to_raw(crypto_daily(spark, d)), landing)
+    raw = read_landing(spark, landing).select(*RAW_BAR.fieldNames())
     lo = F.unix_millis(F.lit(RAW_FROM).cast("timestamp"))
     hi = F.unix_millis(F.date_add(F.lit(RAW_TO).cast("date"), 1).cast("timestamp"))
     return raw.where((F.col("t") >= lo) & (F.col("t") < hi))
