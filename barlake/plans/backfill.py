@@ -20,7 +20,7 @@ from barlake.operators.joins import broadcast_if_small
 from barlake.plans import store
 from barlake.schemas import RUN_LOG
 from barlake.session import pin
-from barlake.sources.landing import landed_bars, read_landing
+from barlake.sources.landing import LANDING, landed_bars, read_landing
 
 
 class MissingUniverseError(RuntimeError):
@@ -67,7 +67,11 @@ def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str,
     # state. A reliable checkpoint in the shared folder survives both.
     the_plan = pin(the_plan)
     fetch = the_plan.where(F.col("action") == P.FETCH).select("symbol", "from_date", "to_date")
-    landing = read_landing(spark, landing_path)
+    if store.path_exists(spark, landing_path):
+        landing = read_landing(spark, landing_path)
+    else:  # nothing landed at all: every planned symbol is a zero-bar success
+        landing = spark.createDataFrame([], LANDING).withColumn("_error", F.lit(None).cast("string")) \
+            .withColumn("_file", F.lit(None).cast("string"))
     # Only what falls inside each symbol's planned window counts as fetched.
     in_window = landing.join(broadcast_if_small(fetch), "symbol").where(
         F.col("_error").isNotNull()

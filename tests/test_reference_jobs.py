@@ -69,3 +69,10 @@ def test_dry_run_returns_plan(spark, scratch):
                         asset_class="stocks", timeframe="daily", default_start="2020-01-02",
                         target_end="2020-01-06", run_id="r", now="2020-01-07 00:00:00", dry_run=True)
     assert [(r["symbol"], str(r["from_date"])) for r in plan.collect()] == [("A", "2020-01-02")]
+
+
+def test_nothing_landed_is_zero_bar(spark, scratch):
+    out = backfill.run(spark, f"{scratch}/lake", _universe(spark, "A", "B", asset="stocks"), f"{scratch}/none",
+                       asset_class="stocks", timeframe="daily", default_start="2020-01-02",
+                       target_end="2020-01-06", run_id="r", now="2020-01-07 00:00:00")
+    assert (out.attempted, out.zero_bar, out.exit_code, out.touched_partitions) == (2, 2, 0, 0)
