@@ -120,3 +120,17 @@ def test_continuous_rolls_forward_only(spark):
     by_vol = {(r["day"].day): r["contract"] for r in FU.continuous(bars, contracts, FU.VOLUME).collect()}
     # Day 3 rolls to ESM0 on volume; day 4 stays on ESM0 although ESH0 leads again.
     assert by_vol == {2: "ESH0", 3: "ESM0", 4: "ESM0", 12: "ESM0"}
+
+
+def test_interval_join_shuffle_path_matches_broadcast(spark):
+    from barlake.operators.joins import interval_join
+    bars = spark.createDataFrame([(datetime(2020, 1, d), "A", 1.0, 1.0, 1.0, 1.0, 1.0, None, 1, None)
+                                  for d in range(1, 20)], BARS)
+    iv = spark.createDataFrame([("A", None, date(2020, 1, 5), 0.25), ("A", date(2020, 1, 5), date(2020, 1, 10), 0.5)],
+                               "symbol string, valid_from date, valid_to date, factor double")
+    at = F.to_date("timestamp")
+    small = sorted((r["timestamp"], r["factor"]) for r in interval_join(bars, iv, ["symbol"], at).collect())
+    shuffled = sorted((r["timestamp"], r["factor"]) for r in
+                      interval_join(bars, iv, ["symbol"], at, max_broadcast_rows=0).collect())
+    assert small == shuffled and len(small) == 19
+    assert dict((t.day, f) for t, f in small)[4] == 0.25 and dict((t.day, f) for t, f in small)[12] is None
