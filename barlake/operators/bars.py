@@ -88,12 +88,14 @@ def ticks_to_bars(ticks: DataFrame, multiplier: int = 1, timespan: str = "day",
     when they fit 38 digits the ordering is one decimal and the aggregation is
     hash-based. Integral tie-breakers default to 19 digits (any long).
     """
-    key = order_key(ts, order_cols, order_digits, ts_resolution)
+    # The ordering key is computed once, in a projection before the aggregate.
+    t = ticks.withColumn("_ord", order_key(ts, order_cols, order_digits, ts_resolution))
+    key = F.col("_ord")
     p = F.col(price)
     s = F.col(size)
     bars = (
-        ticks.groupBy(F.col(symbol).alias("symbol"),
-                      bar_start(F.col(ts), multiplier, timespan).alias("timestamp"))
+        t.groupBy(F.col(symbol).alias("symbol"),
+                  bar_start(F.col(ts), multiplier, timespan).alias("timestamp"))
         .agg(
             F.min_by(p, key).alias("_open"),
             F.max(p).alias("_high"),
