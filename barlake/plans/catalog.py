@@ -1068,3 +1068,20 @@ def gap_refetch_plan(spark, d):
     """JN-1 + WN-4: interior gaps of the stock series as fetch windows."""
     missing, sess = stock_missing(spark, d)
     return P.gap_refetch_plan(V.gap_ranges(missing, sess), asset_class="stocks", timeframe="daily")
+
+
+LAKE_AS_OF = "2001-11-30"
+
+
+@query
+def lake_validation_report(spark, d):
+    """V-8 end to end: the stock bars written as a lake, state recorded, then
+    the validate job (gaps by the exchange calendar, OHLC, duplicates, nulls,
+    coverage against the as-of day)."""
+    from barlake.plans import report as RP
+    root = scratch_path(spark, "lake")
+    bars = ST.with_layout(stock_daily(spark, d), "stocks", "daily")
+    ST.write_bars(bars, root)
+    ST.record_state(spark, root, ST.read_bars(spark, root).select("symbol").distinct(), "stocks", "daily",
+                    MANIFEST_STAMP)
+    return RP.validate(spark, root, as_of=LAKE_AS_OF)

@@ -860,3 +860,23 @@ FROM (SELECT m.symbol, m.missing_date,
              s.ordinal - row_number() OVER (PARTITION BY m.symbol ORDER BY s.ordinal) AS grp
       FROM stock_missing m JOIN scal_sessions s ON m.missing_date = s.session_date)
 GROUP BY symbol, grp"""
+
+
+# --------------------------------------------------------- lake validation --
+
+register_calendar("vcal", "SELECT CAST(min(l_shipdate) AS DATE) AS s, DATE '2001-11-30' AS e FROM lineitem")
+CTE["vcal_le"] = """
+  SELECT d.day, coalesce(s.ordinal, 0) AS le FROM vcal_dense d
+  LEFT JOIN vcal_sessions s ON d.session_on_or_before = s.session_date"""
+DEPS["vcal_le"] = ["vcal_dense", "vcal_sessions"]
+ORACLE["lake_validation_report"] = with_("stock_missing", "vcal_le") + """
+, lcd AS (SELECT symbol, max(CAST(timestamp AS DATE)) AS lcd FROM stock_daily GROUP BY symbol),
+cov AS (SELECT l.symbol FROM lcd l JOIN vcal_le d ON l.lcd = d.day
+        JOIN vcal_le n ON n.day = DATE '2001-11-30' WHERE n.le - d.le > 1),
+gaps AS (SELECT symbol, count(*) AS n FROM stock_missing GROUP BY symbol)
+SELECT 'stocks' AS asset_class, 'daily' AS timeframe, count(*) AS symbols,
+       count(*) FILTER (WHERE g.n IS NULL AND c.symbol IS NULL) AS healthy,
+       count(*) FILTER (WHERE g.n IS NOT NULL OR c.symbol IS NOT NULL) AS warnings,
+       (SELECT count(*) FROM stock_missing) AS gap, CAST(0 AS BIGINT) AS ohlc, CAST(0 AS BIGINT) AS duplicate,
+       CAST(0 AS BIGINT) AS "null", (SELECT count(*) FROM cov) AS coverage
+FROM lcd s LEFT JOIN gaps g ON s.symbol = g.symbol LEFT JOIN cov c ON s.symbol = c.symbol"""
