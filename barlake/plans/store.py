@@ -221,6 +221,24 @@ def write_version(df: DataFrame, root: str, name: str) -> int:
     return version
 
 
+def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 7) -> int:
+    """Delete all but the newest ``keep`` versions of table ``name`` (folder
+    deletes only; readers always take the newest). Returns the number removed."""
+    path = table_path(root, name)
+    if keep < 1 or not path_exists(spark, path):
+        return 0
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/version=*")
+    fs = pattern.getFileSystem(conf)
+    found = [(int(st.getPath().getName().split("=", 1)[1]), st.getPath())
+             for st in (fs.globStatus(pattern) or []) if st.isDirectory()]
+    old = sorted(found)[:-keep]
+    for _, p in old:
+        fs.delete(p, True)
+    return len(old)
+
+
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, root, "manifest", MANIFEST)
 

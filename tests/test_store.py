@@ -236,3 +236,14 @@ def test_increments_append_and_compact(spark, scratch):
     after = store.read_bars(spark, root).collect()
     assert sorted(after) == sorted(before)
     assert store.read_manifest(spark, root).first()["bar_count"] == 90
+
+
+def test_prune_versions_keeps_newest(spark, scratch):
+    from pyspark.sql import functions as F
+    df = spark.range(3).select(F.col("id").alias("x"))
+    for _ in range(4):
+        store.write_version(df, scratch, "t")
+    assert store.prune_versions(spark, scratch, "t", keep=2) == 2
+    versions = sorted(r["version"] for r in spark.read.parquet(f"{scratch}/t").select("version").distinct().collect())
+    assert versions == [3, 4]
+    assert store.write_version(df, scratch, "t") == 5
