@@ -213,7 +213,8 @@ def write_version(df: DataFrame, root: str, name: str) -> int:
     path = table_path(root, name)
     current = 0
     if path_exists(spark, path):
-        row = spark.read.parquet(path).agg(F.max("version")).first()
+        # Partition values are read as strings (type inference is off): compare as numbers.
+        row = spark.read.parquet(path).agg(F.max(F.col("version").cast("long"))).first()
         current = int(row[0] or 0)
     version = current + 1
     (df.withColumn("version", F.lit(version).cast("long"))

@@ -244,6 +244,14 @@ def test_prune_versions_keeps_newest(spark, scratch):
     for _ in range(4):
         store.write_version(df, scratch, "t")
     assert store.prune_versions(spark, scratch, "t", keep=2) == 2
-    versions = sorted(r["version"] for r in spark.read.parquet(f"{scratch}/t").select("version").distinct().collect())
+    versions = sorted(int(r["version"]) for r in spark.read.parquet(f"{scratch}/t").select("version").distinct().collect())
     assert versions == [3, 4]
     assert store.write_version(df, scratch, "t") == 5
+
+
+def test_versions_past_nine_order_numerically(spark, scratch):
+    from pyspark.sql import functions as F
+    df = spark.range(1).select(F.col("id").alias("x"))
+    for i in range(11):
+        assert store.write_version(df.withColumn("x", F.lit(i)), scratch, "t") == i + 1
+    assert store.read_latest(spark, scratch, "t", df.schema).first()["x"] == 10
