@@ -122,12 +122,11 @@ def days_spanning(df: DataFrame, col: str, pad_before: int = 0) -> DataFrame:
     bounds = df.agg(F.date_sub(F.min(F.to_date(col)), pad_before).alias("_s"),
                     F.max(F.to_date(col)).alias("_e"))
     span = F.datediff("_e", "_s") + 1
-    checked = bounds.select(
-        "_s", "_e",
-        F.when(span > MAX_CALENDAR_DAYS,
-               F.raise_error(F.lit(f"calendar span exceeds {MAX_CALENDAR_DAYS} days"))).alias("_chk"))
-    return checked.where(F.col("_s").isNotNull()).select(
-        F.explode(F.sequence("_s", "_e")).alias("day"))
+    # The guard sits in the sequence bound itself, so it cannot be pruned away.
+    end = F.when(span > MAX_CALENDAR_DAYS,
+                 F.raise_error(F.lit(f"calendar span exceeds {MAX_CALENDAR_DAYS} days")).cast("date")) \
+        .otherwise(F.col("_e"))
+    return bounds.where(F.col("_s").isNotNull()).select(F.explode(F.sequence(F.col("_s"), end)).alias("day"))
 
 
 def holidays(days: DataFrame, closures: DataFrame | None = None) -> DataFrame:
