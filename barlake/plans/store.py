@@ -6,9 +6,11 @@ the ten canonical columns; rows are range-partitioned and sorted by
 (symbol, timestamp) inside each year, so Parquet row-group statistics on
 ``symbol`` prune like a folder per symbol would, without tiny files.
 
-Side tables are versioned snapshots: ``{root}/manifest/version=N`` and
-``{root}/universe/version=N``; a writer appends version N+1, a reader takes the
-newest. A half-written version is never committed, so readers never see it.
+Side tables are versioned snapshots: ``{root}/manifest/version=N``,
+``{root}/universe/version=N`` and ``{root}/findings/version=N``. A writer adds
+version N+1 in its own folder; a reader takes the newest folder that carries
+the commit marker, so an empty version is still the newest and a crashed write
+is never seen. Version numbers are compared as numbers and never reused.
 """
 
 from __future__ import annotations
@@ -197,47 +199,63 @@ def storage_usage(spark: SparkSession, root: str) -> DataFrame:
 
 # ------------------------------------------------------ versioned tables --
 
+def _version_dirs(spark: SparkSession, path: str, committed_only: bool = True) -> list[tuple[int, object]]:
+    """(version, Hadoop path) of the ``version=N`` folders; committed ones carry
+    the writer's ``_SUCCESS`` marker (a crashed write leaves none)."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/version=*")
+    fs = pattern.getFileSystem(conf)
+    out = []
+    for st in fs.globStatus(pattern) or []:
+        name = st.getPath().getName().split("=", 1)[1]
+        if not st.isDirectory() or not name.isdigit():
+            continue
+        if committed_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            continue
+        out.append((int(name), st.getPath()))
+    return sorted(out, key=lambda v: v[0])
+
+
 def read_latest(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    """The newest committed version of table ``name`` (an empty version is a
+    valid newest version)."""
     path = table_path(root, name)
-    if not path_exists(spark, path):
+    versions = _version_dirs(spark, path)
+    if not versions:
         return spark.createDataFrame([], schema)
-    full = T.StructType(schema.fields + [T.StructField("version", T.LongType(), True)])
-    df = spark.read.schema(full).parquet(path)
-    newest = df.agg(F.max("version").alias("version"))
-    return df.join(F.broadcast(newest), "version").select(*schema.fieldNames())
+    return spark.read.schema(schema).parquet(f"{path}/version={versions[-1][0]}")
 
 
 def write_version(df: DataFrame, root: str, name: str) -> int:
-    """Append ``df`` as the next version of table ``name``; returns the version."""
+    """Write ``df`` as the next version of table ``name``; returns the version.
+    Numbers are never reused, not even those of crashed writes."""
     spark = df.sparkSession
     path = table_path(root, name)
-    current = 0
-    if path_exists(spark, path):
-        # Partition values are read as strings (type inference is off): compare as numbers.
-        row = spark.read.parquet(path).agg(F.max(F.col("version").cast("long"))).first()
-        current = int(row[0] or 0)
-    version = current + 1
-    (df.withColumn("version", F.lit(version).cast("long"))
-       .write.mode("append").partitionBy("version").parquet(path))
+    existing = _version_dirs(spark, path, committed_only=False)
+    version = (existing[-1][0] if existing else 0) + 1
+    df.write.mode("errorifexists").parquet(f"{path}/version={version}")
     return version
 
 
 def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 7) -> int:
-    """Delete all but the newest ``keep`` versions of table ``name`` (folder
-    deletes only; readers always take the newest). Returns the number removed."""
+    """Delete all but the newest ``keep`` committed versions of table ``name``
+    (and any crashed write older than those). Returns the number removed."""
     path = table_path(root, name)
-    if keep < 1 or not path_exists(spark, path):
+    committed = _version_dirs(spark, path)
+    if keep < 1 or len(committed) <= keep:
         return 0
+    oldest_kept = committed[-keep][0]
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/version=*")
-    fs = pattern.getFileSystem(conf)
-    found = [(int(st.getPath().getName().split("=", 1)[1]), st.getPath())
-             for st in (fs.globStatus(pattern) or []) if st.isDirectory()]
-    old = sorted(found)[:-keep]
-    for _, p in old:
-        fs.delete(p, True)
-    return len(old)
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    removed = 0
+    for v, p in _version_dirs(spark, path, committed_only=False):
+        if v < oldest_kept:
+            fs.delete(p, True)
+            removed += v in {c for c, _ in committed}
+    return removed
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:

@@ -255,3 +255,15 @@ def test_versions_past_nine_order_numerically(spark, scratch):
     for i in range(11):
         assert store.write_version(df.withColumn("x", F.lit(i)), scratch, "t") == i + 1
     assert store.read_latest(spark, scratch, "t", df.schema).first()["x"] == 10
+
+
+def test_empty_newest_version_and_crashed_write(spark, scratch):
+    from pyspark.sql import functions as F
+    df = spark.range(2).select(F.col("id").alias("x"))
+    store.write_version(df, scratch, "f")
+    store.write_version(df.limit(0), scratch, "f")          # a run with no findings
+    assert store.read_latest(spark, scratch, "f", df.schema).count() == 0
+    os.makedirs(f"{scratch}/f/version=3/_temporary")         # a crashed write: no _SUCCESS
+    assert store.read_latest(spark, scratch, "f", df.schema).count() == 0
+    assert store.write_version(df, scratch, "f") == 4
+    assert store.read_latest(spark, scratch, "f", df.schema).count() == 2
