@@ -32,7 +32,8 @@ def fetch_plan(universe: DataFrame, manifest: DataFrame, *, timeframe: str,
     start, end = _date(default_start), _date(target_end)
     state = manifest.where(F.col("timeframe") == timeframe).select(
         "asset_class", "symbol", "earliest_date", "last_complete_date")
-    joined = universe.select("asset_class", "symbol").join(state, ["asset_class", "symbol"], "left")
+    # A symbol listed twice in the universe is planned once.
+    joined = universe.select("asset_class", "symbol").distinct().join(state, ["asset_class", "symbol"], "left")
     lcd = F.col("last_complete_date")
     action = F.when(lcd.isNotNull() & (lcd >= end), F.lit(UP_TO_DATE)).otherwise(F.lit(FETCH))
     tail = joined.select(

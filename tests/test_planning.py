@@ -60,3 +60,10 @@ def test_dispositions(spark):
     assert got == {"A": "succeeded", "B": "error", "C": "zero_bar"}
     assert [r["symbol"] for r in P.zero_bar_symbols(
         plan.withColumn("from_date", F.lit(None)).withColumn("to_date", F.lit(None)), landed).collect()] == ["C"]
+
+
+def test_duplicate_universe_entries_planned_once(spark):
+    uni = spark.createDataFrame([("stocks", "AAPL"), ("stocks", "AAPL")], "asset_class string, symbol string")
+    man = spark.createDataFrame([], MANIFEST)
+    plan = P.fetch_plan(uni, man, timeframe="daily", default_start="2020-01-01", target_end="2020-01-10")
+    assert plan.count() == 1
