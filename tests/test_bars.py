@@ -106,3 +106,13 @@ def test_packed_order_key_guards(spark):
     negative = _ticks(spark, [("A", t, -1, 0, 1.0, 1)])
     with pytest.raises(Exception, match="negative"):
         B.ticks_to_bars(negative, order_cols=["a"]).collect()
+
+
+def test_bar_steps_carry_across_empty_days(spark):
+    from barlake.operators import validation as V
+    ts = [datetime(2024, 1, 1, 23, 58), datetime(2024, 1, 1, 23, 59), datetime(2024, 1, 3, 0, 1),
+          datetime(2024, 1, 3, 0, 2)]
+    rows = [(t, "A", 1.0, 1.0, 1.0, 1.0, 1.0, None, 1, None) for t in ts]
+    steps = {r["timestamp"]: r["step_seconds"] for r in V.bar_steps(spark.createDataFrame(rows, BARS)).collect()}
+    assert steps[ts[0]] is None and steps[ts[1]] == 60
+    assert steps[ts[2]] == 86400 + 120 and steps[ts[3]] == 60
