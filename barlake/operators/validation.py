@@ -185,3 +185,14 @@ def type_audit(raw: DataFrame, expected: dict[str, str], group: Sequence[str] =
     return x.groupBy(*group, "_c.column", "_c.expected_type").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if("_c.bad").alias("violations"),
         F.count_if("_c.missing").alias("nulls"))
+
+
+def column_presence(raw: DataFrame, columns: list[str], group: list[str]) -> DataFrame:
+    """V-1 (schema drift): per group (e.g. landed file or symbol) and column,
+    rows, nulls and whether the column is absent altogether (null in every
+    row, as when a field is never sent). One partial aggregation."""
+    rows = [F.struct(F.lit(c).alias("column"), F.col(c).isNull().alias("is_null")) for c in columns]
+    x = raw.select(*group, F.explode(F.array(*rows)).alias("_c"))
+    out = x.groupBy(*group, "_c.column").agg(F.count(F.lit(1)).alias("rows"),
+                                             F.count_if("_c.is_null").alias("nulls"))
+    return out.withColumn("missing", F.col("rows") == F.col("nulls"))

@@ -1085,3 +1085,16 @@ def lake_validation_report(spark, d):
     ST.record_state(spark, root, ST.read_bars(spark, root).select("symbol").distinct(), "stocks", "daily",
                     MANIFEST_STAMP)
     return RP.validate(spark, root, as_of=LAKE_AS_OF)
+
+
+@query
+def landing_column_audit(spark, d):
+    """V-1: landed wire records (written per symbol, read back in one scan):
+    per symbol and field, rows, nulls and whether the field never arrived
+    (``otc`` is omitted when false, so it is missing for crypto)."""
+    from barlake.schemas import RAW_BAR
+    from barlake.sources.landing import read_landing, write_landing
+    landing = scratch_path(spark, "landing")
+    write_landing(N.to_raw(crypto_daily(spark, d)), landing)
+    fields = [c for c in RAW_BAR.fieldNames() if c != "symbol"]
+    return V.column_presence(read_landing(spark, landing), fields, ["symbol"])

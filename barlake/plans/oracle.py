@@ -880,3 +880,40 @@ SELECT 'stocks' AS asset_class, 'daily' AS timeframe, count(*) AS symbols,
        (SELECT count(*) FROM stock_missing) AS gap, CAST(0 AS BIGINT) AS ohlc, CAST(0 AS BIGINT) AS duplicate,
        CAST(0 AS BIGINT) AS "null", (SELECT count(*) FROM cov) AS coverage
 FROM lcd s LEFT JOIN gaps g ON s.symbol = g.symbol LEFT JOIN cov c ON s.symbol = c.symbol"""
+
+ORACLE["landing_column_audit"] = with_("crypto_daily") + """
+SELECT symbol, 'o' AS "column", count(*) AS rows, count(*) FILTER (WHERE open IS NULL) AS nulls,
+       count(*) = count(*) FILTER (WHERE open IS NULL) AS missing
+FROM crypto_daily GROUP BY symbol
+UNION ALL
+SELECT symbol, 'h' AS "column", count(*) AS rows, count(*) FILTER (WHERE high IS NULL) AS nulls,
+       count(*) = count(*) FILTER (WHERE high IS NULL) AS missing
+FROM crypto_daily GROUP BY symbol
+UNION ALL
+SELECT symbol, 'l' AS "column", count(*) AS rows, count(*) FILTER (WHERE low IS NULL) AS nulls,
+       count(*) = count(*) FILTER (WHERE low IS NULL) AS missing
+FROM crypto_daily GROUP BY symbol
+UNION ALL
+SELECT symbol, 'c' AS "column", count(*) AS rows, count(*) FILTER (WHERE close IS NULL) AS nulls,
+       count(*) = count(*) FILTER (WHERE close IS NULL) AS missing
+FROM crypto_daily GROUP BY symbol
+UNION ALL
+SELECT symbol, 'v' AS "column", count(*) AS rows, count(*) FILTER (WHERE volume IS NULL) AS nulls,
+       count(*) = count(*) FILTER (WHERE volume IS NULL) AS missing
+FROM crypto_daily GROUP BY symbol
+UNION ALL
+SELECT symbol, 'vw' AS "column", count(*) AS rows, count(*) FILTER (WHERE vwap IS NULL) AS nulls,
+       count(*) = count(*) FILTER (WHERE vwap IS NULL) AS missing
+FROM crypto_daily GROUP BY symbol
+UNION ALL
+SELECT symbol, 't' AS "column", count(*) AS rows, count(*) FILTER (WHERE timestamp IS NULL) AS nulls,
+       count(*) = count(*) FILTER (WHERE timestamp IS NULL) AS missing
+FROM crypto_daily GROUP BY symbol
+UNION ALL
+SELECT symbol, 'n' AS "column", count(*) AS rows, count(*) FILTER (WHERE transactions IS NULL) AS nulls,
+       count(*) = count(*) FILTER (WHERE transactions IS NULL) AS missing
+FROM crypto_daily GROUP BY symbol
+UNION ALL
+SELECT symbol, 'otc' AS "column", count(*) AS rows, count(*) FILTER (WHERE otc IS NULL) AS nulls,
+       count(*) = count(*) FILTER (WHERE otc IS NULL) AS missing
+FROM crypto_daily GROUP BY symbol"""
