@@ -62,13 +62,15 @@ def with_fallback(primary: DataFrame, primary_failures: DataFrame, frozen: DataF
     """RF-2: the primary snapshot if it has rows and no failures, else the
     frozen one with its own vintage (never re-stamped). Both empty -> empty.
 
-    Candidates are ranked in one small aggregate per source and the winner
-    is picked by an equi-join on ``source``; nothing is collected."""
+    Candidates and failure markers are tagged with their rank and reduced in
+    one small aggregate; the winner is picked by an equi-join on the rank.
+    Nothing is collected."""
     cand = primary.withColumn("_rank", F.lit(0)).unionByName(frozen.withColumn("_rank", F.lit(1)))
-    fails = primary_failures.select(F.lit(0).alias("_rank"), F.lit(1).alias("_fail"))
-    stats = cand.groupBy("_rank").agg(F.count(F.lit(1)).alias("_n")) \
-        .join(fails.groupBy("_rank").agg(F.count(F.lit(1)).alias("_f")), "_rank", "left")
-    winner = stats.where((F.col("_n") > 0) & F.col("_f").isNull()).agg(F.min("_rank").alias("_rank"))
+    tags = cand.select("_rank", F.lit(0).alias("_fail")).unionByName(
+        primary_failures.select(F.lit(0).alias("_rank"), F.lit(1).alias("_fail")))
+    stats = tags.groupBy("_rank").agg(F.count_if(F.col("_fail") == 0).alias("_n"),
+                                      F.count_if(F.col("_fail") == 1).alias("_f"))
+    winner = stats.where((F.col("_n") > 0) & (F.col("_f") == 0)).agg(F.min("_rank").alias("_rank"))
     return cand.join(F.broadcast(winner), "_rank").drop("_rank")
 
 

@@ -545,11 +545,10 @@ def coverage_check(spark, d):
     m = upserted_manifest(spark, d)
     sess, dense = stock_calendar(spark, d)
     le = dense.select(F.col("day").alias("_day"), F.col("sessions_le").cast("int").alias("_le"))
-    now = le.select(F.col("_day").alias("_asof"), F.col("_le").alias("_now"))
-    j = m.withColumn("_asof", F.lit(STOCKS_TARGET_END).cast("date")) \
-        .join(F.broadcast(le), F.col("last_complete_date") == F.col("_day"), "left") \
-        .join(F.broadcast(now), "_asof", "left")
-    behind = (F.col("_now") - F.col("_le")).cast("bigint")
+    # Sessions up to the as-of day: one number, used as a parameter.
+    now_le = le.where(F.col("_day") == F.lit(STOCKS_TARGET_END).cast("date")).first()["_le"]
+    j = m.join(F.broadcast(le), F.col("last_complete_date") == F.col("_day"), "left")
+    behind = (F.lit(now_le) - F.col("_le")).cast("bigint")
     return j.select("asset_class", "symbol", "timeframe", "last_complete_date",
                     behind.alias("sessions_behind"),
                     (behind <= COVERAGE_MAX_SESSIONS).alias("covered"))

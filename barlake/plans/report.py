@@ -68,12 +68,12 @@ def findings(spark: SparkSession, root: str, *, as_of: str, coverage_sessions: i
                 *lit, "symbol", F.lit("gap").alias("check"), F.col("missing_date").alias("day"),
                 F.lit("missing session").alias("detail")))
         le = dense.select(F.col("day").alias("_d"), F.col("sessions_le").alias("_le"))
-        now = dense.select(F.col("day").alias("_asof"), F.col("sessions_le").alias("_now"))
+        # Sessions up to the as-of day: one number, used as a parameter.
+        now = dense.where(F.col("day") == as_of_day).select("sessions_le").first()
+        now_le = now["sessions_le"] if now is not None else None
         m = manifest.where((F.col("asset_class") == asset_class) & (F.col("timeframe") == timeframe)) \
-            .withColumn("_asof", as_of_day) \
             .join(F.broadcast(le), F.col("last_complete_date") == F.col("_d"), "left") \
-            .join(F.broadcast(now), "_asof", "left") \
-            .withColumn("_behind", F.col("_now") - F.col("_le"))
+            .withColumn("_behind", F.lit(now_le).cast("long") - F.col("_le"))
         parts.append(m.where(F.col("_behind") > coverage_sessions).select(
             *lit, "symbol", F.lit("coverage").alias("check"), F.col("last_complete_date").alias("day"),
             F.concat(F.col("_behind").cast("string"), F.lit(" sessions behind")).alias("detail")))
