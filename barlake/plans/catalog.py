@@ -725,14 +725,7 @@ def universe_freshness(spark, d):
     return U.universe_freshness(both, FRESHNESS_AS_OF, 7, ["source"])
 
 
-# Freshness thresholds per reference dataset (OK up to, WARN up to).
-FRESHNESS_THRESHOLDS = [
-    ("stocks_universe", 7, 14),
-    ("futures_contracts", 14, 30),
-    ("market_calendar", 30, 90),
-    ("splits", 2, 7),
-    ("dividends", 2, 7),
-]
+from barlake.plans.report import REFERENCE_THRESHOLDS as FRESHNESS_THRESHOLDS  # noqa: E402
 REPORT_AS_OF = "2001-12-01 00:00:00"
 
 

@@ -31,6 +31,39 @@ def status(spark: SparkSession, root: str) -> DataFrame:
         "asset_class", "timeframe", "disk_bytes"))
 
 
+# Freshness thresholds per reference dataset (OK up to, WARN up to), in days.
+REFERENCE_THRESHOLDS = [
+    ("stocks_universe", 7, 14),
+    ("futures_contracts", 14, 30),
+    ("market_calendar", 30, 90),
+    ("splits", 2, 7),
+    ("dividends", 2, 7),
+]
+# Stamp column of each stored reference table.
+_STAMPS = {"stocks_universe": ("universe", "generated_at"), "futures_contracts": ("futures_contracts", "discovered_at"),
+           "market_calendar": ("calendar", "refreshed_at"), "splits": ("splits", "refreshed_at"),
+           "dividends": ("dividends", "refreshed_at")}
+
+
+def reference_freshness(spark: SparkSession, root: str, *, as_of: str) -> DataFrame:
+    """AG-6: one row per reference dataset stored in the lake (newest version
+    of each table): rows, newest stamp, whole-day age and flag; a dataset that
+    is absent reads MISSING."""
+    from pyspark.sql import types as T
+    from barlake.operators import universe as U
+    parts = []
+    for dataset, (table, stamp) in _STAMPS.items():
+        schema = T.StructType([T.StructField(stamp, T.TimestampType(), True)])
+        df = store.read_latest(spark, root, table, schema)
+        parts.append(df.agg(F.lit(dataset).alias("dataset"), F.count(F.lit(1)).alias("rows"),
+                            F.max(stamp).alias("last_refreshed")))
+    datasets = parts[0]
+    for p in parts[1:]:
+        datasets = datasets.unionByName(p)
+    thresholds = spark.createDataFrame(REFERENCE_THRESHOLDS, "dataset string, ok_days int, stale_days int")
+    return U.freshness_report(datasets, thresholds, as_of)
+
+
 def _tables(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     return store.list_tables(spark, root)
 

@@ -34,6 +34,8 @@ LAKE_SCHEMA = T.StructType(BARS.fields + [
 LAKE_KEY = ["asset_class", "timeframe", "symbol", "timestamp"]
 # Target rows per output file of a rewritten partition.
 ROWS_PER_FILE = 2_000_000
+# Manifest versions kept after each state record (older ones are pruned).
+MANIFEST_VERSIONS_KEPT = 30
 
 
 def bars_path(root: str) -> str:
@@ -280,6 +282,8 @@ def record_state(spark: SparkSession, root: str, symbols: DataFrame, asset_class
     date_expr = profile.bar_date(F.col("timestamp"), timeframe) if profile else None
     st = S.series_state(bars, asset_class=asset_class, timeframe=timeframe, date_expr=date_expr)
     new_manifest = S.manifest_upsert(read_manifest(spark, root), st, updated_at)
-    # Appending version N+1 never touches version N, which it reads.
-    return write_version(new_manifest, root, "manifest")
+    # Writing version N+1 never touches version N, which it reads.
+    version = write_version(new_manifest, root, "manifest")
+    prune_versions(spark, root, "manifest", keep=MANIFEST_VERSIONS_KEPT)
+    return version
 

@@ -28,3 +28,16 @@ def test_status_and_validate_over_a_lake(spark, scratch):
     assert ("MSFT", "coverage") in f and ("AAPL", "coverage") not in f
     v = report.validate(spark, root, as_of="2020-01-08", write=True).collect()[0]
     assert (v["symbols"], v["warnings"], v["gap"], v["ohlc"], v["coverage"]) == (2, 2, 1, 1, 1)
+
+
+def test_reference_freshness_over_stored_tables(spark, scratch):
+    from barlake.plans import store
+    uni = spark.createDataFrame([("AAPL", "scrape", datetime(2024, 1, 30))],
+                                "ticker string, source string, generated_at timestamp")
+    store.write_version(uni, scratch, "universe")
+    spl = spark.createDataFrame([("AAPL", datetime(2024, 1, 20))], "symbol string, refreshed_at timestamp")
+    store.write_version(spl, scratch, "splits")
+    got = {r["dataset"]: r["flag"] for r in report.reference_freshness(spark, scratch, as_of="2024-02-01 00:00:00")
+           .collect()}
+    assert got == {"stocks_universe": "OK", "splits": "STALE", "dividends": "MISSING",
+                   "futures_contracts": "MISSING", "market_calendar": "MISSING"}
