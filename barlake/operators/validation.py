@@ -68,7 +68,7 @@ def monotonic_check(df: DataFrame, ts: str = "ts", bucket: str = "year") -> Data
 
 
 def missing_sessions(bar_days: DataFrame, sessions: DataFrame, dense: DataFrame,
-                     key: str = "symbol") -> DataFrame:
+                     key: str = "symbol", with_ordinal: bool = False) -> DataFrame:
     """JN-5: sessions strictly between consecutive bar days of a series.
 
     ``bar_days`` has (key, day), one row per series and day with a bar.
@@ -91,7 +91,9 @@ def missing_sessions(bar_days: DataFrame, sessions: DataFrame, dense: DataFrame,
               F.date_sub("next_day", 1) == F.col("_nd")) \
         .where(F.col("hi") > F.col("lo"))
     exploded = pairs.select(key, F.explode(F.sequence(F.col("lo") + 1, F.col("hi"))).alias("_ord"))
-    return exploded.join(F.broadcast(ords), "_ord").select(key, F.col("_sd").alias("missing_date"))
+    out = exploded.join(F.broadcast(ords), "_ord")
+    extra = [F.col("_ord").alias("ordinal")] if with_ordinal else []
+    return out.select(key, F.col("_sd").alias("missing_date"), *extra)
 
 
 def missing_minutes(bars: DataFrame, minutes_per_day: int = 1440, first_minute: int = 0) -> DataFrame:
@@ -116,9 +118,14 @@ def missing_minutes(bars: DataFrame, minutes_per_day: int = 1440, first_minute:
 def gap_ranges(missing: DataFrame, sessions: DataFrame, key: str = "symbol") -> DataFrame:
     """WN-4: consecutive missing sessions compressed into [first, last] ranges.
 
-    Islands by ordinal: ordinal minus its rank is constant within a run."""
-    ords = sessions.select(F.col("session_date").alias("missing_date"), "ordinal")
-    m = missing.join(F.broadcast(ords), "missing_date")
+    Islands by ordinal: ordinal minus its rank is constant within a run.
+    ``missing`` may carry the session ``ordinal`` already (``missing_sessions(...,
+    with_ordinal=True)``); otherwise it is looked up on the calendar."""
+    if "ordinal" in missing.columns:
+        m = missing
+    else:
+        ords = sessions.select(F.col("session_date").alias("missing_date"), "ordinal")
+        m = missing.join(F.broadcast(ords), "missing_date")
     w = Window.partitionBy(key, F.year("missing_date")).orderBy("ordinal")
     g = m.withColumn("_grp", F.col("ordinal") - F.row_number().over(w))
     # Runs never span a year boundary in this grouping; that splits a run

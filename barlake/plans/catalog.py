@@ -476,10 +476,10 @@ def daily_gaps_24x7(spark, d):
     return V.missing_sessions(user_bar_days(spark, d), sess, dense)
 
 
-def stock_missing(spark, d):
+def stock_missing(spark, d, with_ordinal=False):
     sess, dense = stock_calendar(spark, d)
     bar_days = stock_daily(spark, d).select("symbol", F.to_date("timestamp").alias("day"))
-    return V.missing_sessions(bar_days, sess, dense), sess
+    return V.missing_sessions(bar_days, sess, dense, with_ordinal=with_ordinal), sess
 
 
 @query
@@ -491,7 +491,7 @@ def daily_gaps_sessions(spark, d):
 @query
 def gap_ranges(spark, d):
     """WN-4: missing sessions of each stock series as contiguous ranges."""
-    missing, sess = stock_missing(spark, d)
+    missing, sess = stock_missing(spark, d, with_ordinal=True)
     return V.gap_ranges(missing, sess)
 
 
@@ -1058,7 +1058,7 @@ def minute_gaps_24x7(spark, d):
 @query
 def gap_refetch_plan(spark, d):
     """JN-1 + WN-4: interior gaps of the stock series as fetch windows."""
-    missing, sess = stock_missing(spark, d)
+    missing, sess = stock_missing(spark, d, with_ordinal=True)
     return P.gap_refetch_plan(V.gap_ranges(missing, sess), asset_class="stocks", timeframe="daily")
 
 
