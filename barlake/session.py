@@ -7,7 +7,6 @@ values that are read as UTC.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,15 +78,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-
-
 def pin(df):
     """Materialise ``df`` once with a reliable checkpoint in the shared folder:
     later uses read the written copy (no recomputation, lineage cut, and it
