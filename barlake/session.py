@@ -59,13 +59,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
-    It is the cluster's ``spark.checkpoint.dir``. Only when that is unset (tests,
-    a laptop) is a fresh scratch folder made and registered on the session.
+    It is the cluster's ``spark.checkpoint.dir``. Where that is unset, a local
+    master (tests, a laptop) gets a fresh scratch folder, registered on the
+    session; on a cluster it is an error, since executors share no local folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="barlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
