@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import simhash
+from barlake.llm import packing, simhash
 from barlake.llm.common import documents
 
 
@@ -15,8 +15,15 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), width=3, budget=3)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 2048 tokens."""
+    import public_tokenizers
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
+    "op9_packing": op9_packing,
 }
 
 ORACLE: dict[str, str] = {}
