@@ -5,11 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barlake.llm import packing, simhash
+from barlake.llm import packing, secrets, simhash
 from barlake.llm.common import documents
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by pattern and by Markov models."""
+    docs = documents(spark, sf_dir)
+    found = secrets.scan(docs, secrets.train(docs))
+    return found.select(
+        "doc_id", *[secrets.count_of(F.col("base"), k).alias(f"n_{k}") for k in secrets.KINDS[:3]],
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+        secrets.count_of(F.col("spans"), "random").alias("n_random"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of every document: 3-word shingles, 3 differing bits."""
     return simhash.near_duplicates(documents(spark, sf_dir), width=3, budget=3)
@@ -22,6 +34,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
 }
