@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import packing, secrets, simhash
+from barlake.llm import packing, quality, secrets, simhash
 from barlake.llm.common import documents
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the byte-level convolutional network."""
+    docs = documents(spark, sf_dir)
+    return quality.classify(docs, quality.model_for(spark, sf_dir, docs))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by pattern and by Markov models."""
     docs = documents(spark, sf_dir)
@@ -34,6 +40,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
