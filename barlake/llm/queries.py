@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import packing, quality, secrets, simhash
+from barlake.llm import packing, pii, quality, secrets, simhash
 from barlake.llm.common import documents
 
 
@@ -17,6 +17,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.model_for(spark, sf_dir, docs))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, by pattern and by boosted trees."""
+    found = pii.scan(documents(spark, sf_dir), pii.train())
+    return found.select("doc_id", *[pii.count_of("base", k).alias(f"n_{k}") for k in pii.BASE_KINDS],
+                        F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by pattern and by Markov models."""
     docs = documents(spark, sf_dir)
@@ -41,6 +48,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
+    "op4_pii": op4_pii,
     "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
