@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import packing, pii, quality, secrets, simhash
+from barlake.llm import licenses, packing, pii, quality, secrets, simhash, token_counts
 from barlake.llm.common import documents
 
 
@@ -24,6 +24,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences stated in every document."""
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by pattern and by Markov models."""
     docs = documents(spark, sf_dir)
@@ -46,12 +51,20 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of every document."""
+    import public_tokenizers
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_pii": op4_pii,
+    "op6_licenses": op6_licenses,
     "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
