@@ -17,7 +17,8 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.llm.common import map_texts, whole_texts
@@ -25,6 +26,8 @@ from barlake.llm.common import map_texts, whole_texts
 SPACE = "▁"
 #: Distinct words whose ids a worker remembers; beyond it the memory starts anew.
 KNOWN_WORDS = 600_000
+#: Pairs of pieces whose border it remembers.
+KNOWN_BORDERS = 1_000_000
 #: New words indexed at once, in characters.
 INDEX_CHARS = 2_000_000
 _START, _OTHER, _NONE = -1, -2, -3
@@ -74,7 +77,7 @@ class PieceModel:
                 self.plain.add(i)
         self.joins = {(a, b): self.rank[t] for t in self.rank for k in range(1, len(t))
                       if (a := self.id.get(t[:k])) is not None and (b := self.id.get(t[k:])) is not None}
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.beside: dict[int, bool] = {}
         lengths = np.array([len(self.text[i]) for i in self.edge_pieces])
         self.lengths = lengths
         self.codes = np.zeros((len(lengths), int(lengths.max(initial=1))), dtype=np.int32)
@@ -104,11 +107,12 @@ class PieceModel:
 
     def may_follow(self, a: int, b: int) -> bool:
         """Whether the text of ``a`` and ``b`` together is encoded as these two."""
-        got = self.beside.get((a, b))
+        key = a * len(self.text) + b
+        got = self.beside.get(key)
         if got is None:
-            if len(self.beside) > 4_000_000:
+            if len(self.beside) >= KNOWN_BORDERS:
                 self.beside.clear()
-            got = self.beside[(a, b)] = self._border_stays(a, b)
+            got = self.beside[key] = self._border_stays(a, b)
         return got
 
     def _border_stays(self, a: int, b: int) -> bool:
@@ -358,19 +362,17 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     return map_texts(texts, make, "doc_id long, text_sha256 string, ids array<int>")
 
 
-def decode(encoded: DataFrame, model_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(doc_id long, ids array<int>, text string): one row per input row. Null ids
-    are none (an empty text); null entries are skipped."""
+def decode_column(model_file: str) -> Callable[[Column], Column]:
+    """Column function: text of an array of ids. Null ids are none (an empty text);
+    null entries are skipped."""
     data = _read(model_file)
-    rows = encoded.select(F.col(id_col).cast("long").alias("doc_id"),
-                          F.coalesce(F.filter(F.col(ids_col).cast("array<int>"), lambda i: i.isNotNull()),
-                                     F.array().cast("array<int>")).alias("ids"),
-                          # slices are bounded by this column's size
-                          F.lit("").alias("text"))
 
-    def make() -> Callable:
+    @F.pandas_udf("string")
+    def text_of(ids: pd.Series) -> pd.Series:
         model = piece_model(data)
-        return lambda cols: {"doc_id": cols["doc_id"], "ids": cols["ids"],
-                             "text": [decode_ids(i, model) for i in cols["ids"]]}
+        return pd.Series([decode_ids(i.tolist(), model) for i in ids], dtype=object)
 
-    return map_texts(rows, make, "doc_id long, ids array<int>, text string")
+    def of(ids: Column) -> Column:
+        known = F.filter(ids.cast("array<int>"), lambda i: i.isNotNull())
+        return text_of(F.coalesce(known, F.array().cast("array<int>")))
+    return of

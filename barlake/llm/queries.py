@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import licenses, packing, pii, quality, secrets, simhash, token_counts
+from barlake.llm import licenses, packing, pieces, pii, quality, secrets, simhash, token_counts
 from barlake.llm.common import documents
 
 
@@ -24,6 +24,16 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document, and whether they decode to its text."""
+    import public_tokenizers
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(documents(spark, sf_dir), model)
+    decoded = F.sha2(pieces.decode_column(model)(F.col("ids")), 256)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                          (decoded == F.col("text_sha256")).alias("round_trip"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences stated in every document."""
     return licenses.scan(documents(spark, sf_dir))
@@ -60,6 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_pii": op4_pii,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_licenses": op6_licenses,
     "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
