@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import licenses, packing, pieces, pii, quality, secrets, simhash, token_counts
+from barlake.llm import licenses, packing, pieces, pii, quality, secrets, simhash, spotsigs, token_counts
 from barlake.llm.common import documents
 
 
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, its edited text and the next document."""
+    return spotsigs.compare_with_next(documents(spark, sf_dir))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by the byte-level convolutional network."""
     docs = documents(spark, sf_dir)
@@ -68,6 +73,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_spotsigs": op2_spotsigs,
     "op3_quality": op3_quality,
     "op4_pii": op4_pii,
     "op5_sentencepiece": op5_sentencepiece,
