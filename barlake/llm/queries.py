@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import licenses, packing, pieces, pii, quality, secrets, simhash, spotsigs, token_counts
+from barlake.llm import embeddings, licenses, packing, pieces, pii, quality, secrets, simhash, spotsigs, token_counts
 from barlake.llm.common import documents
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings linked at a cosine of 0.9 and more, and their components."""
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document, its edited text and the next document."""
     return spotsigs.compare_with_next(documents(spark, sf_dir))
@@ -73,6 +78,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embeddings": op1_embeddings,
     "op2_spotsigs": op2_spotsigs,
     "op3_quality": op3_quality,
     "op4_pii": op4_pii,
