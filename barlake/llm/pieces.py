@@ -314,7 +314,7 @@ def encode_texts(texts: list[str], model: PieceModel) -> list[list[int]]:
 def decode_ids(ids: list[int], model: PieceModel) -> str:
     """Text of ids: byte pieces joined (invalid UTF-8 replaced), control pieces
     empty, the added word start dropped."""
-    out = bytearray()
+    out, added = bytearray(), model.prefix  # the added word start, while it may still come
     for i in ids:
         kind = model.kind[i]
         if kind == 6:
@@ -322,9 +322,10 @@ def decode_ids(ids: list[int], model: PieceModel) -> str:
         elif kind == 2:
             out += " ⁇ ".encode()
         elif kind != 3:
-            out += model.text[i].encode()
-    text = out.decode(errors="replace").replace(SPACE, " ")
-    return text[1:] if model.prefix and text.startswith(" ") else text
+            start = added and not out and model.text[i].startswith(SPACE)
+            added = added and not start
+            out += model.text[i].removeprefix(SPACE if start else "").encode()
+    return out.decode(errors="replace").replace(SPACE, " ")
 
 
 _MODELS: dict[int, PieceModel] = {}
