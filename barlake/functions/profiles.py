@@ -15,7 +15,7 @@ from barlake.functions.time import exchange_date
 @dataclass(frozen=True)
 class AssetProfile:
     asset_class: str
-    calendar: str            # NYSE, WEEKDAYS or 24x7 (see operators.calendar)
+    calendar: str            # NYSE, US_WEEKDAYS, WEEKDAYS or 24x7 (see operators.calendar)
     exchange_dates: bool     # state and gaps by exchange (New York) date, not UTC date
 
     def api_ticker(self, entry: Column) -> Column:
@@ -35,6 +35,6 @@ class AssetProfile:
 
 # The profiles of the supported asset classes.
 STOCKS = AssetProfile("stocks", "NYSE", True)
-FUTURES = AssetProfile("futures", "WEEKDAYS", True)
+FUTURES = AssetProfile("futures", "US_WEEKDAYS", True)
 CRYPTO = AssetProfile("crypto", "24x7", False)
 PROFILES = {p.asset_class: p for p in (STOCKS, FUTURES, CRYPTO)}

@@ -29,7 +29,8 @@ def from_epoch_ms(c) -> Column:
 
 def from_epoch_ns(c) -> Column:
     """ns epoch -> timestamp (µs precision; sub-µs digits are floored)."""
-    return F.timestamp_micros(F.floor(_col(c) / F.lit(1000)).cast("bigint"))
+    ns = _col(c).cast("bigint")  # integer arithmetic: a double holds no ns of this century
+    return F.timestamp_micros(F.call_function("div", ns - F.pmod(ns, F.lit(1000)), F.lit(1000)))
 
 
 def to_utc_instant(c) -> Column:

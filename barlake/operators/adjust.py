@@ -18,9 +18,6 @@ from barlake.operators.joins import asof_last, interval_join
 from barlake.schemas import BAR_COLUMNS, DIVIDENDS_KEY, SPLITS_KEY
 
 PRICE_COLUMNS = ["open", "high", "low", "close", "vwap"]
-# The previous close is looked up in this many days before the ex-date first;
-# the rare dividend without a bar in that window takes the general as-of path.
-PREV_CLOSE_LOOKBACK_DAYS = 14
 
 
 def factor_intervals(actions: DataFrame, date_col: str, factor_col: str) -> DataFrame:
@@ -67,7 +64,7 @@ def dividend_intervals(bars: DataFrame, dividends: DataFrame) -> DataFrame:
                            "ex_dividend_date", "cash_amount")
     closes = bars.select("symbol", "timestamp", "close")
     with_close = asof_last(div, closes.withColumnRenamed("timestamp", "_ex"), "symbol", "_ex", "close",
-                           "prev_close", lookback_days=PREV_CLOSE_LOOKBACK_DAYS)
+                           "prev_close")
     f = with_close.where(F.col("prev_close").isNotNull() & (F.col("prev_close") > 0)).select(
         "symbol", "ex_dividend_date", (1 - F.col("cash_amount") / F.col("prev_close")).alias("_df"))
     return factor_intervals(f, "ex_dividend_date", "_df")

@@ -20,61 +20,14 @@ from barlake.schemas import BAR_COLUMNS
 TURNOVER_DECIMAL = "decimal(38,4)"
 
 
-# Decimal digits of the time part of a packed ordering key, by resolution.
-_TS_DIGITS = {"micros": 16, "seconds": 11, "days": 6}
-_MAX_DIGITS = 38
-
-
-def _pow10(digits: int) -> Column:
-    return F.lit(str(10 ** digits)).cast("decimal(38,0)")
-
-
-def _in_range(c: Column, digits: int, what: str) -> Column:
-    bound = _pow10(digits)
-    v = c.cast("decimal(38,0)")
-    return F.when((v > -bound) & (v < bound), v).otherwise(
-        F.raise_error(F.lit(f"{what} does not fit its declared {digits} digits")).cast("decimal(38,0)"))
-
-
-def _packed_order(ts: str, order_cols: Sequence[str], digits: Sequence[int], resolution: str) -> Column | None:
-    """(time, tie-breakers) as one decimal(38,0) when the declared widths fit.
-
-    A decimal key keeps ``min_by``/``max_by`` buffers fixed-width, so the bar
-    aggregation runs as a hash aggregation (a struct key forces a sort-based
-    one). Tie-breakers must be non-negative integers below 10**digits; a value
-    outside its width raises instead of mis-ordering."""
-    ts_digits = _TS_DIGITS[resolution]
-    if ts_digits + sum(digits) > _MAX_DIGITS:
-        return None
-    t = F.col(ts)
-    if resolution == "micros":
-        tv = F.unix_micros(t)
-    elif resolution == "seconds":
-        tv = F.unix_seconds(t)
-    else:
-        tv = F.when(F.date_trunc("day", t) == t, F.unix_date(F.to_date(t))).otherwise(
-            F.raise_error(F.lit("time has a time of day but the declared resolution is days")))
-    key = _in_range(tv, ts_digits, "time")
-    for c, d in zip(order_cols, digits):
-        part = F.when(F.col(c) >= 0, _in_range(F.col(c), d, c)).otherwise(
-            F.raise_error(F.lit(f"{c} is negative")).cast("decimal(38,0)"))
-        key = (key * _pow10(d) + part).cast("decimal(38,0)")
-    return key
-
-
-def order_key(ts: str, order_cols: Sequence[str], digits: Sequence[int] | None = None,
-              resolution: str = "micros") -> Column:
-    """Total order of trades: packed decimal when the widths fit, else a struct."""
-    if digits is None:
-        digits = [19] * len(order_cols)          # any non-negative long
-    packed = _packed_order(ts, order_cols, digits, resolution) if len(digits) == len(order_cols) else None
-    return packed if packed is not None else F.struct(F.col(ts), *[F.col(c) for c in order_cols])
+def order_key(ts: str, order_cols: Sequence[str]) -> Column:
+    """Total order of trades: time, then the tie-breakers, of any type and width."""
+    return F.struct(F.col(ts), *[F.col(c) for c in order_cols])
 
 
 def ticks_to_bars(ticks: DataFrame, multiplier: int = 1, timespan: str = "day", *,
                   ts: str = "ts", price: str = "price", size: str = "size",
-                  order_cols: Sequence[str] = (), symbol: str = "symbol",
-                  order_digits: Sequence[int] | None = None, ts_resolution: str = "micros") -> DataFrame:
+                  order_cols: Sequence[str] = (), symbol: str = "symbol") -> DataFrame:
     """OHLCV bars from trades.
 
     open/close are the prices of the first/last trade by (ts, *order_cols), which
@@ -82,14 +35,9 @@ def ticks_to_bars(ticks: DataFrame, multiplier: int = 1, timespan: str = "day",
     should be exact (decimal or integer): turnover and volume are summed exactly
     and converted once, so the result does not depend on summation order.
     vwap = turnover / volume; transactions = trade count. otc is unknown (null).
-
-    ``order_digits`` declares the decimal width of each (non-negative,
-    integral) tie-break column and ``ts_resolution`` the time's granularity;
-    when they fit 38 digits the ordering is one decimal and the aggregation is
-    hash-based. Integral tie-breakers default to 19 digits (any long).
     """
     # The ordering key is computed once, in a projection before the aggregate.
-    t = ticks.withColumn("_ord", order_key(ts, order_cols, order_digits, ts_resolution))
+    t = ticks.withColumn("_ord", order_key(ts, order_cols))
     key = F.col("_ord")
     p = F.col(price)
     s = F.col(size)

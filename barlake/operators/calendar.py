@@ -12,7 +12,7 @@ task; that task holds the date span only.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,10 +40,9 @@ SPECIAL_CLOSURES = [
 MLK_FIRST_YEAR = 1998
 JUNETEENTH_FIRST_YEAR = 2022
 
-MAX_CALENDAR_DAYS = 366 * 200
-
 NYSE = "NYSE"
 WEEKDAYS = "WEEKDAYS"
+US_WEEKDAYS = "US_WEEKDAYS"
 CONTINUOUS = "24x7"
 
 
@@ -54,8 +53,6 @@ def _d(v) -> Column:
 def day_range(spark: SparkSession, start: str, end: str) -> DataFrame:
     """All days in [start, end] as ``day``, generated by a distributed range."""
     n = (date.fromisoformat(str(end)) - date.fromisoformat(str(start))).days
-    if n + 1 > MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar span of {n + 1} days exceeds {MAX_CALENDAR_DAYS}")
     return spark.range(0, max(n + 1, 0)).select(
         F.date_add(_d(str(start)), F.col("id").cast("int")).alias("day"))
 
@@ -118,15 +115,10 @@ def days_spanning(df: DataFrame, col: str, pad_before: int = 0) -> DataFrame:
     """All days from the first to the last date of ``col`` in ``df``.
 
     One aggregate row is expanded with ``sequence``: the result holds the date
-    span only (checked against MAX_CALENDAR_DAYS), however large ``df`` is."""
+    span only, however large ``df`` is."""
     bounds = df.agg(F.date_sub(F.min(F.to_date(col)), pad_before).alias("_s"),
                     F.max(F.to_date(col)).alias("_e"))
-    span = F.datediff("_e", "_s") + 1
-    # The guard sits in the sequence bound itself, so it cannot be pruned away.
-    end = F.when(span > MAX_CALENDAR_DAYS,
-                 F.raise_error(F.lit(f"calendar span exceeds {MAX_CALENDAR_DAYS} days")).cast("date")) \
-        .otherwise(F.col("_e"))
-    return bounds.where(F.col("_s").isNotNull()).select(F.explode(F.sequence(F.col("_s"), end)).alias("day"))
+    return bounds.where(F.col("_s").isNotNull()).select(F.explode(F.sequence("_s", "_e")).alias("day"))
 
 
 def holidays(days: DataFrame, closures: DataFrame | None = None) -> DataFrame:
@@ -142,8 +134,9 @@ def holidays(days: DataFrame, closures: DataFrame | None = None) -> DataFrame:
 def sessions(days: DataFrame, *, calendar: str = NYSE, holiday_table: DataFrame | None = None) -> DataFrame:
     """Session days among ``days`` with ordinal and neighbouring sessions.
 
-    ``calendar``: NYSE (weekdays minus exchange holidays), WEEKDAYS (weekdays
-    only) or 24x7 (every day)."""
+    ``calendar``: NYSE (weekdays minus exchange holidays and one-off closures),
+    US_WEEKDAYS (weekdays minus the holidays that follow rules), WEEKDAYS
+    (weekdays only) or 24x7 (every day)."""
     if calendar == CONTINUOUS:
         sess = days
     else:
@@ -152,6 +145,8 @@ def sessions(days: DataFrame, *, calendar: str = NYSE, holiday_table: DataFrame
         if calendar == NYSE:
             hol = holiday_table if holiday_table is not None else holidays(days)
             sess = sess.join(F.broadcast(hol.select(F.col("holiday_date").alias("day"))), "day", "left_anti")
+        elif calendar == US_WEEKDAYS:
+            sess = sess.where(holiday_name(F.col("day")).isNull())
         elif calendar != WEEKDAYS:
             raise ValueError(f"unknown calendar {calendar!r}")
     w = Window.orderBy("day")
@@ -203,6 +198,14 @@ def target_end(days: DataFrame, day_col: str, dense: DataFrame) -> DataFrame:
     return days.join(F.broadcast(look), F.date_sub(F.col(day_col), 1) == F.col("_d"), "left").drop("_d")
 
 
+def last_complete_day(spark: SparkSession, today: str, calendar: str = NYSE) -> str | None:
+    """The last session before ``today`` (ISO date), looked up in the month before."""
+    end = date.fromisoformat(today) - timedelta(days=1)
+    days = day_range(spark, (end - timedelta(days=31)).isoformat(), end.isoformat())
+    row = sessions(days, calendar=calendar).agg(F.max("session_date").alias("d")).first()
+    return row["d"].isoformat() if row["d"] is not None else None
+
+
 def session_count(ranges: DataFrame, dense: DataFrame, session_table: DataFrame | None = None,
                   start_col: str = "start_date", end_col: str = "end_date") -> DataFrame:
     """Number of sessions in [start, end] for each row of ``ranges``: the

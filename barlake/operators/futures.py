@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.operators.joins import broadcast_if_small
 from barlake.operators.planning import FETCH, UP_TO_DATE
 
 CALENDAR = "calendar"
@@ -56,7 +55,7 @@ def continuous(contract_bars: DataFrame, contracts: DataFrame, method: str = CAL
     expiry, then ticker). Either way the active contract never moves back."""
     c = contracts.select(F.col("ticker").alias("symbol"), F.col("product_code").alias("root"),
                          "last_trade_date")
-    b = contract_bars.withColumn("day", F.to_date("timestamp")).join(broadcast_if_small(c), "symbol")
+    b = contract_bars.withColumn("day", F.to_date("timestamp")).join(c, "symbol")
     ident = F.struct("last_trade_date", "symbol")
     if method == CALENDAR:
         # Nearest expiry among the contracts listed that day (first trade <= day

@@ -1,4 +1,5 @@
-"""Join helpers: checked broadcast and interval (as-of style) joins."""
+"""Join helpers: interval and as-of joins. Whether a side is broadcast is left to
+the planner, which goes by its size in bytes."""
 
 from __future__ import annotations
 
@@ -7,28 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.session import pin as pin_df
-
-# Sides at or below this many rows may be broadcast (checked by a count).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, pin: bool = True) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise leave the
-    strategy to the planner (shuffle join, AQE skew handling).
-
-    With ``pin`` the side is first materialised by a reliable checkpoint in
-    the shared folder, so the count and the join read it once instead of
-    computing it twice, and its lineage is cut."""
-    if pin:
-        df = pin_df(df)
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def interval_join(left: DataFrame, intervals: DataFrame, key: Sequence[str], at: Column,
-                  start: str = "valid_from", end: str = "valid_to", how: str = "left",
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  start: str = "valid_from", end: str = "valid_to", how: str = "left") -> DataFrame:
     """Rows of ``left`` with the interval of the same key containing ``at``:
     ``start <= at < end`` (null start/end are open). An equi-join on ``key``
     with a residual range predicate, never a pure theta join."""
@@ -36,7 +18,6 @@ def interval_join(left: DataFrame, intervals: DataFrame, key: Sequence[str], at:
     r = intervals
     for k in key:
         r = r.withColumnRenamed(k, f"_r_{k}")
-    r = broadcast_if_small(r, max_broadcast_rows)
     cond = [F.col(k) == F.col(f"_r_{k}") for k in key]
     cond.append(F.col(start).isNull() | (at >= F.col(start)))
     cond.append(F.col(end).isNull() | (at < F.col(end)))
@@ -45,40 +26,11 @@ def interval_join(left: DataFrame, intervals: DataFrame, key: Sequence[str], at:
 
 
 def asof_last(markers: DataFrame, values: DataFrame, key: str, time: str, value: str,
-              out: str, bucket=F.year, lookback_days: int | None = None,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              out: str, bucket=F.year) -> DataFrame:
     """For each marker row, the ``value`` of the latest ``values`` row of the
     same key strictly before the marker's ``time``.
 
-    With ``lookback_days`` the (small, count-checked) distinct markers are
-    broadcast and joined to the values of the preceding ``lookback_days``
-    only: the values are filtered in place, never shuffled whole. Markers with
-    no value inside the look-back take the general path below, restricted to
-    their keys."""
-    if lookback_days is None:
-        return _asof_general(markers, values, key, time, value, out, bucket)
-    m = pin_df(markers.select(F.col(key).alias("_k"), F.col(time).alias("_t")).distinct())
-    if m.count() > max_broadcast_rows:
-        return _asof_general(markers, values, key, time, value, out, bucket)
-    v = values.select(F.col(key).alias("_vk"), F.col(time).alias("_vt"), F.col(value).alias("_v"))
-    cand = v.join(F.broadcast(m), (F.col("_vk") == F.col("_k")) & (F.col("_vt") < F.col("_t"))
-                  & (F.col("_vt") >= F.col("_t") - F.expr(f"INTERVAL {int(lookback_days)} DAYS")))
-    near = pin_df(cand.groupBy("_k", "_t").agg(F.max_by("_v", "_vt").alias(out)))
-    far_markers = m.join(near.select("_k", "_t"), ["_k", "_t"], "left_anti")
-    res = near
-    if not far_markers.isEmpty():
-        far_values = values.join(F.broadcast(far_markers.select(F.col("_k").alias(key)).distinct()), key,
-                                 "left_semi")
-        far = _asof_general(far_markers.select(F.col("_k").alias(key), F.col("_t").alias(time)), far_values,
-                            key, time, value, out, bucket).select(F.col(key).alias("_k"), F.col(time).alias("_t"), out)
-        res = near.unionByName(far)
-    return markers.join(res, (F.col(key) == F.col("_k")) & (F.col(time) == F.col("_t")), "left") \
-        .drop("_k", "_t")
-
-
-def _asof_general(markers: DataFrame, values: DataFrame, key: str, time: str, value: str,
-                  out: str, bucket=F.year) -> DataFrame:
-    """General as-of: distinct (key, time) markers and the values are unioned and a running
+    Distinct (key, time) markers and the values are unioned and a running
     last-non-null is taken in a window partitioned by (key, bucket); markers
     whose bucket holds no earlier value take the last value of earlier buckets
     from a per-bucket aggregate. A hot key is therefore split by its buckets.

@@ -10,43 +10,29 @@ from pyspark.sql import functions as F
 from barlake.operators.dedupe import KEEP_FIRST, keep_one
 from barlake.schemas import BAR_KEY, MANIFEST_KEY, assert_same_columns
 
-# New batches up to this many rows take the broadcast path of the merge.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
 def fresh_rows(stored: DataFrame, new: DataFrame, key: Sequence[str] = BAR_KEY,
-               new_order: Sequence[str | Column] = (), *, policy: str = KEEP_FIRST,
-               max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-               new_rows: int | None = None) -> DataFrame:
+               new_order: Sequence[str | Column] = (), *, policy: str = KEEP_FIRST) -> DataFrame:
     """The rows of ``new`` whose key is not stored yet (de-duplicated by
     ``policy`` over ``new_order`` first). Stored rows are never replaced.
 
-    Small batch (row count checked against ``max_broadcast_rows``): the new keys
-    are broadcast against a key-only scan of ``stored``, so the stored side is
-    never shuffled. Large batch: an anti join on the key columns only (AQE
-    splits a hot key's partition)."""
+    The stored keys that collide are found first by a semi join with the new
+    keys: where these are small in bytes the planner broadcasts them and the
+    key-only scan of ``stored`` is not shuffled; where they are not, both sides
+    are shuffled on the key and AQE splits a hot one. The anti join then meets
+    only the collisions."""
     assert_same_columns(stored, new, "stored and new rows")
     key = list(key)
     order = list(new_order) or [c for c in new.columns if c not in key]
     new_unique = keep_one(new, key, order, policy)
-    if max_broadcast_rows is not None:
-        n = new_rows if new_rows is not None else new_unique.count()
-        if n <= max_broadcast_rows:
-            new_keys = new_unique.select(*key)
-            collisions = stored.select(*key).join(F.broadcast(new_keys), key, "left_semi")
-            return new_unique.join(collisions, key, "left_anti")
-    return new_unique.join(stored.select(*key), key, "left_anti")
+    collisions = stored.select(*key).join(new_unique.select(*key), key, "left_semi")
+    return new_unique.join(collisions, key, "left_anti")
 
 
 def merge_append(stored: DataFrame, new: DataFrame, key: Sequence[str] = BAR_KEY,
-                 new_order: Sequence[str | Column] = (), *, policy: str = KEEP_FIRST,
-                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                 new_rows: int | None = None) -> DataFrame:
+                 new_order: Sequence[str | Column] = (), *, policy: str = KEEP_FIRST) -> DataFrame:
     """Stored rows and new rows, one row per key; stored rows are never replaced
     (``stored`` is unique per key: it is the output of earlier merges)."""
-    fresh = fresh_rows(stored, new, key, new_order, policy=policy, max_broadcast_rows=max_broadcast_rows,
-                       new_rows=new_rows)
-    return stored.unionByName(fresh)
+    return stored.unionByName(fresh_rows(stored, new, key, new_order, policy=policy))
 
 
 def series_state(bars: DataFrame, *, asset_class: str | Column | None = None,

@@ -40,9 +40,18 @@ def extract_tickers(cells: DataFrame, selected: DataFrame, ticker_col: str) -> D
         "page", "row_no", normalize_ticker(F.col("value")).alias("ticker"))
 
 
-def scrape_outcome(cells: DataFrame, selected: DataFrame) -> DataFrame:
-    """Pages without a matching table (the 'page restructured' signal)."""
-    return cells.select("page").distinct().join(selected.select("page"), "page", "left_anti")
+def scrape_outcome(cells: DataFrame, selected: DataFrame, tickers: DataFrame | None = None,
+                   expected: DataFrame | None = None) -> DataFrame:
+    """Pages that failed: without a matching table (the page was restructured),
+    and, with ``tickers``, without any ticker extracted. ``expected`` (page) are the
+    pages that were asked for: one that returned no cells at all fails too."""
+    pages = cells.select("page").distinct()
+    if expected is not None:
+        pages = pages.unionByName(expected.select("page")).distinct()
+    good = selected.select("page")
+    if tickers is not None:
+        good = good.join(tickers.select("page").distinct(), "page", "left_semi")
+    return pages.join(good, "page", "left_anti")
 
 
 def build_snapshot(tickers: DataFrame, source: str | Column, generated_at: str | Column) -> DataFrame:
@@ -99,7 +108,7 @@ def universe_freshness(snapshot: DataFrame, as_of: str, refresh_days: int = 7,
 def freshness_report(datasets: DataFrame, thresholds: DataFrame, as_of: str) -> DataFrame:
     """AG-6/RF-4: datasets (dataset, rows, last_refreshed) x thresholds
     (dataset, ok_days, stale_days) -> flag and whether to refresh."""
-    j = datasets.join(F.broadcast(thresholds), "dataset", "left")
+    j = datasets.join(thresholds, "dataset", "left")
     age = whole_days_between(F.col("last_refreshed"), F.lit(as_of).cast("timestamp"))
     flag = F.when(F.coalesce(F.col("rows"), F.lit(0)) == 0, F.lit(MISSING)) \
         .otherwise(freshness_flag(age, F.col("ok_days"), F.col("stale_days")))
@@ -141,12 +150,16 @@ def universe_diff(old: DataFrame, new: DataFrame) -> DataFrame:
         F.when(F.col("_o").isNull(), F.lit("added")).otherwise(F.lit("removed")).alias("change"))
 
 
-def freeze(snapshot: DataFrame, indexes: list[str], n_chunks: int = 1) -> DataFrame:
+def freeze(snapshot: DataFrame, indexes: list[str], chunk_size: int = 10_000) -> DataFrame:
     """SRC-11: the frozen document form (generated_at, source,
-    indexes_included, tickers[]). Tickers are split into ``n_chunks`` documents
-    by hash so no single group must hold an unbounded universe."""
-    chunk = F.pmod(F.xxhash64("ticker"), F.lit(n_chunks)).cast("int")
-    return snapshot.groupBy("generated_at", "source", chunk.alias("chunk")).agg(
+    indexes_included, tickers[]). The number of documents follows the number of
+    tickers of a vintage (about ``chunk_size`` each, dealt by hash), so no
+    document holds an unbounded universe."""
+    vintage = ["generated_at", "source"]
+    counts = snapshot.groupBy(*vintage).agg(F.count(F.lit(1)).alias("_n"))
+    chunks = F.ceil(F.col("_n") / chunk_size)
+    dealt = snapshot.join(counts, vintage).withColumn("chunk", F.pmod(F.xxhash64("ticker"), chunks).cast("int"))
+    return dealt.groupBy(*vintage, "chunk").agg(
         F.array_sort(F.collect_list("ticker")).alias("tickers")
     ).select("generated_at", "source", F.array(*[F.lit(i) for i in indexes]).alias("indexes_included"),
              "chunk", "tickers")

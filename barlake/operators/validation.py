@@ -55,12 +55,11 @@ def bar_steps(bars: DataFrame, bucket: str = "day") -> DataFrame:
                     (F.unix_seconds("timestamp") - F.unix_seconds("prev_ts")).alias("step_seconds"))
 
 
-def monotonic_check(df: DataFrame, ts: str = "ts", bucket: str = "year") -> DataFrame:
+def monotonic_check(df: DataFrame, ts: str = "ts") -> DataFrame:
     """WN-6: per symbol, rows whose time does not strictly exceed the previous
     one in time order. In sorted order that is exactly the number of rows
     minus the number of distinct times, so it is two partial aggregations:
-    no window, and a symbol with a third of all rows is no hot partition.
-    (``bucket`` is kept for signature compatibility.)"""
+    no window, and a symbol with a third of all rows is no hot partition."""
     per_ts = df.groupBy("symbol", ts).agg(F.count(F.lit(1)).alias("_n"))
     return per_ts.groupBy("symbol").agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("_distinct")) \
         .select("symbol", "rows", (F.col("rows") - F.col("_distinct")).alias("violations")) \
@@ -96,22 +95,33 @@ def missing_sessions(bar_days: DataFrame, sessions: DataFrame, dense: DataFrame,
     return out.select(key, F.col("_sd").alias("missing_date"), *extra)
 
 
-def missing_minutes(bars: DataFrame, minutes_per_day: int = 1440, first_minute: int = 0) -> DataFrame:
-    """JN-5 at minute scale: count bars per (symbol, day) first and expand only
-    the deficient days to their expected minutes, then anti-join the bars of
-    those days. A complete day is never expanded; a deficient day expands to
-    at most ``minutes_per_day`` rows. ``first_minute`` is the day's first
-    expected minute after midnight UTC (0 for 24x7)."""
-    per_day = bars.groupBy("symbol", F.to_date("timestamp").alias("day")).agg(F.count(F.lit(1)).alias("_n"))
-    short = per_day.where(F.col("_n") < minutes_per_day)
-    start = F.col("day").cast("timestamp") + F.make_dt_interval(mins=F.lit(first_minute))
-    expected = short.select(
-        "symbol", "day",
-        F.explode(F.sequence(start, start + F.make_dt_interval(mins=F.lit(minutes_per_day - 1)),
-                             F.expr("INTERVAL 1 MINUTE"))).alias("timestamp"))
-    have = bars.select("symbol", F.to_date("timestamp").alias("day"), "timestamp") \
-        .join(short.select("symbol", "day"), ["symbol", "day"], "left_semi")
-    return expected.join(have, ["symbol", "day", "timestamp"], "left_anti") \
+def missing_minutes(bars: DataFrame, session_minutes: DataFrame | None = None) -> DataFrame:
+    """JN-5 at minute scale: minutes without a bar between the first and the last
+    bar of each symbol, days without any bar included.
+
+    By default every minute is expected (24x7). ``session_minutes`` (day,
+    first_minute, last_minute; UTC timestamps, both inclusive) gives the expected
+    minutes of each session day instead; early closes are rows like any other.
+    Without sessions only the days that lack bars are expanded, to one day's
+    minutes each; with sessions every session day is, to its own minutes."""
+    have = bars.select("symbol", F.to_date("timestamp").alias("day"),
+                       F.date_trunc("minute", "timestamp").alias("timestamp")).distinct()
+    span = bars.groupBy("symbol").agg(F.min("timestamp").alias("_lo"), F.max("timestamp").alias("_hi"))
+    days = span.select("symbol", "_lo", "_hi", F.explode(F.sequence(F.to_date("_lo"), F.to_date("_hi"))).alias("day"))
+    if session_minutes is None:
+        start = F.col("day").cast("timestamp")
+        windows = days.withColumns({"_a": start, "_b": start + F.expr("INTERVAL 1439 MINUTES")})
+    else:
+        windows = days.join(session_minutes.select("day", F.col("first_minute").alias("_a"),
+                                                   F.col("last_minute").alias("_b")), "day")
+    short = windows.select("symbol", "day", F.greatest("_a", F.date_trunc("minute", "_lo")).alias("_a"),
+                           F.least("_b", "_hi").alias("_b")).where(F.col("_a") <= F.col("_b"))
+    if session_minutes is None:
+        per_day = have.groupBy("symbol", "day").agg(F.count(F.lit(1)).alias("_n"))
+        expected = F.floor((F.unix_seconds("_b") - F.unix_seconds("_a")) / 60) + 1
+        short = short.join(per_day, ["symbol", "day"], "left").where(F.coalesce("_n", F.lit(0)) < expected)
+    minutes = short.select("symbol", F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 MINUTE"))).alias("timestamp"))
+    return minutes.join(have.select("symbol", "timestamp"), ["symbol", "timestamp"], "left_anti") \
         .select("symbol", F.col("timestamp").alias("missing_minute"))
 
 
@@ -145,14 +155,18 @@ def gap_ranges(missing: DataFrame, sessions: DataFrame, key: str = "symbol") ->
 # ------------------------------------------------------------ row checks --
 
 def ohlc_ok(prefix: str = "") -> Column:
+    """True, or false where a price is null or breaks low <= open, close <= high."""
     o, h, lo, c = (F.col(prefix + n) for n in ("open", "high", "low", "close"))
-    return (lo <= o) & (o <= h) & (lo <= c) & (c <= h) & (lo <= h)
+    return F.coalesce((lo <= o) & (o <= h) & (lo <= c) & (c <= h) & (lo <= h), F.lit(False))
 
 
 def ohlc_violations(bars: DataFrame) -> DataFrame:
-    """V-2: bars breaking low <= open, close <= high, with the failed rule."""
+    """V-2: bars breaking low <= open, close <= high, with the failed rule; a
+    null price is one too (the drop policy removes exactly these rows)."""
     o, h, lo, c = (F.col(n) for n in ("open", "high", "low", "close"))
-    rule = (F.when(lo > h, F.lit("low>high")).when(o > h, F.lit("open>high"))
+    some_null = o.isNull() | h.isNull() | lo.isNull() | c.isNull()
+    rule = (F.when(some_null, F.lit("null price"))
+            .when(lo > h, F.lit("low>high")).when(o > h, F.lit("open>high"))
             .when(o < lo, F.lit("open<low")).when(c > h, F.lit("close>high"))
             .when(c < lo, F.lit("close<low")))
     return bars.where(~ohlc_ok()).withColumn("rule", rule)

@@ -1,6 +1,10 @@
-"""The backfill / update job (section 3.1 of the design): plan from universe
-and manifest, scan what landed, decide each symbol's disposition, merge the
-good bars into touched partitions, then record state and the run.
+"""The ingest jobs: one core for the batch backfill and the streaming update.
+
+Plan from universe and manifest, scan what landed, decide each symbol's
+disposition, merge the good bars into touched partitions, then record state and
+the run. A bar counts as fetched only on a date inside its symbol's planned
+window (the exchange's date for minute bars of exchange-traded assets), so a day
+that is not complete yet is never stored.
 
 Order matters for crash safety: data is committed before state, and state is
 recomputed from the stored bars, so a run killed between the two is healed
@@ -9,18 +13,21 @@ by simply running again (the merge is idempotent).
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.functions.profiles import PROFILES
 from barlake.operators import normalize as N
 from barlake.operators import planning as P
-from barlake.operators.joins import broadcast_if_small
+from barlake.operators import validation as V
+from barlake.operators.dedupe import KEEP_FIRST
 from barlake.plans import store
 from barlake.schemas import RUN_LOG
 from barlake.session import pin
-from barlake.sources.landing import LANDING, landed_bars, read_landing
+from barlake.sources.landing import AUTH, LANDING, landed_bars, read_landing, with_errors
 
 
 class MissingUniverseError(RuntimeError):
@@ -31,9 +38,6 @@ class FatalFetchError(RuntimeError):
     """An error that affects every symbol (e.g. authentication): abort the run."""
 
 
-FATAL_MARK = "auth"
-
-
 @dataclass
 class Outcome:
     attempted: int
@@ -43,6 +47,7 @@ class Outcome:
     up_to_date: int
     exit_code: int
     touched_partitions: int = 0
+    bars_written: int = 0
 
 
 def plan(spark: SparkSession, root: str, universe: DataFrame, *, timeframe: str, default_start: str,
@@ -53,53 +58,86 @@ def plan(spark: SparkSession, root: str, universe: DataFrame, *, timeframe: str,
                         default_start=default_start, target_end=target_end, extend_head=extend_head)
 
 
+def bar_date(asset_class: str, timeframe: str, ts: Column) -> Column:
+    """Date that a bar counts for: the asset class's own rule, else the UTC date."""
+    profile = PROFILES.get(asset_class)
+    return profile.bar_date(ts, timeframe) if profile else F.to_date(ts)
+
+
+def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFrame, *, asset_class: str, timeframe: str,
+           run_id: str, now: str, command: str, duplicates: str = KEEP_FIRST, ohlc: str = "warn") -> Outcome:
+    """Store what landed of a plan (symbol, from_date, to_date, action); a null
+    from_date is an open start. ``landing`` carries ``_error`` and ``error_kind``.
+
+    ``duplicates`` (keep_first, keep_last, fail) and ``ohlc`` (drop, warn, fail) are
+    the validation policies. Every run leaves a row in the run log, an aborted one
+    too."""
+    started = time.monotonic()
+
+    def finish(status: str, o: Outcome, error: str | None) -> None:
+        record_run(spark, root, run_id, now, time.monotonic() - started, command, status, o, error)
+
+    try:
+        # Pin the plan and the dispositions before anything is written: both are
+        # derived from the manifest this run rewrites, and a recomputation after
+        # that (lost executor, partially materialised cache) would see the new
+        # state. A reliable checkpoint in the shared folder survives both.
+        the_plan = pin(the_plan)
+        fetch = the_plan.where(F.col("action") == P.FETCH).select("symbol", "from_date", "to_date")
+        day = bar_date(asset_class, timeframe, F.timestamp_millis("t"))
+        in_window = landing.join(fetch, "symbol").where(
+            F.col("_error").isNotNull()
+            | ((F.col("from_date").isNull() | (day >= F.col("from_date"))) & (day <= F.col("to_date"))))
+        # The landed batch is scanned once (many small files per symbol) and pinned:
+        # dispositions, the fatal check and the merge all read the pinned copy.
+        in_window = pin(in_window.select(*LANDING.fieldNames(), "_error"))
+        fatal = in_window.where(F.col("error_kind") == AUTH).select("_error").limit(1).collect()
+        if fatal:
+            raise FatalFetchError(f"fatal fetch error: {fatal[0]['_error']}")
+        disp = pin(P.dispositions(the_plan, in_window, error_col="_error"))
+        ok = disp.where(F.col("disposition") == P.SUCCEEDED).select("symbol")
+        good = landed_bars(in_window).join(ok, "symbol", "left_semi")
+        bars = V.apply_ohlc_policy(N.normalize_raw(good), ohlc)
+        merged = store.merge_into_lake(store.with_layout(bars, asset_class, timeframe), root, policy=duplicates)
+        if merged.partitions:
+            store.record_state(spark, root, ok, asset_class, timeframe, now, years=merged.years)
+        out = P.run_outcome(disp, the_plan.where(F.col("action") == P.UP_TO_DATE)).first()
+    except Exception as aborted:
+        finish("aborted", Outcome(0, 0, 0, 0, 0, 2), str(aborted).splitlines()[0][:1000])
+        raise
+    outcome = Outcome(out["attempted"], out["succeeded"], out["errors"], out["zero_bar"], out["up_to_date"],
+                      out["exit_code"], len(merged.partitions), merged.bars)
+    status = "success" if outcome.exit_code == 0 else ("failed" if outcome.exit_code == 2 else "partial")
+    finish(status, outcome, f"{outcome.errors} symbols failed" if outcome.errors else None)
+    return outcome
+
+
 def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str, *, asset_class: str,
-        timeframe: str, default_start: str, target_end: str, run_id: str, now: str,
+        timeframe: str, default_start: str, target_end: str, run_id: str, now: str, extend_head: bool = False,
+        refetch: DataFrame | None = None, duplicates: str = KEEP_FIRST, ohlc: str = "warn",
         dry_run: bool = False) -> Outcome | DataFrame:
-    """One backfill run. ``dry_run`` returns the plan only."""
+    """One backfill run. ``extend_head`` also fetches history before the stored
+    start; ``refetch`` adds windows of interior gaps (``planning.gap_refetch_plan``).
+    ``dry_run`` returns the plan only."""
     the_plan = plan(spark, root, universe, timeframe=timeframe, default_start=default_start,
-                    target_end=target_end)
+                    target_end=target_end, extend_head=extend_head)
+    if refetch is not None:
+        the_plan = the_plan.unionByName(refetch.select(*the_plan.columns))
     if dry_run:
         return the_plan
-    # Pin the plan and the dispositions before anything is written: both are
-    # derived from the manifest this run rewrites, and a recomputation after
-    # that (lost executor, partially materialised cache) would see the new
-    # state. A reliable checkpoint in the shared folder survives both.
-    the_plan = pin(the_plan)
-    fetch = the_plan.where(F.col("action") == P.FETCH).select("symbol", "from_date", "to_date")
     if store.path_exists(spark, landing_path):
         landing = read_landing(spark, landing_path)
     else:  # nothing landed at all: every planned symbol is a zero-bar success
-        landing = spark.createDataFrame([], LANDING).withColumn("_error", F.lit(None).cast("string")) \
-            .withColumn("_file", F.lit(None).cast("string"))
-    # Only what falls inside each symbol's planned window counts as fetched.
-    in_window = landing.join(broadcast_if_small(fetch), "symbol").where(
-        F.col("_error").isNotNull()
-        | F.to_date(F.timestamp_millis("t")).between(F.col("from_date"), F.col("to_date")))
-    # The landed batch is scanned once (many small files per symbol) and pinned:
-    # dispositions, the fatal check and the merge all read the pinned copy.
-    in_window = pin(in_window.drop("_file"))
-    disp = pin(P.dispositions(the_plan, in_window, error_col="_error"))
-    fatal = in_window.where(F.col("_error").contains(FATAL_MARK)).limit(1).collect()
-    if fatal:
-        raise FatalFetchError(f"fatal fetch error: {fatal[0]['_error']}")
-    ok = disp.where(F.col("disposition") == P.SUCCEEDED).select("symbol")
-    good = landed_bars(in_window).join(ok, "symbol", "left_semi")
-    bars = store.with_layout(N.normalize_raw(good), asset_class, timeframe)
-    touched = store.merge_into_lake(bars, root)
-    if touched:
-        store.record_state(spark, root, ok, asset_class, timeframe, now)
-    out = P.run_outcome(disp, the_plan.where(F.col("action") == P.UP_TO_DATE)).first()
-    outcome = Outcome(out["attempted"], out["succeeded"], out["errors"], out["zero_bar"], out["up_to_date"],
-                      out["exit_code"], touched)
-    record_run(spark, root, run_id, now, outcome)
-    return outcome
-
-
-def record_run(spark: SparkSession, root: str, run_id: str, now: str, o: Outcome) -> None:
-    status = "success" if o.exit_code == 0 else ("failed" if o.exit_code == 2 else "partial")
-    row = [(run_id, None, None, "backfill", status, None if o.errors == 0 else f"{o.errors} symbols failed",
-            o.attempted, o.succeeded, None)]
-    df = spark.createDataFrame(row, RUN_LOG).withColumn("started_at", F.lit(now).cast("timestamp")) \
-        .withColumn("finished_at", F.lit(now).cast("timestamp"))
+        landing = with_errors(spark.createDataFrame([], LANDING))
+    return ingest(spark, root, the_plan, landing, asset_class=asset_class, timeframe=timeframe, run_id=run_id, now=now,
+                  command="backfill", duplicates=duplicates, ohlc=ohlc)
+
+
+def record_run(spark: SparkSession, root: str, run_id: str, now: str, seconds: float, command: str, status: str,
+               o: Outcome, error: str | None) -> None:
+    """Append one row to the run log; it started ``now`` and took ``seconds``."""
+    row = [(run_id, None, None, command, status, error, o.attempted, o.succeeded, o.bars_written)]
+    started = F.lit(now).cast("timestamp")
+    df = spark.createDataFrame(row, RUN_LOG).withColumn("started_at", started) \
+        .withColumn("finished_at", F.timestamp_micros(F.unix_micros(started) + F.lit(int(seconds * 1e6))))
     df.write.mode("append").parquet(store.table_path(root, "run_log"))

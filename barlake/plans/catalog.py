@@ -38,8 +38,7 @@ def crypto_minute(spark, d):
 
 
 def stock_daily(spark, d):
-    return B.ticks_to_bars(T.stock_ticks(spark, d), 1, "day", order_cols=T.STOCK_ORDER,
-                           order_digits=T.STOCK_ORDER_DIGITS, ts_resolution=T.STOCK_TS_RESOLUTION)
+    return B.ticks_to_bars(T.stock_ticks(spark, d), 1, "day", order_cols=T.STOCK_ORDER)
 
 
 def user_daily(spark, d):
@@ -241,7 +240,6 @@ def session_counts(spark, d):
 # ------------------------------------------- manifest, plan, outcome (JN/AG) --
 
 from barlake.operators import planning as P  # noqa: E402
-from barlake.operators.joins import broadcast_if_small  # noqa: E402
 from barlake.session import pin  # noqa: E402
 
 # Fixed parameters of the planning scenario.
@@ -263,7 +261,7 @@ def manifest(spark, d):
     sup = T.stock_symbols(spark, d).where(F.col("s_nationkey") < MANIFEST_MAX_NATION).select(
         "symbol", F.date_add(F.lit(MANIFEST_CUT_BASE).cast("date"),
                              F.col("s_nationkey") * MANIFEST_CUT_STEP_DAYS).alias("_cut"))
-    bars = stock_daily(spark, d).join(broadcast_if_small(sup), "symbol") \
+    bars = stock_daily(spark, d).join(sup, "symbol") \
         .where(F.to_date("timestamp") < F.col("_cut")).drop("_cut")
     st = S.series_state(bars, asset_class="stocks", timeframe="daily")
     return st.select("asset_class", "symbol", "timeframe", "earliest_date", "last_complete_date",
@@ -280,7 +278,7 @@ def landed(spark, d, plan=None):
     plan = plan if plan is not None else stock_plan(spark, d)
     win = plan.where(F.col("action") == P.FETCH).select("symbol", "from_date", "to_date")
     ticks = T.stock_ticks(spark, d)
-    got = ticks.join(broadcast_if_small(win), "symbol") \
+    got = ticks.join(win, "symbol") \
         .where(F.to_date("ts").between(F.col("from_date"), F.col("to_date")))
     bad = T.stock_symbols(spark, d).select("symbol", (F.col("s_acctbal") < 0).alias("_bad"))
     return got.join(bad, "symbol", "left").withColumn(
@@ -361,8 +359,7 @@ def refetched_stock_daily(spark, d):
         (F.col("l_extendedprice").cast(T.PRICE_DECIMAL) * (1 - F.col("l_discount").cast(T.PRICE_DECIMAL)))
         .alias("price"),
         F.col("l_quantity").cast("bigint").alias("size"))
-    return B.ticks_to_bars(ticks, 1, "day", order_cols=T.STOCK_ORDER, order_digits=T.STOCK_ORDER_DIGITS,
-                           ts_resolution=T.STOCK_TS_RESOLUTION)
+    return B.ticks_to_bars(ticks, 1, "day", order_cols=T.STOCK_ORDER)
 
 
 def merged_bars(spark, d):
@@ -457,7 +454,7 @@ def bar_steps(spark, d):
 @query
 def monotonic_check(spark, d):
     """WN-6: stock trades per symbol whose time does not strictly increase."""
-    return V.monotonic_check(T.stock_ticks(spark, d), ts="ts", bucket="year")
+    return V.monotonic_check(T.stock_ticks(spark, d), ts="ts")
 
 
 def user_bar_days(spark, d):
@@ -614,7 +611,7 @@ VINTAGE_1 = "2024-01-01 00:00:00"
 VINTAGE_2 = "2024-01-08 12:00:00"
 FRESHNESS_AS_OF = "2024-02-01 00:00:00"
 MEMBERSHIP_AS_OF = "1997-06-30"
-FREEZE_CHUNKS = 4
+FREEZE_CHUNK = 50
 
 
 @query
@@ -626,9 +623,9 @@ def crypto_tickers(spark, d):
 
 @query
 def normalize_tickers(spark, d):
-    """PRJ-8: raw constituent cells -> canonical ticker (strip, upper, dash to dot)."""
-    cells = T.constituent_cells(spark, d).where((F.col("table_no") == 2) & (F.col("col_name") == TICKER_COL))
-    return cells.select("page", "row_no", F.col("value").alias("raw"),
+    """PRJ-8: every raw constituent cell -> canonical ticker (strip, upper, dash to dot)."""
+    cells = T.constituent_cells(spark, d)
+    return cells.select("page", "table_no", "row_no", "col_name", F.col("value").alias("raw"),
                         U.normalize_ticker(F.col("value")).alias("ticker"),
                         (~U.is_blank_ticker(F.col("value"))).alias("is_ticker"))
 
@@ -772,7 +769,7 @@ def universe_coverage(spark, d):
 @query
 def universe_freeze_roundtrip(spark, d):
     """SRC-11: snapshot -> frozen documents (hash-chunked arrays) -> rows."""
-    doc = U.freeze(frozen(spark, d), ["IDXA", "IDXB"], FREEZE_CHUNKS)
+    doc = U.freeze(frozen(spark, d), ["IDXA", "IDXB"], FREEZE_CHUNK)
     return U.thaw(doc)
 
 
@@ -800,8 +797,7 @@ FUTURES_STATE_BEFORE = "1999-01-01"
 
 
 def futures_daily(spark, d):
-    return B.ticks_to_bars(T.futures_ticks(spark, d), 1, "day", order_cols=T.STOCK_ORDER,
-                           order_digits=T.STOCK_ORDER_DIGITS, ts_resolution=T.STOCK_TS_RESOLUTION)
+    return B.ticks_to_bars(T.futures_ticks(spark, d), 1, "day", order_cols=T.STOCK_ORDER)
 
 
 @query
@@ -995,9 +991,10 @@ def minute_coverage(spark, d):
 
 @query
 def futures_gaps_weekdays(spark, d):
-    """JN-5/CAL-2: weekdays without a bar inside each futures contract's life."""
+    """JN-5/CAL-2: weekdays, US holidays excluded, without a bar inside each
+    futures contract's life."""
     days = C.days_spanning(T.read(spark, d, "lineitem"), "l_shipdate")
-    sess, dense = C.build_calendar(days, C.WEEKDAYS)
+    sess, dense = C.build_calendar(days, C.US_WEEKDAYS)
     bar_days = futures_daily(spark, d).select("symbol", F.to_date("timestamp").alias("day"))
     return V.missing_sessions(bar_days, sess, dense)
 
@@ -1050,9 +1047,9 @@ def stream_minute_bars(spark, d):
 
 @query
 def minute_gaps_24x7(spark, d):
-    """JN-5: missing minutes of the crypto minute series, expanding only the
-    days that have fewer than 1440 bars."""
-    return V.missing_minutes(crypto_minute(spark, d), MINUTES_PER_DAY)
+    """JN-5: missing minutes of the crypto minute series between its first and
+    its last bar, days without any bar included."""
+    return V.missing_minutes(crypto_minute(spark, d))
 
 
 @query

@@ -438,11 +438,12 @@ FROM (SELECT m.symbol, m.missing_date,
       FROM stock_missing m JOIN scal_sessions s ON m.missing_date = s.session_date)
 GROUP BY symbol, grp"""
 ORACLE["ohlc_violations"] = with_("misread") + """
-SELECT *, CASE WHEN low > high THEN 'low>high' WHEN open > high THEN 'open>high'
+SELECT *, CASE WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL THEN 'null price'
+               WHEN low > high THEN 'low>high' WHEN open > high THEN 'open>high'
                WHEN open < low THEN 'open<low' WHEN close > high THEN 'close>high'
                WHEN close < low THEN 'close<low' END AS rule
 FROM misread
-WHERE NOT (low <= open AND open <= high AND low <= close AND close <= high AND low <= high)"""
+WHERE NOT coalesce(low <= open AND open <= high AND low <= close AND close <= high AND low <= high, false)"""
 ORACLE["ohlc_dropped"] = with_("misread") + """
 SELECT * FROM misread
 WHERE low <= open AND open <= high AND low <= close AND close <= high AND low <= high"""
@@ -549,12 +550,12 @@ CTE["cells"] = f"""
                                      WHEN '3-MEDIUM' THEN lower({_BASE}) || chr(9)
                                      WHEN '4-NOT SPECIFIED' THEN 'nan' ELSE '' END AS sym
          FROM orders JOIN customer ON o_custkey = c_custkey JOIN nat ON c_nationkey = n_nationkey)
-  SELECT page, 0 AS table_no, CAST(n_nationkey AS INTEGER) AS row_no, '0' AS col_name, false AS is_flat,
+  SELECT page, 0 AS table_no, CAST(n_nationkey AS BIGINT) AS row_no, '0' AS col_name, false AS is_flat,
          n_name AS value FROM nat
-  UNION ALL SELECT page, 1, CAST(n_nationkey AS INTEGER), 'Symbol', true, 'N' || CAST(n_nationkey AS VARCHAR) FROM nat
-  UNION ALL SELECT page, 2, CAST(o_orderkey AS INTEGER), 'Symbol', true, sym FROM oc
-  UNION ALL SELECT page, 2, CAST(o_orderkey AS INTEGER), 'Security', true, 'Customer ' || CAST(c_custkey AS VARCHAR) FROM oc
-  UNION ALL SELECT page, 3, CAST(o_orderkey AS INTEGER), 'Symbol', false, 'X' || CAST(o_orderkey AS VARCHAR) FROM oc"""
+  UNION ALL SELECT page, 1, CAST(n_nationkey AS BIGINT), 'Symbol', true, 'N' || CAST(n_nationkey AS VARCHAR) FROM nat
+  UNION ALL SELECT page, 2, CAST(o_orderkey AS BIGINT), 'Symbol', true, sym FROM oc
+  UNION ALL SELECT page, 2, CAST(o_orderkey AS BIGINT), 'Security', true, 'Customer ' || CAST(c_custkey AS VARCHAR) FROM oc
+  UNION ALL SELECT page, 3, CAST(o_orderkey AS BIGINT), 'Symbol', false, 'X' || CAST(o_orderkey AS VARCHAR) FROM oc"""
 _STRIP = "regexp_replace(value, '^\\s+|\\s+$', '', 'g')"
 _NORM = f"replace(upper({_STRIP}), '-', '.')"
 _BLANK = f"(value IS NULL OR {_STRIP} = '' OR lower({_STRIP}) = 'nan')"
@@ -602,8 +603,9 @@ CTE["membership"] = """
 ORACLE["crypto_tickers"] = """
 SELECT DISTINCT upper(event_type) AS base, 'X:' || upper(event_type) || 'USD' AS ticker FROM events"""
 ORACLE["normalize_tickers"] = with_("cells") + f"""
-SELECT page, row_no, value AS raw, {_NORM} AS ticker, NOT {_BLANK} AS is_ticker
-FROM cells WHERE table_no = 2 AND col_name = 'Symbol'"""
+SELECT page, CAST(table_no AS INTEGER) AS table_no, row_no, col_name, value AS raw, {_NORM} AS ticker,
+       NOT {_BLANK} AS is_ticker
+FROM cells"""
 ORACLE["select_constituents"] = with_("cells") + """
 SELECT page, table_no, n_rows FROM (
   SELECT page, table_no, count(DISTINCT row_no) AS n_rows,
@@ -812,22 +814,26 @@ ORACLE["bars_scan"] = with_("stock_daily") + "SELECT * FROM stock_daily WHERE ye
 # ------------------------------------------------ profiles, coverage, stamps --
 
 register_calendar("ecal", "SELECT CAST(min(ts) AS DATE) AS s, CAST(max(ts) AS DATE) AS e FROM events")
-ORACLE["profile_calendars"] = with_("ecal_sessions", "ecal_days") + """
+ORACLE["profile_calendars"] = with_("ecal_sessions", "ecal_days", "ecal_holidays") + """
 SELECT 'crypto' AS asset_class, '24x7' AS calendar, count(*) AS sessions, min(day) AS first_session,
        max(day) AS last_session FROM ecal_days
 UNION ALL
-SELECT 'futures', 'WEEKDAYS', count(*), min(day), max(day) FROM ecal_days WHERE isodow(day) <= 5
+SELECT 'futures', 'US_WEEKDAYS', count(*), min(day), max(day) FROM ecal_days WHERE isodow(day) <= 5
+  AND day NOT IN (SELECT holiday_date FROM ecal_holidays)
 UNION ALL
 SELECT 'stocks', 'NYSE', count(*), min(session_date), max(session_date) FROM ecal_sessions"""
 ORACLE["minute_coverage"] = with_("crypto_minute") + """
 SELECT symbol, CAST(timestamp AS DATE) AS day, count(*) AS bars, 1440 - count(*) AS missing_minutes
 FROM crypto_minute GROUP BY 1, 2"""
-ORACLE["futures_gaps_weekdays"] = with_("futures_daily") + """
+register_calendar("fcal", "SELECT CAST(min(l_shipdate) AS DATE) AS s, CAST(max(l_shipdate) AS DATE) AS e FROM lineitem")
+ORACLE["futures_gaps_weekdays"] = with_("futures_daily", "fcal_holidays") + f"""
 SELECT symbol, missing_date FROM (
   SELECT symbol, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS missing_date
   FROM (SELECT symbol, min(CAST(timestamp AS DATE)) AS lo, max(CAST(timestamp AS DATE)) AS hi
         FROM futures_daily GROUP BY symbol))
-WHERE isodow(missing_date) <= 5
+WHERE isodow(missing_date) <= 5 AND missing_date NOT IN (
+  SELECT holiday_date FROM fcal_holidays
+  WHERE holiday_date NOT IN (SELECT holiday_date FROM ({CLOSURES_SQL}) c(holiday_date, name)))
 EXCEPT ALL
 SELECT symbol, CAST(timestamp AS DATE) FROM futures_daily"""
 ORACLE["iso_stamps"] = with_("run_log") + """
@@ -846,10 +852,8 @@ ORACLE["stream_minute_bars"] = with_("crypto_minute") + """
 SELECT * FROM crypto_minute
 WHERE timestamp + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
 ORACLE["minute_gaps_24x7"] = with_("crypto_minute") + """
-SELECT symbol, missing_minute FROM (
-  SELECT symbol, unnest(generate_series(CAST(day AS TIMESTAMP), CAST(day AS TIMESTAMP) + INTERVAL 1439 MINUTE,
-                                        INTERVAL 1 MINUTE)) AS missing_minute
-  FROM (SELECT symbol, CAST(timestamp AS DATE) AS day FROM crypto_minute GROUP BY 1, 2 HAVING count(*) < 1440))
+SELECT symbol, unnest(generate_series(lo, hi, INTERVAL 1 MINUTE)) AS missing_minute
+FROM (SELECT symbol, min(timestamp) AS lo, max(timestamp) AS hi FROM crypto_minute GROUP BY 1)
 EXCEPT ALL
 SELECT symbol, timestamp FROM crypto_minute"""
 

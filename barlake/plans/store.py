@@ -16,6 +16,7 @@ is never seen. Version numbers are compared as numbers and never reused.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ from pyspark.sql import types as T
 
 from barlake.functions.profiles import PROFILES
 from barlake.operators import state as S
-from barlake.schemas import BAR_COLUMNS, BARS, LAKE_PARTITIONS, MANIFEST
+from barlake.operators.dedupe import KEEP_FIRST
+from barlake.schemas import BAR_COLUMNS, BARS, LAKE_PARTITIONS, MANIFEST, SERIES_YEARS
 from barlake.session import pin
 
 LAKE_SCHEMA = T.StructType(BARS.fields + [
@@ -34,8 +36,6 @@ LAKE_SCHEMA = T.StructType(BARS.fields + [
 LAKE_KEY = ["asset_class", "timeframe", "symbol", "timestamp"]
 # Target rows per output file of a rewritten partition.
 ROWS_PER_FILE = 2_000_000
-# Manifest versions kept after each state record (older ones are pruned).
-MANIFEST_VERSIONS_KEPT = 30
 
 
 def bars_path(root: str) -> str:
@@ -154,31 +154,43 @@ def touched_partitions(new: DataFrame) -> list[tuple[str, str, int]]:
     return [(r["asset_class"], r["timeframe"], r["year"]) for r in rows]
 
 
-def merge_into_lake(new: DataFrame, root: str, *, new_order: Sequence[str] = ()) -> int:
+@dataclass(frozen=True)
+class Merged:
+    """What a merge did: partitions of the batch, and bars that were new."""
+    partitions: list[tuple[str, str, int]]
+    bars: int
+
+    @property
+    def years(self) -> list[int]:
+        return sorted({y for _, _, y in self.partitions})
+
+
+def merge_into_lake(new: DataFrame, root: str, *, new_order: Sequence[str] = (),
+                    policy: str = KEEP_FIRST) -> Merged:
     """SRC-6: merge-append a batch of lake rows; stored rows are never replaced.
 
-    The new rows are de-duplicated and anti-joined against the stored keys of
-    the touched year partitions only; the fresh rows are then *appended* as new
-    files (range-partitioned and sorted by symbol and time), so an increment
+    The new rows are de-duplicated (``policy``) and anti-joined against the stored
+    keys of the touched year partitions only; the fresh rows are then *appended* as
+    new files (range-partitioned and sorted by symbol and time), so an increment
     never rewrites the years it touches. ``compact`` rewrites partitions into
     few large sorted files when wanted. Rerunning a batch appends nothing, as
-    every key then collides. Returns the number of touched partitions."""
+    every key then collides."""
     spark = new.sparkSession
     parts = touched_partitions(new)
     if not parts:
-        return 0
+        return Merged([], 0)
     stored = read_bars(spark, root, with_partitions=True)
     cond = None
     for a, t, y in parts:
         c = (F.col("asset_class") == a) & (F.col("timeframe") == t) & (F.col("year") == y)
         cond = c if cond is None else (cond | c)
     cols = [*BAR_COLUMNS, *LAKE_PARTITIONS]
-    fresh = pin(S.fresh_rows(stored.where(cond).select(*cols), new.select(*cols), LAKE_KEY, new_order))
+    fresh = pin(S.fresh_rows(stored.where(cond).select(*cols), new.select(*cols), LAKE_KEY, new_order, policy=policy))
     n = fresh.count()
     if n:
         n_files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // ROWS_PER_FILE)))
         write_bars(fresh, root, num_files=n_files, tables=sorted({(a, t) for a, t, _ in parts}), mode="append")
-    return len(parts)
+    return Merged(parts, n)
 
 
 def compact(spark: SparkSession, root: str, asset_class: str, timeframe: str,
@@ -187,16 +199,19 @@ def compact(spark: SparkSession, root: str, asset_class: str, timeframe: str,
     sorted files (dynamic overwrite of those years only)."""
     df = read_bars(spark, root, asset_class=asset_class, timeframe=timeframe, years=years, with_partitions=True)
     # The rewrite reads the partitions it replaces: pin the rows first.
-    write_bars(pin(df), root, tables=[(asset_class, timeframe)])
+    rows = pin(df)
+    n_files = max(1, -(-rows.count() // ROWS_PER_FILE))
+    write_bars(rows, root, num_files=n_files, tables=[(asset_class, timeframe)])
 
 
 def storage_usage(spark: SparkSession, root: str) -> DataFrame:
-    """SRC-9: files and bytes per partition, from file metadata only."""
-    df = spark.read.schema(LAKE_SCHEMA).parquet(bars_path(root))
-    files = df.select("asset_class", "timeframe", "year", F.col("_metadata.file_path").alias("file"),
-                      F.col("_metadata.file_size").alias("bytes")).distinct()
-    return files.groupBy("asset_class", "timeframe", "year").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    """SRC-9: files and bytes per partition, from the file listing only (no file is
+    opened); no rows where the lake holds no bars."""
+    if not path_exists(spark, bars_path(root)):
+        return spark.createDataFrame([], "asset_class string, timeframe string, year int, files bigint, bytes bigint")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(bars_path(root))
+    return files.groupBy("asset_class", "timeframe", F.col("year").cast("int").alias("year")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
 # ------------------------------------------------------ versioned tables --
@@ -272,18 +287,40 @@ def get_state(spark: SparkSession, root: str, asset_class: str, symbol: str, tim
 
 
 def record_state(spark: SparkSession, root: str, symbols: DataFrame, asset_class: str, timeframe: str,
-                 updated_at: str) -> int:
+                 updated_at: str, *, years: Sequence[int] | None = None, keep_versions: int | None = None) -> int:
     """AG-1 + AG-2: recompute state of ``symbols`` from the stored bars (the
     authoritative source, so a crash before recording heals on rerun) and
-    upsert it into a new manifest version. Runs after the data commit."""
-    bars = read_bars(spark, root, asset_class=asset_class, timeframe=timeframe)
-    bars = bars.select("symbol", "timestamp").join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    upsert it into a new manifest version. Runs after the data commit.
+
+    State is kept per series and year (table ``series_years``): only the stored
+    bars of ``years`` are read (None: all), and the manifest rolls the years up,
+    so an increment does not read the history. The first record of a table reads
+    all its years. ``keep_versions`` prunes older versions (off by default)."""
+    keys = ["asset_class", "symbol", "timeframe", "year"]
+    before = read_latest(spark, root, "series_years", SERIES_YEARS)
+    own = (F.col("asset_class") == asset_class) & (F.col("timeframe") == timeframe)
+    if before.where(own).isEmpty():
+        years = None
+    wanted = symbols.select("symbol").distinct()
+    bars = read_bars(spark, root, asset_class=asset_class, timeframe=timeframe, years=years, with_partitions=True)
+    bars = bars.select("symbol", "timestamp", "year").join(wanted, "symbol", "left_semi")
     profile = PROFILES.get(asset_class)
-    date_expr = profile.bar_date(F.col("timestamp"), timeframe) if profile else None
-    st = S.series_state(bars, asset_class=asset_class, timeframe=timeframe, date_expr=date_expr)
-    new_manifest = S.manifest_upsert(read_manifest(spark, root), st, updated_at)
+    date = profile.bar_date(F.col("timestamp"), timeframe) if profile else F.to_date("timestamp")
+    counted = bars.groupBy(F.lit(asset_class).alias("asset_class"), "symbol", F.lit(timeframe).alias("timeframe"), "year") \
+        .agg(F.min(date).alias("earliest_date"), F.max(date).alias("last_complete_date"),
+             F.count(F.lit(1)).alias("bar_count"))
+    redone = own if years is None else own & F.col("year").isin(list(years))
+    marked = before.join(wanted.withColumn("_wanted", F.lit(True)), "symbol", "left")
+    kept = marked.where(~(redone & F.coalesce("_wanted", F.lit(False)))).select(*SERIES_YEARS.fieldNames())
+    by_year = pin(kept.unionByName(counted.select(*SERIES_YEARS.fieldNames())))
+    write_version(by_year, root, "series_years")
+    state = by_year.where(own).join(wanted, "symbol", "left_semi").groupBy(*keys[:3]).agg(
+        F.min("earliest_date").alias("earliest_date"), F.max("last_complete_date").alias("last_complete_date"),
+        F.sum("bar_count").alias("bar_count"))
+    new_manifest = S.manifest_upsert(read_manifest(spark, root), state, updated_at)
     # Writing version N+1 never touches version N, which it reads.
     version = write_version(new_manifest, root, "manifest")
-    prune_versions(spark, root, "manifest", keep=MANIFEST_VERSIONS_KEPT)
+    if keep_versions is not None:
+        for name in ("manifest", "series_years"):
+            prune_versions(spark, root, name, keep=keep_versions)
     return version
-

@@ -66,6 +66,16 @@ MANIFEST = T.StructType([
     T.StructField("last_updated_at", T.TimestampType(), True),
     T.StructField("bar_count", T.LongType(), True),
 ])
+# State of each series and year; the manifest is its roll-up.
+SERIES_YEARS = T.StructType([
+    T.StructField("asset_class", T.StringType(), False),
+    T.StructField("symbol", T.StringType(), False),
+    T.StructField("timeframe", T.StringType(), False),
+    T.StructField("year", T.IntegerType(), False),
+    T.StructField("earliest_date", T.DateType(), True),
+    T.StructField("last_complete_date", T.DateType(), True),
+    T.StructField("bar_count", T.LongType(), True),
+])
 MANIFEST_KEY = ["asset_class", "symbol", "timeframe"]
 
 RUN_LOG = T.StructType([
@@ -86,6 +96,15 @@ UNIVERSE = T.StructType([
     T.StructField("generated_at", T.TimestampType(), True),
 ])
 
+# Frozen document form of a universe (one row per chunk of tickers).
+FROZEN = T.StructType([
+    T.StructField("generated_at", T.TimestampType(), True),
+    T.StructField("source", T.StringType(), True),
+    T.StructField("indexes_included", T.ArrayType(T.StringType()), True),
+    T.StructField("chunk", T.IntegerType(), True),
+    T.StructField("tickers", T.ArrayType(T.StringType()), True),
+])
+
 SPLITS = T.StructType([
     T.StructField("symbol", T.StringType(), False),
     T.StructField("execution_date", T.DateType(), False),
@@ -131,7 +150,7 @@ MEMBERSHIP = T.StructType([
 CELLS = T.StructType([
     T.StructField("page", T.StringType(), False),
     T.StructField("table_no", T.IntegerType(), False),
-    T.StructField("row_no", T.IntegerType(), False),
+    T.StructField("row_no", T.LongType(), False),
     T.StructField("col_name", T.StringType(), True),
     T.StructField("is_flat", T.BooleanType(), True),
     T.StructField("value", T.StringType(), True),

@@ -76,11 +76,6 @@ def stock_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STOCK_ORDER = ["l_orderkey", "l_linenumber", "l_partkey"]
-# Declared widths of the stock tie-breakers (enough for TPC-H keys at any scale
-# up to SF 100,000) and the day granularity of ship dates: the packed ordering
-# key then fits one decimal(38,0). A value outside its width raises an error.
-STOCK_ORDER_DIGITS = [12, 3, 11]
-STOCK_TS_RESOLUTION = "days"
 CRYPTO_ORDER = ["seq"]
 
 
@@ -159,7 +154,7 @@ def constituent_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(pr == "3-MEDIUM", F.concat(F.lower(base), F.lit("\t")))
            .when(pr == "4-NOT SPECIFIED", F.lit("nan"))
            .otherwise(F.lit("")))
-    rows = oc.select("page", F.lit(2).alias("table_no"), F.col("o_orderkey").cast("int").alias("row_no"),
+    rows = oc.select("page", F.lit(2).alias("table_no"), F.col("o_orderkey").alias("row_no"),
                      raw.alias("_sym"), F.col("c_custkey"), F.col("o_orderkey"))
     t2 = rows.select("page", "table_no", "row_no", F.lit("Symbol").alias("col_name"),
                      F.lit(True).alias("is_flat"), F.col("_sym").alias("value")) \

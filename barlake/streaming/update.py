@@ -2,9 +2,13 @@
 
 ``run_update``: the landing folder is a file stream; ``trigger(availableNow)``
 processes whatever landed since the last run and stops. Each micro-batch goes
-through the same merge and state recording as the batch backfill, so a batch
+through the same core as the batch backfill (``plans.backfill.ingest``): bars up
+to the last complete day only, dispositions, merge, state and run log. A batch
 replayed after a crash (same ``batch_id``, same files) changes nothing, and a
-second run on the same day finds no new files: a no-op.
+second run on the same day finds no new files: a no-op. A bar of a day that is
+not complete is not stored; the complete bar is stored when it lands.
+
+``update_all``: ``run_update`` for every table that the manifest knows.
 
 ``tumbling_bars``: ticks to closed bars in append mode. The watermark on trade
 time is the completeness horizon: a bar is emitted only once no more trades
@@ -17,44 +21,77 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.operators import normalize as N
+from barlake.functions.profiles import PROFILES
+from barlake.functions.time import exchange_date
+from barlake.operators import calendar as C
+from barlake.operators import planning as P
 from barlake.operators.bars import order_key
-from barlake.plans import store
-from barlake.sources.landing import LANDING, landed_bars
+from barlake.plans import backfill, store
+from barlake.sources.landing import LANDING, with_errors
 
 
-def _process(root: str, asset_class: str, timeframe: str, now: str):
-    def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        good = landed_bars(batch.withColumn("_error", F.coalesce(
-            F.col("error"), F.when(F.col("_corrupt").isNotNull(), F.lit("corrupt record")))))
-        bars = store.with_layout(N.normalize_raw(good), asset_class, timeframe)
-        if store.merge_into_lake(bars, root):
-            store.record_state(spark, root, good.select("symbol").distinct(), asset_class, timeframe, now)
-    return each
+def horizon(spark: SparkSession, asset_class: str, now: str) -> str:
+    """Last complete day of an asset class at ``now`` (UTC): the last session
+    before today, by the exchange's date where the asset class trades on one."""
+    profile = PROFILES.get(asset_class)
+    stamp = F.lit(now).cast("timestamp")
+    today = exchange_date(stamp) if profile and profile.exchange_dates else F.to_date(stamp)
+    day = spark.range(1).select(today.alias("d")).first()["d"].isoformat()
+    return C.last_complete_day(spark, day, profile.calendar if profile else C.CONTINUOUS)
 
 
 def run_update(spark: SparkSession, landing_path: str, root: str, checkpoint: str, *,
-               asset_class: str, timeframe: str, now: str) -> int:
-    """Process all newly landed files once; returns the number of micro-batches."""
+               asset_class: str, timeframe: str, now: str, max_files_per_batch: int | None = None) -> int:
+    """Process all newly landed files once; returns the number of micro-batches
+    that had rows. All new files are one batch unless ``max_files_per_batch`` is set."""
+    target_end = horizon(spark, asset_class, now)
+    batches: list[int] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        landing = with_errors(batch).persist()
+        try:
+            if landing.isEmpty():
+                return
+            own = landing.sparkSession
+            plan = landing.select("symbol").distinct().select(
+                "symbol", F.lit(None).cast("date").alias("from_date"), F.lit(target_end).cast("date").alias("to_date"),
+                F.lit(P.FETCH).alias("action"))
+            backfill.ingest(own, root, plan, landing, asset_class=asset_class, timeframe=timeframe,
+                            run_id=f"update-{asset_class}-{timeframe}-{now}-{batch_id}", now=now, command="update")
+            batches.append(batch_id)
+        finally:
+            landing.unpersist()
+
     stream = (spark.readStream.schema(LANDING)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-              .option("maxFilesPerTrigger", 1000)
-              .json(landing_path))
-    q = (stream.writeStream.trigger(availableNow=True)
-         .option("checkpointLocation", checkpoint)
-         .foreachBatch(_process(root, asset_class, timeframe, now))
-         .start())
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt"))
+    if max_files_per_batch is not None:
+        stream = stream.option("maxFilesPerTrigger", max_files_per_batch)
+    q = (stream.json(landing_path).writeStream.trigger(availableNow=True)
+         .option("checkpointLocation", checkpoint).foreachBatch(each).start())
     q.awaitTermination()
-    progress = q.recentProgress
-    return sum(1 for p in progress if p.get("numInputRows", 0) > 0)
+    return len(batches)
+
+
+def update_all(spark: SparkSession, landing_root: str, root: str, checkpoint_root: str, *, now: str) -> dict[tuple[str, str], int]:
+    """Update every (asset class, timeframe) of the manifest from its landing
+    folder ``{landing_root}/{asset_class}/{timeframe}``; tables without one are
+    skipped. Returns the batches of each (a handful of tables)."""
+    tables = store.read_manifest(spark, root).select("asset_class", "timeframe").distinct().collect()
+    done = {}
+    for asset_class, timeframe in sorted((r["asset_class"], r["timeframe"]) for r in tables):
+        landing = f"{landing_root.rstrip('/')}/{asset_class}/{timeframe}"
+        if store.path_exists(spark, landing):
+            done[asset_class, timeframe] = run_update(
+                spark, landing, root, f"{checkpoint_root.rstrip('/')}/{asset_class}-{timeframe}",
+                asset_class=asset_class, timeframe=timeframe, now=now)
+    return done
 
 
 def tumbling_bars(ticks: DataFrame, *, width: str = "1 minute", watermark: str = "10 minutes",
                   order_col: str = "seq") -> DataFrame:
     """Streaming ticks (symbol, ts, seq, price, size) -> one bar per closed window.
 
-    ``min_by``/``max_by`` on (ts, seq) give open and close (the same packed
+    ``min_by``/``max_by`` on (ts, seq) give open and close (the same
     ordering key as the batch bars); sums are exact when price/size are decimals."""
     key = order_key("ts", [order_col])
     dedup = ticks.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["symbol", order_col])

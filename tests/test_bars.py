@@ -85,27 +85,12 @@ def _ticks(spark, rows):
         .withColumn("price", F.col("price").cast("decimal(18,2)"))
 
 
-def test_packed_order_key_matches_struct_order(spark):
-    t = datetime(2024, 1, 1)
-    rows = [("A", t, 7, 2, 10.0, 1), ("A", t, 7, 1, 11.0, 1), ("A", t, 3, 9, 12.0, 1), ("A", t, 9, 0, 13.0, 1)]
-    packed = B.ticks_to_bars(_ticks(spark, rows), 1, "day", order_cols=["a", "b"], order_digits=[2, 2],
-                             ts_resolution="days").first()
-    struct = B.ticks_to_bars(_ticks(spark, rows), 1, "day", order_cols=["a", "b"], order_digits=[19, 19]).first()
-    assert (packed["open"], packed["close"]) == (12.0, 13.0) == (struct["open"], struct["close"])
-
-
-def test_packed_order_key_guards(spark):
-    import pytest
+def test_order_key_takes_any_tie_breaker(spark):
+    """Negative, wide and intraday keys: the order is that of (time, a, b)."""
     t = datetime(2024, 1, 1, 12, 30)
-    too_wide = _ticks(spark, [("A", datetime(2024, 1, 1), 123, 0, 1.0, 1)])
-    with pytest.raises(Exception, match="digits"):
-        B.ticks_to_bars(too_wide, order_cols=["a", "b"], order_digits=[2, 2], ts_resolution="days").collect()
-    intraday = _ticks(spark, [("A", t, 1, 0, 1.0, 1)])
-    with pytest.raises(Exception, match="resolution is days"):
-        B.ticks_to_bars(intraday, order_cols=["a", "b"], order_digits=[2, 2], ts_resolution="days").collect()
-    negative = _ticks(spark, [("A", t, -1, 0, 1.0, 1)])
-    with pytest.raises(Exception, match="negative"):
-        B.ticks_to_bars(negative, order_cols=["a"]).collect()
+    rows = [("A", t, 7, 2, 10.0, 1), ("A", t, 7, -1, 11.0, 1), ("A", t, -3, 9, 12.0, 1), ("A", t, 2**62, 0, 13.0, 1)]
+    bar = B.ticks_to_bars(_ticks(spark, rows), 1, "day", order_cols=["a", "b"]).first()
+    assert (bar["open"], bar["close"]) == (12.0, 13.0)
 
 
 def test_bar_steps_carry_across_empty_days(spark):

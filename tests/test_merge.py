@@ -18,9 +18,13 @@ def _df(spark, rows):
 def test_keep_first_stored_rows_win(spark):
     stored = _df(spark, [(0, 1.0), (1, 2.0)])
     new = _df(spark, [(2, 3.0), (1, 99.0)])
-    for limit in (None, 10, 0):   # shuffle path, broadcast path, forced shuffle
-        out = S.merge_append(stored, new, max_broadcast_rows=limit).orderBy("timestamp")
-        assert [r["volume"] for r in out.collect()] == [1.0, 2.0, 3.0]
+    try:
+        for limit in ("10m", "-1"):   # the planner broadcasts, or shuffles
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            out = S.merge_append(stored, new).orderBy("timestamp")
+            assert [r["volume"] for r in out.collect()] == [1.0, 2.0, 3.0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_keep_last_and_fail_policies(spark):
