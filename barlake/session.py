@@ -24,6 +24,8 @@ SESSION_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows that hold whole texts: a batch of this many stays a few MB on both sides.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
