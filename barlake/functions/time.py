@@ -16,7 +16,8 @@ AFTER_CLOSE_MIN = 20 * 60
 
 # Seconds per fixed-length timespan unit.
 _FIXED_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
-_CALENDAR_UNITS = {"week", "month", "quarter", "year"}
+# Months per calendar timespan unit; a week is seven days from Monday.
+_CALENDAR_MONTHS = {"month": 1, "quarter": 3, "year": 12}
 
 
 def _col(c) -> Column:
@@ -47,13 +48,31 @@ def bar_start(ts, multiplier: int = 1, timespan: str = "day") -> Column:
         width = _FIXED_SECONDS[timespan] * multiplier
         secs = F.unix_seconds(ts)
         return F.timestamp_seconds(secs - F.pmod(secs, F.lit(width)))
-    if timespan in _CALENDAR_UNITS:
-        if multiplier != 1:
-            raise ValueError("calendar timespans support multiplier 1 only")
-        return F.date_trunc(timespan, ts)
+    if timespan in _CALENDAR_MONTHS:
+        if multiplier == 1:
+            return F.date_trunc(timespan, ts)
+        months = F.year(ts) * 12 + F.month(ts) - 1
+        first = months - F.pmod(months, F.lit(multiplier * _CALENDAR_MONTHS[timespan]))
+        return F.make_date(F.floor(first / 12).cast("int"), F.pmod(first, F.lit(12)) + 1, F.lit(1)).cast("timestamp")
+    if timespan == "week":
+        if multiplier == 1:
+            return F.date_trunc(timespan, ts)
+        monday = F.unix_date(F.to_date(F.date_trunc("week", ts))) + 3  # days from Monday, 29 December 1969
+        return F.date_from_unix_date(monday - F.pmod(monday, F.lit(7 * multiplier)) - 3).cast("timestamp")
     raise ValueError(f"unknown timespan {timespan!r}")
 
 
+def parse_iso(c) -> Column:
+    """ISO 8601 text -> instant: ``Z`` or an offset counts, a naive time is UTC (the
+    session's zone); text that is no time is null."""
+    return F.try_to_timestamp(_col(c))
+
+
+def format_iso(c) -> Column:
+    """Instant -> ISO 8601 text in UTC, whole seconds, with ``Z``."""
+    return F.date_format(_col(c), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def exchange_local(ts) -> Column:
     """Exchange (New York) wall clock of a UTC instant, as timestamp_ntz."""
     return F.convert_timezone(F.lit("UTC"), F.lit(EXCHANGE_TZ), _col(ts).cast("timestamp_ntz"))

@@ -4,13 +4,13 @@ WN-5, CA-1..3).
 Prices are stored raw. Adjustment turns the small corporate-action table into
 per-symbol factor intervals ([valid_from, valid_to) with the cumulative factor
 of all later actions) and joins bars to them on symbol with a range residual.
-The interval table is broadcast when a count proves it small, so bars are not
-shuffled and a symbol holding a third of all bars is no hot partition.
+The planner broadcasts the interval table while it is small in bytes, so bars are
+not shuffled; beyond that AQE splits a symbol that holds a third of all bars.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.operators.dedupe import KEEP_FIRST, keep_one
@@ -42,8 +42,8 @@ def split_intervals(splits: DataFrame) -> DataFrame:
     return factor_intervals(f, "execution_date", "_pf")
 
 
-def _apply(bars: DataFrame, intervals: DataFrame, name: str, volume_inverse: bool) -> DataFrame:
-    day = F.to_date("timestamp")
+def _apply(bars: DataFrame, intervals: DataFrame, name: str, volume_inverse: bool, day: Column | None = None) -> DataFrame:
+    day = F.to_date("timestamp") if day is None else day
     j = interval_join(bars, intervals.withColumnRenamed("factor", name), ["symbol"], day)
     f = F.coalesce(F.col(name), F.lit(1.0))
     cols = {c: F.col(c) * f for c in PRICE_COLUMNS}
@@ -52,9 +52,11 @@ def _apply(bars: DataFrame, intervals: DataFrame, name: str, volume_inverse: boo
     return j.withColumns(cols).withColumn(name, f).drop("valid_from", "valid_to")
 
 
-def split_adjust(bars: DataFrame, splits: DataFrame) -> DataFrame:
-    """JN-9: prices x factor, volume / factor, for bars before each split."""
-    return _apply(bars, split_intervals(splits), "split_factor", True) \
+def split_adjust(bars: DataFrame, splits: DataFrame, day: Column | None = None) -> DataFrame:
+    """JN-9: prices x factor, volume / factor, for bars before each split. ``day``
+    is the date a bar counts for (by default its UTC date; minute bars of an
+    exchange pass the exchange's date)."""
+    return _apply(bars, split_intervals(splits), "split_factor", True, day) \
         .select(*BAR_COLUMNS, "split_factor")
 
 
@@ -70,11 +72,17 @@ def dividend_intervals(bars: DataFrame, dividends: DataFrame) -> DataFrame:
     return factor_intervals(f, "ex_dividend_date", "_df")
 
 
-def dividend_adjust(bars: DataFrame, dividends: DataFrame, splits: DataFrame | None = None) -> DataFrame:
+def dividend_adjust(bars: DataFrame, dividends: DataFrame, splits: DataFrame | None = None,
+                    day: Column | None = None) -> DataFrame:
     """JN-10: dividend factors (from raw closes) on top of split adjustment."""
     intervals = dividend_intervals(bars, dividends)
-    base = split_adjust(bars, splits) if splits is not None else bars.withColumn("split_factor", F.lit(1.0))
-    out = _apply(base, intervals, "dividend_factor", False)
+    base = split_adjust(bars, splits, day) if splits is not None else bars.withColumn("split_factor", F.lit(1.0))
+    return apply_dividends(base, intervals, day)
+
+
+def apply_dividends(bars: DataFrame, intervals: DataFrame, day: Column | None = None) -> DataFrame:
+    """Prices x dividend factor, for bars that carry their split factor."""
+    out = _apply(bars, intervals, "dividend_factor", False, day)
     return out.select(*BAR_COLUMNS, "split_factor", "dividend_factor")
 
 

@@ -92,20 +92,25 @@ def findings(spark: SparkSession, root: str, *, as_of: str, coverage_sessions: i
                 *lit, "symbol", F.lit("null").alias("check"), day, F.lit("required column is null").alias("detail")),
         ]
         # Calendar over the table's span up to the as-of day (bounded by the span).
+        own = manifest.where((F.col("asset_class") == asset_class) & (F.col("timeframe") == timeframe))
         span = bars.select(F.to_date("timestamp").alias("d")).unionByName(
-            spark.range(1).select(as_of_day.alias("d")))
+            spark.range(1).select(as_of_day.alias("d"))).unionByName(own.select(F.col("last_complete_date").alias("d")))
         sess, dense = C.build_calendar(C.days_spanning(span, "d"), cal)
         if timeframe == "daily":
             bar_days = bars.select("symbol", F.to_date("timestamp").alias("day")).distinct()
             parts.append(V.missing_sessions(bar_days, sess, dense).select(
                 *lit, "symbol", F.lit("gap").alias("check"), F.col("missing_date").alias("day"),
                 F.lit("missing session").alias("detail")))
+        elif timeframe == "minute" and cal == C.CONTINUOUS:
+            per_day = V.missing_minutes(bars).groupBy("symbol", F.to_date("missing_minute").alias("day")).agg(
+                F.count(F.lit(1)).alias("_n"))
+            parts.append(per_day.select(*lit, "symbol", F.lit("gap").alias("check"), "day",
+                                        F.concat(F.col("_n").cast("string"), F.lit(" missing minutes")).alias("detail")))
         le = dense.select(F.col("day").alias("_d"), F.col("sessions_le").alias("_le"))
         # Sessions up to the as-of day: one number, used as a parameter.
         now = dense.where(F.col("day") == as_of_day).select("sessions_le").first()
         now_le = now["sessions_le"] if now is not None else None
-        m = manifest.where((F.col("asset_class") == asset_class) & (F.col("timeframe") == timeframe)) \
-            .join(F.broadcast(le), F.col("last_complete_date") == F.col("_d"), "left") \
+        m = own.join(le, F.col("last_complete_date") == F.col("_d"), "left") \
             .withColumn("_behind", F.lit(now_le).cast("long") - F.col("_le"))
         parts.append(m.where(F.col("_behind") > coverage_sessions).select(
             *lit, "symbol", F.lit("coverage").alias("check"), F.col("last_complete_date").alias("day"),
