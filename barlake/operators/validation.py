@@ -75,15 +75,8 @@ def missing_sessions(bar_days: DataFrame, sessions: DataFrame, dense: DataFrame,
     (ordinal arithmetic on the broadcast calendar), then back to dates."""
     ords = sessions.select(F.col("session_date").alias("_sd"), F.col("ordinal").alias("_ord"))
     le = dense.select(F.col("day").alias("_day"), F.col("sessions_le").cast("int").alias("_le"))
-    w = Window.partitionBy(key, F.year("day")).orderBy("day")
-    nxt = bar_days.withColumn("next_day", F.lead("day").over(w))
-    # Pairs that cross a year boundary: next day is the first day of the following years.
-    firsts = bar_days.groupBy(key, F.year("day").alias("_y")).agg(F.min("day").alias("_first"))
-    carry = firsts.withColumn("_next_first", F.min("_first").over(
-        Window.partitionBy(key).orderBy("_y").rowsBetween(1, Window.unboundedFollowing)))
-    carry = carry.select(F.col(key).alias("_k"), "_y", "_next_first")
-    nxt = nxt.join(carry, (F.col(key) == F.col("_k")) & (F.year("day") == F.col("_y")), "left") \
-        .select(key, "day", F.coalesce("next_day", "_next_first").alias("next_day"))
+    # One row per series and day: a series' window is bounded by the calendar's days.
+    nxt = bar_days.select(key, "day", F.lead("day").over(Window.partitionBy(key).orderBy("day")).alias("next_day"))
     pairs = nxt.where(F.col("next_day").isNotNull())
     pairs = pairs.join(F.broadcast(le.select(F.col("_day").alias("day"), F.col("_le").alias("lo"))), "day") \
         .join(F.broadcast(le.select(F.col("_day").alias("_nd"), F.col("_le").alias("hi"))),
@@ -136,20 +129,11 @@ def gap_ranges(missing: DataFrame, sessions: DataFrame, key: str = "symbol") ->
     else:
         ords = sessions.select(F.col("session_date").alias("missing_date"), "ordinal")
         m = missing.join(F.broadcast(ords), "missing_date")
-    w = Window.partitionBy(key, F.year("missing_date")).orderBy("ordinal")
-    g = m.withColumn("_grp", F.col("ordinal") - F.row_number().over(w))
-    # Runs never span a year boundary in this grouping; that splits a run
-    # crossing New Year into two ranges, which are merged below.
-    runs = g.groupBy(key, "_grp", F.year("missing_date").alias("_y")).agg(
+    # One row per series and missing day, so the window is bounded by the calendar's days.
+    g = m.withColumn("_grp", F.col("ordinal") - F.row_number().over(Window.partitionBy(key).orderBy("ordinal")))
+    return g.groupBy(key, "_grp").agg(
         F.min("missing_date").alias("first_missing"), F.max("missing_date").alias("last_missing"),
-        F.min("ordinal").alias("_lo"), F.max("ordinal").alias("_hi"), F.count(F.lit(1)).alias("sessions"))
-    w2 = Window.partitionBy(key).orderBy("_lo")
-    runs = runs.withColumn("_new", F.coalesce(F.lag("_hi").over(w2) + 1 != F.col("_lo"), F.lit(True)))
-    runs = runs.withColumn("_run", F.sum(F.col("_new").cast("int")).over(
-        w2.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy(key, "_run").agg(
-        F.min("first_missing").alias("first_missing"), F.max("last_missing").alias("last_missing"),
-        F.sum("sessions").cast("bigint").alias("sessions")).drop("_run")
+        F.count(F.lit(1)).alias("sessions")).drop("_grp")
 
 
 # ------------------------------------------------------------ row checks --

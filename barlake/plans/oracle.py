@@ -809,6 +809,7 @@ SELECT asset_class, timeframe, symbol, CAST(year(missing_date) AS INTEGER) AS ye
        string_agg(strftime(missing_date, '%Y-%m-%d'), ',' ORDER BY missing_date) AS missing_dates
 FROM findings GROUP BY 1, 2, 3, 4"""
 
+ORACLE["bars_scan_all"] = with_("stock_daily") + "SELECT * FROM stock_daily"
 ORACLE["bars_scan"] = with_("stock_daily") + "SELECT * FROM stock_daily WHERE year(timestamp) = 1998"
 
 # ------------------------------------------------ profiles, coverage, stamps --
