@@ -54,7 +54,7 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict
     """Apply ``make()(columns)`` to bounded slices of rows inside tasks.
 
     ``columns`` maps names to Python lists (the text as bytes when ``binary``);
-    the function returns the output columns as lists or arrays.
+    the function returns the output columns as lists, numpy or Arrow arrays.
     """
     out = T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(out)
@@ -66,38 +66,51 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict
             for name, col in zip(part.schema.names, part.columns, strict=True):
                 cols[name] = (col.cast(pa.binary()) if binary and name == column else col).to_pylist()
             got = fn(cols)
-            yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in arrow], schema=arrow)
+            yield pa.RecordBatch.from_arrays(
+                [got[f.name].cast(f.type) if isinstance(got[f.name], pa.Array) else pa.array(got[f.name], type=f.type)
+                 for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, out)
 
 
-def sorted_groups(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[dict[str, np.ndarray]]:
+def sorted_groups(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...],
+                  rows: int = 10_000) -> Iterator[dict[str, np.ndarray]]:
     """Columns of consecutive rows, cut only between keys: rows arrive sorted by
-    ``keys``, each yielded block holds whole groups (one Arrow batch or one group)."""
+    ``keys``; each block holds whole groups, at least ``rows`` rows but for the last
+    (more only as far as one group or one Arrow batch reaches). No block is empty."""
     pending: list[dict[str, np.ndarray]] = []
+    held = 0
 
-    def same(a: dict, i: int, b: dict, j: int) -> bool:
-        return all(a[k][i] == b[k][j] for k in keys)
+    def joined() -> dict[str, np.ndarray]:
+        return {k: np.concatenate([p[k] for p in pending]) for k in pending[0]}
 
     for batch in batches:
         if batch.num_rows == 0:
             continue
         cols = {n: c.to_numpy(zero_copy_only=False) for n, c in zip(batch.schema.names, batch.columns, strict=True)}
-        n = batch.num_rows
-        if pending and same(pending[-1], -1, cols, 0) and same(cols, 0, cols, n - 1):
-            pending.append(cols)
-            continue
-        change = np.zeros(n - 1, dtype=bool)
-        for k in keys:
-            change |= cols[k][1:] != cols[k][:-1]
-        cuts = np.flatnonzero(change)
-        last = int(cuts[-1]) + 1 if len(cuts) else 0
-        head = {k: v[:last] for k, v in cols.items()}
-        pending.append(head)
-        yield {k: np.concatenate([p[k] for p in pending]) for k in cols}
-        pending = [{k: v[last:] for k, v in cols.items()}]
+        if held >= rows:
+            change = np.zeros(batch.num_rows, dtype=bool)  # a new key begins here
+            for k in keys:
+                change[0] |= cols[k][0] != pending[-1][k][-1]
+                change[1:] |= cols[k][1:] != cols[k][:-1]
+            first = np.flatnonzero(change)
+            if len(first):
+                pending.append({k: v[:first[0]] for k, v in cols.items()})
+                yield joined()
+                cols = {k: v[first[0]:] for k, v in cols.items()}
+                pending, held = [], 0
+        pending.append(cols)
+        held += len(cols[keys[0]])
     if pending:
-        yield {k: np.concatenate([p[k] for p in pending]) for k in pending[0]}
+        yield joined()
+
+
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in byte-level vocabularies: printable
+    Latin-1 characters stand for themselves, the others for 256 and up, in order."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
 def cut(df: DataFrame) -> DataFrame:
