@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +26,11 @@ from barlake.llm.common import map_texts, whole_texts
 
 SPACE = "▁"
 #: Distinct words whose ids a worker remembers; beyond it the memory starts anew.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 300_000
 #: Pairs of pieces whose border it remembers.
 KNOWN_BORDERS = 1_000_000
 #: New words indexed at once, in characters.
-INDEX_CHARS = 2_000_000
+INDEX_CHARS = 500_000
 _START, _OTHER, _NONE = -1, -2, -3
 
 
@@ -75,16 +76,34 @@ class PieceModel:
             self.right[i], self.left[i] = self._spine(i, 1), self._spine(i, 0)
             if not late.intersection(self.right[i] + self.left[i]):
                 self.plain.add(i)
-        self.joins = {(a, b): self.rank[t] for t in self.rank for k in range(1, len(t))
-                      if (a := self.id.get(t[:k])) is not None and (b := self.id.get(t[k:])) is not None}
-        self.beside: dict[int, bool] = {}
+        joins = {a * len(self.text) + b: self.rank[t] for t in self.rank for k in range(1, len(t))
+                 if (a := self.id.get(t[:k])) is not None and (b := self.id.get(t[k:])) is not None}
+        self.join_keys = np.array(sorted(joins), dtype=np.int64)
+        self.join_ranks = np.array([joins[k] for k in self.join_keys.tolist()])
+        deep = max(len(v) for d in (self.right, self.left) for v in d.values())
+        #: Spines and the ranks at which their parts end, padded: a part that no merge ends has rank inf.
+        self.spines = {side: (np.zeros((len(self.text), deep), dtype=np.int32), np.full((len(self.text), deep), np.inf))
+                       for side in ("right", "left")}
+        for side, spine in (("right", self.right), ("left", self.left)):
+            parts, ends = self.spines[side]
+            for i, own in spine.items():
+                parts[i, :len(own)] = own
+                ends[i, :len(own) - 1] = [self.time[p] for p in own[1:]]
+        self.is_plain = np.zeros(len(self.text), dtype=bool)
+        self.is_plain[list(self.plain)] = True
+        self.border_keys = np.zeros(0, dtype=np.int64)
+        self.border_stays = np.zeros(0, dtype=bool)
         lengths = np.array([len(self.text[i]) for i in self.edge_pieces])
         self.lengths = lengths
         self.codes = np.zeros((len(lengths), int(lengths.max(initial=1))), dtype=np.int32)
         for row, i in enumerate(self.edge_pieces):
             self.codes[row, :lengths[row]] = [ord(c) for c in self.text[i]]
         self.piece_ids = np.array(self.edge_pieces)
-        self.known: dict[str, tuple[int, ...]] = {}
+        #: Ids (little-endian 32-bit) of words met, with and without a word start.
+        self.started: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
+        self.utf8 = [bytes([int(t[1:-1], 16)]) if k == 6 else b"" if k == 3 else " ⁇ ".encode() if k == 2
+                     else t.replace(SPACE, " ").encode() for t, k in zip(self.text, self.kind, strict=True)]
 
     def _merge(self, parts: list[str]) -> tuple[list[str], tuple[str, str] | None]:
         """Merge by rank, leftmost first; the parts that stay, and the last merge."""
@@ -105,36 +124,54 @@ class PieceModel:
             out.append(self.split[out[-1]][side])
         return out[::-1]
 
-    def may_follow(self, a: int, b: int) -> bool:
-        """Whether the text of ``a`` and ``b`` together is encoded as these two."""
-        key = a * len(self.text) + b
-        got = self.beside.get(key)
-        if got is None:
-            if len(self.beside) >= KNOWN_BORDERS:
-                self.beside.clear()
-            got = self.beside[key] = self._border_stays(a, b)
-        return got
-
-    def _border_stays(self, a: int, b: int) -> bool:
-        if a not in self.plain or b not in self.plain:
-            return self._merge(list(self.text[a] + self.text[b]))[0] == [self.text[a], self.text[b]]
-        right, left = self.right[a], self.left[b]
-        i = j = 0
-        while True:
-            ends_x = self.time[right[i + 1]] if i + 1 < len(right) else np.inf
-            ends_y = self.time[left[j + 1]] if j + 1 < len(left) else np.inf
-            across = self.joins.get((right[i], left[j]), np.inf)
-            if across < ends_x and (across < ends_y or across == ends_y < np.inf):
-                return False  # on equal ranks the merge further left comes first
-            if ends_x == ends_y == np.inf:
-                return True
-            if ends_x <= ends_y:
-                i += 1
+    def may_follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the text of pieces ``a`` and ``b`` together is encoded as these two."""
+        keys = a.astype(np.int64) * len(self.text) + b
+        asked, back = np.unique(keys, return_inverse=True)
+        at = np.searchsorted(self.border_keys, asked)
+        known = np.zeros(len(asked), dtype=bool)
+        inside = at < len(self.border_keys)
+        known[inside] = self.border_keys[at[inside]] == asked[inside]
+        out = np.zeros(len(asked), dtype=bool)
+        out[known] = self.border_stays[at[known]]
+        new = asked[~known]
+        if len(new):
+            out[~known] = self._borders(new // len(self.text), new % len(self.text))
+            if len(self.border_keys) + len(new) > KNOWN_BORDERS:
+                self.border_keys, self.border_stays = asked, out
             else:
-                j += 1
+                keys = np.concatenate([self.border_keys, new])
+                order = np.argsort(keys, kind="stable")
+                self.border_keys = keys[order]
+                self.border_stays = np.concatenate([self.border_stays, out[~known]])[order]
+        return out[back]
+
+    def _borders(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Walk both merge trees along the border, always past the part that ends
+        first: a merge across that comes before either part ends takes the border."""
+        out = np.ones(len(a), dtype=bool)
+        odd = np.flatnonzero(~(self.is_plain[a] & self.is_plain[b]))
+        for k in odd.tolist():
+            pair = [self.text[a[k]], self.text[b[k]]]
+            out[k] = self._merge(list("".join(pair)))[0] == pair
+        (right, right_ends), (left, left_ends) = self.spines["right"], self.spines["left"]
+        rows = np.flatnonzero(self.is_plain[a] & self.is_plain[b])
+        i, j = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=np.int64)
+        while len(rows):
+            ends_x, ends_y = right_ends[a[rows], i], left_ends[b[rows], j]
+            key = right[a[rows], i].astype(np.int64) * len(self.text) + left[b[rows], j]
+            at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
+            across = np.where(self.join_keys[at] == key, self.join_ranks[at], np.inf)
+            # On equal ranks the merge further left comes first.
+            taken = (across < ends_x) & ((across < ends_y) | ((across == ends_y) & (ends_y < np.inf)))
+            out[rows[taken]] = False
+            go = ~taken & ~((ends_x == np.inf) & (ends_y == np.inf))
+            step = ends_x <= ends_y
+            i, j, rows = (i + step)[go], (j + ~step)[go], rows[go]
+        return out
 
     @lru_cache(maxsize=10_000)  # noqa: B019
-    def blanks(self, n: int) -> tuple[int, ...]:
+    def blanks(self, n: int) -> bytes:
         """Ids of ``n`` word starts in a row: pairs merge leftmost first (all such
         pieces have one rank, below all others)."""
         size, after, before = [1] * n, list(range(1, n)) + [-1], list(range(-1, n - 1))
@@ -151,7 +188,7 @@ class PieceModel:
                 heapq.heappush(heap, (k, a + b, size[after[right]]))
             if before[k] >= 0:
                 heapq.heappush(heap, (before[k], size[before[k]], a + b))
-        return tuple(self.id[SPACE * s] for s in size if s)
+        return np.array([self.id[SPACE * s] for s in size if s], dtype="<i4").tobytes()
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
@@ -195,7 +232,7 @@ def occurrences(codes: np.ndarray, order: np.ndarray, patterns: np.ndarray,
     return low, np.maximum(low, high)
 
 
-def encode_words(words: list[str], model: PieceModel) -> list[tuple[int, ...]]:
+def encode_words(words: list[str], model: PieceModel) -> list[bytes]:
     """Ids of each word (no word start inside), all indexed together."""
     text = "\0".join(words) + "\0"
     codes = np.frombuffer(text.encode("utf-32-le"), dtype="<i4").astype(np.int32)
@@ -219,113 +256,129 @@ def encode_words(words: list[str], model: PieceModel) -> list[tuple[int, ...]]:
     at = np.concatenate([at, other])
     length = np.concatenate([length, np.ones(len(other), dtype=np.int64)])
     piece = np.concatenate([piece, np.full(len(other), _OTHER)])
-    by_end = np.argsort((at + length) * 64 - length, kind="stable")
-    last = [_NONE] * (len(codes) + 1)
-    back = [0] * (len(codes) + 1)
-    for s in starts.tolist():
-        last[s] = _START
-    follow = model.may_follow
-    for start, size, p in zip(at[by_end].tolist(), length[by_end].tolist(), piece[by_end].tolist(), strict=True):
-        end = start + size
-        if last[end] == _NONE:
-            before = last[start]
-            if before == _START or p == _OTHER and before != _NONE or before == _OTHER or before >= 0 and follow(before, p):
-                last[end], back[end] = p, start
-    out = []
-    for start, size in zip(starts.tolist(), sizes.tolist(), strict=True):
-        end, ids = start + size, []
-        while end > start:
-            if last[end] == _OTHER:
-                ids += [model.byte_id[b] for b in reversed(text[end - 1].encode())]
-            else:
-                ids.append(last[end])
-            end = back[end]
-        out.append(tuple(reversed(ids)))
+    # Edges by their end in the word: those of one end, in all words, are relaxed together.
+    offset = np.arange(len(codes)) - np.repeat(starts, sizes + 1)
+    end = at + length
+    reach = offset[end - 1] + 1
+    by_end = np.argsort(reach, kind="stable")
+    at, end, piece, reach = at[by_end], end[by_end], piece[by_end], reach[by_end]
+    last = np.full(len(codes) + 1, _NONE)
+    back = np.zeros(len(codes) + 1, dtype=np.int64)
+    last[starts] = _START
+    cuts = np.concatenate([np.flatnonzero(np.r_[True, reach[1:] != reach[:-1]]), [len(reach)]]) if len(reach) else [0]
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        before, now = last[at[lo:hi]], piece[lo:hi]
+        good = (before == _START) | (before == _OTHER) | ((now == _OTHER) & (before != _NONE))
+        ask = np.flatnonzero(~good & (before >= 0))
+        good[ask] = model.may_follow(before[ask], now[ask])
+        last[end[lo:hi][good]] = now[good]
+        back[end[lo:hi][good]] = at[lo:hi][good]
+    # Back from the end of every word, one piece at a time.
+    taken: list[tuple[np.ndarray, np.ndarray]] = []
+    row, place = np.flatnonzero(sizes > 0), (starts + sizes)[sizes > 0]
+    while len(row):
+        taken.append((row, place))
+        place = back[place]
+        more = place > starts[row]
+        row, place = row[more], place[more]
+    if not taken:
+        return [b""] * len(words)
+    rows = np.concatenate([r for r, _ in taken])
+    places = np.concatenate([p for _, p in taken])
+    order = np.lexsort((places, rows))
+    rows, ids = rows[order], last[places[order]].astype("<i4")
+    ends = np.cumsum(np.bincount(rows, minlength=len(words)))
+    flat = ids.tobytes()
+    out = [flat[4 * a:4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+    for r in np.unique(rows[ids == _OTHER]).tolist():  # their UTF-8 bytes instead
+        found, spot = [], int(starts[r])
+        for i in np.frombuffer(out[r], dtype="<i4").tolist():
+            size = 1 if i == _OTHER else len(model.text[i])
+            found += [model.byte_id[b] for b in text[spot].encode()] if i == _OTHER else [i]
+            spot += size
+        out[r] = np.array(found, dtype="<i4").tobytes()
     return out
 
 
-def _learn(words: set[str], model: PieceModel) -> None:
-    if len(model.known) + len(words) > KNOWN_WORDS:
-        model.known.clear()
+def _learn(wanted: set[str], known: dict[str, bytes], head: str, model: PieceModel) -> None:
+    """Add the ids of the new among ``wanted`` words, each after ``head``, a block of
+    them at a time; where the memory is full it starts anew with all of them."""
+    words = wanted.difference(known)
+    if len(known) + len(words) > KNOWN_WORDS:
+        known.clear()
+        words = wanted
     block: list[str] = []
     held = 0
     for w in words:
         block.append(w)
-        held += len(w) + 1
+        held += len(w) + 2
         if held >= INDEX_CHARS:
-            model.known.update(zip(block, encode_words(block, model), strict=True))
+            known.update(zip(block, encode_words([head + x for x in block], model), strict=True))
             block, held = [], 0
     if block:
-        model.known.update(zip(block, encode_words(block, model), strict=True))
-
-
-def _units(text: str, model: PieceModel) -> list[tuple[int, list[str]]]:
-    """(word starts before, parts of the word): a word's parts end at line breaks,
-    which no piece holds, and only the first part has its word start."""
-    out, waiting = [], 0
-    words = text.replace(SPACE, " ").split(" ")
-    if not model.prefix and words[0]:
-        out.append((0, words[0].split("\n")))
-        words = words[1:]
-    elif not model.prefix:
-        words = words[1:]
+        known.update(zip(block, encode_words([head + x for x in block], model), strict=True))
+
+
+def _with_blanks(words: list[str], model: PieceModel) -> bytes:
+    """Ids of words that each follow a word start; an empty word is a start alone,
+    which merges with the starts beside it."""
+    out, waiting, blank = [], 0, model.id[SPACE].to_bytes(4, "little")
     for w in words:
         waiting += 1
         if w:
-            head, *rest = w.split("\n")
-            out.append((waiting, [SPACE + head, *rest]))
+            ids = model.started[w]
+            if waiting > 1:
+                alone = ids[:4] == blank
+                out.append(model.blanks(waiting if alone else waiting - 1))
+                ids = ids[4:] if alone else ids
+            out.append(ids)
             waiting = 0
     if waiting:
-        out.append((waiting, []))
-    return out
-
-
-def encode_texts(texts: list[str], model: PieceModel) -> list[list[int]]:
-    """Ids of each text, as the model's own library gives them."""
-    units = [_units(t, model) if t else [] for t in texts]
-    wanted = {p for u in units for _, parts in u for p in parts if p}
-    new = wanted.difference(model.known)
-    if new:
-        _learn(new, model)
-        if not wanted.issubset(model.known.keys()):  # the memory was started anew
-            _learn(wanted, model)
-    blank, line = model.id[SPACE], model.byte_id[10]
-    known, out = model.known, []
-    for u in units:
-        ids: list[int] = []
-        for starts, parts in u:
-            if not parts:
-                ids += model.blanks(starts)
-                continue
-            first = known[parts[0]] if parts[0] else ()
-            if starts > 1:
-                alone = first[0] == blank
-                ids += model.blanks(starts if alone else starts - 1)
-                first = first[1:] if alone else first
-            ids += first
-            for p in parts[1:]:
-                ids.append(line)
-                if p:
-                    ids += known[p]
-        out.append(ids)
+        out.append(model.blanks(waiting))
+    return b"".join(out)
+
+
+def encode_texts(texts: list[str], model: PieceModel) -> list[bytes]:
+    """Ids (little-endian 32-bit) of each text, as the model's own library gives
+    them. A text is cut at blanks, where words start, and at line breaks, which no
+    piece holds."""
+    split = [[line.split(" ") for line in t.replace(SPACE, " ").split("\n")] if t else [] for t in texts]
+    started: set[str] = set()
+    bare: set[str] = set()
+    for lines in split:
+        for n, words in enumerate(lines):
+            if n or not model.prefix:
+                bare.add(words[0])
+                started.update(words[1:])
+            else:
+                started.update(words)
+    for wanted, known, head in ((started, model.started, SPACE), (bare, model.bare, "")):
+        wanted.discard("")
+        _learn(wanted, known, head, model)
+    get, first = model.started.__getitem__, model.bare
+    line_break = model.byte_id[10].to_bytes(4, "little")
+    out = []
+    for lines in split:
+        done = []
+        for n, words in enumerate(lines):
+            head = b""
+            if n or not model.prefix:
+                head = first[words[0]] if words[0] else b""
+                words = words[1:]
+            done.append(head + (_with_blanks(words, model) if "" in words else b"".join(map(get, words))))
+        out.append(line_break.join(done))
     return out
 
 
 def decode_ids(ids: list[int], model: PieceModel) -> str:
     """Text of ids: byte pieces joined (invalid UTF-8 replaced), control pieces
     empty, the added word start dropped."""
-    out, added = bytearray(), model.prefix  # the added word start, while it may still come
-    for i in ids:
-        kind = model.kind[i]
-        if kind == 6:
-            out.append(int(model.text[i][1:-1], 16))
-        elif kind == 2:
-            out += " ⁇ ".encode()
-        elif kind != 3:
-            start = added and not out and model.text[i].startswith(SPACE)
-            added = added and not start
-            out += model.text[i].removeprefix(SPACE if start else "").encode()
-    return out.decode(errors="replace").replace(SPACE, " ")
+    data = b"".join(map(model.utf8.__getitem__, ids))
+    if model.prefix:  # the first piece that stands for text may hold the added start
+        first = next((i for i in ids if model.kind[i] != 3), None)
+        if first is not None and model.text[first].startswith(SPACE):
+            data = data[1:]
+    return data.decode(errors="replace")
 
 
 _MODELS: dict[int, PieceModel] = {}
@@ -345,7 +398,8 @@ def _read(path: str) -> bytes:
 
 
 def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id long, text_sha256 string, ids array<int>): one row per input row.
+    """(doc_id long, ids array<int>, round_trip boolean): one row per input row;
+    ``round_trip`` says whether the ids decode to the very text.
 
     ``model_file`` is the path, on the driver, of a SentencePiece BPE model with
     byte fallback; its content goes to the tasks. A null text is empty and has no
@@ -356,11 +410,18 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
 
     def make() -> Callable:
         model = piece_model(data)
-        return lambda cols: {"doc_id": cols["doc_id"], "text_sha256": cols["text_sha256"],
-                             "ids": encode_texts(cols["text"], model)}
 
-    texts = whole_texts(docs, id_col, text_col).withColumn("text_sha256", F.sha2("text", 256))
-    return map_texts(texts, make, "doc_id long, text_sha256 string, ids array<int>")
+        def run(cols: dict) -> dict:
+            ids = encode_texts(cols["text"], model)
+            ends = np.cumsum([0] + [len(i) // 4 for i in ids], dtype=np.int32)
+            values = np.frombuffer(b"".join(ids), dtype="<i4")
+            same = [decode_ids(np.frombuffer(i, dtype="<i4").tolist(), model) == t
+                    for i, t in zip(ids, cols["text"], strict=True)]
+            return {"doc_id": cols["doc_id"], "round_trip": same,
+                    "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(values))}
+        return run
+
+    return map_texts(whole_texts(docs, id_col, text_col), make, "doc_id long, ids array<int>, round_trip boolean")
 
 
 def decode_column(model_file: str) -> Callable[[Column], Column]:

@@ -37,11 +37,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every document, and whether they decode to its text."""
     import public_tokenizers
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = pieces.encode(documents(spark, sf_dir), model)
-    decoded = F.sha2(pieces.decode_column(model)(F.col("ids")), 256)
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                          (decoded == F.col("text_sha256")).alias("round_trip"))
+    encoded = pieces.encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,4 +87,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_embeddings": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings),
+usable AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM v
+  WHERE e IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND list_dot_product(e, e) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.9),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, v.vec_id = l.component_id AS kept
+FROM v JOIN least l USING (vec_id) LEFT JOIN counts c USING (vec_id)""",
+}
