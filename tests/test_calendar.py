@@ -52,10 +52,6 @@ def test_good_friday_and_special_closure(spark):
     assert "2024-03-29" in {r["holiday_date"].isoformat() for r in C.holidays(days).collect()}
 
 
-def test_calendar_span_guard(spark):
-    import pytest
+def test_calendar_of_a_long_span(spark):
     far = spark.createDataFrame([("1700-01-01",), ("2100-01-01",)], "d string").select(F.col("d").cast("date").alias("d"))
-    with pytest.raises(Exception, match="calendar span exceeds"):
-        C.days_spanning(far, "d").count()
-    near = spark.createDataFrame([("2020-01-01",), ("2020-01-10",)], "d string").select(F.col("d").cast("date").alias("d"))
-    assert C.days_spanning(near, "d").count() == 10
+    assert C.days_spanning(far, "d").count() == 146098
