@@ -29,7 +29,7 @@ SEGMENT_BLOCKS = 8192
 TRAIN_DOCS, TRAIN_BYTES = 2_000, 16_384
 STEPS, BATCH, RATE, SEED = 1_250, 16, 0.01, 7
 THRESHOLD = 0.3
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 250_000
 
 
 @dataclass
@@ -93,10 +93,10 @@ def _pooled(texts: list[bytes], w: dict[str, np.ndarray]) -> np.ndarray:
 
 def scores(texts: list[bytes], model: Model) -> np.ndarray:
     """Probability of good quality of each UTF-8 text (empty texts too)."""
-    if model.weights is None:
-        return np.full(len(texts), model.rate)
     if not texts:
         return np.zeros(0)
+    if model.weights is None:
+        return np.full(len(texts), model.rate)
     w = model.weights
     z = _pooled(texts, w).astype(np.float64) @ w["out"] + w["out_bias"][0]
     return np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 6)
@@ -184,14 +184,15 @@ def score_column(model: Model):
     @pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in texts:
-            data = [b"" if t is None else t.encode() for t in series]
-            sizes = np.cumsum([len(t) for t in data])
-            parts, start = [], 0
-            while start < len(data):
-                stop = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + SLICE_BYTES)))
-                parts.append(scores(data[start:stop], model))
-                start = stop
-            yield pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
+            parts, block, held = [np.zeros(0)], [], 0
+            for text in series:
+                block.append(text.encode())
+                held += len(block[-1])
+                if held >= SLICE_BYTES:
+                    parts.append(scores(block, model))
+                    block, held = [], 0
+            parts.append(scores(block, model))
+            yield pd.Series(np.concatenate(parts), dtype="float64")
 
     def of(text: Column) -> Column:
         return score(F.coalesce(text.cast("string"), F.lit("")))

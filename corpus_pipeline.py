@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from barlake.llm import packing, quality, secrets, simhash
-from barlake.session import scratch_path
+from barlake.session import configure, scratch_path
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,12 +36,20 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
-STAGES = [
+def _configured(stage):
+    """The stage under the package's session settings."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(configure(spark), docs, sf_dir)
+    run_stage.__name__, run_stage.__doc__ = stage.__name__, stage.__doc__
+    return run_stage
+
+
+STAGES = [(name, _configured(stage)) for name, stage in (
     ("quality", keep_good_quality),
     ("near_duplicates", drop_near_duplicates),
     ("secrets", mask_secrets),
     ("packing", pack_windows),
-]
+)]
 
 #: A trained classifier and a tokenizer are not SQL; tests compare with brute force.
 ORACLE_SQL = None
