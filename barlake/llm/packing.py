@@ -13,8 +13,11 @@ capacity, the window count rises and the batch is parted anew.
 from __future__ import annotations
 
 import heapq
+import json
+import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from barlake.llm.common import slices, whole_texts
+from barlake.llm.common import byte_letters, slices, whole_texts
 
 WINDOW = 2048
 PIECE_TOKENS = 512
@@ -33,12 +36,18 @@ BATCH_WINDOWS = 128
 SLACK_TOKENS = 16
 END_ID = 1
 #: Distinct words whose ids a worker remembers; beyond it the memory starts anew.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 600_000
 
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
          "sequence_id long, offset long")
 
 _EDGE_PUNCTUATION = b'.,!?;:()"'
+#: A byte that no UTF-8 text holds.
+WORD_END = b"\xff"
+#: Latin-1 letters: simple lower case, and what is then a word of them (these
+#: stay as they are under the file's normalising).
+_LOWER = {c: c + 32 for c in range(0xC0, 0xDF) if c != 0xD7}
+_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 def difference(sizes: list[int], slots: int) -> list[list[int]]:
@@ -85,46 +94,82 @@ class WordEncoder:
     never matches across, so a text's ids are its words' ids in order. A worker
     remembers the ids of words it has met. The strings of special tokens in a
     text are ordinary text.
+
+    A new word of Latin letters goes straight to a byte-pair merger that reads the
+    file's vocabulary as ranks, the word's end as a byte of its own. Its ids equal
+    the library's, since every entry of the vocabulary merges to itself (then no
+    two neighbours that make up an entry are ever left over by its own merge). All
+    other words go through the library.
     """
 
     def __init__(self, spec: str):
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> None:
+        content = json.loads(spec)
+        suffix = content["model"].get("end_of_word_suffix") or ""
+        special = {t["content"] for t in content.get("added_tokens", [])}
+        byte_of = byte_letters()
+        ranks = {}
+        for entry, i in content["model"]["vocab"].items():
+            if entry not in special:
+                ends = bool(suffix) and entry.endswith(suffix) and entry != suffix
+                letters = entry.removesuffix(suffix) if ends else entry
+                ranks[bytes(byte_of[c] for c in letters) + (WORD_END if ends else b"")] = i
+        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks,
+                                       special_tokens={})._core_bpe.encode_single_piece if suffix else None
+
+    def _ids(self, words: Iterable[bytes]) -> None:
+        """Learn words that need no further splitting, or only the library's."""
+        rest = []
+        for w in words:
+            if self.merge is not None and w.isalpha():  # ASCII letters, in lower case already
+                ids = self.merge(w + WORD_END)
+            else:
+                plain = w.decode().translate(_LOWER)
+                if self.merge is None or not _LETTERS.fullmatch(plain):
+                    rest.append(w)
+                    continue
+                ids = self.merge(plain.encode() + WORD_END)
+            self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
+        for at in range(0, len(rest), 2_000):
+            block = rest[at:at + 2_000]
+            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in block], add_special_tokens=False)
+            for w, e in zip(block, encoded, strict=True):
+                self.known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+    def _learn(self, words: set[bytes], wanted: set[bytes]) -> None:
+        """Learn new ``words``; where the memory is full, anew all that are ``wanted``."""
         if len(self.known) + len(words) > KNOWN_WORDS:
             self.known.clear()
+            words = wanted
         parts: dict[bytes, tuple[bytes, ...]] = {}
+        single: set[bytes] = set()
         for w in words:
             core = w.strip(_EDGE_PUNCTUATION)
-            if core and core != w and core.isalpha():  # punctuation splits off letters
-                head = w.index(core)
+            if core and len(core) != len(w) and (core.isalpha() or _LETTERS.fullmatch(core.decode().translate(_LOWER))):
+                head = w.index(core)  # the punctuation splits off
                 parts[w] = tuple(x for x in (w[:head], core, w[head + len(core):]) if x)
+                single.update(parts[w])
             else:
-                parts[w] = (w,)
-        fresh = list({p for ps in parts.values() for p in ps if p not in self.known})
-        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)
-        for p, e in zip(fresh, encoded, strict=True):
-            self.known[p] = np.array(e.ids, dtype="<u4").tobytes()
+                single.add(w)
+        self._ids(single.difference(self.known))
         for w, ps in parts.items():
-            if len(ps) > 1:
-                self.known[w] = b"".join([self.known[p] for p in ps])
+            self.known[w] = b"".join([self.known[p] for p in ps])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
         split = [t.lower().split() for t in texts]  # A-Z only; the file lower-cases anyway
-        new = {w for words in split for w in words if w not in self.known}
+        words: set[bytes] = set()
+        for own in split:
+            words.update(own)
+        new = words.difference(self.known)
         if new:
-            self._learn(new)
+            self._learn(new, words)
         get = self.known.__getitem__
-        try:
-            return [b"".join(map(get, words)) for words in split]
-        except KeyError:  # the memory was started anew: learn all words of these texts
-            self._learn({w for words in split for w in words})
-            get = self.known.__getitem__
-            return [b"".join(map(get, words)) for words in split]
+        return [b"".join(map(get, own)) for own in split]
 
 
 _ENCODERS: dict[int, WordEncoder] = {}

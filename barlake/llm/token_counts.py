@@ -14,10 +14,10 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
-from barlake.llm.common import map_texts, whole_texts
+from barlake.llm.common import byte_letters, map_texts, whole_texts
 
 #: Distinct words whose counts a worker remembers; beyond it the memory starts anew.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 500_000
 _EDGE_PUNCTUATION = b'.,!?;:()"'
 
 
@@ -85,7 +85,7 @@ class WordPieces:
         if not suffix:
             raise ValueError("the tokenizer file has no word-end suffix")
         special = {t["content"] for t in json.loads(spec).get("added_tokens", [])}
-        self.byte_of = _byte_letters()
+        self.byte_of = byte_letters()
         pieces = []
         for piece in model["vocab"]:
             if piece in special or piece == suffix:
@@ -126,14 +126,6 @@ class WordPieces:
         return words, pieces
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in byte-level vocabularies: printable
-    Latin-1 characters stand for themselves, the others for 256 and up, in order."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 _LOADED: dict[int, WordPieces] = {}
 
 
