@@ -262,8 +262,9 @@ ORACLE["session_count"] = with_("stock_session_count") + """
 SELECT symbol, earliest_date, last_complete_date, sessions FROM stock_session_count"""
 ORACLE["bar_count_check"] = with_("stock_session_count") + f"""
 SELECT c.symbol, c.bar_count, c.sessions, c.bar_count - c.sessions AS diff,
-       abs(c.bar_count - c.sessions) <= 10 AS within_tolerance,
-       c.earliest_date = d.session_on_or_after AS starts_on_session
+       abs(c.bar_count - c.sessions) <= 1 AS within_tolerance,
+       c.earliest_date = d.session_on_or_after AS starts_on_session,
+       c.earliest_date = (SELECT min(session_on_or_after) FROM scal_dense) AS starts_as_requested
 FROM stock_session_count c LEFT JOIN scal_dense d ON c.earliest_date = d.day"""
 ORACLE["session_filter"] = with_("crypto_minute_sessions") + """
 SELECT * FROM crypto_minute_sessions WHERE session <> 'closed'"""
