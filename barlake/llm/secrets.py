@@ -2,7 +2,7 @@
 
 Key-value assignments, access keys and long hexadecimal runs are found by
 pattern. Other runs of key characters are scored by two character Markov models,
-one of random strings and one of ordinary identifiers: a run is a secret when the
+one of random strings and one of the corpus's ordinary runs: a run is a secret when the
 log-likelihood ratio of the random model against the ordinary one is high.
 """
 
@@ -26,11 +26,14 @@ SPANS = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
-WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_-]+(?![A-Za-z0-9+/_=-])"
-#: Documents whose words train the model of ordinary identifiers (smallest hashes
-#: of doc_id), and random strings of each form that train the other.
-SAMPLE_DOCS = 2_000
+#: Runs in pieces of at most 65 key characters that share their end characters, so
+#: each pair of neighbours lies in one piece, however long the run.
+PIECE = r"(?=([A-Za-z0-9+/_=-]{2,65}))[A-Za-z0-9+/_=-]{1,64}"
+#: Random strings of each form that train the model of random strings.
 RANDOM_STRINGS = 2_000
+#: Share of each character's ordinary successors that is spread evenly: what an
+#: unseen pair costs does not depend on the size of the corpus.
+SMOOTHING = 0.001
 #: Nats by which a run must look more random than ordinary.
 MIN_RATIO = 15.0
 MASK = "[SECRET]"
@@ -81,37 +84,34 @@ class Model:
     ratios: str
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Both Markov models, from labelled samples: random strings are encoded
-    digests of numbers; ordinary identifiers are the words of at most
-    ``sample_docs`` document ids. Pair counts start at one."""
+def train(docs: DataFrame, text_col: str = "text") -> Model:
+    """Both Markov models: random strings are encoded digests of numbers; ordinary
+    ones are the runs of key characters of all documents, outside base spans. Both
+    are counted by pair of neighbours, combined before the shuffle to at most one
+    row per pair of ``ALPHABET`` and task."""
     spark = docs.sparkSession
     n = len(ALPHABET)
-    ids = (docs.select(F.col(id_col).cast("long").alias("sampled")).filter("sampled IS NOT NULL").distinct()
-           .orderBy(F.xxhash64("sampled"), "sampled").limit(sample_docs))
-    # At most sample_docs rows of one long: broadcast whatever the corpus.
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")).join(
-        F.broadcast(ids), F.col("doc") == F.col("sampled"), "left_semi")
-    words = (texts.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("s"))
-             .groupBy("s").agg(F.count("*").alias("times")).withColumn("random", F.lit(0)))
+    texts = docs.select(F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
+    plain = F.when(F.size("cuts") > 0, _replaced(F.col("text"), F.col("cuts"), "\n")).otherwise(F.col("text"))
+    ordinary = (texts.select("text", _merged(base_spans(F.col("text"))).alias("cuts"))
+                .select(F.explode(F.regexp_extract_all(plain, F.lit(PIECE), F.lit(1))).alias("s"), F.lit(0).alias("random")))
     digest = spark.range(RANDOM_STRINGS).select(F.sha2(F.col("id").cast("string"), 256).alias("d"))
     forms = F.array(F.col("d"), F.base64(F.unhex("d")), F.upper(F.col("d")),
                     F.translate(F.base64(F.unhex("d")), "+/=", "-_"))
-    randoms = digest.select(F.explode(forms).alias("s"), F.lit(1).cast("long").alias("times"), F.lit(1).alias("random"))
-    at = lambda i: F.instr(F.lit(ALPHABET), F.col("s").substr(i, F.lit(1))) - 1
-    pairs = (words.unionByName(randoms).filter(F.char_length("s") > 1)
-             .select("s", "times", "random", F.explode(F.sequence(F.lit(1), F.char_length("s") - 1)).alias("i"))
-             .select("random", "times", at(F.col("i")).alias("c"), at(F.col("i") + 1).alias("d"))
-             .filter("c >= 0 AND d >= 0").groupBy("c", "d")
-             .agg(F.sum(F.when(F.col("random") == 1, F.col("times")).otherwise(0)).alias("r"),
-                  F.sum(F.when(F.col("random") == 0, F.col("times")).otherwise(0)).alias("o")))
+    randoms = digest.select(F.explode(forms).alias("s"), F.lit(1).alias("random"))
+    at = lambda i: F.instr(F.lit(ALPHABET), F.col("pair").substr(i, 1)) - 1
+    pairs = (ordinary.unionByName(randoms)
+             .select("s", "random", F.explode(F.sequence(F.lit(1), F.char_length("s") - 1)).alias("i"))
+             .groupBy(F.col("s").substr(F.col("i"), F.lit(2)).alias("pair"))
+             .agg(F.sum("random").alias("r"), F.sum(1 - F.col("random")).alias("o"))
+             .select(at(1).alias("c"), at(2).alias("d"), "r", "o"))
     grid = spark.range(n * n).select((F.floor(F.col("id") / n)).cast("int").alias("c"),
                                      (F.col("id") % n).cast("int").alias("d"))
     counts = grid.join(pairs, ["c", "d"], "left").select("c", "d", (F.coalesce("r", F.lit(0)) + 1).alias("r"),
-                                                         (F.coalesce("o", F.lit(0)) + 1).alias("o"))
+                                                         F.coalesce("o", F.lit(0)).alias("o"))
     totals = counts.groupBy("c").agg(F.sum("r").alias("rs"), F.sum("o").alias("os"))
-    ratio = F.round(F.log(F.col("r") / F.col("rs")) - F.log(F.col("o") / F.col("os")), 6)
+    seen = F.when(F.col("os") > 0, F.col("o") / F.col("os")).otherwise(1 / n)
+    ratio = F.round(F.log(F.col("r") / F.col("rs")) - F.log((1 - SMOOTHING) * seen + SMOOTHING / n), 6)
     rows = counts.join(totals, "c").select((F.col("c") * n + F.col("d")).alias("at"), ratio.alias("x"))
     one = rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))),
                                             lambda s: s["x"].cast("string")), ",").alias("ratios")).first()
@@ -177,6 +177,17 @@ def _merged(spans: Column) -> Column:
     return F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), step)
 
 
+def _replaced(text: Column, cuts: Column, mask: str) -> Column:
+    """``text`` with each of its disjoint cuts (at least one) replaced by ``mask``."""
+    def rebuilt(x: Column) -> Column:
+        def before(c: Column, i: Column) -> Column:
+            start = F.when(i == 0, F.lit(0)).otherwise(F.get(x["cuts"], i - 1)["end"])
+            return F.concat(F.substr(x["text"], start + 1, c["start"] - start), F.lit(mask))
+        parts = F.transform(x["cuts"], before)
+        return F.concat(F.array_join(parts, ""), F.substr(x["text"], F.element_at(x["cuts"], -1)["end"] + 1))
+    return _let(F.struct(text.alias("text"), cuts.alias("cuts")), rebuilt)
+
+
 def redact(docs: DataFrame, model: Model, text_col: str = "text", size_col: str | None = None,
            mask: str = MASK) -> DataFrame:
     """``docs`` with every secret in the text replaced by ``mask``.
@@ -189,16 +200,8 @@ def redact(docs: DataFrame, model: Model, text_col: str = "text", size_col: str
     rows = docs.withColumn(base, base_spans(text))
     rows = rows.withColumn(cuts, _merged(F.array_sort(F.concat(F.col(base), random_spans(text, F.col(base), model)))))
 
-    def rebuilt(x: Column) -> Column:
-        def before(c: Column, i: Column) -> Column:
-            start = F.when(i == 0, F.lit(0)).otherwise(F.get(x["cuts"], i - 1)["end"])
-            return F.concat(F.substr(x["text"], start + 1, c["start"] - start), F.lit(mask))
-        parts = F.transform(x["cuts"], before)
-        return F.concat(F.array_join(parts, ""), F.substr(x["text"], F.element_at(x["cuts"], -1)["end"] + 1))
-
     changed = F.size(cuts) > 0
-    clean = F.when(changed, _let(F.struct(text.alias("text"), F.col(cuts).alias("cuts")), rebuilt)
-                   ).otherwise(F.col(text_col))
+    clean = F.when(changed, _replaced(text, F.col(cuts), mask)).otherwise(F.col(text_col))
     out = []
     for c in docs.columns:
         if c == text_col:

@@ -1,5 +1,6 @@
 """Quality, personal data, secrets, licences: against plain code and held-out rows."""
 
+import base64
 import hashlib
 import random
 import re
@@ -149,6 +150,32 @@ def test_markov_models_tell_random_strings(spark, docs):
     assert clean.first()["text"] == "key [SECRET] and [SECRET]"
 
 
+def test_markov_models_count_the_whole_corpus(spark, texts):
+    paths = {10_000 + i: f"/opt/v{i}/lib64+x=y_{i}-z token=Zq9Zq9Zq9 " + "a1/" * 70 for i in range(2_500)}
+    rows = spark.createDataFrame(list({**texts, **paths}.items()), "doc_id long, text string")
+    model = secrets.train(rows)
+    n, seen = len(secrets.ALPHABET), np.zeros((len(secrets.ALPHABET),) * 2)
+    for t in [*texts.values(), *paths.values()]:
+        for _, start, end in (p.split(":") for p in plain_secrets(t).split(",") if p):
+            start, end = int(start), int(end)
+            t = t[:start] + " " * (end - start) + t[end:]
+        for run in re.findall(r"[A-Za-z0-9+/_=-]+", t):
+            for c, d in zip(run, run[1:]):
+                seen[secrets.ALPHABET.index(c), secrets.ALPHABET.index(d)] += 1
+    random_model = np.ones((n, n))
+    for i in range(secrets.RANDOM_STRINGS):
+        d = hashlib.sha256(str(i).encode()).digest()
+        b = base64.b64encode(d).decode()
+        for s in (d.hex(), b, d.hex().upper(), b.translate(str.maketrans("+/", "-_", "="))):
+            for c, e in zip(s, s[1:]):
+                random_model[secrets.ALPHABET.index(c), secrets.ALPHABET.index(e)] += 1
+    total = seen.sum(axis=1, keepdims=True)
+    share = np.where(total > 0, seen / np.maximum(total, 1), 1 / n) * (1 - secrets.SMOOTHING) + secrets.SMOOTHING / n
+    want = np.log(random_model / random_model.sum(axis=1, keepdims=True)) - np.log(share)
+    assert np.allclose(np.array(model.ratios.split(","), dtype=float).reshape(n, n), want, atol=2e-6)
+    assert secrets.train(rows.unionByName(rows)).ratios == model.ratios
+
+
 def plain_licenses(text):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
