@@ -8,7 +8,7 @@ evaluated: ``and`` binds tighter than ``or``, ``with`` tightest.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -38,7 +38,7 @@ NOTICES = {
     "this program is free software you can redistribute it and or modify": ("gpl", 0.7),
 }
 TAGS = ["spdx license identifier", "license expression"]
-TAG_LINE = re.compile(r"(?:spdx-license-identifier|license-expression)[ \t]*:[ \t]*([^\r\n]{1,2000})", re.IGNORECASE | re.ASCII)
+TAG = re.compile(rb"(?:spdx-license-identifier|license-expression)[ \t]*:", re.IGNORECASE)
 # Licence identifiers by first letters, the longest first.
 FAMILIES = {"agpl-": "agpl", "lgpl-": "lgpl", "gpl-": "gpl", "apache-": "apache", "bsd-": "bsd", "cc-by-nc": "cc-by-nc",
             "cc-by-sa": "cc-by-sa", "cc-by-nd": "cc-by-nd", "cc-by-": "cc-by", "cc0-": "public-domain", "mit": "mit",
@@ -106,39 +106,61 @@ def family(identifier: str) -> str:
 
 def evaluate(source: str) -> Expression:
     """Value of an expression; ``with`` keeps its licence and notes the exception."""
-    stack: list[Expression] = []
+    stack: list[tuple[bool, tuple]] = []
     for token in postfix(source):
         if token not in PRECEDENCE:
-            label = family(token)
-            stack.append(Expression(frozenset([label]), label in PERMISSIVE, token))
+            stack.append((family(token) in PERMISSIVE, (token,)))
             continue
-        right, left = stack.pop(), stack.pop()
-        if token == "with":
-            stack.append(Expression(left.labels, left.permissive, f"{left.text} with {right.text}"))
-        elif token == "and":
-            stack.append(Expression(left.labels | right.labels, left.permissive and right.permissive,
-                                    f"({left.text} and {right.text})"))
+        (right_ok, right), (left_ok, left) = stack.pop(), stack.pop()
+        ok = left_ok if token == "with" else left_ok and right_ok if token == "and" else left_ok or right_ok
+        stack.append((ok, (token, left, right)))
+    permissive, tree = stack[0]
+    labels, written, waiting = set(), [], [(tree, True)]
+    while waiting:  # written out without recursion, in time of its length
+        node, named = waiting.pop()
+        if isinstance(node, str):
+            written.append(node)
+        elif len(node) == 1:
+            written.append(node[0])
+            if named:
+                labels.add(family(node[0]))
+        elif node[0] == "with":
+            waiting += [(node[2], False), (" with ", False), (node[1], named)]
         else:
-            stack.append(Expression(left.labels | right.labels, left.permissive or right.permissive,
-                                    f"({left.text} or {right.text})"))
-    return stack[0]
+            waiting += [(")", False), (node[2], named), (f" {node[0]} ", False), (node[1], named), ("(", False)]
+    return Expression(frozenset(labels), permissive, "".join(written))
+
+
+def well_formed(tokens: Iterable[str]) -> list[str]:
+    """The longest prefix of the tokens that is an expression; reads no further
+    than the first misplaced token."""
+    read: list[str] = []
+    whole, depth, operand_next = 0, 0, True
+    for token in tokens:
+        operator = token.lower() in PRECEDENCE
+        depth += (token == "(") - (token == ")")
+        if operand_next == (operator or token == ")") or depth < 0:
+            break
+        read.append(token)
+        operand_next = operator or token == "("
+        if not operand_next and depth == 0:
+            whole = len(read)
+    return read[:whole]
 
 
-def expression_after(line: str) -> Expression | None:
-    """The longest well-formed expression that a line starts with, if any."""
-    tokens = []
-    at = 0
-    for m in _TOKEN.finditer(line):
-        if line[at:m.start()].strip(" \t"):
-            break
-        tokens.append(m[0])
-        at = m.end()
-    for n in range(min(len(tokens), 64), 0, -1):
-        try:
-            return evaluate(" ".join(tokens[:n]))
-        except ValueError:
-            continue
-    return None
+def expression_after(text: str) -> Expression | None:
+    """The longest well-formed expression that a text starts with, if any; it ends
+    with its line, or with the first character that is no expression's."""
+    def tokens() -> Iterable[str]:
+        at = 0
+        for m in _TOKEN.finditer(text):
+            if text[at:m.start()].strip(" \t"):
+                return
+            yield m[0]
+            at = m.end()
+
+    found = well_formed(tokens())
+    return evaluate(" ".join(found)) if found else None
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -160,7 +182,8 @@ class Scan:
 
 
 def scan_text(text: bytes, phrases: ahocorasick.Automaton) -> Scan:
-    words = text.translate(_TO_WORDS).split()
+    spaced = text.translate(_TO_WORDS)
+    words = spaced.split()
     out = Scan(len(words))
     if not words:
         return out
@@ -173,7 +196,7 @@ def scan_text(text: bytes, phrases: ahocorasick.Automaton) -> Scan:
     def sure(label: str, weight: float) -> None:
         out.weights[label] = max(weight, out.weights.get(label, 0))
 
-    tagged = False
+    tagged: list[int] = []  # words that begin a tag
     for start, phrase in hits:
         if phrase in BASE:
             out.places.append(int(np.searchsorted(blanks, start)))
@@ -181,10 +204,15 @@ def scan_text(text: bytes, phrases: ahocorasick.Automaton) -> Scan:
             sure(BASE[phrase], BASE_WEIGHT)
         if phrase in NOTICES:
             sure(*NOTICES[phrase])
-        tagged = tagged or phrase in TAGS
+        if phrase in TAGS:
+            tagged.append(int(np.searchsorted(blanks, start)))
     if tagged:
-        for m in TAG_LINE.finditer(text.decode()):
-            value = expression_after(m[1])
+        blank = np.frombuffer(spaced, dtype=np.uint8) == 32
+        offsets = np.flatnonzero(~blank & np.r_[True, blank[:-1]])  # of each word in the text
+        heads = [m for m in (TAG.match(text, int(offsets[w])) for w in sorted(tagged)) if m]
+        ends = [m.start() for m in heads[1:]] + [len(text)]
+        for m, end in zip(heads, ends, strict=True):
+            value = expression_after(text[m.end():end].decode())
             if value is not None:
                 out.expressions.append(value)
                 for label in value.labels:
@@ -201,7 +229,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     Null texts are empty: no words, no labels, score 0. Repeated rows stay, a null
     doc_id stays null, extra columns are not carried, an empty table gives none.
-    A malformed expression counts up to its last well-formed part.
+    A malformed expression counts up to its last well-formed part. Expressions are
+    read whole, however long; each tag has its own, also with others on its line.
     """
     def make() -> Callable:
         phrases = automaton()

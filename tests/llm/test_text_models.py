@@ -221,3 +221,22 @@ def test_license_tags():
     assert set(got.weights) == {"mit", "apache", "isc"} and got.expressions[0].permissive
     assert licenses.expression_after("MIT OR").text == "MIT"
     assert licenses.expression_after("; none") is None
+
+
+def test_license_expressions_are_read_whole():
+    names = [f"Own-{i}" for i in range(30_000)] + ["GPL-2.0-only"]
+    text = "SPDX-License-Identifier: " + " AND ".join(names) + " */ x"
+    got = licenses.scan_text(text.encode(), licenses.automaton())
+    assert set(got.weights) == {n.lower() for n in names[:-1]} | {"gpl"} and not got.expressions[0].permissive
+    assert got.expressions[0].text == "(" * 30_000 + names[0] + "".join(f" and {n})" for n in names[1:])
+    chain = licenses.expression_after("(" * 200 + "MIT OR ISC" + ")" * 200 + " AND (BSD-2-Clause")
+    assert (chain.text, chain.labels) == ("(MIT or ISC)", {"mit", "isc"})
+    assert licenses.evaluate("MIT WITH (x-1 OR gpl-2.0) OR ISC").labels == {"mit", "isc"}
+
+
+def test_license_every_tag_of_a_line():
+    tag = "SPDX-License-Identifier"
+    line = f"é {tag}: MIT a b {tag} : GPL-2.0-only {tag}: ISC AND {tag}: {tag}:\tBSD-3-Clause\r\nOR X license-expression:(EPL-2.0\n)"
+    got = licenses.scan_text(line.encode(), licenses.automaton())
+    assert [e.text for e in got.expressions] == ["MIT", "GPL-2.0-only", "ISC", "BSD-3-Clause"]
+    assert set(got.weights) == {"mit", "gpl", "isc", "bsd"}
