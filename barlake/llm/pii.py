@@ -1,8 +1,8 @@
 """Personal data: exact patterns, and boosted trees over proposed spans.
 
 Four kinds are found by pattern and always stay. Beside them, generators of high
-recall propose spans that may overlap (number groups, account numbers, address
-groups, written-out e-mail addresses). Boosted trees score each proposal by its
+recall propose spans that may overlap (all runs of digit groups, account numbers,
+address groups, written-out e-mail addresses). Boosted trees score each proposal by its
 format and its context; thresholds calibrated on examples that the trees did not
 see select the spans, the best of those that overlap.
 """
@@ -10,9 +10,11 @@ see select the spans, the best of those that overlap.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,9 +35,15 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
 # Generators of proposals.
-NUMBERS = re.compile(r"[+(]?[0-9][0-9 ().\-/]{5,40}[0-9]")
+NUMBERS = re.compile(r"[0-9](?:[0-9 +().\-/]*[0-9])?")
+GROUP = re.compile(r"[0-9]+")
+SSN = re.compile(r"[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}")
+#: Digits and characters of one proposed number; the run it lies in may be longer.
+MIN_DIGITS, MAX_DIGITS, MAX_CHARS = 7, 19, 42
 ACCOUNT = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 COLONS = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?:[:-][0-9A-Fa-f]{0,4}){4,7}(?![0-9A-Fa-f:])")
+SHORTENED = re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::"
+                       r"(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![0-9A-Za-z:])")
 WRITTEN = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(] ?(?:at|AT) ?[\])] ?[A-Za-z0-9-]+"
                      r"(?: ?(?:[\[(] ?(?:dot|DOT) ?[\])]|\.) ?[A-Za-z0-9-]+)+")
 # Context words by theme.
@@ -53,6 +61,8 @@ CONTEXT_CHARS = 40
 MASKS = {k: f"[{k.removesuffix('_model').upper()}]" for k in KINDS}
 #: Examples of each form that train and calibrate; share of true spans among those selected.
 EXAMPLES, PRECISION, SEED = 120, 0.99, 11
+#: Proposals scored at once: memory does not follow a text's length.
+BLOCK = 4096
 
 
 def luhn(digits: str) -> bool:
@@ -92,36 +102,56 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def proposals(text: str) -> list[tuple[int, int, str]]:
+def numbers(text: str) -> Iterator[tuple[int, int, str]]:
+    """Every span of neighbouring digit groups of 7 to 19 digits: a window over each
+    run, however long. A plus or an opening bracket before the first belongs to it."""
+    for m in NUMBERS.finditer(text):
+        if m.end() - m.start() < MIN_DIGITS:
+            continue
+        window: list[tuple[int, int]] = []  # groups that may still begin a span
+        for g in GROUP.finditer(text, m.start(), m.end()):
+            window.append(g.span())
+            digits = 0
+            for k in range(len(window) - 1, -1, -1):
+                start, end = window[k]
+                digits += end - start
+                if digits > MAX_DIGITS or g.end() - start > MAX_CHARS:
+                    del window[:k + 1]
+                    break
+                if digits < MIN_DIGITS:
+                    continue
+                start -= start > 0 and text[start - 1] in "+("
+                kind = ("ssn_model" if SSN.fullmatch(text, start, g.end()) else
+                        "card_model" if digits >= 13 else "phone_model")
+                yield start, g.end(), kind
+
+
+def proposals(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, kind) of possible personal data; they may overlap."""
-    out = []
     if DIGIT.search(text):
-        for m in NUMBERS.finditer(text):
-            found = {(m.start(), m.end())}
-            cut = m.start()
-            for gap in re.finditer(r"  +|[ /](?=[+(])", m[0]):  # parts of a longer run
-                found.add((cut, m.start() + gap.start()))
-                cut = m.start() + gap.end()
-            found.add((cut, m.end()))
-            for start, end in found:
-                digits = sum(c.isdigit() for c in text[start:end])
-                if digits < 7:
-                    continue
-                if re.fullmatch(r"[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}", text[start:end]):
-                    out.append((start, end, "ssn_model"))
-                elif digits >= 13:
-                    out.append((start, end, "card_model"))
-                else:
-                    out.append((start, end, "phone_model"))
-        out += [(m.start(), m.end(), "iban_model") for m in ACCOUNT.finditer(text)]
+        yield from numbers(text)
+        for m in ACCOUNT.finditer(text):
+            yield m.start(), m.end(), "iban_model"
         if ":" in text or "-" in text:
             for m in COLONS.finditer(text):
                 pairs = re.fullmatch(r"[0-9A-Fa-f]{2}([:-][0-9A-Fa-f]{2}){5}", m[0])
-                if pairs or "-" not in m[0]:
-                    out.append((m.start(), m.end(), "mac_model" if pairs else "ipv6_model"))
+                if pairs or "-" not in m[0] and "::" not in m[0]:
+                    yield m.start(), m.end(), "mac_model" if pairs else "ipv6_model"
+    if "::" in text:
+        for m in SHORTENED.finditer(text):
+            if 1 <= len(re.findall("[0-9A-Fa-f]+", m[0])) <= 7:
+                yield m.start(), m.end(), "ipv6_model"
     if "(" in text or "[" in text:
-        out += [(m.start(), m.end(), "email_model") for m in WRITTEN.finditer(text)]
-    return out
+        for m in WRITTEN.finditer(text):
+            yield m.start(), m.end(), "email_model"
+
+
+def _beside(text: str, at: int, side: int) -> tuple[int, int]:
+    """The digit group beside a span, at most two separators away: how it is parted
+    (0 none, 1 by blanks or nothing, 2 by others) and its size, 5 at most."""
+    near = text[max(0, at - 7):at][::-1] if side < 0 else text[at:at + 7]
+    m = re.match(r"([ +().\-/]{0,2})([0-9]{1,5})", near)
+    return (1 if not m[1].strip(" ") else 2, len(m[2])) if m else (0, 0)
 
 
 def features(text: str, start: int, end: int, kind: str) -> list[float]:
@@ -138,7 +168,8 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
             s.count(" "), s.count("-"), s.count("."), s.count("/"), s.count("(") - s.count(")"), s.count("("),
             s.startswith("+"), s.count(":"), sum(c.isalpha() for c in s), sum(c.isupper() for c in s),
             len(digits) >= 13 and luhn(digits), account, left.isalnum(), right.isalnum(), left in ("$", "€", "£", "#"),
-            len(set(digits)), *[len(before & words) for words in CONTEXT.values()],
+            len(set(digits)), *(groups + [0, 0, 0])[1:4], digits.startswith("0"), "::" in s, s.count("+"),
+            len(set(re.findall(r"[^0-9A-Za-z]+", s))), *_beside(text, start, -1), *_beside(text, end, 1), *[len(before & words) for words in CONTEXT.values()],
             *[len(after & words) for words in CONTEXT.values()]]
 
 
@@ -171,33 +202,46 @@ def _examples(rng: np.random.Generator, n: int) -> list[tuple[str, int, int, str
         "person": lambda: f"{d(3)}-{d(2)}-{d(4)}",
         "card": card,
         "bank": iban,
-        "mail": lambda: pick([f"user{d(2)} (at) mail{d(1)} (dot) com", f"a.name [at] host{d(1)} [dot] org", f"name{d(1)}(at)site.net"]),
+        "mail": lambda: pick([f"user{d(2)} (at) mail{d(1)} (dot) com", f"a.name [at] host{d(1)} [dot] org", f"name{d(1)}(at)site.net",
+                              f"{pick(['mary', 'jan.novak', 'info'])} (at) {pick(['company', 'mail', 'uni'])} (dot) {pick(['com', 'org', 'net'])}"]),
         "": lambda: pick([":".join(hexes(4) for _ in range(8)), ":".join(hexes(2) for _ in range(6))]),
     }
+    short = lambda: pick([f"2001:db8::{hexes(int(rng.integers(1, 5)))}", f"fe80::{d(1)}",
+                          f"fe80::{':'.join(hexes(4) for _ in range(4))}", f"2{d(3)}:{hexes(4)}:{hexes(3)}::{hexes(2)}:{hexes(4)}"])
     false = [
         lambda: f"{d(2)}/{d(2)}/20{d(2)}", lambda: f"20{d(2)}-{d(2)}-{d(2)}", lambda: f"{d(4)}-{d(4)}", lambda: d(int(rng.integers(8, 13))),
         lambda: f"{d(3)}.{d(3)}.{d(3)}.{d(3)}.{d(1)}", lambda: d(16) if rng.random() < 0.5 else f"{d(4)} {d(4)} {d(4)} {d(3)}7",
         lambda: f"978-{d(1)}-{d(4)}-{d(4)}-{d(1)}", lambda: " ".join(d(2) for _ in range(6)), lambda: f"{d(1)}.{d(1)}.{d(4)} {d(2)}",
         lambda: f"{pick(['AB', 'XY', 'QT'])}{d(2)} {d(4)} {d(4)} {d(4)}", lambda: f"{d(2)}:{d(2)}:{d(2)}:{d(2)}:{d(2)}",
-        lambda: f"{d(4)}({d(2)}) {d(3)}-{d(3)}"]
+        lambda: f"{d(4)}({d(2)}) {d(3)}-{d(3)}", lambda: " ".join(d(int(rng.integers(1, 5))) for _ in range(int(rng.integers(3, 15)))),
+        lambda: f"{pick(['a', 'bad', 'face', 'add', 'Cafe', 'dead'])}::{pick(['a', 'b', 'add', 'Bed', 'fade', 'c1'])}"]
     plain = ["the", "of", "thndre", "and", "onwhat", "de", "que", "der", "ieung", "was"]
-    forms = [(f, theme, 1) for theme, f in true.items()] + [(f, "thing", 0) for f in false]
+    # Of each form: its theme, its label, and whether rows of it are parted by single blanks.
+    forms = [(f, theme, 1, False) for theme, f in true.items()] + [(short, "", 1, False)] + [(f, "thing", 0, False) for f in false]
+    forms += [(true[theme], theme, 1, True) for theme in ("phone", "person", "card")]
     out = []
-    for make, theme, label in forms:
+    for make, theme, label, rows in forms:
         for _ in range(n):
             words = [pick(plain) for _ in range(6)]
             themes = sorted(CONTEXT.get(theme, ()))
             if themes and rng.random() < 0.6:
                 words[-1 - int(rng.integers(2))] = pick(themes)
-            value = make()
-            head = " ".join(words) + pick([" ", ": ", " "])
-            text = head + value + pick([" ", ". ", ", "]) + " ".join(pick(plain) for _ in range(4))
+            text = " ".join(words) + pick([" ", ": ", " "])
+            if rows and rng.random() < 0.4:
+                text += d(int(rng.integers(1, 4))) + " "
+            head, values = len(text), []
+            for _ in range(int(rng.integers(1, 5)) if rows else 1):
+                value = make()
+                values.append((len(text), len(text) + len(value)))
+                text += value + " "
+            size = len(text) - 1
+            text = text[:-1] + pick([" ", ". ", ", "]) + " ".join(pick(plain) for _ in range(4))
             for start, end, kind in proposals(text):
-                if start < len(head) + len(value) and end > len(head):
-                    whole = start <= len(head) and end >= len(head) + len(value) - 1
-                    if kind == "card_model" and label == 0 and luhn(re.sub(r"[^0-9]", "", text[start:end])):
+                if start < size and end > head:
+                    whole = any(start <= s and end >= e - 1 and end - start <= e - s + 1 for s, e in values)
+                    if kind == "card_model" and not (label and whole) and theme in ("card", "thing") and luhn(re.sub(r"[^0-9]", "", text[start:end])):
                         continue  # a valid number by chance
-                    out.append((text, start, end, kind, int(label and whole and end - start <= len(value) + 1)))
+                    out.append((text, start, end, kind, int(label and whole)))
     return out
 
 
@@ -224,18 +268,36 @@ def train(seed: int = SEED, examples: int = EXAMPLES, precision: float = PRECISI
     return Model(trees, thresholds)
 
 
+def _touched(starts: list[int], ends: list[int], start: int, end: int) -> bool:
+    """Whether a span overlaps one of some disjoint spans in order."""
+    i = bisect_left(starts, end) - 1
+    return i >= 0 and ends[i] > start
+
+
 def spans(text: str, model: Model) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Pattern spans, and all spans: (start, kind number, end) by start, then kind."""
     base = base_spans(text)
-    options = [p for p in proposals(text)
-               if not any(p[0] < e and s < p[1] for s, _, e in base)] if DIGIT.search(text) or "(" in text or "[" in text else []
-    if not options:
-        return base, base
-    score = model.trees.probability(np.array([features(text, *p) for p in options], dtype=np.float64))
+    starts: list[int] = []  # base spans, overlapping ones together
+    ends: list[int] = []
+    for s, _, e in base:
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    options = (p for p in proposals(text) if not _touched(starts, ends, p[0], p[1]))
+    chosen: list[tuple[float, int, int, str]] = []
+    while block := list(islice(options, BLOCK)):
+        score = model.trees.probability(np.array([features(text, *p) for p in block], dtype=np.float64))
+        chosen += [(-float(x), *p) for x, p in zip(score, block, strict=True) if x >= model.thresholds[p[2]]]
+    chosen.sort(key=lambda c: c[0])
     taken: list[tuple[int, int, int]] = []
-    for i in np.argsort(-score, kind="stable"):
-        start, end, kind = options[i]
-        if score[i] >= model.thresholds[kind] and not any(start < e and s < end for s, _, e in taken):
+    starts, ends = [], []
+    for _, start, end, kind in chosen:
+        if not _touched(starts, ends, start, end):
+            at = bisect_left(starts, start)
+            starts.insert(at, start)
+            ends.insert(at, end)
             taken.append((start, KINDS.index(kind), end))
     return base, sorted(base + taken)
 
@@ -275,8 +337,6 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def redact(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by a mask of its kind; all rows and
     columns stay. Null texts stay null."""
-    from collections.abc import Iterator
-
     import pandas as pd
 
     def masked(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -240,3 +240,51 @@ def test_license_every_tag_of_a_line():
     got = licenses.scan_text(line.encode(), licenses.automaton())
     assert [e.text for e in got.expressions] == ["MIT", "GPL-2.0-only", "ISC", "BSD-3-Clause"]
     assert set(got.weights) == {"mit", "gpl", "isc", "bsd"}
+
+
+def _found(text, model):
+    return [(pii.KINDS[k].removesuffix("_model"), text[s:e]) for s, k, e in pii.spans(text, model)[1]]
+
+
+def test_pii_rows_of_numbers():
+    model, rng = pii.train(), random.Random(3)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    for kind, shape in (("phone", (3, 3, 4)), ("ssn", (3, 2, 4))):
+        right = total = 0
+        for n in [2, 3, 5, 8, 40] * 6:
+            row = ["-".join(digits(k) for k in shape) for _ in range(n)]
+            text = f"list {' '.join(row)} end"
+            proposed = {text[s:e] for s, e, _ in pii.proposals(text)}
+            assert set(row) <= proposed
+            if not pii.base_spans(text):
+                total += n
+                right += len({(kind, v) for v in row} & set(_found(text, model)))
+        assert total and right / total >= 0.95
+    assert _found("call 12 555-123-4567 now", model) == [("phone", "555-123-4567")]
+    assert _found("all 555-123-4567 555-987-6543", model) == [("phone", "555-123-4567"), ("phone", "555-987-6543")]
+
+
+def test_pii_shortened_addresses():
+    model = pii.train()
+    assert _found("at 2001:db8::1 and fe80::1, not std::min", model) == [("ipv6", "2001:db8::1"), ("ipv6", "fe80::1")]
+    proposed = [(s, e) for s, e, _ in pii.proposals("fe80::abcd dead::beef::1 x::1 1:2:3:4:5:6:7::8")]
+    assert proposed == [(0, 10)]
+
+
+def test_pii_windows_and_blocks(monkeypatch):
+    rng, model = random.Random(6), pii.train()
+    for _ in range(300):
+        text = "".join(rng.choice("0123456789  -.(+/x") for _ in range(60))
+        groups = [m.span() for m in re.finditer("[0-9]+", text)]
+        want = set()
+        for i, (s, _) in enumerate(groups):
+            for _, e in groups[i:]:
+                n = sum(c.isdigit() for c in text[s:e])
+                if 7 <= n <= 19 and e - s <= 42 and not re.search("[^0-9 +().\\-/]", text[s:e]):
+                    want.add((s - (s > 0 and text[s - 1] in "+("), e))
+        got = [(s, e) for s, e, _ in pii.numbers(text)]
+        assert len(got) == len(want) and set(got) == want
+    text = " ".join(f"{rng.randrange(900) + 100}-{rng.randrange(90) + 10}-{rng.randrange(9000) + 1000}" for _ in range(200))
+    whole = pii.spans(text, model)
+    monkeypatch.setattr(pii, "BLOCK", 7)
+    assert pii.spans(text, model) == whole and len(whole[1]) > 100
