@@ -17,7 +17,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barlake.functions.time import exchange_date, session_class
+from barlake.functions.time import EXCHANGE_TZ, REGULAR_CLOSE_MIN, REGULAR_OPEN_MIN, exchange_date, session_class
 from barlake.session import pin as pin_df
 
 # One-off full-day closures of the New York Stock Exchange
@@ -191,6 +191,23 @@ def build_calendar(days: DataFrame, calendar: str = NYSE, pin: bool = True) -> t
     return sess, dense
 
 
+def regular_minutes(session_table: DataFrame, early_closes: DataFrame | None = None) -> DataFrame:
+    """(day, first_minute, last_minute) of each session in UTC, both inclusive:
+    regular New York hours; ``early_closes`` (day, close_minute: minutes after
+    midnight in New York) end the days they name."""
+    days = session_table.select(F.col("session_date").alias("day"))
+    close = F.lit(REGULAR_CLOSE_MIN)
+    if early_closes is not None:
+        days = days.join(early_closes.select("day", "close_minute"), "day", "left")
+        close = F.coalesce("close_minute", close)
+
+    def utc(minute: Column) -> Column:
+        local = F.col("day").cast("timestamp_ntz") + F.make_dt_interval(mins=minute)
+        return F.convert_timezone(F.lit(EXCHANGE_TZ), F.lit("UTC"), local).cast("timestamp")
+
+    return days.select("day", utc(F.lit(REGULAR_OPEN_MIN)).alias("first_minute"), utc(close - 1).alias("last_minute"))
+
+
 def target_end(days: DataFrame, day_col: str, dense: DataFrame) -> DataFrame:
     """Last complete session for each ``today``: last session on or before the
     day before; never today itself. Equi-join on the dense calendar."""

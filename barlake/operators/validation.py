@@ -100,7 +100,9 @@ def missing_minutes(bars: DataFrame, session_minutes: DataFrame | None = None) -
     have = bars.select("symbol", F.to_date("timestamp").alias("day"),
                        F.date_trunc("minute", "timestamp").alias("timestamp")).distinct()
     span = bars.groupBy("symbol").agg(F.min("timestamp").alias("_lo"), F.max("timestamp").alias("_hi"))
-    days = span.select("symbol", "_lo", "_hi", F.explode(F.sequence(F.to_date("_lo"), F.to_date("_hi"))).alias("day"))
+    reach = 0 if session_minutes is None else 1  # a session may begin on the eve of its day, or end after it
+    first, last = F.date_sub(F.to_date("_lo"), reach), F.date_add(F.to_date("_hi"), reach)
+    days = span.select("symbol", "_lo", "_hi", F.explode(F.sequence(first, last)).alias("day"))
     if session_minutes is None:
         start = F.col("day").cast("timestamp")
         windows = days.withColumns({"_a": start, "_b": start + F.expr("INTERVAL 1439 MINUTES")})
@@ -118,6 +120,17 @@ def missing_minutes(bars: DataFrame, session_minutes: DataFrame | None = None) -
         .select("symbol", F.col("timestamp").alias("missing_minute"))
 
 
+def unlisted_sessions(bars: DataFrame, bar_day: Column, sessions: DataFrame, session_minutes: DataFrame) -> DataFrame:
+    """(symbol, sessions, first_day): per symbol, sessions between its first and
+    its last bar day for which ``session_minutes`` has no row, so that their
+    minutes cannot be checked."""
+    unlisted = sessions.select(F.col("session_date").alias("day")).join(
+        session_minutes.select("day").distinct(), "day", "left_anti")
+    span = bars.groupBy("symbol").agg(F.min(bar_day).alias("_lo"), F.max(bar_day).alias("_hi"))
+    days = span.where("_lo IS NOT NULL").select("symbol", F.explode(F.sequence("_lo", "_hi")).alias("day"))
+    return days.join(unlisted, "day").groupBy("symbol").agg(F.count(F.lit(1)).alias("sessions"), F.min("day").alias("first_day"))
+
+
 def gap_ranges(missing: DataFrame, sessions: DataFrame, key: str = "symbol") -> DataFrame:
     """WN-4: consecutive missing sessions compressed into [first, last] ranges.
 

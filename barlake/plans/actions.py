@@ -1,5 +1,6 @@
 """Reference tables of the lake beside the universe: splits, dividends, futures
-contracts, index membership and the session calendar, and adjusted reads.
+contracts, index membership, session minutes and the session calendar, and
+adjusted reads.
 
 Each table is a versioned snapshot whose rows carry the stamp of the refresh
 that brought them; a refresh merges by the table's key, stored rows win.
@@ -16,7 +17,7 @@ from barlake.operators import adjust as A
 from barlake.operators import calendar as C
 from barlake.operators.dedupe import KEEP_FIRST, keep_one
 from barlake.plans import store
-from barlake.schemas import BAR_COLUMNS, DIVIDENDS, DIVIDENDS_KEY, FUTURES_CONTRACTS, MEMBERSHIP, SPLITS, SPLITS_KEY
+from barlake.schemas import BAR_COLUMNS, DIVIDENDS, DIVIDENDS_KEY, FUTURES_CONTRACTS, MEMBERSHIP, SESSION_MINUTES, SPLITS, SPLITS_KEY
 
 STAMP = "refreshed_at"
 # Tables, their schemas, keys and stamp columns.
@@ -25,6 +26,7 @@ TABLES = {
     "dividends": (DIVIDENDS, DIVIDENDS_KEY, STAMP),
     "futures_contracts": (FUTURES_CONTRACTS, ["ticker"], "discovered_at"),
     "membership": (MEMBERSHIP, ["index", "ticker", "added_date"], STAMP),
+    "session_minutes": (SESSION_MINUTES, ["calendar", "day", "first_minute"], STAMP),
 }
 
 

@@ -1061,6 +1061,14 @@ def minute_gaps_24x7(spark, d):
     return V.missing_minutes(crypto_minute(spark, d))
 
 
+@query
+def minute_gaps_sessions(spark, d):
+    """JN-5: missing minutes of the same series within the regular New York hours
+    of each NYSE session."""
+    sess = C.build_calendar(C.days_spanning(T.read(spark, d, "events"), "ts"))[0]
+    return V.missing_minutes(crypto_minute(spark, d), C.regular_minutes(sess))
+
+
 @query
 def gap_refetch_plan(spark, d):
     """JN-1 + WN-4: interior gaps of the stock series as fetch windows."""

@@ -859,6 +859,17 @@ FROM (SELECT symbol, min(timestamp) AS lo, max(timestamp) AS hi FROM crypto_minu
 EXCEPT ALL
 SELECT symbol, timestamp FROM crypto_minute"""
 
+ORACLE["minute_gaps_sessions"] = with_("crypto_minute", "ecal_sessions") + """
+, spans AS (SELECT symbol, min(timestamp) AS lo, max(timestamp) AS hi FROM crypto_minute GROUP BY 1),
+hours AS (
+  SELECT timezone('UTC', timezone('America/New_York', CAST(session_date AS TIMESTAMP) + INTERVAL 570 MINUTE)) AS o,
+         timezone('UTC', timezone('America/New_York', CAST(session_date AS TIMESTAMP) + INTERVAL 959 MINUTE)) AS c
+  FROM ecal_sessions)
+SELECT symbol, unnest(generate_series(greatest(lo, o), least(hi, c), INTERVAL 1 MINUTE)) AS missing_minute
+FROM spans JOIN hours ON o <= hi AND c >= lo
+EXCEPT ALL
+SELECT symbol, timestamp FROM crypto_minute"""
+
 ORACLE["gap_refetch_plan"] = with_("stock_missing", "scal_sessions") + """
 SELECT 'stocks' AS asset_class, symbol, 'daily' AS timeframe, min(missing_date) AS from_date,
        max(missing_date) AS to_date, 'fetch' AS action

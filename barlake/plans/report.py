@@ -16,7 +16,7 @@ from barlake.operators import calendar as C
 from barlake.operators import dedupe as D
 from barlake.operators import state as S
 from barlake.operators import validation as V
-from barlake.plans import store
+from barlake.plans import actions, store
 from barlake.session import pin
 
 FINDING_COLUMNS = ["asset_class", "timeframe", "symbol", "check", "day", "detail"]
@@ -71,9 +71,20 @@ def _tables(spark: SparkSession, root: str) -> list[tuple[str, str]]:
 CHECKS = ["gap", "ohlc", "duplicate", "null", "coverage"]
 
 
-def findings(spark: SparkSession, root: str, *, as_of: str, coverage_sessions: int = 1) -> DataFrame:
-    """All findings of all tables as rows (asset_class, timeframe, symbol, check, day, detail)."""
+NOT_CHECKED = "gap not checked"
+
+
+def findings(spark: SparkSession, root: str, *, as_of: str, coverage_sessions: int = 1,
+             session_minutes: DataFrame | None = None) -> DataFrame:
+    """All findings of all tables as rows (asset_class, timeframe, symbol, check, day, detail).
+
+    Gaps of minute bars with sessions need the expected minutes of each session:
+    ``session_minutes`` (calendar, day, first_minute, last_minute), by default the
+    lake's own table of that name. A series with sessions that it does not list
+    gets a ``gap not checked`` finding; the listed ones are checked all the same."""
     out = None
+    if session_minutes is None:
+        session_minutes = actions.read(spark, root, "session_minutes")
     manifest = store.read_manifest(spark, root)
     as_of_day = F.lit(as_of).cast("date")
     for asset_class, timeframe in _tables(spark, root):
@@ -101,8 +112,15 @@ def findings(spark: SparkSession, root: str, *, as_of: str, coverage_sessions: i
             parts.append(V.missing_sessions(bar_days, sess, dense).select(
                 *lit, "symbol", F.lit("gap").alias("check"), F.col("missing_date").alias("day"),
                 F.lit("missing session").alias("detail")))
-        elif timeframe == "minute" and cal == C.CONTINUOUS:
-            per_day = V.missing_minutes(bars).groupBy("symbol", F.to_date("missing_minute").alias("day")).agg(
+        elif timeframe == "minute":
+            expected = None
+            if cal != C.CONTINUOUS:
+                expected = session_minutes.where(F.col("calendar") == cal)
+                bar_day = profile.bar_date(F.col("timestamp"), timeframe)
+                parts.append(V.unlisted_sessions(bars, bar_day, sess, expected).select(
+                    *lit, "symbol", F.lit(NOT_CHECKED).alias("check"), F.col("first_day").alias("day"),
+                    F.concat(F.col("sessions").cast("string"), F.lit(" sessions without session minutes")).alias("detail")))
+            per_day = V.missing_minutes(bars, expected).groupBy("symbol", F.to_date("missing_minute").alias("day")).agg(
                 F.count(F.lit(1)).alias("_n"))
             parts.append(per_day.select(*lit, "symbol", F.lit("gap").alias("check"), "day",
                                         F.concat(F.col("_n").cast("string"), F.lit(" missing minutes")).alias("detail")))
@@ -123,11 +141,13 @@ def findings(spark: SparkSession, root: str, *, as_of: str, coverage_sessions: i
     return out
 
 
-def validate(spark: SparkSession, root: str, *, as_of: str, write: bool = False) -> DataFrame:
+def validate(spark: SparkSession, root: str, *, as_of: str, write: bool = False,
+             session_minutes: DataFrame | None = None) -> DataFrame:
     """V-8: per table, series checked, healthy, with warnings, and findings per check.
+    A series whose gaps could not be checked (see ``findings``) is one with warnings.
     With ``write`` the findings are pinned and appended as a new version of
     the ``findings`` table first."""
-    found = findings(spark, root, as_of=as_of)
+    found = findings(spark, root, as_of=as_of, session_minutes=session_minutes)
     if write:
         found = pin(found)
         store.write_version(found, root, "findings")

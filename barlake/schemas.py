@@ -146,6 +146,15 @@ MEMBERSHIP = T.StructType([
     T.StructField("removed_date", T.DateType(), True),
 ])
 
+# Expected minutes of each session day (UTC, both inclusive), by calendar; rows of
+# one calendar do not overlap.
+SESSION_MINUTES = T.StructType([
+    T.StructField("calendar", T.StringType(), False),
+    T.StructField("day", T.DateType(), False),
+    T.StructField("first_minute", T.TimestampType(), True),
+    T.StructField("last_minute", T.TimestampType(), True),
+])
+
 # Long cell table of scraped HTML tables.
 CELLS = T.StructType([
     T.StructField("page", T.StringType(), False),

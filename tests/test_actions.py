@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.functions.time import bar_start, format_iso, parse_iso
+from barlake.operators import calendar as C
 from barlake.plans import actions, report, store
 from barlake.schemas import BARS
 
@@ -71,6 +72,28 @@ def test_validate_reports_minute_gaps_and_stale_series(spark, scratch):
     assert found == {"gap": "2 missing minutes", "coverage": "4 sessions behind"}
 
 
+def test_validate_checks_minutes_of_sessions(spark, scratch):
+    root = f"{scratch}/lake"
+    # New York 2024-01-02 (Tuesday) 09:30 to 09:34 without 09:32, and one bar on the 4th.
+    times = [datetime(2024, 1, 2, 14, 30 + m) for m in (0, 1, 3, 4)] + [datetime(2024, 1, 4, 14, 30)]
+    df = spark.createDataFrame([(t, "AAPL", 1.0, 1.0, 1.0, 1.0, 1.0, None, 1, None) for t in times], BARS)
+    store.merge_into_lake(store.with_layout(df, "stocks", "minute"), root)
+    store.record_state(spark, root, df.select("symbol"), "stocks", "minute", "2024-01-05 00:00:00")
+    rows = lambda **k: sorted((r["check"], str(r["day"]), r["detail"]) for r in
+                              report.findings(spark, root, as_of="2024-01-04", **k).collect())
+    assert rows() == [("gap not checked", "2024-01-02", "3 sessions without session minutes")]
+    v = report.validate(spark, root, as_of="2024-01-04").first()
+    assert (v["symbols"], v["healthy"], v["warnings"], v["gap"]) == (1, 0, 1, 0)
+    sessions = C.build_calendar(C.day_range(spark, "2024-01-02", "2024-01-03"))[0]
+    early = spark.createDataFrame([(date(2024, 1, 3), 13 * 60)], "day date, close_minute int")
+    minutes = C.regular_minutes(sessions, early).withColumn("calendar", F.lit(C.NYSE))
+    want = [("gap", "2024-01-02", "386 missing minutes"), ("gap", "2024-01-03", "210 missing minutes"),
+            ("gap not checked", "2024-01-04", "1 sessions without session minutes")]
+    assert rows(session_minutes=minutes) == want
+    actions.refresh(spark, root, "session_minutes", minutes, now="2024-01-05 00:00:00")
+    assert rows() == want
+
+
 @pytest.mark.parametrize("multiplier,span,want", [
     (3, "month", "2024-04-01"), (2, "quarter", "2024-01-01"), (5, "year", "2020-01-01"), (1, "month", "2024-05-01"),
     (1, "week", "2024-05-13"), (2, "week", "2024-05-13"), (4, "week", "2024-04-29"),
