@@ -136,17 +136,22 @@ def log_ratio(value: Column, model: Model) -> Column:
 
 def random_spans(text: Column, base: Column, model: Model) -> Column:
     """Runs of 20 and more key characters, one of them a letter, that the models
-    call random and that no base span touches."""
+    call random and that base spans do not wholly cover."""
     runs = _found(text, RUN, "random",
                   lambda v: v.rlike("[A-Za-z]") & (log_ratio(v, model) >= MIN_RATIO))
-    return F.filter(runs, lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+
+    def uncovered(x: Column) -> Column:
+        return F.filter(x["runs"], lambda r: ~F.exists(
+            x["covered"], lambda c: (c["start"] <= r["start"]) & (r["end"] <= c["end"])))
+
+    return _let(F.struct(runs.alias("runs"), _merged(base).alias("covered")), uncovered)
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, base spans, spans): one row per input row.
 
-    Spans are (start, rank, end, kind, value) in code points, by start, then kind.
-    A null text is empty; an empty text has no spans. Repeated rows stay, a null
+    Spans are (start, rank, end, kind, value) in code points, by start, then kind;
+    a random run may overlap base spans that it exceeds. A null text is empty; an empty text has no spans. Repeated rows stay, a null
     doc_id stays null, extra columns are not carried, an empty table gives none.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),

@@ -288,3 +288,15 @@ def test_pii_windows_and_blocks(monkeypatch):
     whole = pii.spans(text, model)
     monkeypatch.setattr(pii, "BLOCK", 7)
     assert pii.spans(text, model) == whole and len(whole[1]) > 100
+
+
+def test_runs_beyond_base_spans_are_secrets(spark, docs):
+    model = secrets.train(docs)
+    head, inner, tail = "Zk9qL2v8Rt4xW1pS7mNd", "0123456789abcdef" * 2, "Qw8Xc5Vb3Nm7Lk1J"
+    texts = [f"a {head}{inner}{tail} b", f"a {inner} b", f"a token={head}{tail} b", f"a {inner}{tail} {inner}."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    clean = [r["text"] for r in secrets.redact(df, model).orderBy("doc_id").collect()]
+    assert clean == ["a [SECRET] b", "a [SECRET] b", "a [SECRET] b", "a [SECRET] [SECRET]."]
+    found = {r["doc_id"]: r["s"] for r in secrets.scan(df, model).select("doc_id", secrets.joined(F.col("spans")).alias("s")).collect()}
+    assert found[0] == f"random:2:{2 + len(head + inner + tail)},hex:21:54" and found[1] == "hex:2:34"
+    assert found[2].split(":")[0] == "assign" and "random" not in found[2]
