@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import embeddings, licenses, packing, pieces, pii, quality, secrets, simhash, spotsigs, token_counts
+from barlake.llm import (embeddings, licenses, linededup, packing, pieces, pii, quality, secrets, simhash, spotsigs,
+                         token_counts)
 from barlake.llm.common import documents
 
 
@@ -74,6 +75,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that a smaller doc_id holds already."""
+    kept = linededup.scan(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_spotsigs": op2_spotsigs,
@@ -85,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op12_linededup": op12_linededup,
 }
 
 ORACLE: dict[str, str] = {
@@ -105,4 +113,17 @@ least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
 counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT v.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, v.vec_id = l.component_id AS kept
 FROM v JOIN least l USING (vec_id) LEFT JOIN counts c USING (vec_id)""",
+    "op12_linededup": """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce("text", ''), chr(10)) AS l FROM documents),
+lines AS (SELECT r, doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM docs),
+keyed AS (
+  SELECT r, doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+shared AS (
+  SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2),
+marked AS (SELECT r, doc_id, i, line, coalesce(doc_id <> first, false) AS gone FROM keyed LEFT JOIN shared USING (k))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r""",
 }
