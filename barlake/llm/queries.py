@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import (embeddings, licenses, linededup, packing, pieces, pii, quality, secrets, simhash, spotsigs,
-                         token_counts)
+from barlake.llm import (conversations, embeddings, licenses, linededup, packing, pieces, pii, quality, secrets, simhash,
+                         spotsigs, token_counts)
 from barlake.llm.common import documents
 
 
@@ -81,6 +81,11 @@ def op12_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired at least cost."""
+    return conversations.damaged_and_repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_spotsigs": op2_spotsigs,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
     "op12_linededup": op12_linededup,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLE: dict[str, str] = {
