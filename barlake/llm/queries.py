@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import (conversations, embeddings, licenses, linededup, packing, pieces, pii, quality, secrets, simhash,
-                         spotsigs, token_counts)
+from barlake.llm import (conversations, embeddings, licenses, linededup, negatives, packing, pieces, pii, quality,
+                         secrets, simhash, spotsigs, token_counts)
 from barlake.llm.common import documents
 
 
@@ -75,6 +75,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, for each of its positives."""
+    return negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that a smaller doc_id holds already."""
     kept = linededup.scan(documents(spark, sf_dir))
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_negatives": op11_negatives,
     "op12_linededup": op12_linededup,
     "op13_conversations": op13_conversations,
 }
@@ -119,6 +125,23 @@ least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
 counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT v.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, v.vec_id = l.component_id AS kept
 FROM v JOIN least l USING (vec_id) LEFT JOIN counts c USING (vec_id)""",
+    "op11_negatives": """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS n FROM s
+  WHERE same AND vec_id <> anchor_id QUALIFY n <= 5),
+f AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.r, p.n ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.r = s.r AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM f WHERE rank <= 10""",
     "op12_linededup": """
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, string_split(coalesce("text", ''), chr(10)) AS l FROM documents),
