@@ -7,17 +7,20 @@ empty frame with the exact canonical schema. Time order is a sink property
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.time import from_epoch_ms, from_epoch_ns
 
 
-def normalize_raw(raw: DataFrame, ticker: str | None = None) -> DataFrame:
+def normalize_raw(raw: DataFrame, ticker: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Wire bars (o,h,l,c,v,vw,t[ms],n,otc) -> canonical ten columns.
 
     Numbers keep nulls as nulls; ints and floats both become doubles. When the
-    records hold no symbol, ``ticker`` is injected as a constant column.
+    records hold no symbol, ``ticker`` is injected as a constant column. The columns
+    ``keep`` are passed on after the ten.
     """
     cols = set(raw.columns)
     symbol = F.col("symbol") if "symbol" in cols else F.lit(ticker)
@@ -38,6 +41,7 @@ def normalize_raw(raw: DataFrame, ticker: str | None = None) -> DataFrame:
         num("vw", "double").alias("vwap"),
         num("n", "int").alias("transactions"),
         num("otc", "boolean").alias("otc"),
+        *keep,
     )
 
 

@@ -77,6 +77,47 @@ def dispositions(plan: DataFrame, landed: DataFrame, *, error_col: str | None =
                     F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"))
 
 
+def attempts(landed: DataFrame) -> DataFrame:
+    """One row per attempt (symbol, file), with its time: whether it failed, how (``auth``
+    where any error is one), and its good and bad records. ``landed`` is a landing scan; a
+    line that does not parse belongs to the attempt that the file's other records name."""
+    good = F.col("_error").isNull() & F.col("_bad").isNull()
+    named = F.max(F.when(F.col("attempt").isNotNull(), F.col("_landed")))
+    return landed.groupBy("symbol", "_file").agg(
+        F.coalesce(named, F.max("_landed")).alias("_landed"),
+        F.bool_or(F.col("_error").isNotNull()).alias("failed"),
+        F.bool_or(F.coalesce(F.col("error_kind") == "auth", F.lit(False))).alias("auth"), F.max("_error").alias("message"),
+        F.count_if(good).alias("good"), F.count_if(F.col("_bad").isNotNull()).alias("bad"))
+
+
+def attempt_dispositions(plan: DataFrame, tried: DataFrame, taken: DataFrame) -> DataFrame:
+    """AG-3 over attempts: per planned symbol its latest attempt decides.
+
+    ``tried`` are ``attempts``, ``taken`` the (symbol, rows) of bars stored or re-sent for
+    the planned windows. A failed attempt counts only if no good one came after it; an attempt
+    of bad records alone is a failed one. A symbol that neither failed nor has rows is a
+    zero-bar success."""
+    fetch = plan.where(F.col("action") == FETCH).select("symbol").distinct()
+    at = F.struct(F.col("_landed"), F.col("_file"))
+    failed = F.col("failed") | ((F.col("good") == 0) & (F.col("bad") > 0))
+    last = tried.groupBy("symbol").agg(F.max(F.when(failed, at)).alias("_bad_at"), F.max(F.when(~failed & (F.col("good") > 0), at)).alias("_good_at"))
+    j = fetch.join(last, "symbol", "left").join(taken.select("symbol", "rows"), "symbol", "left")
+    rows = F.coalesce("rows", F.lit(0))
+    error = F.col("_bad_at").isNotNull() & (F.col("_good_at").isNull() | (F.col("_good_at") < F.col("_bad_at")))
+    return j.select("symbol", F.when(error, F.lit(ERROR)).when(rows == 0, F.lit(ZERO_BAR)).otherwise(F.lit(SUCCEEDED)).alias("disposition"),
+                    rows.cast("bigint").alias("rows"))
+
+
+def fatal_attempt(tried: DataFrame) -> DataFrame:
+    """One row (message): of the latest failed authentication, null where there is none
+    or a later attempt of any symbol succeeded."""
+    at = F.struct(F.col("_landed"), F.col("_file"))
+    last = tried.agg(F.max(F.when(F.col("auth"), F.struct(at.alias("at"), F.col("message")))).alias("_auth"),
+                     F.max(F.when(~F.col("failed") & (F.col("good") > 0), at)).alias("_good"))
+    return last.select(F.when(F.col("_auth").isNotNull() & (F.col("_good").isNull() | (F.col("_good") < F.col("_auth.at"))),
+                              F.col("_auth.message")).alias("message"))
+
+
 def zero_bar_symbols(plan: DataFrame, landed: DataFrame) -> DataFrame:
     """Planned symbols with no landed rows (anti join)."""
     fetch = plan.where(F.col("action") == FETCH).select("symbol", "from_date", "to_date")

@@ -13,17 +13,19 @@ from barlake.schemas import BAR_KEY, MANIFEST_KEY, assert_same_columns
 def fresh_rows(stored: DataFrame, new: DataFrame, key: Sequence[str] = BAR_KEY,
                new_order: Sequence[str | Column] = (), *, policy: str = KEEP_FIRST) -> DataFrame:
     """The rows of ``new`` whose key is not stored yet (de-duplicated by
-    ``policy`` over ``new_order`` first). Stored rows are never replaced.
+    ``policy`` over ``new_order`` first, whose columns that are not stored are then
+    left out). Stored rows are never replaced.
 
     The stored keys that collide are found first by a semi join with the new
     keys: where these are small in bytes the planner broadcasts them and the
     key-only scan of ``stored`` is not shuffled; where they are not, both sides
     are shuffled on the key and AQE splits a hot one. The anti join then meets
     only the collisions."""
-    assert_same_columns(stored, new, "stored and new rows")
+    extra = [c for c in new_order if isinstance(c, str) and c not in stored.columns]
+    assert_same_columns(stored, new.drop(*extra), "stored and new rows")
     key = list(key)
     order = list(new_order) or [c for c in new.columns if c not in key]
-    new_unique = keep_one(new, key, order, policy)
+    new_unique = keep_one(new, key, order, policy).drop(*extra)
     collisions = stored.select(*key).join(new_unique.select(*key), key, "left_semi")
     return new_unique.join(collisions, key, "left_anti")
 

@@ -6,9 +6,17 @@ the run. A bar counts as fetched only on a date inside its symbol's planned
 window (the exchange's date for minute bars of exchange-traded assets), so a day
 that is not complete yet is never stored.
 
-Order matters for crash safety: data is committed before state, and state is
-recomputed from the stored bars, so a run killed between the two is healed
-by simply running again (the merge is idempotent).
+Nothing that landed is lost by that. Good bars after the window wait in the
+``pending`` table and are admitted by the first run whose window reaches them, whether
+or not anything else lands. So do provisional bars, fetched before their own interval
+was over; the latest attempt of a bar replaces the one that waits. Lines that are no
+bars go to the ``quarantine`` table. Per symbol the latest attempt decides: an error
+counts until a good attempt follows it, and bars of a failed attempt are not taken.
+
+Order matters for crash safety: data is committed before the pending table, that before
+state, and the ledger of files comes last. State is recomputed from the stored bars,
+so a run killed anywhere between is healed by simply running again (the merge is
+idempotent).
 """
 
 from __future__ import annotations
@@ -20,14 +28,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.profiles import PROFILES
+from barlake.functions.time import exchange_date
+from barlake.operators import dedupe as D
 from barlake.operators import normalize as N
 from barlake.operators import planning as P
 from barlake.operators import validation as V
 from barlake.operators.dedupe import KEEP_FIRST
 from barlake.plans import store
-from barlake.schemas import RUN_LOG
+from barlake.schemas import BAR_COLUMNS, BAR_KEY, LANDING_FILES, PENDING, QUARANTINE, RUN_LOG
 from barlake.session import pin
-from barlake.sources.landing import AUTH, LANDING, landed_bars, read_landing, with_errors
+from barlake.sources import landing as L
 
 
 class MissingUniverseError(RuntimeError):
@@ -48,6 +58,7 @@ class Outcome:
     exit_code: int
     touched_partitions: int = 0
     bars_written: int = 0
+    files_opened: int | None = None
 
 
 def plan(spark: SparkSession, root: str, universe: DataFrame, *, timeframe: str, default_start: str,
@@ -64,43 +75,91 @@ def bar_date(asset_class: str, timeframe: str, ts: Column) -> Column:
     return profile.bar_date(ts, timeframe) if profile else F.to_date(ts)
 
 
+def pending_table(asset_class: str, timeframe: str) -> str:
+    return f"pending/{asset_class}-{timeframe}"
+
+
+def read_pending(spark: SparkSession, root: str, asset_class: str, timeframe: str) -> DataFrame:
+    """Good bars that landed and were not admitted yet."""
+    return store.read_latest(spark, root, pending_table(asset_class, timeframe), PENDING)
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Landed lines that are no bars, once each (a replayed run reports a line again)."""
+    return store.read_appended(spark, root, "quarantine", QUARANTINE).distinct()
+
+
+def provisional(asset_class: str, timeframe: str, t: Column, landed: Column) -> Column:
+    """Whether a bar (epoch ms ``t``) was fetched before its own interval was over: on
+    its own date for daily bars, within its minute for minute bars."""
+    if timeframe == "daily":
+        profile = PROFILES.get(asset_class)
+        today = exchange_date(landed) if profile and profile.exchange_dates else F.to_date(landed)
+        early = today <= bar_date(asset_class, timeframe, F.timestamp_millis(t))
+    else:
+        early = F.unix_millis(landed) < t + 60_000
+    return F.coalesce(early, F.lit(False))
+
+
 def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFrame, *, asset_class: str, timeframe: str,
-           run_id: str, now: str, command: str, duplicates: str = KEEP_FIRST, ohlc: str = "warn") -> Outcome:
+           run_id: str, now: str, command: str, duplicates: str = KEEP_FIRST, ohlc: str = "warn",
+           hold_on_abort: bool = False) -> Outcome:
     """Store what landed of a plan (symbol, from_date, to_date, action); a null
-    from_date is an open start. ``landing`` carries ``_error`` and ``error_kind``.
+    from_date is an open start. ``landing`` is a scan of ``sources.landing``; bars that
+    wait in the pending table are considered with it.
 
     ``duplicates`` (keep_first, keep_last, fail) and ``ohlc`` (drop, warn, fail) are
     the validation policies. Every run leaves a row in the run log, an aborted one
-    too."""
+    too. A run that failed authentication aborts stores nothing; with ``hold_on_abort``
+    (a source that is not read again) its good bars wait in the pending table."""
     started = time.monotonic()
 
     def finish(status: str, o: Outcome, error: str | None) -> None:
         record_run(spark, root, run_id, now, time.monotonic() - started, command, status, o, error)
 
     try:
-        # Pin the plan and the dispositions before anything is written: both are
-        # derived from the manifest this run rewrites, and a recomputation after
-        # that (lost executor, partially materialised cache) would see the new
-        # state. A reliable checkpoint in the shared folder survives both.
+        # Pin the plan and the landed batch before anything is written: both are
+        # derived from tables this run rewrites, and a recomputation after that
+        # (lost executor, partially materialised cache) would see the new state.
+        # A reliable checkpoint in the shared folder survives both. The landed batch is
+        # scanned once (many small files per symbol).
         the_plan = pin(the_plan)
-        fetch = the_plan.where(F.col("action") == P.FETCH).select("symbol", "from_date", "to_date")
-        day = bar_date(asset_class, timeframe, F.timestamp_millis("t"))
-        in_window = landing.join(fetch, "symbol").where(
-            F.col("_error").isNotNull()
-            | ((F.col("from_date").isNull() | (day >= F.col("from_date"))) & (day <= F.col("to_date"))))
-        # The landed batch is scanned once (many small files per symbol) and pinned:
-        # dispositions, the fatal check and the merge all read the pinned copy.
-        in_window = pin(in_window.select(*LANDING.fieldNames(), "_error"))
-        fatal = in_window.where(F.col("error_kind") == AUTH).select("_error").limit(1).collect()
+        fetch = the_plan.where(F.col("action") == P.FETCH)
+        windows = fetch.groupBy("symbol").agg(F.collect_list(F.struct("from_date", "to_date")).alias("_windows"),
+                                              F.max("to_date").alias("_last"))
+        batch = pin(landing.join(windows.select("symbol"), "symbol", "left_semi"))
+        tried = pin(P.attempts(batch))
+        fatal = P.fatal_attempt(tried).first()["message"]
+        raw = PENDING.fieldNames()
+        failed = tried.where("failed").select("symbol", L.FILE)
+        good = L.landed_bars(batch).join(failed, ["symbol", L.FILE], "left_anti").select(*raw)
+        before = read_pending(spark, root, asset_class, timeframe)
         if fatal:
-            raise FatalFetchError(f"fatal fetch error: {fatal[0]['_error']}")
-        disp = pin(P.dispositions(the_plan, in_window, error_col="_error"))
-        ok = disp.where(F.col("disposition") == P.SUCCEEDED).select("symbol")
-        good = landed_bars(in_window).join(ok, "symbol", "left_semi")
-        bars = V.apply_ohlc_policy(N.normalize_raw(good), ohlc)
-        merged = store.merge_into_lake(store.with_layout(bars, asset_class, timeframe), root, policy=duplicates)
+            if hold_on_abort:
+                hold(spark, root, before.unionByName(good), asset_class, timeframe)
+            raise FatalFetchError(f"fatal fetch error: {fatal}")
+        quarantine(batch, root, asset_class, timeframe)
+        day = bar_date(asset_class, timeframe, F.timestamp_millis("t"))
+        early = provisional(asset_class, timeframe, F.col("t"), F.col(L.LANDED))
+        inside = F.exists("_windows", lambda w: (w["from_date"].isNull() | (day >= w["from_date"])) & (day <= w["to_date"]))
+        waits = (day > F.col("_last")) | (early & inside)
+        marked = before.unionByName(good).join(windows, "symbol", "left").select(
+            *raw, F.coalesce(inside & ~early, F.lit(False)).alias("_admit"),
+            F.coalesce(waits, F.lit(True)).alias("_wait"))  # a symbol without a plan keeps what it has
+        marked = pin(marked.where("_admit OR _wait"))
+        admitted = marked.where("_admit").withColumn("_rank", F.unix_micros(L.LANDED) * (1 if duplicates == D.KEEP_LAST else -1))
+        bars = V.apply_ohlc_policy(N.normalize_raw(admitted, keep=["_rank"]), ohlc)
+        # Of bars that were fetched twice the later attempt comes first, then the values decide.
+        order = ["_rank", *[c for c in BAR_COLUMNS if c not in BAR_KEY]]
+        merged = store.merge_into_lake(store.with_layout(bars, asset_class, timeframe, keep=["_rank"]), root, new_order=order,
+                                       policy=duplicates)
+        taken = pin(admitted.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows")))
+        latest = marked.groupBy("symbol", "t").agg(F.max(F.struct(L.LANDED, L.FILE, F.col("_wait"))).alias("_last_try"))
+        waiting = marked.where("_wait").join(latest.where("_last_try._wait").select("symbol", "t"), ["symbol", "t"], "left_semi")
+        hold(spark, root, waiting.select(*raw), asset_class, timeframe)
         if merged.partitions:
-            store.record_state(spark, root, ok, asset_class, timeframe, now, years=merged.years)
+            store.record_state(spark, root, taken.select("symbol"), asset_class, timeframe, now, years=merged.years)
+        disp = P.attempt_dispositions(the_plan, tried, taken)
         out = P.run_outcome(disp, the_plan.where(F.col("action") == P.UP_TO_DATE)).first()
     except Exception as aborted:
         finish("aborted", Outcome(0, 0, 0, 0, 0, 2), str(aborted).splitlines()[0][:1000])
@@ -112,25 +171,59 @@ def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFra
     return outcome
 
 
+def hold(spark: SparkSession, root: str, waiting: DataFrame, asset_class: str, timeframe: str) -> None:
+    """Write the next version of the pending table: of each bar its latest attempt.
+    A table that was empty and stays empty gets no new version."""
+    name = pending_table(asset_class, timeframe)
+    latest = pin(D.keep_one(waiting, ["symbol", "t"], [L.LANDED, L.FILE, *[c for c in PENDING.fieldNames() if c not in ("symbol", "t", L.LANDED, L.FILE)]],
+                            D.KEEP_LAST))
+    if not latest.isEmpty() or not read_pending(spark, root, asset_class, timeframe).isEmpty():
+        store.write_version(latest.select(*PENDING.fieldNames()), root, name)
+
+
+def quarantine(batch: DataFrame, root: str, asset_class: str, timeframe: str) -> None:
+    """Append the bad lines of a landed batch to the quarantine table, as they came."""
+    fields = [f for f in L.LANDING.fieldNames() if f not in (L.CORRUPT, "symbol")]
+    bad = batch.where(F.col(L.BAD).isNotNull()).select(
+        F.lit(asset_class).alias("asset_class"), F.lit(timeframe).alias("timeframe"), "symbol", F.col(L.BAD).alias("reason"),
+        F.coalesce(F.col(L.CORRUPT), F.to_json(F.struct(*fields))).alias("record"), F.col(L.FILE).alias("file"),
+        F.col(L.LANDED).alias("landed_at"))
+    if not bad.isEmpty():
+        bad.write.mode("append").parquet(store.table_path(root, "quarantine"))
+
+
 def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str, *, asset_class: str,
         timeframe: str, default_start: str, target_end: str, run_id: str, now: str, extend_head: bool = False,
         refetch: DataFrame | None = None, duplicates: str = KEEP_FIRST, ohlc: str = "warn",
         dry_run: bool = False) -> Outcome | DataFrame:
     """One backfill run. ``extend_head`` also fetches history before the stored
     start; ``refetch`` adds windows of interior gaps (``planning.gap_refetch_plan``).
-    ``dry_run`` returns the plan only."""
+    ``dry_run`` returns the plan only.
+
+    Only landed files of planned symbols are opened that no run has taken yet, or that
+    were taken for a window that began later (``landing_files`` is the ledger)."""
     the_plan = plan(spark, root, universe, timeframe=timeframe, default_start=default_start,
                     target_end=target_end, extend_head=extend_head)
     if refetch is not None:
         the_plan = the_plan.unionByName(refetch.select(*the_plan.columns))
     if dry_run:
         return the_plan
-    if store.path_exists(spark, landing_path):
-        landing = read_landing(spark, landing_path)
-    else:  # nothing landed at all: every planned symbol is a zero-bar success
-        landing = with_errors(spark.createDataFrame([], LANDING))
-    return ingest(spark, root, the_plan, landing, asset_class=asset_class, timeframe=timeframe, run_id=run_id, now=now,
-                  command="backfill", duplicates=duplicates, ohlc=ohlc)
+    kw = dict(asset_class=asset_class, timeframe=timeframe, run_id=run_id, now=now, command="backfill", duplicates=duplicates,
+              ohlc=ohlc)
+    if not store.path_exists(spark, landing_path):  # nothing landed at all: every planned symbol is a zero-bar success
+        return ingest(spark, root, the_plan, L.no_landing(spark), **kw)
+    the_plan = pin(the_plan)
+    own = (F.col("asset_class") == asset_class) & (F.col("timeframe") == timeframe)
+    ledger = store.read_appended(spark, root, "landing_files", LANDING_FILES).where(own)
+    fetch = the_plan.where(F.col("action") == P.FETCH).select("symbol", "from_date")
+    chosen = pin(L.files_to_open(L.list_files(spark, landing_path), ledger, fetch))
+    outcome = ingest(spark, root, the_plan, L.read_chosen(spark, landing_path, chosen), **kw)
+    outcome.files_opened = chosen.count()
+    if outcome.files_opened:  # last of all: a run that dies before opens the same files again
+        chosen.select(F.lit(asset_class).alias("asset_class"), F.lit(timeframe).alias("timeframe"), "symbol", "path", "modified",
+                      "length", "from_date", F.lit(run_id).alias("run_id")) \
+            .write.mode("append").parquet(store.table_path(root, "landing_files"))
+    return outcome
 
 
 def record_run(spark: SparkSession, root: str, run_id: str, now: str, seconds: float, command: str, status: str,

@@ -1104,3 +1104,87 @@ def landing_column_audit(spark, d):
     write_landing(N.to_raw(crypto_daily(spark, d)), landing)
     fields = [c for c in RAW_BAR.fieldNames() if c != "symbol"]
     return V.column_presence(read_landing(spark, landing), fields, ["symbol"])
+
+
+# ------------------------------------------- landing: attempts, ledger, pending --
+
+from barlake.plans import backfill as BF  # noqa: E402
+from barlake.sources import landing as L  # noqa: E402
+
+NOON, NEXT_DAY = "2024-01-15 12:00:00", "2024-01-16 01:00:00"
+
+
+@query
+def stream_pending_bars(spark, d):
+    """ST-1/ST-2: minute bars up to noon of a running day land, and nothing more;
+    the update at noon keeps the running day's bars waiting, the update of the next day
+    admits them. The result is the lake: bars and volume of each series and day."""
+    landing, root, ckpt = (scratch_path(spark, n) for n in ("landing", "lake", "stream-ckpt"))
+    _write_landing(N.to_raw(crypto_minute(spark, d).where(F.col("timestamp") < F.lit(NOON).cast("timestamp"))), landing)
+    for now in (NOON, NEXT_DAY, NEXT_DAY):
+        SU.run_update(spark, landing, root, ckpt, asset_class="crypto", timeframe="minute", now=now)
+    return ST.read_bars(spark, root).groupBy("symbol", F.to_date("timestamp").alias("day")).agg(
+        F.count(F.lit(1)).alias("bars"), F.sum(F.col("volume").cast("bigint")).alias("volume"))
+
+
+ATTEMPT_1, ATTEMPT_2 = 1706745600000, 1706749200000   # 2024-02-01 00:00 and 01:00 UTC
+ATTEMPTS_TARGET, ATTEMPTS_NOW = "2024-01-31", "2024-02-01 06:00:00"
+
+
+def _attempt_cases(spark, d):
+    """Per-user daily bars as landed JSON lines of two attempts; the user decides what
+    each attempt brings (see ``attempt_dispositions``)."""
+    raw = N.to_raw(user_daily(spark, d)).withColumn("case", F.substr("symbol", F.lit(2)).cast("bigint") % 6)
+    lines = lambda at: F.to_json(F.struct(*[F.col(c) for c in raw.columns if c not in ("symbol", "case")], F.lit(at).alias("attempt")))
+    error = lambda at: F.to_json(F.struct(F.lit("bad request").alias("error"), F.lit(at).alias("attempt")))
+    users = raw.select("symbol", "case").distinct()
+    case = F.col("case")
+    first = raw.where(case.isin(1, 2)).select("symbol", lines(ATTEMPT_1).alias("value")) \
+        .unionByName(users.where(case.isin(0, 4)).select("symbol", error(ATTEMPT_1).alias("value"))) \
+        .unionByName(users.where(case.isin(2, 3)).select("symbol", F.lit('{"o": 1.0, "t": broken').alias("value")))
+    second = raw.where(case == 0).select("symbol", lines(ATTEMPT_2).alias("value")) \
+        .unionByName(users.where(case == 1).select("symbol", error(ATTEMPT_2).alias("value")))
+    return users, [first, second]
+
+
+@query
+def attempt_dispositions(spark, d):
+    """SRC-2/AG-3: per planned symbol the disposition, bars stored and lines quarantined
+    of a run over two attempts: error then bars (0), bars then error (1), bars beside a
+    line that does not parse (2), such a line alone (3), an error alone (4), nothing (5)."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    users, waves = _attempt_cases(spark, d)
+    for wave in waves:
+        wave.repartition("symbol").write.mode("append").partitionBy("symbol").text(landing)
+    universe = pin(users.select(F.lit("crypto").alias("asset_class"), "symbol"))
+    plan = pin(P.fetch_plan(universe, ST.read_manifest(spark, root), timeframe="daily", default_start="2024-01-01",
+                            target_end=ATTEMPTS_TARGET))
+    tried = P.attempts(L.read_landing(spark, landing))
+    BF.run(spark, root, universe, landing, asset_class="crypto", timeframe="daily", default_start="2024-01-01",
+           target_end=ATTEMPTS_TARGET, run_id="attempts", now=ATTEMPTS_NOW)
+    stored = ST.read_bars(spark, root).groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
+    bad = BF.read_quarantine(spark, root).groupBy("symbol").agg(F.count(F.lit(1)).alias("quarantined"))
+    return P.attempt_dispositions(plan, tried, stored).join(bad, "symbol", "left").select(
+        "symbol", "disposition", F.col("rows").alias("bars"), F.coalesce("quarantined", F.lit(0)).cast("bigint").alias("quarantined"))
+
+
+LEDGER_CUTS = ("2024-01-10", "2024-01-20", "2024-01-31")
+
+
+@query
+def landing_new_files(spark, d):
+    """SRC-1: three waves of landed files, one file per symbol each; a run after each
+    wave, and one more. Per run the files it opened (new ones only) and the bars it stored."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    bars = pin(N.to_raw(user_daily(spark, d)).withColumn("_day", F.to_date(F.timestamp_millis("t"))))
+    universe = pin(bars.select(F.lit("crypto").alias("asset_class"), "symbol").distinct())
+    after, runs = "0001-01-01", []
+    for run_id, end in [*enumerate(LEDGER_CUTS), (len(LEDGER_CUTS), "2024-02-15")]:
+        wave = bars.where((F.col("_day") > F.lit(after).cast("date")) & (F.col("_day") <= F.lit(end).cast("date"))).drop("_day")
+        if run_id < len(LEDGER_CUTS):
+            _write_landing(wave.repartition("symbol"), landing)
+        out = BF.run(spark, root, universe, landing, asset_class="crypto", timeframe="daily", default_start="2024-01-01",
+                     target_end=end, run_id=f"run-{run_id}", now="2024-03-01 00:00:00")
+        runs.append((run_id, out.files_opened, out.bars_written))
+        after = end
+    return spark.createDataFrame(runs, "run int, files_opened bigint, bars_written bigint")

@@ -934,3 +934,22 @@ UNION ALL
 SELECT symbol, 'otc' AS "column", count(*) AS rows, count(*) FILTER (WHERE otc IS NULL) AS nulls,
        count(*) = count(*) FILTER (WHERE otc IS NULL) AS missing
 FROM crypto_daily GROUP BY symbol"""
+
+
+# ------------------------------------------- landing: attempts, ledger, pending --
+
+ORACLE["stream_pending_bars"] = with_("crypto_minute") + """
+SELECT symbol, CAST(timestamp AS DATE) AS day, count(*) AS bars, CAST(sum(CAST(volume AS BIGINT)) AS BIGINT) AS volume
+FROM crypto_minute WHERE timestamp < TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1, 2"""
+ORACLE["attempt_dispositions"] = with_("user_daily") + """
+, u AS (SELECT symbol, CAST(substr(symbol, 2) AS BIGINT) % 6 AS k, count(*) AS n FROM user_daily
+        WHERE timestamp < TIMESTAMP '2024-02-01' GROUP BY 1, 2)
+SELECT symbol, CASE WHEN k IN (1, 3, 4) THEN 'error' WHEN k = 5 THEN 'zero_bar' ELSE 'succeeded' END AS disposition,
+       CASE WHEN k IN (0, 1, 2) THEN n ELSE 0 END AS bars, CAST(CASE WHEN k IN (2, 3) THEN 1 ELSE 0 END AS BIGINT) AS quarantined
+FROM u"""
+ORACLE["landing_new_files"] = with_("user_daily") + """
+, w AS (SELECT symbol, CASE WHEN timestamp < TIMESTAMP '2024-01-11' THEN 0 WHEN timestamp < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS run
+        FROM user_daily WHERE timestamp < TIMESTAMP '2024-02-01'),
+r AS (SELECT unnest([0, 1, 2, 3]) AS run)
+SELECT CAST(r.run AS INTEGER) AS run, count(DISTINCT w.symbol) AS files_opened, count(w.symbol) AS bars_written
+FROM r LEFT JOIN w USING (run) GROUP BY 1"""

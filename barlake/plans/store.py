@@ -70,15 +70,16 @@ def list_tables(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     return sorted(out)
 
 
-def with_layout(bars: DataFrame, asset_class: str | None = None, timeframe: str | None = None) -> DataFrame:
+def with_layout(bars: DataFrame, asset_class: str | None = None, timeframe: str | None = None,
+                keep: Sequence[str] = ()) -> DataFrame:
     """Canonical bars plus the lake's partition columns (asset_class and
-    timeframe from the arguments, or already on the rows)."""
+    timeframe from the arguments, or already on the rows), and the columns ``keep``."""
     df = bars
     if asset_class is not None:
         df = df.withColumn("asset_class", F.lit(asset_class))
     if timeframe is not None:
         df = df.withColumn("timeframe", F.lit(timeframe))
-    return df.withColumn("year", F.year("timestamp")).select(*BAR_COLUMNS, *LAKE_PARTITIONS)
+    return df.withColumn("year", F.year("timestamp")).select(*BAR_COLUMNS, *LAKE_PARTITIONS, *keep)
 
 
 def write_bars(bars: DataFrame, root: str, *, num_files: int | None = None,
@@ -185,7 +186,8 @@ def merge_into_lake(new: DataFrame, root: str, *, new_order: Sequence[str] = (),
         c = (F.col("asset_class") == a) & (F.col("timeframe") == t) & (F.col("year") == y)
         cond = c if cond is None else (cond | c)
     cols = [*BAR_COLUMNS, *LAKE_PARTITIONS]
-    fresh = pin(S.fresh_rows(stored.where(cond).select(*cols), new.select(*cols), LAKE_KEY, new_order, policy=policy))
+    extra = [c for c in new_order if c not in cols]
+    fresh = pin(S.fresh_rows(stored.where(cond).select(*cols), new.select(*cols, *extra), LAKE_KEY, new_order, policy=policy))
     n = fresh.count()
     if n:
         n_files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // ROWS_PER_FILE)))
@@ -275,6 +277,12 @@ def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 7) ->
     return removed
 
 
+def read_appended(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    """All rows of the append-only table ``name`` (none where it was never written)."""
+    path = table_path(root, name)
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, root, "manifest", MANIFEST)
 

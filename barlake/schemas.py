@@ -90,6 +90,35 @@ RUN_LOG = T.StructType([
     T.StructField("bars_written", T.LongType(), True),
 ])
 
+# Bars that landed and wait for their day to complete, as they came.
+PENDING = T.StructType(RAW_BAR.fields + [
+    T.StructField("_file", T.StringType(), True),
+    T.StructField("_landed", T.TimestampType(), True),
+])
+
+# Landed lines that are no bars.
+QUARANTINE = T.StructType([
+    T.StructField("asset_class", T.StringType(), False),
+    T.StructField("timeframe", T.StringType(), False),
+    T.StructField("symbol", T.StringType(), True),
+    T.StructField("reason", T.StringType(), True),
+    T.StructField("record", T.StringType(), True),
+    T.StructField("file", T.StringType(), True),
+    T.StructField("landed_at", T.TimestampType(), True),
+])
+
+# Landed files that a run has taken, and the start of the window it took them for.
+LANDING_FILES = T.StructType([
+    T.StructField("asset_class", T.StringType(), False),
+    T.StructField("timeframe", T.StringType(), False),
+    T.StructField("symbol", T.StringType(), True),
+    T.StructField("path", T.StringType(), False),
+    T.StructField("modified", T.TimestampType(), True),
+    T.StructField("length", T.LongType(), True),
+    T.StructField("from_date", T.DateType(), True),
+    T.StructField("run_id", T.StringType(), True),
+])
+
 UNIVERSE = T.StructType([
     T.StructField("ticker", T.StringType(), False),
     T.StructField("source", T.StringType(), True),

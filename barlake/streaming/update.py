@@ -5,10 +5,12 @@ processes whatever landed since the last run and stops. Each micro-batch goes
 through the same core as the batch backfill (``plans.backfill.ingest``): bars up
 to the last complete day only, dispositions, merge, state and run log. A batch
 replayed after a crash (same ``batch_id``, same files) changes nothing, and a
-second run on the same day finds no new files: a no-op. A bar of a day that is
-not complete is not stored; the complete bar is stored when it lands.
+second run on the same day finds no new files: a no-op. The stream reads a file
+once, so what a batch cannot store yet waits in the pending table, and a later update
+admits it when its day is complete, even if nothing more has landed.
 
-``update_all``: ``run_update`` for every table that the manifest knows.
+``update_all``: ``run_update`` for every table that the manifest knows; a table that
+fails does not stop the others.
 
 ``tumbling_bars``: ticks to closed bars in append mode. The watermark on trade
 time is the completeness horizon: a bar is emitted only once no more trades
@@ -26,8 +28,9 @@ from barlake.functions.time import exchange_date
 from barlake.operators import calendar as C
 from barlake.operators import planning as P
 from barlake.operators.bars import order_key
+from barlake.operators.dedupe import KEEP_FIRST
 from barlake.plans import backfill, store
-from barlake.sources.landing import LANDING, with_errors
+from barlake.sources.landing import LANDED, LANDING, no_landing, with_attempts
 
 
 def horizon(spark: SparkSession, asset_class: str, now: str) -> str:
@@ -41,24 +44,37 @@ def horizon(spark: SparkSession, asset_class: str, now: str) -> str:
 
 
 def run_update(spark: SparkSession, landing_path: str, root: str, checkpoint: str, *,
-               asset_class: str, timeframe: str, now: str, max_files_per_batch: int | None = None) -> int:
+               asset_class: str, timeframe: str, now: str, max_files_per_batch: int | None = None,
+               duplicates: str = KEEP_FIRST, ohlc: str = "warn") -> int:
     """Process all newly landed files once; returns the number of micro-batches
-    that had rows. All new files are one batch unless ``max_files_per_batch`` is set."""
+    that had rows (pending bars admitted without any count as one). All new files are
+    one batch unless ``max_files_per_batch`` is set; the policies are those of ``ingest``.
+
+    A failed authentication stores nothing of its batch and is raised when the stream
+    has stopped: the batch is done with, its good bars wait for the next update."""
     target_end = horizon(spark, asset_class, now)
     batches: list[int] = []
+    fatal: list[backfill.FatalFetchError] = []
+
+    def admit(landing: DataFrame, name: object) -> None:
+        own = landing.sparkSession
+        waiting = backfill.read_pending(own, root, asset_class, timeframe).select("symbol")
+        plan = landing.select("symbol").unionByName(waiting).distinct().select(
+            "symbol", F.lit(None).cast("date").alias("from_date"), F.lit(target_end).cast("date").alias("to_date"),
+            F.lit(P.FETCH).alias("action"))
+        try:
+            backfill.ingest(own, root, plan, landing, asset_class=asset_class, timeframe=timeframe,
+                            run_id=f"update-{asset_class}-{timeframe}-{now}-{name}", now=now, command="update",
+                            duplicates=duplicates, ohlc=ohlc, hold_on_abort=True)
+        except backfill.FatalFetchError as error:
+            fatal.append(error)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        landing = with_errors(batch).persist()
+        landing = batch.persist()
         try:
-            if landing.isEmpty():
-                return
-            own = landing.sparkSession
-            plan = landing.select("symbol").distinct().select(
-                "symbol", F.lit(None).cast("date").alias("from_date"), F.lit(target_end).cast("date").alias("to_date"),
-                F.lit(P.FETCH).alias("action"))
-            backfill.ingest(own, root, plan, landing, asset_class=asset_class, timeframe=timeframe,
-                            run_id=f"update-{asset_class}-{timeframe}-{now}-{batch_id}", now=now, command="update")
-            batches.append(batch_id)
+            if not landing.isEmpty():
+                admit(landing, batch_id)
+                batches.append(batch_id)
         finally:
             landing.unpersist()
 
@@ -66,24 +82,50 @@ def run_update(spark: SparkSession, landing_path: str, root: str, checkpoint: st
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt"))
     if max_files_per_batch is not None:
         stream = stream.option("maxFilesPerTrigger", max_files_per_batch)
-    q = (stream.json(landing_path).writeStream.trigger(availableNow=True)
+    q = (with_attempts(stream.json(landing_path)).writeStream.trigger(availableNow=True)
          .option("checkpointLocation", checkpoint).foreachBatch(each).start())
     q.awaitTermination()
+    if not batches:
+        day = backfill.bar_date(asset_class, timeframe, F.timestamp_millis("t"))
+        due = backfill.read_pending(spark, root, asset_class, timeframe).where(
+            (day <= F.lit(target_end).cast("date")) & ~backfill.provisional(asset_class, timeframe, F.col("t"), F.col(LANDED)))
+        if not due.isEmpty():
+            admit(no_landing(spark), "pending")
+            batches.append(-1)
+    if fatal:
+        raise fatal[0]
     return len(batches)
 
 
-def update_all(spark: SparkSession, landing_root: str, root: str, checkpoint_root: str, *, now: str) -> dict[tuple[str, str], int]:
+class UpdateError(RuntimeError):
+    """Some tables failed; ``done`` has the others."""
+
+    def __init__(self, failed: dict[tuple[str, str], Exception], done: dict[tuple[str, str], int]):
+        super().__init__("; ".join(f"{a}/{t}: {str(e).splitlines()[0]}" for (a, t), e in failed.items()))
+        self.failed, self.done = failed, done
+
+
+def update_all(spark: SparkSession, landing_root: str, root: str, checkpoint_root: str, *, now: str, **policies) -> dict[tuple[str, str], int]:
     """Update every (asset class, timeframe) of the manifest from its landing
     folder ``{landing_root}/{asset_class}/{timeframe}``; tables without one are
-    skipped. Returns the batches of each (a handful of tables)."""
+    skipped. Returns the batches of each (a handful of tables). A table that fails
+    leaves its row in the run log; the others are updated first, then ``UpdateError``
+    names it."""
     tables = store.read_manifest(spark, root).select("asset_class", "timeframe").distinct().collect()
-    done = {}
+    done: dict[tuple[str, str], int] = {}
+    failed: dict[tuple[str, str], Exception] = {}
     for asset_class, timeframe in sorted((r["asset_class"], r["timeframe"]) for r in tables):
         landing = f"{landing_root.rstrip('/')}/{asset_class}/{timeframe}"
-        if store.path_exists(spark, landing):
+        if not store.path_exists(spark, landing):
+            continue
+        try:
             done[asset_class, timeframe] = run_update(
                 spark, landing, root, f"{checkpoint_root.rstrip('/')}/{asset_class}-{timeframe}",
-                asset_class=asset_class, timeframe=timeframe, now=now)
+                asset_class=asset_class, timeframe=timeframe, now=now, **policies)
+        except Exception as error:  # noqa: BLE001  one asset class never stops the others
+            failed[asset_class, timeframe] = error
+    if failed:
+        raise UpdateError(failed, done)
     return done
 
 
