@@ -82,6 +82,12 @@ def exchange_date(ts) -> Column:
     return F.to_date(exchange_local(ts))
 
 
+def exchange_midnight(date) -> Column:
+    """The instant at which a date begins in New York."""
+    local = _col(date).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(EXCHANGE_TZ), F.lit("UTC"), local).cast("timestamp")
+
+
 def session_class(ts) -> Column:
     """'pre', 'regular', 'after' or 'closed' by New York local time of day."""
     local = exchange_local(ts)

@@ -60,16 +60,34 @@ def split_adjust(bars: DataFrame, splits: DataFrame, day: Column | None = None)
         .select(*BAR_COLUMNS, "split_factor")
 
 
-def dividend_intervals(bars: DataFrame, dividends: DataFrame) -> DataFrame:
-    """Backward factor 1 - cash / close of the last bar before the ex-date."""
-    div = dividends.select("symbol", F.col("ex_dividend_date").cast("timestamp").alias("_ex"),
-                           "ex_dividend_date", "cash_amount")
+def dividend_factors(bars: DataFrame, dividends: DataFrame, ex_time: Column | None = None) -> DataFrame:
+    """(symbol, ex_dividend_date, cash_amount, prev_close, factor): backward factor
+    1 - cash / close of the last bar before the ex-date, null where there is no such
+    close, or where the cash is not below it (no factor could keep prices positive).
+    ``ex_time`` is the instant at which ``ex_dividend_date`` begins: UTC midnight by
+    default; minute bars of an exchange pass the exchange's midnight."""
+    start = F.col("ex_dividend_date").cast("timestamp") if ex_time is None else ex_time
+    div = dividends.select("symbol", start.alias("_ex"), "ex_dividend_date", "cash_amount")
     closes = bars.select("symbol", "timestamp", "close")
-    with_close = asof_last(div, closes.withColumnRenamed("timestamp", "_ex"), "symbol", "_ex", "close",
-                           "prev_close")
-    f = with_close.where(F.col("prev_close").isNotNull() & (F.col("prev_close") > 0)).select(
-        "symbol", "ex_dividend_date", (1 - F.col("cash_amount") / F.col("prev_close")).alias("_df"))
-    return factor_intervals(f, "ex_dividend_date", "_df")
+    with_close = asof_last(div, closes.withColumnRenamed("timestamp", "_ex"), "symbol", "_ex", "close", "prev_close")
+    factor = F.when((F.col("prev_close") > 0) & (F.col("cash_amount") < F.col("prev_close")),
+                    1 - F.col("cash_amount") / F.col("prev_close"))
+    return with_close.select("symbol", "ex_dividend_date", "cash_amount", "prev_close", factor.alias("factor"))
+
+
+def dividend_intervals(bars: DataFrame, dividends: DataFrame, ex_time: Column | None = None) -> DataFrame:
+    """Factor intervals of the dividends that have a factor (``dividend_factors``)."""
+    f = dividend_factors(bars, dividends, ex_time).where(F.col("factor").isNotNull())
+    return factor_intervals(f.select("symbol", "ex_dividend_date", F.col("factor").alias("_df")), "ex_dividend_date", "_df")
+
+
+def skipped_dividends(bars: DataFrame, dividends: DataFrame, ex_time: Column | None = None) -> DataFrame:
+    """Dividends that no adjusted read applies, with the reason."""
+    f = dividend_factors(bars, dividends, ex_time)
+    reason = F.when(F.col("prev_close").isNull(), F.lit("no bar before the ex-date")) \
+        .when(F.col("prev_close") <= 0, F.lit("close before the ex-date is not positive")) \
+        .when(F.col("cash_amount").isNull(), F.lit("no cash amount")).otherwise(F.lit("cash is not below the close before the ex-date"))
+    return f.where(F.col("factor").isNull()).select("symbol", "ex_dividend_date", "cash_amount", "prev_close", reason.alias("reason"))
 
 
 def dividend_adjust(bars: DataFrame, dividends: DataFrame, splits: DataFrame | None = None,

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlake.operators.joins import interval_join
 from barlake.operators.planning import FETCH, UP_TO_DATE
 
 CALENDAR = "calendar"
@@ -75,3 +76,49 @@ def continuous(contract_bars: DataFrame, contracts: DataFrame, method: str = CAL
     out = active.join(b.drop("root", "last_trade_date"), ["symbol", "day"])
     return out.select("root", "day", F.col("symbol").alias("contract"), "open", "high", "low", "close",
                       "volume")
+
+
+def sticky_rolls(contract_values: DataFrame, contracts: DataFrame, value: str) -> DataFrame:
+    """Roll by crossover: (root, contract, valid_from, valid_to), the contract that is
+    active on each day.
+
+    The current contract stays until a later-expiring one *overtakes* it on ``value``
+    (``contract_values`` has symbol, timestamp and it; a contract without a row that day
+    counts 0); on a tie it stays. It gives way without a contest once it has expired.
+    Among several that overtake, the greatest value wins, then the nearer expiry, then
+    the ticker. What is current depends on every earlier day, so each root's days are
+    folded in order: one row per root holds its days with the contracts quoted on each
+    (bounded by the listing calendar, not by trades); the fold keeps rolls only."""
+    c = contracts.select(F.col("ticker").alias("symbol"), F.col("product_code").alias("root"), F.col("last_trade_date").alias("expiry"))
+    quoted = contract_values.select("symbol", F.to_date("timestamp").alias("day"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("v")) \
+        .groupBy("symbol", "day").agg(F.max("v").alias("v")).join(c, "symbol")
+    # Better contracts sort first: greater value, nearer expiry, ticker.
+    days = quoted.groupBy("root", "day").agg(F.array_sort(F.collect_list(F.struct((-F.col("v")).alias("v"), "expiry", "symbol"))).alias("quotes"))
+    per_root = days.groupBy("root").agg(F.array_sort(F.collect_list(F.struct("day", "quotes"))).alias("days"))
+    none = F.lit(None).cast("struct<expiry:date,symbol:string>")
+    rolls = F.array().cast("array<struct<day:date,symbol:string>>")
+
+    def step(acc, d):
+        now = acc["now"]
+        own = F.coalesce(F.get(F.filter(d["quotes"], lambda q: q["symbol"] == now["symbol"]), F.lit(0))["v"], F.lit(0.0))
+        later = F.get(F.filter(d["quotes"], lambda q: now.isNull() | (F.struct(q["expiry"], q["symbol"]) > now)), F.lit(0))
+        over = later.isNotNull() & (now.isNull() | (now["expiry"] < d["day"]) | (later["v"] < own))
+        to = F.struct(later["expiry"].alias("expiry"), later["symbol"].alias("symbol"))
+        return F.struct(F.when(over, to).otherwise(now).alias("now"),
+                        F.when(over, F.concat(acc["rolls"], F.array(F.struct(d["day"].alias("day"), later["symbol"].alias("symbol")))))
+                        .otherwise(acc["rolls"]).alias("rolls"))
+
+    folded = per_root.select("root", F.explode(F.aggregate("days", F.struct(none.alias("now"), rolls.alias("rolls")), step)["rolls"]).alias("r"))
+    nxt = F.lead("r.day").over(Window.partitionBy("root").orderBy("r.day"))
+    return folded.select("root", F.col("r.symbol").alias("contract"), F.col("r.day").alias("valid_from"), nxt.alias("valid_to"))
+
+
+def continuous_sticky(contract_bars: DataFrame, contracts: DataFrame, value: str, values: DataFrame | None = None) -> DataFrame:
+    """WN-7/FU-3 by crossover: one bar per (root, day) from the active contract of
+    ``sticky_rolls`` on ``value``, a column of the bars or of ``values`` (symbol, timestamp,
+    and it), such as open interest."""
+    rolls = sticky_rolls(values if values is not None else contract_bars, contracts, value)
+    root = contracts.select(F.col("ticker").alias("symbol"), F.col("product_code").alias("root"))
+    b = contract_bars.withColumn("day", F.to_date("timestamp")).join(root, "symbol")
+    active = interval_join(b, rolls, ["root"], F.col("day"), how="inner").where(F.col("contract") == F.col("symbol"))
+    return active.select("root", "day", "contract", "open", "high", "low", "close", "volume")

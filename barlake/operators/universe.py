@@ -8,7 +8,7 @@ today's index membership carries survivorship bias; point-in-time membership
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.tickers import is_blank_ticker, normalize_ticker, parse_symbol_list
@@ -124,11 +124,53 @@ def universe_at(membership: DataFrame, as_of: str) -> DataFrame:
         .select("index", "ticker")
 
 
-def bars_in_membership(bars: DataFrame, membership: DataFrame) -> DataFrame:
-    """JN-11: bars on dates their symbol belonged to an index."""
+def _replayed(current: DataFrame, changes: DataFrame) -> DataFrame:
+    """Each change with the state after it as later knowledge has it, newest first: the
+    newest change meets today's membership, every other one the change that follows it.
+    Today's members without any change have one row of null change."""
+    key = ["index", "ticker"]
+    now = current.select(*key).distinct().withColumn("_now", F.lit(True))
+    log = changes.select(*key, "date", "change").distinct()
+    rows = log.join(now, key, "full")
+    # On one day a removal comes before an addition (a member that left and came back).
+    newer = Window.partitionBy(*key).orderBy("date", F.col("change") == "added")
+    following = F.lead("change").over(newer)
+    return rows.select(
+        *key, "date", "change", F.lead("date").over(newer).alias("_next"), F.lag("change").over(newer).isNull().alias("_oldest"),
+        F.when(following.isNotNull(), following == "removed").otherwise(F.coalesce("_now", F.lit(False))).alias("_member_after"))
+
+
+def membership_from_changes(current: DataFrame, changes: DataFrame, since: str = "1900-01-01") -> DataFrame:
+    """JN-11/SE-4: (index, ticker, added_date, removed_date) from today's members and a log
+    of dated changes (index, ticker, date, change: added or removed), replayed backwards.
+
+    Before an addition a ticker was no member, before a removal it was one: so every
+    stretch between two changes is decided by the newer of them, the last one by today's
+    members. A stretch that began before the log starts at ``since``. Where the log
+    contradicts itself the newer knowledge stands (see ``change_contradictions``). The
+    window holds one ticker's changes."""
+    r = _replayed(current, changes)
+    after = r.where("_member_after").select(
+        "index", "ticker", F.coalesce("date", F.lit(since).cast("date")).alias("added_date"), F.col("_next").alias("removed_date"))
+    before = r.where("_oldest AND change = 'removed'").select(
+        "index", "ticker", F.lit(since).cast("date").alias("added_date"), F.col("date").alias("removed_date"))
+    return after.unionByName(before).where(F.col("removed_date").isNull() | (F.col("added_date") < F.col("removed_date")))
+
+
+def change_contradictions(current: DataFrame, changes: DataFrame) -> DataFrame:
+    """(index, ticker, date, change, reason): changes that what follows them denies."""
+    r = _replayed(current, changes).where(F.col("change").isNotNull() & (F.col("_member_after") != (F.col("change") == "added")))
+    follows = F.when(F.col("_next").isNull(), F.lit("today")).otherwise(F.concat(F.lit("from "), F.col("_next").cast("string")))
+    return r.select("index", "ticker", "date", "change", F.concat(
+        F.when(F.col("change") == "added", F.lit("added, but no member ")).otherwise(F.lit("removed, but a member ")), follows).alias("reason"))
+
+
+def bars_in_membership(bars: DataFrame, membership: DataFrame, day: Column | None = None) -> DataFrame:
+    """JN-11: bars on dates their symbol belonged to an index. ``day`` is the date a bar
+    counts for (by default its UTC date; minute bars of an exchange pass the exchange's date)."""
     m = membership.select(F.col("ticker").alias("symbol"), "index",
                           F.col("added_date").alias("valid_from"), F.col("removed_date").alias("valid_to"))
-    j = interval_join(bars, m, ["symbol"], F.to_date("timestamp"), how="inner")
+    j = interval_join(bars, m, ["symbol"], F.to_date("timestamp") if day is None else day, how="inner")
     return j.drop("valid_from", "valid_to")
 
 

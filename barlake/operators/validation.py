@@ -66,6 +66,17 @@ def monotonic_check(df: DataFrame, ts: str = "ts") -> DataFrame:
         .withColumn("strictly_increasing", F.col("violations") == 0)
 
 
+def stored_order_check(scan: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """WN-6 on stored files: per symbol, rows whose time does not exceed that of the row
+    stored before them in the same file (``scan`` reads files: its ``_metadata`` gives
+    each row's place). A window holds one symbol's rows of one file."""
+    rows = scan.select("symbol", F.col(ts).alias("_t"), F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.row_index").alias("_at"))
+    before = F.lag("_t").over(Window.partitionBy("_file", "symbol").orderBy("_at"))
+    return rows.select("symbol", "_file", (F.col("_t") <= before).alias("_bad")).groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("_file").alias("files"), F.count_if("_bad").alias("violations"))
+
+
 def missing_sessions(bar_days: DataFrame, sessions: DataFrame, dense: DataFrame,
                      key: str = "symbol", with_ordinal: bool = False) -> DataFrame:
     """JN-5: sessions strictly between consecutive bar days of a series.
@@ -120,6 +131,37 @@ def missing_minutes(bars: DataFrame, session_minutes: DataFrame | None = None) -
         .select("symbol", F.col("timestamp").alias("missing_minute"))
 
 
+def missing_minute_ranges(bars: DataFrame, session_minutes: DataFrame | None = None) -> DataFrame:
+    """JN-5 at minute scale as intervals: (symbol, first_missing, last_missing, minutes),
+    the stretches between the first and the last bar of each symbol that hold no bar.
+
+    What lies between a bar and the next is one interval, however long; no minute is
+    ever expanded. With ``session_minutes`` (see ``missing_minutes``) it is cut to the
+    sessions it meets, one piece each, found by its days: a gap costs a row per day that
+    it spans, not per minute."""
+    minutes = bars.select("symbol", F.date_trunc("minute", "timestamp").alias("timestamp")).distinct()
+    step = F.expr("INTERVAL 1 MINUTE")
+    gaps = with_previous(minutes, bucket="day").where(F.col("timestamp") > F.col("prev_ts") + step).select(
+        "symbol", (F.col("prev_ts") + step).alias("_lo"), (F.col("timestamp") - step).alias("_hi"))
+    first, last = F.col("_lo"), F.col("_hi")
+    if session_minutes is not None:
+        # A session may begin on the eve of its day, or end after it.
+        days = F.sequence(F.date_sub(F.to_date("_lo"), 1), F.date_add(F.to_date("_hi"), 1))
+        gaps = gaps.select("*", F.explode(days).alias("day")).join(session_minutes.select("day", "first_minute", "last_minute"), "day")
+        first, last = F.greatest("_lo", "first_minute"), F.least("_hi", "last_minute")
+    count = F.floor((F.unix_seconds("last_missing") - F.unix_seconds("first_missing")) / 60) + 1
+    return gaps.select("symbol", first.alias("first_missing"), last.alias("last_missing")) \
+        .where(F.col("first_missing") <= F.col("last_missing")).withColumn("minutes", count.cast("bigint"))
+
+
+def missing_minutes_by_day(ranges: DataFrame) -> DataFrame:
+    """(symbol, day, minutes) of ``missing_minute_ranges``, a range that spans days cut at midnight."""
+    days = ranges.select("*", F.explode(F.sequence(F.to_date("first_missing"), F.to_date("last_missing"))).alias("day"))
+    first = F.greatest("first_missing", F.col("day").cast("timestamp"))
+    last = F.least("last_missing", F.date_add("day", 1).cast("timestamp") - F.expr("INTERVAL 1 MINUTE"))
+    return days.groupBy("symbol", "day").agg(F.sum(F.floor((F.unix_seconds(last) - F.unix_seconds(first)) / 60) + 1).alias("minutes"))
+
+
 def unlisted_sessions(bars: DataFrame, bar_day: Column, sessions: DataFrame, session_minutes: DataFrame) -> DataFrame:
     """(symbol, sessions, first_day): per symbol, sessions between its first and
     its last bar day for which ``session_minutes`` has no row, so that their

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.functions.profiles import PROFILES
+from barlake.functions.time import exchange_midnight
 from barlake.operators import adjust as A
 from barlake.operators import calendar as C
+from barlake.operators import universe as U
 from barlake.operators.dedupe import KEEP_FIRST, keep_one
 from barlake.plans import store
 from barlake.schemas import BAR_COLUMNS, DIVIDENDS, DIVIDENDS_KEY, FUTURES_CONTRACTS, MEMBERSHIP, SESSION_MINUTES, SPLITS, SPLITS_KEY
@@ -76,6 +78,32 @@ def read_adjusted(spark: SparkSession, root: str, asset_class: str, timeframe: s
     out = A.split_adjust(bars, read(spark, root, "splits"), day)
     if dividends:
         history = store.read_bars(spark, root, asset_class=asset_class, timeframe=timeframe)
-        factors = A.dividend_intervals(history, read(spark, root, "dividends"))
+        local = profile is not None and profile.exchange_dates and timeframe == "minute"
+        factors = A.dividend_intervals(history, read(spark, root, "dividends"),
+                                       exchange_midnight("ex_dividend_date") if local else None)
         return A.apply_dividends(out, factors, day)
     return out.select(*BAR_COLUMNS, "split_factor")
+
+
+def refresh_membership(spark: SparkSession, root: str, current: DataFrame, changes: DataFrame, *, now: str) -> DataFrame:
+    """JN-11: replay today's members and the change log into intervals, the next version
+    of ``membership`` (a full replacement: a later log may deny earlier knowledge).
+    Returns the contradictions of the log."""
+    intervals = U.membership_from_changes(current, changes)
+    store.write_version(intervals.withColumn(STAMP, F.lit(now).cast("timestamp")), root, "membership")
+    return U.change_contradictions(current, changes)
+
+
+def get_universe_at(spark: SparkSession, root: str, index: str, as_of: str) -> DataFrame:
+    """The stored members (ticker) of an index on a date."""
+    return U.universe_at(read(spark, root, "membership").where(F.col("index") == index), as_of).select("ticker")
+
+
+def read_member_bars(spark: SparkSession, root: str, index: str, asset_class: str, timeframe: str, from_date: str,
+                     to_date: str) -> DataFrame:
+    """Stored bars of a window on the dates their symbol was a member, by the date a bar counts for."""
+    profile = PROFILES.get(asset_class)
+    day = profile.bar_date(F.col("timestamp"), timeframe) if profile else F.to_date("timestamp")
+    members = read(spark, root, "membership").where(F.col("index") == index)
+    return U.bars_in_membership(store.read_window(spark, root, asset_class, timeframe, from_date, to_date), members, day) \
+        .select(*BAR_COLUMNS)

@@ -1188,3 +1188,84 @@ def landing_new_files(spark, d):
         runs.append((run_id, out.files_opened, out.bars_written))
         after = end
     return spark.createDataFrame(runs, "run int, files_opened bigint, bars_written bigint")
+
+
+# ------------------------------------ intervals, stored order, change log, crossover --
+
+@query
+def minute_gap_ranges(spark, d):
+    """JN-5/V-4: missing minutes of the crypto series within regular New York hours, as
+    ranges (gap intervals cut to the sessions; no minute is expanded)."""
+    sess = C.build_calendar(C.days_spanning(T.read(spark, d, "events"), "ts"))[0]
+    return V.missing_minute_ranges(crypto_minute(spark, d), C.regular_minutes(sess))
+
+
+@query
+def minute_gap_ranges_24x7(spark, d):
+    """JN-5/V-4: missing minutes of the same series around the clock, as ranges."""
+    return V.missing_minute_ranges(crypto_minute(spark, d))
+
+
+@query
+def stored_order_check(spark, d):
+    """WN-6: per-user daily bars written to lake files, every third user's in reverse
+    order; rows that do not follow their predecessor in the file."""
+    path = scratch_path(spark, "stored-order")
+    at = F.unix_micros("timestamp")
+    back = F.substr("symbol", F.lit(2)).cast("bigint") % 3 == 0
+    user_daily(spark, d).repartition("symbol").sortWithinPartitions("symbol", F.when(back, -at).otherwise(at)).write.parquet(path)
+    return V.stored_order_check(spark.read.parquet(path)).drop("files")
+
+
+def _member_changes(spark, d):
+    """Today's members and the change log of the index: every addition and removal, but
+    additions of every fifth supplier and removals of every second are not logged;
+    every third that left came back (2000) and every sixth left again (2001)."""
+    m = T.membership(spark, d).withColumn("_k", F.substr("ticker", F.lit(2)).cast("bigint"))
+    k, left = F.col("_k"), F.col("removed_date").isNotNull()
+    change = lambda rows, date, what: rows.select("index", "ticker", date.cast("date").alias("date"), F.lit(what).alias("change"))
+    back = m.where(left & (k % 3 == 0))
+    changes = change(m.where(k % 5 != 0), F.col("added_date"), "added") \
+        .unionByName(change(m.where(left & (k % 2 != 0)), F.col("removed_date"), "removed")) \
+        .unionByName(change(back, F.lit("2000-06-01"), "added")) \
+        .unionByName(change(back.where(k % 6 == 0), F.lit("2001-02-01"), "removed"))
+    current = m.where(~left | (k % 6 == 3)).select("index", "ticker")
+    return current, changes
+
+
+@query
+def membership_from_changes(spark, d):
+    """JN-11/SE-4: membership intervals replayed from today's members and the change log."""
+    return U.membership_from_changes(*_member_changes(spark, d))
+
+
+@query
+def change_contradictions(spark, d):
+    """JN-11/SE-4: logged changes that later knowledge denies."""
+    return U.change_contradictions(*_member_changes(spark, d))
+
+
+@query
+def universe_at_stored(spark, d):
+    """JN-11: members of the index on a date, from the stored table that the replay wrote."""
+    from barlake.plans import actions
+    root = scratch_path(spark, "lake")
+    current, changes = _member_changes(spark, d)
+    actions.refresh_membership(spark, root, current, changes, now=PRIMARY_STAMP)
+    return actions.get_universe_at(spark, root, "IDXM", "2000-12-31")
+
+
+@query
+def continuous_open_interest(spark, d):
+    """WN-7/FU-3: continuous series rolled by open-interest crossover; the current contract
+    stays on ties (open interest here is the volume in steps of 100, so ties abound)."""
+    bars = futures_daily(spark, d).withColumn("open_interest", F.floor(F.col("volume") / 100))
+    return FU.continuous_sticky(bars, T.futures_contracts(spark, d), "open_interest")
+
+
+@query
+def skipped_dividends(spark, d):
+    """JN-10: dividends without an adjustment factor (100 times the derived cash, so that
+    some exceed the close), with the reason."""
+    paid = T.dividends(spark, d).withColumn("cash_amount", F.round(F.col("cash_amount") * 100_000, 2))
+    return A.skipped_dividends(stock_daily(spark, d), paid)

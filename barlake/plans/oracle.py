@@ -953,3 +953,70 @@ ORACLE["landing_new_files"] = with_("user_daily") + """
 r AS (SELECT unnest([0, 1, 2, 3]) AS run)
 SELECT CAST(r.run AS INTEGER) AS run, count(DISTINCT w.symbol) AS files_opened, count(w.symbol) AS bars_written
 FROM r LEFT JOIN w USING (run) GROUP BY 1"""
+
+
+# ------------------------------------ intervals, stored order, change log, crossover --
+
+_RANGES = """
+SELECT symbol, min(missing_minute) AS first_missing, max(missing_minute) AS last_missing, count(*) AS minutes
+FROM (SELECT *, epoch(missing_minute) / 60 - row_number() OVER (PARTITION BY symbol{0} ORDER BY missing_minute) AS grp FROM missing)
+GROUP BY symbol, grp{0}"""
+for _name, _old, _by in (("minute_gap_ranges", "minute_gaps_sessions", ", CAST(missing_minute AS DATE)"),
+                         ("minute_gap_ranges_24x7", "minute_gaps_24x7", "")):
+    ORACLE[_name] = f"WITH missing AS ({ORACLE[_old]})" + _RANGES.format(_by)
+ORACLE["stored_order_check"] = with_("user_daily") + """
+, placed AS (SELECT symbol, timestamp, row_number() OVER (PARTITION BY symbol ORDER BY
+               CASE WHEN CAST(substr(symbol, 2) AS BIGINT) % 3 = 0 THEN -epoch_us(timestamp) ELSE epoch_us(timestamp) END) AS place
+             FROM user_daily),
+stepped AS (SELECT symbol, timestamp <= lag(timestamp) OVER (PARTITION BY symbol ORDER BY place) AS bad FROM placed)
+SELECT symbol, count(*) AS rows, count(*) FILTER (bad) AS violations FROM stepped GROUP BY symbol"""
+CTE["member_log"] = """
+  SELECT "index", ticker, added_date AS date, 'added' AS change, k FROM mk WHERE k % 5 <> 0
+  UNION ALL SELECT "index", ticker, removed_date, 'removed', k FROM mk WHERE removed_date IS NOT NULL AND k % 2 <> 0
+  UNION ALL SELECT "index", ticker, DATE '2000-06-01', 'added', k FROM mk WHERE removed_date IS NOT NULL AND k % 3 = 0
+  UNION ALL SELECT "index", ticker, DATE '2001-02-01', 'removed', k FROM mk WHERE removed_date IS NOT NULL AND k % 6 = 0"""
+CTE["mk"] = "SELECT *, CAST(substr(ticker, 2) AS BIGINT) AS k FROM membership"
+# Membership of every ticker in every stretch between its changes, asked of what follows the stretch.
+CTE["stretches"] = """
+  SELECT e."index", e.ticker, e.date AS lo, e.change, f.date AS hi,
+         CASE WHEN f.change IS NOT NULL THEN f.change = 'removed' ELSE m.removed_date IS NULL OR m.k % 6 = 3 END AS member
+  FROM (SELECT * FROM member_log UNION ALL SELECT "index", ticker, DATE '1900-01-01', 'start', k FROM mk) e
+  JOIN mk m ON e.ticker = m.ticker
+  LEFT JOIN member_log f ON f.ticker = e.ticker
+   AND f.date = (SELECT min(g.date) FROM member_log g WHERE g.ticker = e.ticker AND g.date > e.date)"""
+DEPS |= {"mk": ["membership"], "member_log": ["mk"], "stretches": ["mk", "member_log"]}
+_INTERVALS = """SELECT "index", ticker, lo AS added_date, hi AS removed_date FROM stretches WHERE member"""
+ORACLE["membership_from_changes"] = with_("stretches") + _INTERVALS
+ORACLE["change_contradictions"] = with_("stretches") + """
+SELECT "index", ticker, lo AS date, change,
+       CASE WHEN change = 'added' THEN 'added, but no member ' ELSE 'removed, but a member ' END
+       || CASE WHEN hi IS NULL THEN 'today' ELSE 'from ' || CAST(hi AS VARCHAR) END AS reason
+FROM stretches WHERE change <> 'start' AND member <> (change = 'added')"""
+ORACLE["universe_at_stored"] = with_("stretches") + f"""
+SELECT ticker FROM ({_INTERVALS}) WHERE added_date <= DATE '2000-12-31' AND (removed_date IS NULL OR DATE '2000-12-31' < removed_date)"""
+ORACLE["continuous_open_interest"] = with_("fut_bars").replace("WITH ", "WITH RECURSIVE ", 1) + """
+, q AS (SELECT root, day, symbol, last_trade_date AS expiry, floor(volume / 100) AS v FROM fut_bars),
+days AS (SELECT root, day, row_number() OVER (PARTITION BY root ORDER BY day) AS n FROM (SELECT DISTINCT root, day FROM q)),
+fold AS (
+  SELECT d.root, d.n, d.day, arg_min(q.symbol, (-q.v, q.expiry, q.symbol)) AS symbol,
+         arg_min(q.expiry, (-q.v, q.expiry, q.symbol)) AS expiry
+  FROM days d JOIN q ON q.root = d.root AND q.day = d.day WHERE d.n = 1 GROUP BY ALL
+  UNION ALL
+  SELECT root, n, day, CASE WHEN roll THEN to_symbol ELSE symbol END, CASE WHEN roll THEN to_expiry ELSE expiry END
+  FROM (SELECT d.root, d.n, d.day, f.symbol, f.expiry, b.symbol AS to_symbol, b.expiry AS to_expiry,
+               b.symbol IS NOT NULL AND (f.expiry < d.day OR b.v > coalesce(o.v, 0)) AS roll
+        FROM fold f JOIN days d ON d.root = f.root AND d.n = f.n + 1
+        LEFT JOIN q o ON o.root = d.root AND o.day = d.day AND o.symbol = f.symbol
+        LEFT JOIN q b ON b.root = d.root AND b.day = d.day AND (b.expiry, b.symbol) > (f.expiry, f.symbol)
+        QUALIFY row_number() OVER (PARTITION BY d.root ORDER BY b.v DESC NULLS LAST, b.expiry, b.symbol) = 1))
+SELECT f.root, f.day, f.symbol AS contract, b.open, b.high, b.low, b.close, b.volume
+FROM fold f JOIN fut_bars b ON b.symbol = f.symbol AND b.day = f.day"""
+ORACLE["skipped_dividends"] = with_("stock_daily") + """
+, d AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol, e AS ex_dividend_date,
+               round(round(s_acctbal / 10000, 2) * 100000, 2) AS cash_amount
+        FROM supplier, unnest([DATE '1997-03-14', DATE '1999-09-15']) AS t(e) WHERE s_acctbal > 0),
+c AS (SELECT d.*, (SELECT arg_max(b.close, b.timestamp) FROM stock_daily b
+                   WHERE b.symbol = d.symbol AND b.timestamp < d.ex_dividend_date) AS prev_close FROM d)
+SELECT symbol, ex_dividend_date, cash_amount, prev_close,
+       CASE WHEN prev_close IS NULL THEN 'no bar before the ex-date' ELSE 'cash is not below the close before the ex-date' END AS reason
+FROM c WHERE prev_close IS NULL OR cash_amount >= prev_close"""

@@ -64,13 +64,7 @@ def reference_freshness(spark: SparkSession, root: str, *, as_of: str) -> DataFr
     return U.freshness_report(datasets, thresholds, as_of)
 
 
-def _tables(spark: SparkSession, root: str) -> list[tuple[str, str]]:
-    return store.list_tables(spark, root)
-
-
 CHECKS = ["gap", "ohlc", "duplicate", "null", "coverage"]
-
-
 NOT_CHECKED = "gap not checked"
 
 
@@ -87,7 +81,7 @@ def findings(spark: SparkSession, root: str, *, as_of: str, coverage_sessions: i
         session_minutes = actions.read(spark, root, "session_minutes")
     manifest = store.read_manifest(spark, root)
     as_of_day = F.lit(as_of).cast("date")
-    for asset_class, timeframe in _tables(spark, root):
+    for asset_class, timeframe in store.list_tables(spark, root):
         bars = store.read_bars(spark, root, asset_class=asset_class, timeframe=timeframe)
         profile = PROFILES.get(asset_class)
         cal = profile.calendar if profile else C.CONTINUOUS
@@ -120,10 +114,9 @@ def findings(spark: SparkSession, root: str, *, as_of: str, coverage_sessions: i
                 parts.append(V.unlisted_sessions(bars, bar_day, sess, expected).select(
                     *lit, "symbol", F.lit(NOT_CHECKED).alias("check"), F.col("first_day").alias("day"),
                     F.concat(F.col("sessions").cast("string"), F.lit(" sessions without session minutes")).alias("detail")))
-            per_day = V.missing_minutes(bars, expected).groupBy("symbol", F.to_date("missing_minute").alias("day")).agg(
-                F.count(F.lit(1)).alias("_n"))
+            per_day = V.missing_minutes_by_day(V.missing_minute_ranges(bars, expected))
             parts.append(per_day.select(*lit, "symbol", F.lit("gap").alias("check"), "day",
-                                        F.concat(F.col("_n").cast("string"), F.lit(" missing minutes")).alias("detail")))
+                                        F.concat(F.col("minutes").cast("string"), F.lit(" missing minutes")).alias("detail")))
         le = dense.select(F.col("day").alias("_d"), F.col("sessions_le").alias("_le"))
         # Sessions up to the as-of day: one number, used as a parameter.
         now = dense.where(F.col("day") == as_of_day).select("sessions_le").first()
