@@ -35,7 +35,7 @@ from barlake.operators import planning as P
 from barlake.operators import validation as V
 from barlake.operators.dedupe import KEEP_FIRST
 from barlake.plans import store
-from barlake.schemas import BAR_COLUMNS, BAR_KEY, LANDING_FILES, PENDING, QUARANTINE, RUN_LOG
+from barlake.schemas import BAR_COLUMNS, BAR_KEY, FLAT_DAYS, LANDING_FILES, PENDING, QUARANTINE, RUN_LOG
 from barlake.session import pin
 from barlake.sources import landing as L
 
@@ -103,7 +103,7 @@ def provisional(asset_class: str, timeframe: str, t: Column, landed: Column) ->
 
 def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFrame, *, asset_class: str, timeframe: str,
            run_id: str, now: str, command: str, duplicates: str = KEEP_FIRST, ohlc: str = "warn",
-           hold_on_abort: bool = False) -> Outcome:
+           hold_on_abort: bool = False, pinned: bool = False) -> Outcome:
     """Store what landed of a plan (symbol, from_date, to_date, action); a null
     from_date is an open start. ``landing`` is a scan of ``sources.landing``; bars that
     wait in the pending table are considered with it.
@@ -111,7 +111,8 @@ def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFra
     ``duplicates`` (keep_first, keep_last, fail) and ``ohlc`` (drop, warn, fail) are
     the validation policies. Every run leaves a row in the run log, an aborted one
     too. A run that failed authentication aborts stores nothing; with ``hold_on_abort``
-    (a source that is not read again) its good bars wait in the pending table."""
+    (a source that is not read again) its good bars wait in the pending table. ``pinned``
+    says that ``landing`` is pinned already and holds planned symbols only."""
     started = time.monotonic()
 
     def finish(status: str, o: Outcome, error: str | None) -> None:
@@ -127,7 +128,7 @@ def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFra
         fetch = the_plan.where(F.col("action") == P.FETCH)
         windows = fetch.groupBy("symbol").agg(F.collect_list(F.struct("from_date", "to_date")).alias("_windows"),
                                               F.max("to_date").alias("_last"))
-        batch = pin(landing.join(windows.select("symbol"), "symbol", "left_semi"))
+        batch = landing if pinned else pin(landing.join(windows.select("symbol"), "symbol", "left_semi"))
         tried = pin(P.attempts(batch))
         fatal = P.fatal_attempt(tried).first()["message"]
         raw = PENDING.fieldNames()
@@ -226,6 +227,43 @@ def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str,
     return outcome
 
 
+def run_flat_files(spark: SparkSession, root: str, path: str, *, asset_class: str, timeframe: str, target_end: str, run_id: str,
+                   now: str, duplicates: str = KEEP_FIRST, ohlc: str = "warn") -> Outcome:
+    """SRC-12: ingest the daily flat files of a folder, each with all tickers of its day.
+
+    State is kept by asset class and day (``flat_days``): a file is opened once, again
+    only where it was rewritten, and not before its day is complete (``target_end``). The
+    rows of all new files go through ``ingest`` in one pass, every ticker with an open
+    window, so series state, run log, quarantine and pending bars are those of any
+    other source. A file without a usable header or date is recorded with that status,
+    and counts as failed in the exit code."""
+    days = store.read_appended(spark, root, "flat_days", FLAT_DAYS).where(
+        (F.col("asset_class") == asset_class) & (F.col("timeframe") == timeframe))
+    listing = L.list_flat_files(spark, path).where(F.col("day").isNull() | (F.col("day") <= F.lit(target_end).cast("date")))
+    new = pin(listing.join(days.select("path", "modified", "length"), ["path", "modified", "length"], "left_anti"))
+    rows, headless = L.scan_flat_files(spark, new.where("day IS NOT NULL"))
+    landing = pin(L.flat_as_landing(rows))
+    the_plan = landing.select("symbol").where("symbol IS NOT NULL").distinct().select(
+        "symbol", F.lit(None).cast("date").alias("from_date"), F.lit(target_end).cast("date").alias("to_date"), F.lit(P.FETCH).alias("action"))
+    outcome = ingest(spark, root, the_plan, landing, asset_class=asset_class, timeframe=timeframe, run_id=run_id, now=now,
+                     command="flat files", duplicates=duplicates, ohlc=ohlc, pinned=True)
+    counts = landing.groupBy(F.col(L.FILE).alias("file")).agg(
+        F.count_distinct("symbol").alias("tickers"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col(L.BAD).isNotNull()).alias("bad"))
+    status = F.when(F.col("day").isNull(), F.lit("no date in its name")) \
+        .when(F.col("file").isin(headless), F.lit("no header")).otherwise(F.lit("taken"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    state = pin(new.join(counts, "file", "left").select(
+        F.lit(asset_class).alias("asset_class"), F.lit(timeframe).alias("timeframe"), "day", "path", "modified", "length",
+        status.alias("status"), zero("tickers"), zero("rows"), zero("bad"), F.lit(run_id).alias("run_id")))
+    seen = {r["status"]: r["n"] for r in state.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    outcome.files_opened = sum(seen.values())
+    if outcome.files_opened:
+        state.write.mode("append").parquet(store.table_path(root, "flat_days"))
+        if set(seen) != {"taken"}:
+            outcome.exit_code = max(outcome.exit_code, 1 if "taken" in seen else 2)
+    return outcome
+
+
 def record_run(spark: SparkSession, root: str, run_id: str, now: str, seconds: float, command: str, status: str,
                o: Outcome, error: str | None) -> None:
     """Append one row to the run log; it started ``now`` and took ``seconds``."""

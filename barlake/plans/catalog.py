@@ -1108,6 +1108,7 @@ def landing_column_audit(spark, d):
 
 # ------------------------------------------- landing: attempts, ledger, pending --
 
+from barlake.functions.time import from_epoch_ns  # noqa: E402
 from barlake.plans import backfill as BF  # noqa: E402
 from barlake.sources import landing as L  # noqa: E402
 
@@ -1269,3 +1270,24 @@ def skipped_dividends(spark, d):
     some exceed the close), with the reason."""
     paid = T.dividends(spark, d).withColumn("cash_amount", F.round(F.col("cash_amount") * 100_000, 2))
     return A.skipped_dividends(stock_daily(spark, d), paid)
+
+
+@query
+def flatfile_ingest_state(spark, d):
+    """SRC-12: the stock bars as gzip flat files, one per month here (every second month
+    in another column order with quoted fields), ingested by the flat-file job, run twice:
+    the second run opens no file. The state by day, with the lake's bars of each file."""
+    from barlake.schemas import FLAT_DAYS
+    root, path = scratch_path(spark, "lake"), scratch_path(spark, "flat")
+    flat = N.to_flat_file(stock_daily(spark, d)).withColumn("day", F.trunc(F.to_date(from_epoch_ns("window_start")), "month"))
+    odd = F.month("day") % 2 == 1
+    for rows, columns, quoted in ((flat.where(odd), None, False), (flat.where(~odd), ["window_start", "ticker", "high", "low", "open", "close",
+                                                                                     "transactions", "volume"], True)):
+        names = columns or [c for c in rows.columns if c != "day"]
+        rows.select(*names, "day").repartition("day").write.mode("append").partitionBy("day") \
+            .option("header", "true").option("quoteAll", str(quoted).lower()).option("compression", "gzip").csv(path)
+    opened = [BF.run_flat_files(spark, root, path, asset_class="stocks", timeframe="daily", target_end="2001-12-31", run_id=f"flat-{i}",
+                                now="2002-01-02 00:00:00").files_opened for i in range(2)]
+    lake = ST.read_bars(spark, root).groupBy(F.trunc(F.to_date("timestamp"), "month").alias("day")).agg(F.count(F.lit(1)).alias("lake_bars"))
+    return ST.read_appended(spark, root, "flat_days", FLAT_DAYS).join(lake, "day").select(
+        "day", "status", "tickers", "rows", "bad", "lake_bars", F.lit(opened[1]).cast("bigint").alias("opened_again"))

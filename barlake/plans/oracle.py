@@ -1020,3 +1020,7 @@ c AS (SELECT d.*, (SELECT arg_max(b.close, b.timestamp) FROM stock_daily b
 SELECT symbol, ex_dividend_date, cash_amount, prev_close,
        CASE WHEN prev_close IS NULL THEN 'no bar before the ex-date' ELSE 'cash is not below the close before the ex-date' END AS reason
 FROM c WHERE prev_close IS NULL OR cash_amount >= prev_close"""
+ORACLE["flatfile_ingest_state"] = with_("stock_daily") + """
+SELECT CAST(date_trunc('month', timestamp) AS DATE) AS day, 'taken' AS status, count(DISTINCT symbol) AS tickers, count(*) AS rows,
+       CAST(0 AS BIGINT) AS bad, count(*) AS lake_bars, CAST(0 AS BIGINT) AS opened_again
+FROM stock_daily GROUP BY 1"""

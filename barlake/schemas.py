@@ -119,6 +119,21 @@ LANDING_FILES = T.StructType([
     T.StructField("run_id", T.StringType(), True),
 ])
 
+# Flat files taken: state by asset class and day, beside that by symbol.
+FLAT_DAYS = T.StructType([
+    T.StructField("asset_class", T.StringType(), False),
+    T.StructField("timeframe", T.StringType(), False),
+    T.StructField("day", T.DateType(), True),
+    T.StructField("path", T.StringType(), False),
+    T.StructField("modified", T.TimestampType(), True),
+    T.StructField("length", T.LongType(), True),
+    T.StructField("status", T.StringType(), True),
+    T.StructField("tickers", T.LongType(), True),
+    T.StructField("rows", T.LongType(), True),
+    T.StructField("bad", T.LongType(), True),
+    T.StructField("run_id", T.StringType(), True),
+])
+
 UNIVERSE = T.StructType([
     T.StructField("ticker", T.StringType(), False),
     T.StructField("source", T.StringType(), True),
