@@ -256,3 +256,60 @@ def column_presence(raw: DataFrame, columns: list[str], group: list[str]) -> Dat
     out = x.groupBy(*group, "_c.column").agg(F.count(F.lit(1)).alias("rows"),
                                              F.count_if("_c.is_null").alias("nulls"))
     return out.withColumn("missing", F.col("rows") == F.col("nulls"))
+
+
+# ---------------------------------------------------------------- footers --
+
+DRIFT = "file string, column string, found string, expected string, issue string, rows long"
+# Parquet column types that hold each canonical type without loss.
+FOOTER_TYPES = {"timestamp": {"timestamp"}, "string": {"string"}, "double": {"double"}, "int": {"int32"}, "boolean": {"bool"}}
+
+
+def _footer_type(kind, physical: str | None) -> str:
+    import pyarrow.types as pt
+    if physical == "INT96":  # Spark's own form of a timestamp
+        return "timestamp"
+    if pt.is_dictionary(kind):
+        kind = kind.value_type
+    if pt.is_timestamp(kind):
+        return "timestamp" if kind.unit != "ns" else "timestamp[ns]"
+    return "string" if pt.is_large_string(kind) else str(kind)
+
+
+def footer_drift(files: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """V-1 on stored files: (file, column, found, expected, issue, rows) for every column
+    that a Parquet file lacks, has in excess or with another type, and for a file whose
+    footer cannot be read.
+
+    ``files`` (path) is dealt over tasks; a task opens its files' footers only, no row
+    group is read. ``expected`` maps columns to Spark types."""
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        names = [f.split(" ")[0] for f in DRIFT.split(", ")]
+        for batch in batches:
+            out = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    where, name = fs.FileSystem.from_uri(path.replace(" ", "%20"))
+                    with where.open_input_file(name) as f:
+                        footer = pq.ParquetFile(f)
+                        columns = [footer.metadata.schema.column(i) for i in range(footer.metadata.num_columns)]
+                        stored = {c.path: c.physical_type for c in columns}
+                        found = {c.name: _footer_type(c.type, stored.get(c.name)) for c in footer.schema_arrow}
+                        rows = footer.metadata.num_rows
+                except Exception as error:  # noqa: BLE001  an unreadable file is a finding
+                    out.append((path, None, None, None, f"unreadable: {type(error).__name__}", None))
+                    continue
+                for c, kind in expected.items():
+                    if c not in found:
+                        out.append((path, c, None, kind, "missing", rows))
+                    elif found[c] not in FOOTER_TYPES[kind]:
+                        out.append((path, c, found[c], kind, "type", rows))
+                out += [(path, c, found[c], None, "extra", rows) for c in found if c not in expected]
+            kinds = {"rows": pa.int64()}
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kinds.get(n, pa.string())) for i, n in enumerate(names)], names)
+
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("path").repartition(n).mapInArrow(read, DRIFT)

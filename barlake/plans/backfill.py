@@ -22,6 +22,7 @@ idempotent).
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,12 +31,13 @@ from pyspark.sql import functions as F
 from barlake.functions.profiles import PROFILES
 from barlake.functions.time import exchange_date
 from barlake.operators import dedupe as D
+from barlake.operators import futures as FU
 from barlake.operators import normalize as N
 from barlake.operators import planning as P
 from barlake.operators import validation as V
 from barlake.operators.dedupe import KEEP_FIRST
 from barlake.plans import store
-from barlake.schemas import BAR_COLUMNS, BAR_KEY, FLAT_DAYS, LANDING_FILES, PENDING, QUARANTINE, RUN_LOG
+from barlake.schemas import BAR_COLUMNS, BAR_KEY, FLAT_DAYS, FUTURES_CONTRACTS, LANDING_FILES, PENDING, QUARANTINE, RUN_LOG
 from barlake.session import pin
 from barlake.sources import landing as L
 
@@ -209,8 +211,53 @@ def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str,
         the_plan = the_plan.unionByName(refetch.select(*the_plan.columns))
     if dry_run:
         return the_plan
-    kw = dict(asset_class=asset_class, timeframe=timeframe, run_id=run_id, now=now, command="backfill", duplicates=duplicates,
-              ohlc=ohlc)
+    return _run_plan(spark, root, the_plan, landing_path, asset_class=asset_class, timeframe=timeframe, run_id=run_id, now=now,
+                     command="backfill", duplicates=duplicates, ohlc=ohlc)
+
+
+def run_contracts(spark: SparkSession, root: str, landing_path: str, *, timeframe: str, start: str, today: str, run_id: str,
+                  now: str, duplicates: str = KEEP_FIRST, ohlc: str = "warn", dry_run: bool = False) -> Outcome | DataFrame:
+    """FU-2: one backfill run over the stored futures contracts that still trade on or
+    after ``start``: per contract from its first trade (or where its state ends) to its last
+    trade, or the day before ``today``. Landing, ledger, pending and state are those of ``run``."""
+    contracts = store.read_latest(spark, root, "futures_contracts", FUTURES_CONTRACTS)
+    if contracts.isEmpty():
+        raise MissingUniverseError("the table of futures contracts is missing or empty")
+    windows = FU.contract_plan(contracts, store.read_manifest(spark, root), start=start, today=today, timeframe=timeframe)
+    the_plan = windows.select(F.lit("futures").alias("asset_class"), F.col("ticker").alias("symbol"), F.lit(timeframe).alias("timeframe"),
+                              "from_date", "to_date", "action")
+    if dry_run:
+        return the_plan
+    return _run_plan(spark, root, the_plan, landing_path, asset_class="futures", timeframe=timeframe, run_id=run_id, now=now,
+                     command="backfill", duplicates=duplicates, ohlc=ohlc)
+
+
+class BackfillError(RuntimeError):
+    """Some jobs failed; ``done`` has the outcomes of the others."""
+
+    def __init__(self, failed: dict[str, Exception], done: dict[str, Outcome]):
+        super().__init__("; ".join(f"{name}: {str(e).splitlines()[0]}" for name, e in failed.items()))
+        self.failed, self.done = failed, done
+
+
+def run_isolated(jobs: dict[str, Callable[[], Outcome]]) -> dict[str, Outcome]:
+    """Run each named job (a handful, one per asset class); one that fails does not stop
+    the others. ``BackfillError`` names the failed ones when all have run."""
+    done: dict[str, Outcome] = {}
+    failed: dict[str, Exception] = {}
+    for name, job in jobs.items():
+        try:
+            done[name] = job()
+        except Exception as error:  # noqa: BLE001
+            failed[name] = error
+    if failed:
+        raise BackfillError(failed, done)
+    return done
+
+
+def _run_plan(spark: SparkSession, root: str, the_plan: DataFrame, landing_path: str, **kw) -> Outcome:
+    """Open the landed files that a plan needs, ingest them and enter them in the ledger."""
+    asset_class, timeframe, run_id = kw["asset_class"], kw["timeframe"], kw["run_id"]
     if not store.path_exists(spark, landing_path):  # nothing landed at all: every planned symbol is a zero-bar success
         return ingest(spark, root, the_plan, L.no_landing(spark), **kw)
     the_plan = pin(the_plan)

@@ -1291,3 +1291,30 @@ def flatfile_ingest_state(spark, d):
     lake = ST.read_bars(spark, root).groupBy(F.trunc(F.to_date("timestamp"), "month").alias("day")).agg(F.count(F.lit(1)).alias("lake_bars"))
     return ST.read_appended(spark, root, "flat_days", FLAT_DAYS).join(lake, "day").select(
         "day", "status", "tickers", "rows", "bad", "lake_bars", F.lit(opened[1]).cast("bigint").alias("opened_again"))
+
+
+@query
+def futures_contract_job(spark, d):
+    """FU-2: contracts stored, their daily bars landed, then the contract job run up to
+    1998 and again to the end; the state of each contract."""
+    from barlake.plans import actions
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    actions.refresh(spark, root, "futures_contracts", T.futures_contracts(spark, d), now=PRIMARY_STAMP)
+    _write_landing(N.to_raw(futures_daily(spark, d)), landing)
+    for today in ("1999-01-01", FUTURES_TODAY):
+        BF.run_contracts(spark, root, landing, timeframe="daily", start=FUTURES_START, today=today, run_id=f"futures-{today}",
+                         now="2002-01-01 00:00:00")
+    return ST.read_manifest(spark, root).drop("last_updated_at")
+
+
+@query
+def schema_drift(spark, d):
+    """V-1: the stock bars as lake files, one per year, those of even years with volume as
+    an integer and without vwap; what the files' footers tell (no row group is read)."""
+    root = scratch_path(spark, "lake")
+    bars = ST.with_layout(stock_daily(spark, d), "stocks", "daily").drop("asset_class", "timeframe")
+    even = F.col("year") % 2 == 0
+    path = f"{ST.bars_path(root)}/asset_class=stocks/timeframe=daily"
+    for part in (bars.where(~even), bars.where(even).withColumn("volume", F.col("volume").cast("long")).drop("vwap")):
+        part.repartition("year").write.mode("append").partitionBy("year").parquet(path)
+    return ST.schema_drift(spark, root).select("asset_class", "timeframe", "year", "column", "found", "expected", "issue", "rows")

@@ -1024,3 +1024,14 @@ ORACLE["flatfile_ingest_state"] = with_("stock_daily") + """
 SELECT CAST(date_trunc('month', timestamp) AS DATE) AS day, 'taken' AS status, count(DISTINCT symbol) AS tickers, count(*) AS rows,
        CAST(0 AS BIGINT) AS bad, count(*) AS lake_bars, CAST(0 AS BIGINT) AS opened_again
 FROM stock_daily GROUP BY 1"""
+ORACLE["futures_contract_job"] = with_("contracts", "futures_daily") + """
+SELECT 'futures' AS asset_class, b.symbol, 'daily' AS timeframe, min(CAST(timestamp AS DATE)) AS earliest_date,
+       max(CAST(timestamp AS DATE)) AS last_complete_date, count(*) AS bar_count
+FROM futures_daily b JOIN contracts c ON b.symbol = c.ticker
+WHERE c.last_trade_date >= DATE '1996-01-01' AND CAST(timestamp AS DATE) BETWEEN DATE '1996-01-01' AND DATE '2001-06-30'
+GROUP BY b.symbol"""
+ORACLE["schema_drift"] = with_("stock_daily") + """
+, y AS (SELECT CAST(year(timestamp) AS INTEGER) AS year, count(*) AS rows FROM stock_daily GROUP BY 1)
+SELECT 'stocks' AS asset_class, 'daily' AS timeframe, year, 'volume' AS "column", 'int64' AS found, 'double' AS expected, 'type' AS issue, rows
+FROM y WHERE year % 2 = 0
+UNION ALL SELECT 'stocks', 'daily', year, 'vwap', NULL, 'double', 'missing', rows FROM y WHERE year % 2 = 0"""

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from barlake.functions.profiles import PROFILES
 from barlake.operators import state as S
+from barlake.operators import validation as V
 from barlake.operators.dedupe import KEEP_FIRST
 from barlake.schemas import BAR_COLUMNS, BARS, LAKE_PARTITIONS, MANIFEST, SERIES_YEARS
 from barlake.session import pin
@@ -216,6 +217,17 @@ def storage_usage(spark: SparkSession, root: str) -> DataFrame:
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
+def schema_drift(spark: SparkSession, root: str) -> DataFrame:
+    """V-1: lake files whose footer differs from the bar schema (``validation.footer_drift``),
+    with the table and year of each."""
+    if not path_exists(spark, bars_path(root)):
+        return V.footer_drift(spark.createDataFrame([], "path string"), {})
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(bars_path(root)) \
+        .select("path", "asset_class", "timeframe", F.col("year").cast("int").alias("year"))
+    found = V.footer_drift(files, {f.name: f.dataType.simpleString() for f in BARS.fields})
+    return found.join(files, found["file"] == files["path"]).drop("path")
+
+
 # ------------------------------------------------------ versioned tables --
 
 def _version_dirs(spark: SparkSession, path: str, committed_only: bool = True) -> list[tuple[int, object]]:
