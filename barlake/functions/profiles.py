@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from barlake.functions.tickers import base_symbol, crypto_ticker
 from barlake.functions.time import exchange_date
 
 
@@ -18,13 +17,6 @@ class AssetProfile:
     calendar: str            # NYSE, US_WEEKDAYS, WEEKDAYS or 24x7 (see operators.calendar)
     exchange_dates: bool     # state and gaps by exchange (New York) date, not UTC date
 
-    def api_ticker(self, entry: Column) -> Column:
-        """Universe entry -> ticker used in data, manifest and results."""
-        return crypto_ticker(entry) if self.asset_class == "crypto" else F.upper(entry)
-
-    def storage_name(self, ticker: Column) -> Column:
-        return base_symbol(ticker)
-
     def bar_date(self, ts: Column, timeframe: str) -> Column:
         """Date a bar belongs to: minute stock bars after 19:00 New York time
         fall on the next UTC date, so they use the exchange date."""

@@ -264,11 +264,16 @@ def _run_plan(spark: SparkSession, root: str, the_plan: DataFrame, landing_path:
     own = (F.col("asset_class") == asset_class) & (F.col("timeframe") == timeframe)
     ledger = store.read_appended(spark, root, "landing_files", LANDING_FILES).where(own)
     fetch = the_plan.where(F.col("action") == P.FETCH).select("symbol", "from_date")
-    chosen = pin(L.files_to_open(L.list_files(spark, landing_path), ledger, fetch))
-    outcome = ingest(spark, root, the_plan, L.read_chosen(spark, landing_path, chosen), **kw)
-    outcome.files_opened = chosen.count()
+    if ledger.isEmpty():  # the first run opens all files of planned symbols: one listing, that of the scan
+        landing = L.read_landing(spark, landing_path)
+    else:
+        landing = L.read_chosen(spark, landing_path, pin(L.files_to_open(L.list_files(spark, landing_path), ledger, fetch)))
+    landing = pin(landing.join(fetch.select("symbol").distinct(), "symbol", "left_semi"))
+    outcome = ingest(spark, root, the_plan, landing, pinned=True, **kw)
+    opened = pin(L.opened_files(landing, fetch))
+    outcome.files_opened = opened.count()
     if outcome.files_opened:  # last of all: a run that dies before opens the same files again
-        chosen.select(F.lit(asset_class).alias("asset_class"), F.lit(timeframe).alias("timeframe"), "symbol", "path", "modified",
+        opened.select(F.lit(asset_class).alias("asset_class"), F.lit(timeframe).alias("timeframe"), "symbol", "file", "modified",
                       "length", "from_date", F.lit(run_id).alias("run_id")) \
             .write.mode("append").parquet(store.table_path(root, "landing_files"))
     return outcome

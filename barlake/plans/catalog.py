@@ -272,7 +272,8 @@ def manifest(spark, d):
 
 
 def stock_plan(spark, d):
-    return scenario(spark, d)["plan"]
+    return P.fetch_plan(stock_universe(spark, d), manifest(spark, d), timeframe="daily",
+                        default_start=STOCKS_DEFAULT_START, target_end=STOCKS_TARGET_END)
 
 
 def landed(spark, d, plan=None):
@@ -289,14 +290,11 @@ def landed(spark, d, plan=None):
 
 
 def scenario(spark, d):
-    """The planning scenario, each step computed once and pinned: manifest,
-    plan, landed rows (lazy), dispositions."""
-    m = pin(manifest(spark, d))
-    plan = pin(P.fetch_plan(stock_universe(spark, d), m, timeframe="daily",
-                            default_start=STOCKS_DEFAULT_START, target_end=STOCKS_TARGET_END))
+    """The planning scenario: plan (pinned: it feeds several branches), landed rows and
+    dispositions (lazy)."""
+    plan = pin(stock_plan(spark, d))
     lnd = landed(spark, d, plan)
-    disp = pin(P.dispositions(plan, lnd, error_col="_error"))
-    return {"manifest": m, "plan": plan, "landed": lnd, "disp": disp}
+    return {"plan": plan, "landed": lnd, "disp": P.dispositions(plan, lnd, error_col="_error")}
 
 
 @query
@@ -330,7 +328,7 @@ def upserted_manifest(spark, d, sc=None):
     ok = sc["disp"].where(F.col("disposition") == P.SUCCEEDED).select("symbol")
     bars = stock_daily(spark, d).where(F.to_date("timestamp") <= F.lit(STOCKS_TARGET_END).cast("date"))
     new_state = S.series_state(bars.join(ok, "symbol", "left_semi"), asset_class="stocks", timeframe="daily")
-    return S.manifest_upsert(sc["manifest"], new_state, UPSERT_STAMP)
+    return S.manifest_upsert(manifest(spark, d), new_state, UPSERT_STAMP)
 
 
 @query
@@ -393,10 +391,10 @@ WINDOW_FROM, WINDOW_TO = "1997-03-01", "1997-05-31"
 @query
 def bars_date_window(spark, d):
     """PRJ-12/SO-2: bars with date in [from, to] (inclusive), newest first."""
-    b = stock_daily(spark, d)
-    day = F.to_date("timestamp")
-    return b.where(day.between(F.lit(WINDOW_FROM).cast("date"), F.lit(WINDOW_TO).cast("date"))) \
-        .orderBy(F.col("timestamp").desc(), "symbol")
+    # The window stands on the stored column, below the aggregate: it reaches the scan.
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in (WINDOW_FROM, WINDOW_TO))
+    ticks = T.stock_ticks(spark, d, (F.col("l_shipdate") >= lo) & (F.col("l_shipdate") < hi + F.expr("INTERVAL 1 DAY")))
+    return B.ticks_to_bars(ticks, 1, "day", order_cols=T.STOCK_ORDER).orderBy(F.col("timestamp").desc(), "symbol")
 
 
 RAW_FROM, RAW_TO = "2024-01-05", "2024-01-20"
@@ -1008,17 +1006,21 @@ def futures_gaps_weekdays(spark, d):
     return V.missing_sessions(bar_days, sess, dense)
 
 
-ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+from barlake.functions.time import format_iso, parse_iso  # noqa: E402
 
 
 @query
 def iso_stamps(spark, d):
-    """PRJ-15: run stamps formatted as ISO-8601 UTC without sub-seconds and
-    parsed back."""
+    """PRJ-15: run stamps formatted as ISO-8601 UTC without sub-seconds, sent as text in
+    four forms (``Z``, an offset, naive, no time at all) and parsed back."""
     r = run_log(spark, d).select("run_id", "started_at")
-    iso = F.date_format("started_at", ISO_Z)
-    back = F.to_timestamp(iso, ISO_Z)
-    return r.select("run_id", iso.alias("started_iso"),
+    at, form = F.col("started_at"), F.dayofmonth("started_at") % 4
+    local = "yyyy-MM-dd'T'HH:mm:ss"
+    sent = F.when(form == 0, format_iso(at)).when(form == 1, F.concat(F.date_format(at + F.expr("INTERVAL 330 MINUTES"), local), F.lit("+05:30"))) \
+        .when(form == 2, F.date_format(at, local)).otherwise(F.concat(F.lit("at "), F.date_format(at, "HH:mm")))
+    r = r.select("run_id", "started_at", sent.alias("sent"))
+    back = parse_iso("sent")
+    return r.select("run_id", format_iso(at).alias("started_iso"), "sent", format_iso(back).alias("parsed_iso"),
                     (back == F.date_trunc("second", "started_at")).alias("roundtrip_ok"))
 
 

@@ -839,10 +839,12 @@ WHERE isodow(missing_date) <= 5 AND missing_date NOT IN (
 EXCEPT ALL
 SELECT symbol, CAST(timestamp AS DATE) FROM futures_daily"""
 ORACLE["iso_stamps"] = with_("run_log") + """
-SELECT run_id, strftime(started_at, '%Y-%m-%dT%H:%M:%SZ') AS started_iso,
-       strptime(strftime(started_at, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%dT%H:%M:%SZ') = date_trunc('second', started_at)
-         AS roundtrip_ok
-FROM run_log"""
+, f AS (SELECT run_id, strftime(started_at, '%Y-%m-%dT%H:%M:%SZ') AS iso, day(started_at) % 4 AS form, started_at FROM run_log)
+SELECT run_id, iso AS started_iso,
+       CASE form WHEN 0 THEN iso WHEN 1 THEN strftime(started_at + INTERVAL 330 MINUTE, '%Y-%m-%dT%H:%M:%S') || '+05:30'
+                 WHEN 2 THEN strftime(started_at, '%Y-%m-%dT%H:%M:%S') ELSE 'at ' || strftime(started_at, '%H:%M') END AS sent,
+       CASE WHEN form <> 3 THEN iso END AS parsed_iso, CASE WHEN form <> 3 THEN true END AS roundtrip_ok
+FROM f"""
 
 # -------------------------------------------------------------- streaming --
 

@@ -112,7 +112,7 @@ LANDING_FILES = T.StructType([
     T.StructField("asset_class", T.StringType(), False),
     T.StructField("timeframe", T.StringType(), False),
     T.StructField("symbol", T.StringType(), True),
-    T.StructField("path", T.StringType(), False),
+    T.StructField("file", T.StringType(), False),
     T.StructField("modified", T.TimestampType(), True),
     T.StructField("length", T.LongType(), True),
     T.StructField("from_date", T.DateType(), True),

@@ -18,7 +18,7 @@ columns a derivation needs are read (the scan's ReadSchema shows the pruning).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.tickers import crypto_ticker
@@ -63,9 +63,11 @@ def user_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stock_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily stock trades: one per lineitem, tie-broken by (orderkey, linenumber, partkey)."""
+def stock_ticks(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """Daily stock trades: one per lineitem (that passes ``where``), tie-broken by
+    (orderkey, linenumber, partkey)."""
     li = read(spark, sf_dir, "lineitem")
+    li = li if where is None else li.where(where)
     return li.select(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"),
         to_utc_instant(F.col("l_shipdate")).alias("ts"),
