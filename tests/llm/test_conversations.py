@@ -115,7 +115,7 @@ def test_odd_rows(spark):
     assert any(w[5] == 0 and w[6] == "" for w in want.values())
     df = spark.createDataFrame([(*r, 1, 1, "x") for r in rows],
                                "conv_id long, turn long, role string, text string, conv int, n int, cls string")
-    for blocks in ({}, {"block_symbols": 100}, {"block_chars": 1}):
+    for blocks in ({}, {"block_symbols": 100, "block_chars": 5}):
         assert found(C.damaged_and_repaired(df, **blocks)) == want
     assert C.damaged_and_repaired(df.limit(0)).collect() == []
 
