@@ -150,25 +150,40 @@ def test_markov_models_tell_random_strings(spark, docs):
     assert clean.first()["text"] == "key [SECRET] and [SECRET]"
 
 
-def test_markov_models_count_the_whole_corpus(spark, texts):
-    paths = {10_000 + i: f"/opt/v{i}/lib64+x=y_{i}-z token=Zq9Zq9Zq9 " + "a1/" * 70 for i in range(2_500)}
+def ordinary_samples(text):
+    """Short runs of words of one letter case (or capitalised) and numbers between separators."""
+    for run in re.findall(r"[A-Za-z0-9+/_=-]+", text):
+        pieces = [x for x in re.split(r"[+/_=-]+", run) if x]
+        if 2 <= len(run) <= 19 and all(re.fullmatch("[A-Z]?[a-z]+|[A-Z]+|[0-9]+", x) for x in pieces):
+            yield run
+
+
+def test_markov_models_count_labelled_samples_of_the_whole_corpus(spark, texts):
+    paths = {10_000 + i: f"/opt/v{i}/lib64+x=y_{i}-z Ab_cD-x a//b_1 --- aB Q9 token=Zq9Zq9Zq9 " + "a1/" * 70 for i in range(2_500)}
     rows = spark.createDataFrame(list({**texts, **paths}.items()), "doc_id long, text string")
     model = secrets.train(rows)
     n, seen = len(secrets.ALPHABET), np.zeros((len(secrets.ALPHABET),) * 2)
+    at = secrets.ALPHABET.index
     for t in [*texts.values(), *paths.values()]:
         for _, start, end in (p.split(":") for p in plain_secrets(t).split(",") if p):
             start, end = int(start), int(end)
             t = t[:start] + " " * (end - start) + t[end:]
-        for run in re.findall(r"[A-Za-z0-9+/_=-]+", t):
+        for run in ordinary_samples(t):
             for c, d in zip(run, run[1:]):
-                seen[secrets.ALPHABET.index(c), secrets.ALPHABET.index(d)] += 1
+                seen[at(c), at(d)] += secrets.PAIR
+            for chars, weight in ((secrets.SEPARATORS, secrets.JOINT), (secrets.DIGITS, secrets.DIGIT_JOINT)):
+                for c in chars:
+                    seen[at(run[-1]), at(c)] += weight
+                    seen[at(c), at(run[0])] += weight
+            if "a" <= run[-1] <= "z":
+                seen[at(run[-1]), at(run[0].upper())] += secrets.JOINT
     random_model = np.ones((n, n))
     for i in range(secrets.RANDOM_STRINGS):
         d = hashlib.sha256(str(i).encode()).digest()
         b = base64.b64encode(d).decode()
         for s in (d.hex(), b, d.hex().upper(), b.translate(str.maketrans("+/", "-_", "="))):
             for c, e in zip(s, s[1:]):
-                random_model[secrets.ALPHABET.index(c), secrets.ALPHABET.index(e)] += 1
+                random_model[at(c), at(e)] += 1
     total = seen.sum(axis=1, keepdims=True)
     share = np.where(total > 0, seen / np.maximum(total, 1), 1 / n) * (1 - secrets.SMOOTHING) + secrets.SMOOTHING / n
     want = np.log(random_model / random_model.sum(axis=1, keepdims=True)) - np.log(share)
@@ -176,6 +191,40 @@ def test_markov_models_count_the_whole_corpus(spark, texts):
     assert secrets.train(rows.unionByName(rows)).ratios == model.ratios
 
 
+@pytest.mark.parametrize("per_text", [1, 20, 100])
+def test_keys_hide_nothing_however_many(spark, texts, per_text):
+    rng = random.Random(per_text)
+    own = {i: {"".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(40)) for _ in range(per_text)} for i in texts}
+    rows = spark.createDataFrame([(i, f"{t} " + " ".join(sorted(own[i]))) for i, t in texts.items()], "doc_id long, text string")
+    got = secrets.scan(rows, secrets.train(rows)).select("doc_id", F.transform("spans", lambda s: s["value"]).alias("v")).collect()
+    assert sum(len(set(r["v"]) & own[r["doc_id"]]) for r in got) >= 0.99 * per_text * len(texts)
+
+
+def test_many_matches_of_one_text(spark, docs):
+    model, rng = secrets.train(docs), random.Random(11)
+    key = lambda k, chars: "".join(rng.choice(chars) for _ in range(k))
+    kinds = [lambda: key(40, "0123456789abcdef"), lambda: "é🙂 token=" + key(rng.randint(5, 12), "abc9."),
+             lambda: "AKIA" + key(16, "ABCDEFGH0123"), lambda: key(rng.randint(20, 90), secrets.ALPHABET[:62]),
+             lambda: "word " * rng.randint(1, 700)]
+    made = {i: " ".join(rng.choice(kinds)() for _ in range(m)) for i, m in enumerate([1, 2, 3, 7, 1_500])}
+    df = spark.createDataFrame([*made.items(), (9, " ".join(kinds[0]() for _ in range(20_000)))], "doc_id long, text string")
+    for r in secrets.scan(df.filter("doc_id < 9"), model).select("doc_id", "spans", secrets.joined(F.col("base")).alias("b")).collect():
+        text, spans = made[r["doc_id"]], [tuple(s) for s in r["spans"]]
+        base = [(int(s), int(e)) for _, s, e in (p.split(":") for p in plain_secrets(text).split(",") if p)]
+        assert r["b"] == plain_secrets(text) and spans == sorted(spans)
+        assert all(text[s:e] == v for s, _, e, _, v in spans)
+        assert not any(k == "random" and any(a <= s and e <= b for a, b in base) for s, _, e, k, _ in spans)
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(df, model).collect()}
+    for r in secrets.scan(df.filter("doc_id < 9"), model).collect():
+        out, at, text = [], 0, made[r["doc_id"]]
+        for s, e in sorted((s["start"], s["end"]) for s in r["spans"]):
+            if s > at or not out:
+                out += [text[at:s], secrets.MASK]
+            at = max(at, e)
+        assert clean[r["doc_id"]] == "".join([*out, text[at:]])
+    assert clean[9] == " ".join([secrets.MASK] * 20_000)
+
+
 def plain_licenses(text):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
