@@ -39,10 +39,26 @@ NOTICES = {
 }
 TAGS = ["spdx license identifier", "license expression"]
 TAG = re.compile(rb"(?:spdx-license-identifier|license-expression)[ \t]*:", re.IGNORECASE)
-# Licence identifiers by first letters, the longest first.
-FAMILIES = {"agpl-": "agpl", "lgpl-": "lgpl", "gpl-": "gpl", "apache-": "apache", "bsd-": "bsd", "cc-by-nc": "cc-by-nc",
-            "cc-by-sa": "cc-by-sa", "cc-by-nd": "cc-by-nd", "cc-by-": "cc-by", "cc0-": "public-domain", "mit": "mit",
-            "mpl-": "mpl", "epl-": "epl", "isc": "isc", "bsl-": "bsl", "unlicense": "public-domain"}
+# Whole licence identifiers, in lower case and without a final plus, by family.
+_VERSION, _GNU = r"-v?[0-9]+(\.[0-9]+)*", r"(-only|-or-later|-with-[a-z0-9.-]+-exception)?"
+FAMILIES = [(label, re.compile(whole)) for label, whole in (
+    ("agpl", rf"agpl({_VERSION})?{_GNU}"),
+    ("lgpl", rf"lgpl({_VERSION})?{_GNU}"),
+    ("gpl", rf"gpl({_VERSION})?{_GNU}"),
+    ("apache", rf"apache({_VERSION})?"),
+    ("bsd", r"0bsd|bsd|bsd-[1-4]-clause(-[a-z0-9-]+)?|bsd-source-code"),
+    ("cc-by-nc", rf"cc-by-nc(-sa|-nd)?({_VERSION})?(-[a-z]{{2,3}})?"),
+    ("cc-by-sa", rf"cc-by-sa({_VERSION})?(-[a-z]{{2,3}})?"),
+    ("cc-by-nd", rf"cc-by-nd({_VERSION})?(-[a-z]{{2,3}})?"),
+    ("cc-by", rf"cc-by({_VERSION})?(-[a-z]{{2,3}})?"),
+    ("public-domain", r"cc0|cc0-1\.0|unlicense"),
+    ("mit", r"mit(-0|-advertising|-click|-cmu|-enna|-feh|-festival|-khronos-old|-modern-variant|-open-group|-stk|"
+            r"-testregex|-wu)?"),
+    ("mpl", rf"mpl({_VERSION})?(-no-copyleft-exception)?"),
+    ("epl", rf"epl({_VERSION})?"),
+    ("isc", r"isc(-veillard)?"),
+    ("bsl", r"bsl|bsl-1\.0"),
+)]
 PERMISSIVE = {"apache", "bsd", "mit", "isc", "bsl", "cc-by", "public-domain"}
 BASE_WEIGHT, TAG_WEIGHT = 0.8, 0.95
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
@@ -100,8 +116,9 @@ def postfix(source: str) -> list[str]:
 
 
 def family(identifier: str) -> str:
+    """The family whose whole identifiers it is one of, else itself in lower case."""
     low = identifier.lower().removesuffix("+")
-    return next((label for start, label in FAMILIES.items() if low == start.rstrip("-") or low.startswith(start)), low)
+    return next((label for label, whole in FAMILIES if whole.fullmatch(low)), low)
 
 
 def evaluate(source: str) -> Expression:

@@ -265,6 +265,19 @@ def test_malformed_expressions(source):
         licenses.evaluate(source)
 
 
+@pytest.mark.parametrize("identifier,label", [
+    ("MIT", "mit"), ("MIT-0", "mit"), ("mitre", "mitre"), ("MITNFA", "mitnfa"), ("MIT-or-later", "mit-or-later"),
+    ("GPL-2.0+", "gpl"), ("GPL-3.0-or-later", "gpl"), ("LGPL-2.1-only", "lgpl"), ("gpl-2.0-with-classpath-exception", "gpl"),
+    ("GPL-CC-1.0", "gpl-cc-1.0"), ("BSD-3-Clause-Clear", "bsd"), ("0BSD", "bsd"), ("BSD-Protection", "bsd-protection"),
+    ("CC-BY-4.0", "cc-by"), ("CC-BY-3.0-US", "cc-by"), ("CC-BY-NC-SA-4.0", "cc-by-nc"), ("CC0-1.0", "public-domain"),
+    ("ISC", "isc"), ("iscsi", "iscsi"), ("BSL-1.0", "bsl"), ("BSL-1.1", "bsl-1.1"), ("Apache-2.0", "apache"),
+    ("apache-like", "apache-like"),
+])
+def test_license_identifiers_are_matched_whole(identifier, label):
+    assert licenses.family(identifier) == label
+    assert licenses.evaluate(identifier).permissive == (label in licenses.PERMISSIVE)
+
+
 def test_license_tags():
     got = licenses.scan_text(b"// SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC */\nx", licenses.automaton())
     assert set(got.weights) == {"mit", "apache", "isc"} and got.expressions[0].permissive
