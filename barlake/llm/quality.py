@@ -24,9 +24,10 @@ WIDTH, STRIDE, BLOCK = 4, 2, 32
 FILTERS, HIDDEN = 16, 32
 #: A longer text is read in segments of this many blocks that share one block.
 SEGMENT_BLOCKS = 8192
-#: Bounds of the training sample: labelled rows (smallest hashes of doc_id), and
-#: bytes of one of them; longer labelled texts are not used to train.
-TRAIN_DOCS, TRAIN_BYTES = 2_000, 16_384
+#: Bounds of the training sample: labelled rows (smallest hashes of doc_id), and bytes of
+#: all of them together. Texts are taken whole, whatever their length; the one that
+#: uses up the bytes is the last.
+TRAIN_DOCS, TRAIN_BYTES = 2_000, 16_000_000
 STEPS, BATCH, RATE, SEED = 1_250, 16, 0.01, 7
 THRESHOLD = 0.3
 SLICE_BYTES = 250_000
@@ -165,18 +166,28 @@ def held_out(id_col: str | Column = "doc_id") -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES) -> Model:
-    """Fit on at most ``train_docs`` labelled rows that are not held out, of at most
-    ``train_bytes`` bytes each (this bounds what reaches the driver). Rows without
-    id, text or label do not count; of contradicting labels the majority does."""
+    """Fit on at most ``train_docs`` labelled rows that are not held out, drawn by the hash
+    of their id until their whole texts hold ``train_bytes`` bytes (this bounds what
+    reaches the driver). Rows without id, text or label do not count; of contradicting
+    labels the majority does; equal rows are one."""
     truth = (labels.select(F.col(id_col).cast("long").alias("doc"), F.col(label_col).cast("double").alias("label"))
              .filter("doc IS NOT NULL AND label IS NOT NULL").filter(~held_out("doc"))
              .groupBy("doc").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
              .orderBy(F.xxhash64("doc"), "doc").limit(train_docs))
-    rows = (docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-            .join(F.broadcast(truth), "doc")  # at most train_docs rows
-            .filter(F.octet_length("text") <= train_bytes)
-            .orderBy(F.xxhash64("doc"), "doc", "text").limit(train_docs).collect())
-    return fit([r["text"].encode() for r in rows], [r["label"] for r in rows])
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")) \
+        .withColumn("digest", F.xxhash64("text"))
+    # Lengths first: no more text than the bytes allow leaves its task.
+    drawn = (texts.filter("text IS NOT NULL").join(F.broadcast(truth), "doc")  # at most train_docs rows
+             .select("doc", "digest", "label", F.octet_length("text").alias("bytes")).distinct()
+             .orderBy(F.xxhash64("doc"), "doc", "digest").limit(train_docs).collect())
+    held = np.cumsum([0, *[r["bytes"] for r in drawn]])
+    chosen = {(r["doc"], r["digest"]): r["label"] for r, before in zip(drawn, held, strict=False) if before < train_bytes}
+    if not chosen:
+        return fit([], [])
+    wanted = docs.sparkSession.createDataFrame(list(chosen), "doc long, digest long")
+    found = texts.join(F.broadcast(wanted), ["doc", "digest"]).dropDuplicates(["doc", "digest"]).collect()
+    by_key = {(r["doc"], r["digest"]): r["text"].encode() for r in found}
+    return fit([by_key[k] for k in chosen], list(chosen.values()))
 
 
 def score_column(model: Model):

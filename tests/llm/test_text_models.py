@@ -30,6 +30,34 @@ def test_quality_on_held_out_rows(scored):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
 
 
+def test_quality_finds_bad_rows_and_keeps_good_ones(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = quality.classify(docs, quality.train(docs, labels)).join(labels.select("doc_id", "quality"), "doc_id") \
+        .filter("held_out").select("quality", "predicted").collect()
+    bad = [r["predicted"] for r in rows if r["quality"] == 0]
+    good = [r["predicted"] for r in rows if r["quality"] == 1]
+    assert bad.count(0) / len(bad) >= 0.85 and good.count(1) / len(good) >= 0.98
+
+
+def test_quality_trains_on_texts_of_any_length(spark, monkeypatch):
+    """Only long labelled texts: none is left out; the byte budget stops the drawing, not a text."""
+    rows = [(i, ("calm words in a row. " if i % 2 else "BUY!! NOW!! ") * 2_000) for i in range(40)]
+    docs = spark.createDataFrame([*rows, rows[1], (41, None), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(42)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda texts, y: seen.append((texts, y)))
+    quality.train(docs, labels)
+    quality.train(docs, labels, train_bytes=1)
+    quality.train(docs.limit(0), labels)
+    used = {r["doc_id"] for r in docs.filter("text is not null").filter(~quality.held_out()).select("doc_id").collect()}
+    texts, y = seen[0]
+    assert len(texts) == len(used) and all(len(t) >= 24_000 for t in texts)
+    assert all((t[:1] == b"c") == bool(label) for t, label in zip(texts, y, strict=True))
+    assert len(seen[1][0]) == 1 and seen[1][0][0] in texts
+    assert seen[2] == ([], [])
+
+
 def test_quality_learns_nothing_from_held_out_labels(scored):
     docs, labels, model = scored
     flipped = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
