@@ -1,7 +1,10 @@
 """Document fingerprints: SpotSigs.
 
 Where a common word (an anchor) stands, it and the chain of content words that
-follow it form a signature; a text's fingerprint is its set of signatures. Two
+follow it form a signature; a text's fingerprint is its set of signatures. Anchors
+are the common words of four languages, and of any language (or code) one content
+word in ``EVERY``, chosen by its hash: one rule for all texts, so a text that loses a
+common word loses that word's signature and no other. Two
 sets are compared by Jaccard. For a threshold, sets are partitioned by length so
 that only sets of one partition and the next can reach it, and a comparison stops
 as soon as the threshold is out of reach.
@@ -24,7 +27,8 @@ from barlake.llm.common import cut, map_texts, slices, sorted_groups, whole_text
 from barlake.llm.components import EDGE, components, star
 
 CHAIN = 2
-MIN_SPOTS = 8
+#: One content word in so many is an anchor too.
+EVERY = 8
 # Anchors, common words of four languages.
 ANCHORS = frozenset(w.encode() for w in (
     "the of and to in a is it that for was on with as be by this are at from or an not have had but which "
@@ -41,22 +45,24 @@ BLOCK = 512
 
 
 def signatures(text: bytes, chain: int = CHAIN) -> set[int]:
-    """32-bit hashes of a UTF-8 text's signatures. A text with fewer than
-    ``MIN_SPOTS`` anchors also takes every word as one; a text without words has
-    its runs between white space for words; an empty text has no signatures."""
+    """32-bit hashes of a UTF-8 text's signatures. A text without words has its runs
+    between white space for words. Words without any anchor among them (a few words)
+    give a kind of their own, the chain that starts at each word; an empty text has no
+    signatures."""
     words = text.translate(_TO_WORDS).split() or text.split()
     content: list[bytes] = []
     spots: list[tuple[bytes, int]] = []
+    digest = xxhash.xxh32_intdigest
     for w in words:
         if w in ANCHORS:
             spots.append((w, len(content)))
         else:
             content.append(w)
-    digest = xxhash.xxh32_intdigest
-    out = {digest(b" ".join([anchor, *content[k:k + chain]])) for anchor, k in spots}
-    if len(spots) < MIN_SPOTS:
-        out.update(digest(b" ".join(words[i:i + chain + 1])) for i in range(len(words)))
-    return out
+            if digest(w) % EVERY == 0:
+                spots.append((w, len(content)))
+    if not spots:
+        return {digest(b"\0" + b" ".join(words[i:i + chain + 1])) for i in range(len(words))}
+    return {digest(b" ".join([anchor, *content[k:k + chain]])) for anchor, k in spots}
 
 
 def fingerprint(sigs: set[int]) -> str:
@@ -104,7 +110,8 @@ def compare_with_next(docs: DataFrame, chain: int = CHAIN, id_col: str = "doc_id
     come first). Columns: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next. Null texts are empty; two texts
     without signatures are alike (1). Repeated rows stay, extra columns are not
-    carried, an empty table gives an empty result, one row follows itself.
+    carried, an empty table gives an empty result, one row follows itself. Very long
+    texts are read whole, one at a time.
 
     Texts are shuffled once, to ranges of ids: the ranges' first ids are quantiles,
     so a range's first row is known by its id and also sent to the range before.

@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import xxhash
 
 from barlake.llm import embeddings, queries, spotsigs
 
@@ -46,6 +47,31 @@ def test_signatures():
     assert spotsigs.fingerprint({255, 1}) == "00000001000000ff"
 
 
+def test_a_lost_common_word_costs_one_signature():
+    """No count of anchors is a border: the sets differ by that word's signature alone."""
+    rng = np.random.default_rng(3)
+    for n_content in (30, 400):
+        content = ["".join(chr(97 + c) for c in rng.integers(0, 26, 7)) for _ in range(n_content)]
+        for anchors in range(2, 13):
+            words = list(content)
+            for k in range(anchors):
+                words.insert((k + 1) * len(words) // (anchors + 1), "the")
+            whole = spotsigs.signatures(" ".join(words).encode())
+            words.remove("the")
+            less = spotsigs.signatures(" ".join(words).encode())
+            assert less <= whole and len(whole) - len(less) == 1
+            if n_content == 400:
+                assert likeness(whole, less) > 0.95
+
+
+def test_texts_without_anchors_are_told_apart():
+    plain = [w for w in ("zebra", "quartz", "violin", "hammer", "pocket", "silver", "orange", "winter", "garden", "bridge",
+                         "candle", "mirror") if xxhash.xxh32_intdigest(w.encode()) % spotsigs.EVERY]
+    a, b = " ".join(plain), " ".join(plain[::-1])
+    assert likeness(spotsigs.signatures(a.encode()), spotsigs.signatures(b.encode())) < 0.2
+    assert not spotsigs.signatures(a.encode()) & spotsigs.signatures(("the " + a).encode())
+
+
 def test_pruned_jaccard_is_exact():
     rng = np.random.default_rng(1)
     for _ in range(500):
