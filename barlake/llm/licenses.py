@@ -1,12 +1,15 @@
 """License scans: Aho-Corasick over words, and licence expressions.
 
-One automaton finds notice phrases and identifier tags in the words of a text.
+One automaton finds notice phrases, titles, short names, identifiers and tags (also those
+of package metadata) in the words of a text. Where the words alone do not tell, the bytes
+that they came from must have the tag's or the identifier's own form.
 The expression after a tag is put in postfix order by a shunting-yard parser and
 evaluated: ``and`` binds tighter than ``or``, ``with`` tightest.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -37,8 +40,39 @@ NOTICES = {
     "redistribution and use in source and binary forms": ("bsd", 0.9),
     "this program is free software you can redistribute it and or modify": ("gpl", 0.7),
 }
-TAGS = ["spdx license identifier", "license expression"]
+# Titles of further licences and their labels.
+TITLES = {
+    "apache software license": "apache", "licensed under apache": "apache", "licensed under the apache": "apache",
+    "licensed under mit": "mit", "licensed under the mit": "mit", "mit licensed": "mit", "expat license": "mit",
+    "new bsd license": "bsd", "simplified bsd license": "bsd", "modified bsd license": "bsd", "revised bsd license": "bsd",
+    "licensed under bsd": "bsd", "licensed under the bsd": "bsd", "licensed under the gpl": "gpl", "licensed under gpl": "gpl",
+    "licensed under the lgpl": "lgpl", "gnu library general public license": "lgpl", "gnu gpl": "gpl", "gnu lgpl": "lgpl",
+    "gnu agpl": "agpl", "gnu free documentation license": "gfdl", "artistic license": "artistic", "zlib license": "zlib",
+    "python software foundation license": "psf", "european union public licence": "eupl",
+    "common development and distribution license": "cddl", "server side public license": "sspl",
+    "business source license": "busl", "sil open font license": "ofl", "academic free license": "afl",
+    "universal permissive license": "upl", "microsoft public license": "ms-pl", "open database license": "odbl",
+    "creative commons zero": "public-domain", "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution sharealike": "cc-by-sa",
+}
+# Released versions of the licences that are known by a short name and a version.
+VERSIONS = {"gpl": ("1", "2", "2.0", "3", "3.0"), "lgpl": ("2", "2.0", "2.1", "3", "3.0"), "agpl": ("1.0", "3", "3.0"),
+            "mpl": ("1.0", "1.1", "2", "2.0"), "epl": ("1.0", "2.0"), "apache": ("1.1", "2", "2.0")}
+#: Short names: "GPLv3", "LGPL v2.1", "MPL version 2.0", "Apache 2.0 license", "BSD 3-Clause license", "3-clause BSD".
+SHORT_NAMES = {form.replace(".", " "): label for label, versions in VERSIONS.items() for v in versions
+               for form in (f"{label}v{v}", f"{label} v{v}", f"{label} version {v}", f"{label} {v} license")}
+SHORT_NAMES |= {form: "bsd" for n in "234" for form in (f"bsd {n} clause license", f"{n} clause bsd", f"bsd {n} clause")}
+NOTICES |= {phrase: (label, 0.8) for phrase, label in {**SHORT_NAMES, **TITLES}.items() if phrase not in NOTICES}
+#: Identifiers that stand in the text by themselves, read whole at the words found.
+IDENTIFIERS = {f"{label} {v}".replace(".", " ") for label, versions in VERSIONS.items() for v in versions} \
+    | {"cc0 1 0", "cc by sa 4 0", "cc by nc 4 0"}
+IDENTIFIER = re.compile(rb"[A-Za-z0-9]+-[A-Za-z0-9.+-]*[A-Za-z0-9+]")
+IDENTIFIER_WEIGHT = 0.8
+TAGS = ["spdx license identifier", "license expression", "license", "licenses"]
 TAG = re.compile(rb"(?:spdx-license-identifier|license-expression)[ \t]*:", re.IGNORECASE)
+FIRST_RUN = re.compile(rb"[ \t]*[^\s]*")
+#: A key of package metadata with a quoted value, which counts if all of it is an expression.
+METADATA = re.compile(rb"""licenses?["']?[ \t]*[:=][ \t]*(?:\[[ \t]*)?(["'])([^"'\r\n]*)\1""", re.IGNORECASE)
 # Whole licence identifiers, in lower case and without a final plus, by family.
 _VERSION, _GNU = r"-v?[0-9]+(\.[0-9]+)*", r"(-only|-or-later|-with-[a-z0-9.-]+-exception)?"
 FAMILIES = [(label, re.compile(whole)) for label, whole in (
@@ -59,6 +93,7 @@ FAMILIES = [(label, re.compile(whole)) for label, whole in (
     ("isc", r"isc(-veillard)?"),
     ("bsl", r"bsl|bsl-1\.0"),
 )]
+FAMILY_LABELS = {label for label, _ in FAMILIES}
 PERMISSIVE = {"apache", "bsd", "mit", "isc", "bsl", "cc-by", "public-domain"}
 BASE_WEIGHT, TAG_WEIGHT = 0.8, 0.95
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
@@ -183,7 +218,7 @@ def expression_after(text: str) -> Expression | None:
 def automaton() -> ahocorasick.Automaton:
     """All phrases and tags, words delimited by single blanks."""
     found = ahocorasick.Automaton()
-    for phrase in {**BASE, **NOTICES, **dict.fromkeys(TAGS)}:
+    for phrase in {**BASE, **NOTICES, **dict.fromkeys(TAGS), **dict.fromkeys(IDENTIFIERS)}:
         found.add_word(f" {phrase} ", phrase)
     found.make_automaton()
     return found
@@ -214,6 +249,7 @@ def scan_text(text: bytes, phrases: ahocorasick.Automaton) -> Scan:
         out.weights[label] = max(weight, out.weights.get(label, 0))
 
     tagged: list[int] = []  # words that begin a tag
+    named: list[int] = []  # words that begin an identifier
     for start, phrase in hits:
         if phrase in BASE:
             out.places.append(int(np.searchsorted(blanks, start)))
@@ -223,11 +259,30 @@ def scan_text(text: bytes, phrases: ahocorasick.Automaton) -> Scan:
             sure(*NOTICES[phrase])
         if phrase in TAGS:
             tagged.append(int(np.searchsorted(blanks, start)))
-    if tagged:
+        if phrase in IDENTIFIERS:
+            named.append(int(np.searchsorted(blanks, start)))
+    if tagged or named:
         blank = np.frombuffer(spaced, dtype=np.uint8) == 32
         offsets = np.flatnonzero(~blank & np.r_[True, blank[:-1]])  # of each word in the text
+        for w in sorted(tagged):
+            m = METADATA.match(text, int(offsets[w]))
+            value = m[2].decode() if m else ""
+            whole = well_formed(_TOKEN.findall(value))
+            if whole and "".join(whole) == re.sub(r"\s+", "", value):
+                out.expressions.append(evaluate(" ".join(whole)))
+                for label in out.expressions[-1].labels:
+                    sure(label, TAG_WEIGHT)
         heads = [m for m in (TAG.match(text, int(offsets[w])) for w in sorted(tagged)) if m]
-        ends = [m.start() for m in heads[1:]] + [len(text)]
+        ends = [m.start() for m in heads[1:]] + [len(text)] if heads else []
+        # An identifier in the first run after a tag is the tag's.
+        taken = [FIRST_RUN.match(text, m.end(), end).span() for m, end in zip(heads, ends, strict=True)]
+        for w in named:
+            at = int(offsets[w])
+            m = IDENTIFIER.match(text, at)
+            label = family(m[0].decode()) if m else None
+            k = bisect.bisect(taken, (at, len(text))) - 1
+            if label in FAMILY_LABELS and not (k >= 0 and at < taken[k][1]):
+                sure(label, IDENTIFIER_WEIGHT)
         for m, end in zip(heads, ends, strict=True):
             value = expression_after(text[m.end():end].decode())
             if value is not None:

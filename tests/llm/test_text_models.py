@@ -313,6 +313,17 @@ def test_license_tags():
     assert licenses.expression_after("; none") is None
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("BSD 3-Clause License", {"bsd"}), ("Licensed under MIT.", {"mit"}), ('{"license": "MIT",', {"mit"}),
+    ("license = 'Apache-2.0 OR MIT'", {"apache", "mit"}), ("uses Apache-2.0, see", {"apache"}), ("LGPL v3", {"lgpl"}),
+    ("GPLv2", {"gpl"}), ("the MPL version 2.0", {"mpl"}), ("the new BSD license", {"bsd"}), ("GPL-3.0-or-later", {"gpl"}),
+    ("SIL Open Font License", {"ofl"}), ('"licenses": ["ISC"]', {"isc"}), ("CC0-1.0", {"public-domain"}),
+    ("version 2.0 of apache 2 0 64 servers", set()), ('"license": "see the file"', set()), ("license: MIT", set()),
+    ("the SPDX license identifier is a tag", set()), ("mitre licensed", set()), ("gplv2x", set()), ("Apache 2.0.64", set())])
+def test_license_titles_short_names_and_metadata(text, labels):
+    assert set(licenses.scan_text(text.encode(), licenses.automaton()).weights) == labels
+
+
 def test_license_expressions_are_read_whole():
     names = [f"Own-{i}" for i in range(30_000)] + ["GPL-2.0-only"]
     text = "SPDX-License-Identifier: " + " AND ".join(names) + " */ x"
