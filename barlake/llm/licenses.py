@@ -248,7 +248,7 @@ def scan_text(text: bytes, phrases: ahocorasick.Automaton) -> Scan:
     def sure(label: str, weight: float) -> None:
         out.weights[label] = max(weight, out.weights.get(label, 0))
 
-    tagged: list[int] = []  # words that begin a tag
+    tagged: set[int] = set()  # words that begin a tag
     named: list[int] = []  # words that begin an identifier
     for start, phrase in hits:
         if phrase in BASE:
@@ -258,7 +258,7 @@ def scan_text(text: bytes, phrases: ahocorasick.Automaton) -> Scan:
         if phrase in NOTICES:
             sure(*NOTICES[phrase])
         if phrase in TAGS:
-            tagged.append(int(np.searchsorted(blanks, start)))
+            tagged.add(int(np.searchsorted(blanks, start)))
         if phrase in IDENTIFIERS:
             named.append(int(np.searchsorted(blanks, start)))
     if tagged or named:
