@@ -25,7 +25,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.profiles import PROFILES
@@ -36,8 +36,8 @@ from barlake.operators import normalize as N
 from barlake.operators import planning as P
 from barlake.operators import validation as V
 from barlake.operators.dedupe import KEEP_FIRST
-from barlake.plans import store
-from barlake.schemas import BAR_COLUMNS, BAR_KEY, FLAT_DAYS, FUTURES_CONTRACTS, LANDING_FILES, PENDING, QUARANTINE, RUN_LOG
+from barlake.plans import report, store
+from barlake.schemas import BAR_COLUMNS, BAR_KEY, FLAT_DAYS, FUTURES_CONTRACTS, INGEST_FINDINGS, LANDING_FILES, PENDING, QUARANTINE, RUN_LOG
 from barlake.session import pin
 from barlake.sources import landing as L
 
@@ -61,6 +61,7 @@ class Outcome:
     touched_partitions: int = 0
     bars_written: int = 0
     files_opened: int | None = None
+    findings: int | None = None
 
 
 def plan(spark: SparkSession, root: str, universe: DataFrame, *, timeframe: str, default_start: str,
@@ -105,13 +106,14 @@ def provisional(asset_class: str, timeframe: str, t: Column, landed: Column) ->
 
 def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFrame, *, asset_class: str, timeframe: str,
            run_id: str, now: str, command: str, duplicates: str = KEEP_FIRST, ohlc: str = "warn",
-           hold_on_abort: bool = False, pinned: bool = False) -> Outcome:
+           hold_on_abort: bool = False, pinned: bool = False, validate: bool = False) -> Outcome:
     """Store what landed of a plan (symbol, from_date, to_date, action); a null
     from_date is an open start. ``landing`` is a scan of ``sources.landing``; bars that
     wait in the pending table are considered with it.
 
     ``duplicates`` (keep_first, keep_last, fail) and ``ohlc`` (drop, warn, fail) are
-    the validation policies. Every run leaves a row in the run log, an aborted one
+    the validation policies; ``validate`` also records what the admitted rows show before
+    the policies act on them (``read_findings``). Every run leaves a row in the run log, an aborted one
     too. A run that failed authentication aborts stores nothing; with ``hold_on_abort``
     (a source that is not read again) its good bars wait in the pending table. ``pinned``
     says that ``landing`` is pinned already and holds planned symbols only."""
@@ -151,7 +153,9 @@ def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFra
             F.coalesce(waits, F.lit(True)).alias("_wait"))  # a symbol without a plan keeps what it has
         marked = pin(marked.where("_admit OR _wait"))
         admitted = marked.where("_admit").withColumn("_rank", F.unix_micros(L.LANDED) * (1 if duplicates == D.KEEP_LAST else -1))
-        bars = V.apply_ohlc_policy(N.normalize_raw(admitted, keep=["_rank"]), ohlc)
+        bars = N.normalize_raw(admitted, keep=["_rank"])
+        found = record_findings(bars, root, asset_class, timeframe, run_id, now) if validate else None
+        bars = V.apply_ohlc_policy(bars, ohlc)
         # Of bars that were fetched twice the later attempt comes first, then the values decide.
         order = ["_rank", *[c for c in BAR_COLUMNS if c not in BAR_KEY]]
         merged = store.merge_into_lake(store.with_layout(bars, asset_class, timeframe, keep=["_rank"]), root, new_order=order,
@@ -168,7 +172,7 @@ def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFra
         finish("aborted", Outcome(0, 0, 0, 0, 0, 2), str(aborted).splitlines()[0][:1000])
         raise
     outcome = Outcome(out["attempted"], out["succeeded"], out["errors"], out["zero_bar"], out["up_to_date"],
-                      out["exit_code"], len(merged.partitions), merged.bars)
+                      out["exit_code"], len(merged.partitions), merged.bars, findings=found)
     status = "success" if outcome.exit_code == 0 else ("failed" if outcome.exit_code == 2 else "partial")
     finish(status, outcome, f"{outcome.errors} symbols failed" if outcome.errors else None)
     return outcome
@@ -195,10 +199,26 @@ def quarantine(batch: DataFrame, root: str, asset_class: str, timeframe: str) ->
         bad.write.mode("append").parquet(store.table_path(root, "quarantine"))
 
 
+def record_findings(bars: DataFrame, root: str, asset_class: str, timeframe: str, run_id: str, now: str) -> int:
+    """Inline validation: append the row findings of a batch to the ``ingest_findings``
+    table; their number is counted while they are written."""
+    counted = Observation()
+    found = report.row_findings(bars, asset_class, timeframe) \
+        .select("*", F.lit(run_id).alias("run_id"), F.lit(now).cast("timestamp").alias("found_at")) \
+        .select(*INGEST_FINDINGS.fieldNames()).observe(counted, F.count(F.lit(1)).alias("n"))
+    found.write.mode("append").parquet(store.table_path(root, "ingest_findings"))
+    return counted.get["n"]
+
+
+def read_findings(spark: SparkSession, root: str) -> DataFrame:
+    """Findings of inline validation, once each (a replayed run reports its batch again)."""
+    return store.read_appended(spark, root, "ingest_findings", INGEST_FINDINGS).distinct()
+
+
 def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str, *, asset_class: str,
         timeframe: str, default_start: str, target_end: str, run_id: str, now: str, extend_head: bool = False,
         refetch: DataFrame | None = None, duplicates: str = KEEP_FIRST, ohlc: str = "warn",
-        dry_run: bool = False) -> Outcome | DataFrame:
+        dry_run: bool = False, validate: bool = False) -> Outcome | DataFrame:
     """One backfill run. ``extend_head`` also fetches history before the stored
     start; ``refetch`` adds windows of interior gaps (``planning.gap_refetch_plan``).
     ``dry_run`` returns the plan only.
@@ -212,7 +232,7 @@ def run(spark: SparkSession, root: str, universe: DataFrame, landing_path: str,
     if dry_run:
         return the_plan
     return _run_plan(spark, root, the_plan, landing_path, asset_class=asset_class, timeframe=timeframe, run_id=run_id, now=now,
-                     command="backfill", duplicates=duplicates, ohlc=ohlc)
+                     command="backfill", duplicates=duplicates, ohlc=ohlc, validate=validate)
 
 
 def run_contracts(spark: SparkSession, root: str, landing_path: str, *, timeframe: str, start: str, today: str, run_id: str,

@@ -64,6 +64,19 @@ def reference_freshness(spark: SparkSession, root: str, *, as_of: str) -> DataFr
     return U.freshness_report(datasets, thresholds, as_of)
 
 
+def row_findings(bars: DataFrame, asset_class: str, timeframe: str) -> DataFrame:
+    """What rows tell by themselves: OHLC order, repeated keys and required values that are
+    null, as rows (asset_class, timeframe, symbol, check, day, detail)."""
+    def found(rows: DataFrame, check: str, detail) -> DataFrame:
+        return rows.select(F.lit(asset_class).alias("asset_class"), F.lit(timeframe).alias("timeframe"), "symbol",
+                           F.lit(check).alias("check"), F.to_date("timestamp").alias("day"), detail.alias("detail"))
+
+    missing = F.greatest(*[F.col(c).isNull().cast("int") for c in V.REQUIRED]) == 1
+    return found(V.ohlc_violations(bars), "ohlc", F.col("rule")) \
+        .unionByName(found(D.duplicate_report(bars, ["symbol", "timestamp"]), "duplicate", F.col("n_rows").cast("string"))) \
+        .unionByName(found(bars.where(missing), "null", F.lit("required column is null")))
+
+
 CHECKS = ["gap", "ohlc", "duplicate", "null", "coverage"]
 NOT_CHECKED = "gap not checked"
 
@@ -86,16 +99,7 @@ def findings(spark: SparkSession, root: str, *, as_of: str, coverage_sessions: i
         profile = PROFILES.get(asset_class)
         cal = profile.calendar if profile else C.CONTINUOUS
         lit = [F.lit(asset_class).alias("asset_class"), F.lit(timeframe).alias("timeframe")]
-        day = F.to_date("timestamp").alias("day")
-        parts = [
-            V.ohlc_violations(bars).select(*lit, "symbol", F.lit("ohlc").alias("check"), day,
-                                           F.col("rule").alias("detail")),
-            D.duplicate_report(bars, ["symbol", "timestamp"]).select(
-                *lit, "symbol", F.lit("duplicate").alias("check"), day,
-                F.col("n_rows").cast("string").alias("detail")),
-            bars.where(F.greatest(*[F.col(c).isNull().cast("int") for c in V.REQUIRED]) == 1).select(
-                *lit, "symbol", F.lit("null").alias("check"), day, F.lit("required column is null").alias("detail")),
-        ]
+        parts = [row_findings(bars, asset_class, timeframe)]
         # Calendar over the table's span up to the as-of day (bounded by the span).
         own = manifest.where((F.col("asset_class") == asset_class) & (F.col("timeframe") == timeframe))
         span = bars.select(F.to_date("timestamp").alias("d")).unionByName(

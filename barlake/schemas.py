@@ -107,6 +107,18 @@ QUARANTINE = T.StructType([
     T.StructField("landed_at", T.TimestampType(), True),
 ])
 
+#: What inline validation found in the batch of a run.
+INGEST_FINDINGS = T.StructType([
+    T.StructField("asset_class", T.StringType(), False),
+    T.StructField("timeframe", T.StringType(), False),
+    T.StructField("symbol", T.StringType(), True),
+    T.StructField("check", T.StringType(), False),
+    T.StructField("day", T.DateType(), True),
+    T.StructField("detail", T.StringType(), True),
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("found_at", T.TimestampType(), True),
+])
+
 # Landed files that a run has taken, and the start of the window it took them for.
 LANDING_FILES = T.StructType([
     T.StructField("asset_class", T.StringType(), False),

@@ -9,8 +9,8 @@ second run on the same day finds no new files: a no-op. The stream reads a file
 once, so what a batch cannot store yet waits in the pending table, and a later update
 admits it when its day is complete, even if nothing more has landed.
 
-``update_all``: ``run_update`` for every table that the manifest knows; a table that
-fails does not stop the others.
+``update_all``: ``run_update`` for every table that the manifest knows, then the newly
+fetched corporate actions; a table that fails does not stop the others.
 
 ``tumbling_bars``: ticks to closed bars in append mode. The watermark on trade
 time is the completeness horizon: a bar is emitted only once no more trades
@@ -29,7 +29,7 @@ from barlake.operators import calendar as C
 from barlake.operators import planning as P
 from barlake.operators.bars import order_key
 from barlake.operators.dedupe import KEEP_FIRST
-from barlake.plans import backfill, store
+from barlake.plans import actions, backfill, store
 from barlake.sources.landing import LANDED, LANDING, no_landing, with_attempts
 
 
@@ -45,10 +45,11 @@ def horizon(spark: SparkSession, asset_class: str, now: str) -> str:
 
 def run_update(spark: SparkSession, landing_path: str, root: str, checkpoint: str, *,
                asset_class: str, timeframe: str, now: str, max_files_per_batch: int | None = None,
-               duplicates: str = KEEP_FIRST, ohlc: str = "warn") -> int:
+               duplicates: str = KEEP_FIRST, ohlc: str = "warn", validate: bool = True) -> int:
     """Process all newly landed files once; returns the number of micro-batches
     that had rows (pending bars admitted without any count as one). All new files are
-    one batch unless ``max_files_per_batch`` is set; the policies are those of ``ingest``.
+    one batch unless ``max_files_per_batch`` is set; the policies are those of ``ingest``,
+    and inline validation is on.
 
     A failed authentication stores nothing of its batch and is raised when the stream
     has stopped: the batch is done with, its good bars wait for the next update."""
@@ -65,7 +66,7 @@ def run_update(spark: SparkSession, landing_path: str, root: str, checkpoint: st
         try:
             backfill.ingest(own, root, plan, landing, asset_class=asset_class, timeframe=timeframe,
                             run_id=f"update-{asset_class}-{timeframe}-{now}-{name}", now=now, command="update",
-                            duplicates=duplicates, ohlc=ohlc, hold_on_abort=True)
+                            duplicates=duplicates, ohlc=ohlc, hold_on_abort=True, validate=validate)
         except backfill.FatalFetchError as error:
             fatal.append(error)
 
@@ -105,12 +106,15 @@ class UpdateError(RuntimeError):
         self.failed, self.done = failed, done
 
 
-def update_all(spark: SparkSession, landing_root: str, root: str, checkpoint_root: str, *, now: str, **policies) -> dict[tuple[str, str], int]:
+def update_all(spark: SparkSession, landing_root: str, root: str, checkpoint_root: str, *, now: str,
+               corporate_actions: dict[str, DataFrame] | None = None, **policies) -> dict[tuple[str, str], int]:
     """Update every (asset class, timeframe) of the manifest from its landing
     folder ``{landing_root}/{asset_class}/{timeframe}``; tables without one are
     skipped. Returns the batches of each (a handful of tables). A table that fails
     leaves its row in the run log; the others are updated first, then ``UpdateError``
-    names it."""
+    names it. ``corporate_actions`` are newly fetched rows by table (splits, dividends),
+    merged into the stored tables after the bars (``actions.refresh``); such a table is
+    ("actions", its name) in the result, with its new version."""
     tables = store.read_manifest(spark, root).select("asset_class", "timeframe").distinct().collect()
     done: dict[tuple[str, str], int] = {}
     failed: dict[tuple[str, str], Exception] = {}
@@ -124,6 +128,11 @@ def update_all(spark: SparkSession, landing_root: str, root: str, checkpoint_roo
                 asset_class=asset_class, timeframe=timeframe, now=now, **policies)
         except Exception as error:  # noqa: BLE001  one asset class never stops the others
             failed[asset_class, timeframe] = error
+    for name, rows in (corporate_actions or {}).items():
+        try:
+            done["actions", name] = actions.refresh(spark, root, name, rows, now=now)
+        except Exception as error:  # noqa: BLE001
+            failed["actions", name] = error
     if failed:
         raise UpdateError(failed, done)
     return done

@@ -2,12 +2,12 @@
 
 import json
 import os
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.plans import backfill, store
+from barlake.plans import actions, backfill, store
 from barlake.schemas import LANDING_FILES
 from barlake.sources import landing as L
 from barlake.streaming import update
@@ -172,6 +172,32 @@ def test_one_table_does_not_stop_the_others(spark, scratch):
     assert ("crypto", "aborted") in log and store.read_bars(spark, root, asset_class="stocks").count() == 2
 
 
+def test_inline_validation_and_corporate_actions_of_the_update(spark, scratch):
+    root, landing, ckpt = f"{scratch}/lake", f"{scratch}/landing", f"{scratch}/ckpt"
+    folder, kw = f"{landing}/stocks/daily", dict(asset_class="stocks", timeframe="daily")
+    land(folder, "A", "a", [{**bar(datetime(2024, 1, 3, 5), 1.0), "l": 3.0}, {**bar(datetime(2024, 1, 2, 5), 1.0), "v": None},
+                            bar(datetime(2024, 1, 2, 5), 4.0)])
+    land(folder, "B", "a", [bar(datetime(2024, 1, 3, 5), 1.0)])
+    # The policy drops the bar; what was wrong with it is on record all the same.
+    update.run_update(spark, folder, root, f"{ckpt}/stocks-daily", now="2024-01-04 12:00:00", ohlc="drop", **kw)
+    found = {(r["symbol"], r["check"], str(r["day"])) for r in backfill.read_findings(spark, root).collect()}
+    assert {("A", "ohlc", "2024-01-03"), ("A", "duplicate", "2024-01-02")} <= found and not any(s == "B" for s, _, _ in found)
+    before = backfill.read_findings(spark, root).count()
+    land(folder, "B", "b", [bar(datetime(2024, 1, 4, 5), 2.0)])
+    splits = spark.createDataFrame([("A", date(2024, 1, 2), 1.0, 4.0, 4.0)],
+                                   "symbol string, execution_date date, split_from double, split_to double, ratio double")
+    with pytest.raises(update.UpdateError) as caught:  # a table without its columns stops neither bars nor splits
+        update.update_all(spark, landing, root, ckpt, now="2024-01-05 12:00:00",
+                          corporate_actions={"dividends": splits.select("symbol"), "splits": splits})
+    assert list(caught.value.failed) == [("actions", "dividends")]
+    assert caught.value.done == {("stocks", "daily"): 1, ("actions", "splits"): 1}
+    assert actions.read(spark, root, "splits").count() == 1
+    assert backfill.read_findings(spark, root).count() == before  # a clean batch adds none
+    assert update.update_all(spark, landing, root, ckpt, now="2024-01-05 13:00:00", corporate_actions={"splits": splits}) \
+        == {("stocks", "daily"): 0, ("actions", "splits"): 2}
+    assert actions.read(spark, root, "splits").count() == 1
+
+
 def test_policies_of_the_update(spark, scratch):
     root, landing, ckpt = f"{scratch}/lake", f"{scratch}/landing", f"{scratch}/ckpt"
     kw = dict(asset_class="crypto", timeframe="daily")
