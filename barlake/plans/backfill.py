@@ -207,7 +207,7 @@ def record_findings(bars: DataFrame, root: str, asset_class: str, timeframe: str
         .select("*", F.lit(run_id).alias("run_id"), F.lit(now).cast("timestamp").alias("found_at")) \
         .select(*INGEST_FINDINGS.fieldNames()).observe(counted, F.count(F.lit(1)).alias("n"))
     found.write.mode("append").parquet(store.table_path(root, "ingest_findings"))
-    return counted.get["n"]
+    return counted.get.get("n") or 0  # no metric where the plan turned out to be empty
 
 
 def read_findings(spark: SparkSession, root: str) -> DataFrame:

@@ -198,6 +198,19 @@ def test_inline_validation_and_corporate_actions_of_the_update(spark, scratch):
     assert actions.read(spark, root, "splits").count() == 1
 
 
+def test_inline_validation_of_a_backfill(spark, scratch):
+    root, landing = f"{scratch}/lake", f"{scratch}/landing"
+    kw = dict(asset_class="crypto", timeframe="daily", default_start="2024-01-01", now="2024-01-05 12:00:00", validate=True)
+    land(landing, "A", "a", [{"error": "x", "error_kind": "server"}])
+    out = backfill.run(spark, root, _universe(spark, "A"), landing, target_end="2024-01-02", run_id="a", **kw)
+    assert (out.errors, out.findings) == (1, 0)
+    land(landing, "A", "b", [{**bar(datetime(2024, 1, 1), 1.0), "h": 0.1, "attempt": 4102444800000}])
+    out = backfill.run(spark, root, _universe(spark, "A"), landing, target_end="2024-01-02", run_id="b", **kw)
+    rows = backfill.read_findings(spark, root).collect()
+    assert out.bars_written == 1 and out.findings == len(rows) > 0
+    assert {(r["symbol"], r["check"], r["run_id"]) for r in rows} == {("A", "ohlc", "b")}
+
+
 def test_policies_of_the_update(spark, scratch):
     root, landing, ckpt = f"{scratch}/lake", f"{scratch}/landing", f"{scratch}/ckpt"
     kw = dict(asset_class="crypto", timeframe="daily")
