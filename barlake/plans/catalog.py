@@ -930,7 +930,7 @@ def validation_findings(spark, d):
 # ------------------------------------------------ lake on disk (SRC-3/4/9) --
 
 from barlake.plans import store as ST  # noqa: E402
-from barlake.session import scratch_path  # noqa: E402
+from barlake.session import open_files, scratch_path, small_files  # noqa: E402
 
 SCAN_YEAR = 1998
 
@@ -1158,11 +1158,12 @@ def attempt_dispositions(spark, d):
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "lake")
     users, waves = _attempt_cases(spark, d)
     for wave in waves:
-        wave.repartition("symbol").write.mode("append").partitionBy("symbol").text(landing)
+        L.write_lines(wave.repartition("symbol"), landing)
     universe = pin(users.select(F.lit("crypto").alias("asset_class"), "symbol"))
     plan = pin(P.fetch_plan(universe, ST.read_manifest(spark, root), timeframe="daily", default_start="2024-01-01",
                             target_end=ATTEMPTS_TARGET))
-    tried = P.attempts(L.read_landing(spark, landing))
+    with small_files(spark):
+        tried = pin(P.attempts(L.read_landing(spark, landing)))
     BF.run(spark, root, universe, landing, asset_class="crypto", timeframe="daily", default_start="2024-01-01",
            target_end=ATTEMPTS_TARGET, run_id="attempts", now=ATTEMPTS_NOW)
     stored = ST.read_bars(spark, root).groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
@@ -1274,6 +1275,9 @@ def skipped_dividends(spark, d):
     return A.skipped_dividends(stock_daily(spark, d), paid)
 
 
+OPEN_FILES = 16  # of a task at once
+
+
 @query
 def flatfile_ingest_state(spark, d):
     """SRC-12: the stock bars as gzip flat files, one per month here (every second month
