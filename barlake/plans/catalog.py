@@ -1321,6 +1321,7 @@ def schema_drift(spark, d):
     bars = ST.with_layout(stock_daily(spark, d), "stocks", "daily").drop("asset_class", "timeframe")
     even = F.col("year") % 2 == 0
     path = f"{ST.bars_path(root)}/asset_class=stocks/timeframe=daily"
-    for part in (bars.where(~even), bars.where(even).withColumn("volume", F.col("volume").cast("long")).drop("vwap")):
-        part.repartition("year").write.mode("append").partitionBy("year").parquet(path)
+    with open_files(spark, OPEN_FILES):
+        for part in (bars.where(~even), bars.where(even).withColumn("volume", F.col("volume").cast("long")).drop("vwap")):
+            part.repartition("year").write.mode("append").partitionBy("year").parquet(path)
     return ST.schema_drift(spark, root).select("asset_class", "timeframe", "year", "column", "found", "expected", "issue", "rows")

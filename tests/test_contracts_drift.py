@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
+from barlake import session
 from barlake.plans import actions, backfill, store
 from barlake.schemas import FUTURES_CONTRACTS
 from tests.test_ingest_rules import bar, land
@@ -56,3 +57,21 @@ def test_odd_files_are_found_by_their_footers(spark, scratch):
     assert got == {(2023, "otc", None, "missing", 2), (2023, "vwap", None, "missing", 2), (2023, "VWAP", "double", "extra", 2),
                    (2023, "volume", "string", "type", 2), (2023, None, None, "unreadable", None)}
     assert store.schema_drift(spark, f"{scratch}/none").collect() == []
+
+
+def test_files_of_a_year_are_written_without_a_sort(spark, scratch, monkeypatch):
+    """One file per year as before, but no task sorts (and so holds) the rows of its years."""
+    from pyspark.sql import functions as F
+
+    from barlake.plans import catalog
+    rows = spark.range(1000).select(F.timestamp_seconds(F.col("id") * 400_000).alias("timestamp"), F.lit("S").alias("symbol"),
+                                    *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close", "volume", "vwap")],
+                                    F.lit(1).alias("transactions"), F.lit(None).cast("boolean").alias("otc"))
+    monkeypatch.setattr(catalog, "stock_daily", lambda spark, d: rows)
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: f"{scratch}/{name}")
+    plans = []
+    monkeypatch.setattr(catalog, "open_files", lambda spark, n: plans.append(n) or session.open_files(spark, n))
+    got = {(r["year"], r["column"]): r["rows"] for r in catalog.schema_drift(spark, None).collect()}
+    years = {r["y"]: r["n"] for r in rows.groupBy(F.year("timestamp").alias("y")).agg(F.count("*").alias("n")).collect()}
+    assert got == {(y, c): n for y, n in years.items() if y % 2 == 0 for c in ("volume", "vwap")}
+    assert plans and max(plans) >= 1 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
