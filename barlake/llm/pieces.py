@@ -140,10 +140,8 @@ class PieceModel:
             if len(self.border_keys) + len(new) > KNOWN_BORDERS:
                 self.border_keys, self.border_stays = asked, out
             else:
-                keys = np.concatenate([self.border_keys, new])
-                order = np.argsort(keys, kind="stable")
-                self.border_keys = keys[order]
-                self.border_stays = np.concatenate([self.border_stays, out[~known]])[order]
+                self.border_keys = np.insert(self.border_keys, at[~known], new)
+                self.border_stays = np.insert(self.border_stays, at[~known], out[~known])
         return out[back]
 
     def _borders(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -192,15 +190,25 @@ class PieceModel:
 
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Start positions in the order of their first ``depth`` characters."""
-    rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
+    """Start positions in the order of their first ``depth`` characters: each round sorts
+    by as many ranks side by side as one integer holds."""
+    present = np.zeros(int(codes.max(initial=0)) + 1, dtype=bool)
+    present[codes] = True
+    rank = np.cumsum(present)[codes]
     done = 1
-    while done < depth:
-        ahead = np.zeros_like(rank)
-        ahead[:-done] = rank[done:]
-        rank = np.unique(rank * (rank.max() + 1) + ahead, return_inverse=True)[1] + 1
-        done *= 2
-    return np.argsort(rank, kind="stable")
+    while True:
+        base = int(rank.max(initial=0)) + 1  # 0 stands for what lies after the end
+        key, joined = rank.copy(), 1
+        while joined * done < depth and base ** (joined + 1) < 2 ** 63:
+            key *= base
+            key[:-joined * done] += rank[joined * done:]
+            joined += 1
+        order = np.argsort(key)
+        done *= joined
+        if done >= depth or joined == 1:
+            return order
+        ranked = key[order]
+        rank[order] = np.cumsum(np.r_[True, ranked[1:] != ranked[:-1]])
 
 
 def occurrences(codes: np.ndarray, order: np.ndarray, patterns: np.ndarray,

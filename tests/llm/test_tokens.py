@@ -150,3 +150,29 @@ def test_suffix_array_ranges():
     for p, n, a, b in zip(patterns, lengths, low, high):
         want = [i for i in range(300) if codes[i:i + n].tolist() == p[:n].tolist()]
         assert sorted(order[a:b].tolist()) == want
+
+
+def test_suffix_array_takes_few_sorts(monkeypatch):
+    """Sixteen letters of a small alphabet are two sorts, not one per doubling."""
+    rng = np.random.default_rng(3)
+    codes = rng.integers(97, 123, 5_000).astype(np.int32)
+    sorts, sort = [], np.argsort
+    monkeypatch.setattr(pieces.np, "argsort", lambda *a, **k: sorts.append(1) or sort(*a, **k))
+    order = pieces.suffix_array(codes, 16)
+    monkeypatch.undo()
+    text = "".join(map(chr, codes))
+    assert len(sorts) <= 2 and sorted(order.tolist()) == list(range(5_000))
+    assert [text[i:i + 16] for i in order] == sorted(text[i:i + 16] for i in range(5_000))
+
+
+def test_borders_are_merged_in_order(monkeypatch):
+    model = pieces.PieceModel(open(PIECES, "rb").read())
+    rng = np.random.default_rng(5)
+    asked = [(rng.choice(model.piece_ids, 300), rng.choice(model.piece_ids, 300)) for _ in range(4)]
+    sorts, sort = [], np.argsort
+    monkeypatch.setattr(pieces.np, "argsort", lambda *a, **k: sorts.append(1) or sort(*a, **k))
+    got = [model.may_follow(a, b).tolist() for a, b in asked]
+    again = [model.may_follow(a, b).tolist() for a, b in asked]
+    monkeypatch.undo()
+    assert not sorts and got == again and got == [model._borders(a, b).tolist() for a, b in asked]
+    assert (np.diff(model.border_keys) > 0).all() and len(model.border_keys) == len(model.border_stays)
