@@ -26,7 +26,7 @@ def fresh_rows(stored: DataFrame, new: DataFrame, key: Sequence[str] = BAR_KEY,
     key = list(key)
     order = list(new_order) or [c for c in new.columns if c not in key]
     new_unique = keep_one(new, key, order, policy).drop(*extra)
-    collisions = stored.select(*key).join(new_unique.select(*key), key, "left_semi")
+    collisions = stored.select(*key).join(new.select(*key), key, "left_semi")  # has the keys of new_unique, without its sort
     return new_unique.join(collisions, key, "left_anti")
 
 

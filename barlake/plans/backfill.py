@@ -146,9 +146,11 @@ def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFra
         quarantine(batch, root, asset_class, timeframe)
         day = bar_date(asset_class, timeframe, F.timestamp_millis("t"))
         early = provisional(asset_class, timeframe, F.col("t"), F.col(L.LANDED))
+        held_and_good = before.unionByName(good).withColumns({"_day": day, "_early": early})
+        day, early = F.col("_day"), F.col("_early")  # once per row, not once per window
         inside = F.exists("_windows", lambda w: (w["from_date"].isNull() | (day >= w["from_date"])) & (day <= w["to_date"]))
         waits = (day > F.col("_last")) | (early & inside)
-        marked = before.unionByName(good).join(windows, "symbol", "left").select(
+        marked = held_and_good.join(windows, "symbol", "left").select(
             *raw, F.coalesce(inside & ~early, F.lit(False)).alias("_admit"),
             F.coalesce(waits, F.lit(True)).alias("_wait"))  # a symbol without a plan keeps what it has
         marked = pin(marked.where("_admit OR _wait"))
@@ -161,8 +163,10 @@ def ingest(spark: SparkSession, root: str, the_plan: DataFrame, landing: DataFra
         merged = store.merge_into_lake(store.with_layout(bars, asset_class, timeframe, keep=["_rank"]), root, new_order=order,
                                        policy=duplicates)
         taken = pin(admitted.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows")))
-        latest = marked.groupBy("symbol", "t").agg(F.max(F.struct(L.LANDED, L.FILE, F.col("_wait"))).alias("_last_try"))
-        waiting = marked.where("_wait").join(latest.where("_last_try._wait").select("symbol", "t"), ["symbol", "t"], "left_semi")
+        waiting = marked.where("_wait")
+        if not waiting.isEmpty():
+            latest = marked.groupBy("symbol", "t").agg(F.max(F.struct(L.LANDED, L.FILE, F.col("_wait"))).alias("_last_try"))
+            waiting = waiting.join(latest.where("_last_try._wait").select("symbol", "t"), ["symbol", "t"], "left_semi")
         hold(spark, root, waiting.select(*raw), asset_class, timeframe)
         if merged.partitions:
             store.record_state(spark, root, taken.select("symbol"), asset_class, timeframe, now, years=merged.years)

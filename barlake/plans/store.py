@@ -117,7 +117,7 @@ def read_bars(spark: SparkSession, root: str, *, asset_class: str | None = None,
               with_partitions: bool = False) -> DataFrame:
     """Scan the lake; partition predicates prune folders, others push down."""
     if not path_exists(spark, bars_path(root)):
-        empty = spark.createDataFrame([], LAKE_SCHEMA)
+        empty = spark.createDataFrame([], LAKE_SCHEMA).limit(0)  # so that the planner knows, too
         return empty if with_partitions else empty.select(*BAR_COLUMNS)
     df = spark.read.schema(LAKE_SCHEMA).parquet(bars_path(root))
     if asset_class is not None:

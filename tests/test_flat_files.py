@@ -76,3 +76,24 @@ def test_bad_rows_and_files_are_reported(spark, scratch):
     rows = backfill.read_quarantine(spark, root).collect()
     assert len(rows) == 3 and {r["reason"] for r in rows} == {"corrupt record"} and any('"many"' in r["record"] for r in rows)
     assert backfill.run_flat_files(spark, root, folder, target_end="2024-01-31", run_id="r2", **KW).files_opened == 0
+
+
+def test_headers_are_found_among_the_few_lines_that_can_be_one(spark, tmp_path):
+    from barlake.sources import landing as L
+    texts = {"a": '"Ticker", "window_start"\nA_B,1\nC,2\n', "b": "x,y\nA,1\n", "c": "A,1\n﻿ticker,Window_Start,open\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    got = [(names, [f.rsplit("/", 1)[1] for f in files]) for names, files in L.flat_headers(spark, [f"{tmp_path}/{n}.csv" for n in texts])]
+    assert got == [(None, ["b.csv"]), (["ticker", "window_start"], ["a.csv"]), (["ticker", "window_start", "open"], ["c.csv"])]
+
+
+def test_the_first_batch_of_a_lake_meets_no_stored_keys(spark, tmp_path):
+    """Where no bars are stored yet the batch is only de-duplicated: its rows are sorted
+    once, and not joined with an empty table."""
+    from barlake.operators import state as S
+    from barlake.plans import store
+    none = store.read_bars(spark, str(tmp_path / "none"), with_partitions=True)
+    new = spark.createDataFrame([(None,) * len(store.LAKE_SCHEMA)], store.LAKE_SCHEMA)
+    fresh = S.fresh_rows(none, new, store.LAKE_KEY)
+    plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("min_by") == 1 and fresh.count() == 1
