@@ -289,11 +289,12 @@ def _run_plan(spark: SparkSession, root: str, the_plan: DataFrame, landing_path:
     ledger = store.read_appended(spark, root, "landing_files", LANDING_FILES).where(own)
     fetch = the_plan.where(F.col("action") == P.FETCH).select("symbol", "from_date")
     with small_files(spark):
-        if ledger.isEmpty():  # the first run opens all files of planned symbols: one listing, that of the scan
-            landing = L.read_landing(spark, landing_path)
+        listing = L.list_in_tasks(spark, landing_path)
+        if listing is None and ledger.isEmpty():  # the first run opens all files of planned symbols: one listing, that of the scan
+            landing = pin(L.read_landing(spark, landing_path).join(fetch.select("symbol").distinct(), "symbol", "left_semi"))
         else:
-            landing = L.read_chosen(spark, landing_path, pin(L.files_to_open(L.list_files(spark, landing_path), ledger, fetch)))
-        landing = pin(landing.join(fetch.select("symbol").distinct(), "symbol", "left_semi"))
+            listing = L.list_by_index(spark, landing_path) if listing is None else listing
+            landing = L.read_chosen(spark, landing_path, pin(L.files_to_open(listing, ledger, fetch)))
     outcome = ingest(spark, root, the_plan, landing, pinned=True, **kw)
     opened = pin(L.opened_files(landing, fetch))
     outcome.files_opened = opened.count()
